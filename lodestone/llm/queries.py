@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lodestone.catalog import load
-from lodestone.llm import bpe, exact_dedup
+from lodestone.llm import bpe, chat, exact_dedup, html_text, media
 
 QUERIES = {}
 SQL = {}
@@ -39,3 +39,24 @@ def _op4(spark, sf_dir):
 @query("op5_bpe")
 def _op5(spark, sf_dir):
     return bpe.bpe_frame(load(spark, sf_dir, "documents"), vocabulary(), ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op2_media")
+def _op2(spark, sf_dir):
+    return media.media_columns(load(spark, sf_dir, "documents"))
+
+
+#: A conversation that tests escaping, beside the table's own.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+@query("op3_chat")
+def _op3(spark, sf_dir):
+    own = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_turns(own.unionByName(extra)))
+
+
+@query("op9_html_text")
+def _op9(spark, sf_dir):
+    return html_text.extract_text(load(spark, sf_dir, "pages"))
