@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lodestone.catalog import load
-from lodestone.llm import bpe, chat, exact_dedup, html_text, media
+from lodestone.llm import bpe, chat, exact_dedup, html_text, media, quality, simhash
 
 QUERIES = {}
 SQL = {}
@@ -60,3 +60,14 @@ def _op3(spark, sf_dir):
 @query("op9_html_text")
 def _op9(spark, sf_dir):
     return html_text.extract_text(load(spark, sf_dir, "pages"))
+
+
+@query("op1_quality")
+def _op1(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, load(spark, sf_dir, "labels")))
+
+
+@query("op10_simhash")
+def _op10(spark, sf_dir):
+    return simhash.simhash_groups(load(spark, sf_dir, "documents"))
