@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lodestone.catalog import load
-from lodestone.llm import bpe, chat, exact_dedup, html_text, media, quality, simhash
+from lodestone.llm import bpe, chat, exact_dedup, html_text, line_dedup, media, mixing, quality, simhash, suffixes
 
 QUERIES = {}
 SQL = {}
@@ -71,3 +73,22 @@ def _op1(spark, sf_dir):
 @query("op10_simhash")
 def _op10(spark, sf_dir):
     return simhash.simhash_groups(load(spark, sf_dir, "documents"))
+
+
+@query("op7_line_dedup")
+def _op7(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
+@query("op6_mixing")
+def _op6(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return mixing.document_rates(docs, mixing.fit(docs, load(spark, sf_dir, "labels")))
+
+
+@query("op8_suffixes")
+def _op8(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    where = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return suffixes.remove_repeats(docs.select("doc_id", "text", where.alias("row_key")), key=F.col("row_key"))
