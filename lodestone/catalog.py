@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,10 +31,17 @@ def stage(df: DataFrame, name: str, spark: SparkSession | None = None, codec: st
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = spark or df.sparkSession
     path = f"{shared_dir(spark)}/lodestone/{name}-{uuid.uuid4().hex}"
+    release(spark)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver collect its garbage: shuffle files of finished plans are deleted with the objects that name them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`stage`; the caller no longer reads it."""
     spark = df.sparkSession

@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from lodestone.plans import events_plans  # noqa: F401
+    from lodestone.plans import events_plans, ingest_plans, lineitem_plans, mart_plans, text_plans, vector_plans  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -1 +1 @@
-
+"""Structured Streaming: triggered ingestion, event producers and consumers."""
