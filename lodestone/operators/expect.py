@@ -61,15 +61,20 @@ def integral_key(column: str) -> str:
     return f"{column} = floor({column}) AND {column} BETWEEN 1 AND 2147483647"
 
 
-#: Rules for trajectory lines parsed into ``tokens`` and doubles.
-def trajectory_rules(values: list[str], width: int = 26) -> Rules:
+def all_finite(array: str) -> str:
+    """A predicate that is true if an array's numbers are all finite. One expression, however many numbers there are."""
+    return f"forall({array}, x -> {finite('x')})"
+
+
+def trajectory_rules(width: int = 26, keys: int = 2) -> Rules:
+    """Rules for trajectory lines parsed into ``tokens``, ``numbers`` and the keys as doubles."""
     return Rules(
         {
             "width": f"size(tokens) = {width}",
             "subset": "subset <> ''",
             "split": "split IN ('train', 'test')",
             "keys": f"{integral_key('unit')} AND {integral_key('cycle')}",
-            "finite": " AND ".join(finite(v) for v in values),
+            "finite": all_finite(f"slice(numbers, {keys + 1}, {width - keys})"),
         }
     )
 

@@ -21,8 +21,11 @@ def ingest(stream: DataFrame, path: str, checkpoint: str) -> int:
 
 
 def append_flows(flows: dict[str, DataFrame], path: str, checkpoints: str) -> dict[str, int]:
-    """Several sources into one table, each with a checkpoint of its own name."""
-    return {name: ingest(df, path, f"{checkpoints}/{name}") for name, df in flows.items()}
+    """Several sources into one table: each flow has a checkpoint and a partition ``flow`` of its own name.
+
+    A file sink counts the batches of one query, so queries don't share a folder.
+    """
+    return {name: ingest(df, f"{path}/flow={name}", f"{checkpoints}/{name}") for name, df in flows.items()}
 
 
 def parquet_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet") -> DataFrame:
