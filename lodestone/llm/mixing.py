@@ -61,6 +61,14 @@ class Mixture:
         p = np.exp(z - z.max())
         return np.round(p / p.sum(), 9)
 
+    def memberships(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words and posteriors of the texts; one text's counts are held at a time."""
+        tokens, p = np.zeros(len(batch), np.int64), np.zeros((len(batch), len(self.domains)))
+        for i, text in enumerate(batch):
+            tokens[i], counts = measure(text)
+            p[i] = self.posterior(counts)
+        return tokens, p
+
     def rates(self, p: np.ndarray) -> np.ndarray:
         """The rates of documents with posteriors ``p`` (rows): every step goes down and back to nonnegative."""
         r = np.ones(len(p))
@@ -100,11 +108,8 @@ def members(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col:
     """(doc_id, tokens, p): words and posteriors of every whole text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [measure(t) for t in texts(batch.column(1))]
-        p = [mixture.posterior(c) for _, c in made]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([n for n, _ in made], pa.int64()), pa.array(p, pa.list_(pa.float64()))], names=["doc_id", "tokens", "p"]
-        )
+        tokens, p = mixture.memberships(texts(batch.column(1)))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens), pa.array(list(p), pa.list_(pa.float64()))], names=["doc_id", "tokens", "p"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return map_batches(source, run, "doc_id long, tokens long, p array<double>")
@@ -185,10 +190,9 @@ def document_rates(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", te
     names = [f"p_{d}" for d in mixture.domains]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [measure(t) for t in texts(batch.column(1))]
-        p = np.array([mixture.posterior(c) for _, c in made])
+        tokens, p = mixture.memberships(texts(batch.column(1)))
         rate = np.round(mixture.rates(p), 6)
-        columns = [batch.column(0), pa.array([n for n, _ in made], pa.int64()), *(pa.array(p[:, i]) for i in range(p.shape[1])), pa.array(rate)]
+        columns = [batch.column(0), pa.array(tokens), *(pa.array(p[:, i]) for i in range(p.shape[1])), pa.array(rate)]
         return pa.RecordBatch.from_arrays([*columns, pa.array(_copies(batch.column(0).to_pylist(), rate), pa.int64())], names=["doc_id", "tokens", *names, "rate", "copies"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -200,7 +204,7 @@ def mix(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: str
     text_at, id_at = docs.columns.index(text_col), docs.columns.index(id_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        p = np.array([mixture.posterior(measure(t)[1]) for t in texts(batch.column(text_at))])
+        _, p = mixture.memberships(texts(batch.column(text_at)))
         copies = _copies(batch.column(id_at).to_pylist(), np.round(mixture.rates(p), 6))
         return batch.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
 
