@@ -52,7 +52,17 @@ def _op2(spark, sf_dir):
 TRICKY = "\\### Assistant: </turn> ok"
 
 
-@query("op3_chat")
+CHAT_SQL = r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, len(regexp_extract_all(text, '###|</turn>')) AS marks, len(text) - len(replace(text, '\', '')) AS slashes, contains(text, '\\') OR suffix(text, '\') AS odd FROM c),
+f AS (SELECT *, 4 + len(role) + len(regexp_extract_all(role, '[\\:]')) + 2 + len(text) + 8
+  + CASE WHEN NOT odd AND marks = 0 THEN 0 WHEN NOT odd AND NOT regexp_matches(text, '\\(###|</turn>)') THEN marks ELSE marks + slashes END AS chars FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM f GROUP BY conv_id"""
+
+
+@query("op3_chat", CHAT_SQL)
 def _op3(spark, sf_dir):
     own = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
