@@ -180,3 +180,36 @@ def _(spark, sf_dir):
     path = f"{shared_dir(spark)}/lodestone/export-{uuid.uuid4().hex}"
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("segment"))
     return sinks.export_by(c, path, "segment").select("segment", "rows")
+
+
+@query(
+    "minimised_reports",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m') AS event_month, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderkey % 3 AS VARCHAR) END AS hospitalized FROM orders""",
+)
+def _(spark, sf_dir):
+    from lodestone.operators.minimise import minimise
+
+    raw = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.date_format("o_orderdate", "M/d/yyyy").alias("date"),
+        F.when(F.col("o_orderkey") % 5 == 0, "  ").otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_orderkey") % 4 == 0, " ").otherwise(F.concat((F.col("o_orderkey") % 3).cast("string"), F.lit(".0"))).alias("hospitalized"),
+        F.lit("12 Oak Street").alias("address"),
+    )
+    out = minimise(raw, ["id", "status"], {"date": "event_month"}, ["hospitalized"])
+    return out.select("id", "event_month", "status", F.col("hospitalized").cast("string").alias("hospitalized"))
+
+
+def shout(text: str) -> str:
+    """A stand-in for a model behind a network."""
+    if "0" in text:
+        raise ValueError("no zeros")
+    return text.upper()
+
+
+@query("model_calls", "SELECT c_custkey, CASE WHEN contains(CAST(c_custkey AS VARCHAR), '0') THEN NULL ELSE upper('n' || c_custkey) END AS result, CASE WHEN contains(CAST(c_custkey AS VARCHAR), '0') THEN 'ValueError: no zeros' END AS error FROM customer")
+def _(spark, sf_dir):
+    from lodestone.operators.models import call_model
+
+    asked = load(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("n"), F.col("c_custkey").cast("string")).alias("request"))
+    return call_model(asked, "request", shout).select("c_custkey", "response.result", F.col("response.errorMessage").alias("error"))
