@@ -176,7 +176,7 @@ def _(spark, sf_dir):
     return checked.select("conv_id", "turn", F.array_join("cited_ids", ",").alias("cited"), F.array_join("invalid_ids", ",").alias("invalid"), F.size(text.cited_ids(F.col("said"))).alias("mentions"))
 
 
-@query("citation_coverage")
+@query("citation_coverage", "SELECT conv_id, turn, 4 AS claims, 1 AS uncited, 0.75::DOUBLE AS coverage, conv_id + 1 = turn AS valid FROM conversations WHERE role = 'assistant'")
 def _(spark, sf_dir):
     return text.check_citations(cited(spark, sf_dir), "said", "known").select("conv_id", "turn", "claims", "uncited", "coverage", "valid")
 
@@ -228,17 +228,22 @@ def _(spark, sf_dir):
     )
 
 
-@query("mask_patterns", None)
+MASK_SQL = f"""WITH p AS (SELECT doc_id, text || printf(' at %d North Main Street, Austin, TX %05d.', doc_id % 900 + 1, doc_id % 90000) AS t FROM documents),
+w AS (SELECT doc_id, trim(regexp_replace(t, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')) AS t FROM p)
+SELECT doc_id, sha256(regexp_replace(regexp_replace(t, '{text.STREET}', '[ADDRESS]', 'g'), '{text.STATE_ZIP}', '\\1 [ZIP]', 'g')) AS masked_sha256 FROM w"""
+
+
+@query("mask_patterns", MASK_SQL)
 def _(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     placed = F.concat(F.col("text"), F.format_string(" at %d North Main Street, Austin, TX %05d.", F.col("doc_id") % 900 + 1, F.col("doc_id") % 90000))
     return docs.select("doc_id", F.sha2(text.mask_patterns(placed), 256).alias("masked_sha256"))
 
 
-REPORTS_SQL = "c_custkey"
-
-
-@query("mask_reports")
+@query(
+    "mask_reports",
+    "SELECT c_custkey, 'A worker of [EMPLOYER] was hurt at [ADDRESS], Reno, NV [ZIP]. [EMPLOYER] closed the line.' AS masked, 4 AS masked_places FROM customer",
+)
 def _(spark, sf_dir):
     c = load(spark, sf_dir, "customer")
     reports = c.select(
