@@ -8,13 +8,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
-def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``f`` to each Arrow batch; batches without rows make no output."""
+#: Rows that are Python objects at a time; Arrow's own batches are larger.
+SLICE = 512
+
+
+def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, rows: int = SLICE) -> DataFrame:
+    """Apply ``f`` to slices of the Arrow batches of at most ``rows`` rows; slices without rows make no output."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := f(batch)) is not None:
-                yield out
+            for at in range(0, batch.num_rows, rows):
+                if (out := f(batch.slice(at, rows))) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

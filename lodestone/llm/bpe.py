@@ -40,7 +40,7 @@ class WordBPE:
     it. An automaton gives all tokens ending at each place, and back-pointers give the ids.
     """
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, cache: int = 100_000):
         import ahocorasick
 
         with open(path, encoding="utf-8") as f:
@@ -76,8 +76,11 @@ class WordBPE:
         self.limit = cache
         self.sound: dict[int, bool] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
+        # Two generations each: when the young one is full it becomes the old one, and what is asked again moves back.
         self.words: dict[str, list[int]] = {}
+        self.old_words: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple[int, bytes, bytes]] = {}
+        self.old_chunks: dict[str, tuple[int, bytes, bytes]] = {}
 
     def merged(self, ids: list[int]) -> list[int]:
         """Plain merging, lowest rank first and leftmost among equals; for single tokens and tests."""
@@ -106,7 +109,7 @@ class WordBPE:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > self.limit:
+            if len(self.pairs) > 2 * self.limit:
                 self.pairs.clear()
             known = self.pairs[key] = self._compatible(left, right)
         return known
@@ -128,6 +131,12 @@ class WordBPE:
         known = self.words.get(word)
         if known is not None:
             return known
+        if len(self.words) >= self.limit // 2:
+            self.words, self.old_words = {}, self.words
+        ids = self.words[word] = self.old_words.get(word) or self._encode_word(word)
+        return ids
+
+    def _encode_word(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "surrogatepass")
         symbols = "".join([self.plain[b] for b in raw[:-1]]) + self.final[raw[-1]]
         last = [-1] * (len(raw) + 1)
@@ -142,21 +151,20 @@ class WordBPE:
             ids.append(last[at])
             at -= size[at]
         ids.reverse()
-        if len(self.words) > self.limit:
-            self.words.clear()
-        self.words[word] = ids
         return ids
 
     def _chunk(self, chunk: str) -> tuple[int, bytes, bytes]:
-        ids = [i for word in WORDS.findall(chunk) for i in self.encode_word(word)]
-        if len(self.chunks) > self.limit:
-            self.chunks.clear()
-        out = self.chunks[chunk] = (len(ids), _little_endian(ids), self.decode(ids).encode("utf-8"))
+        if len(self.chunks) >= self.limit:
+            self.chunks, self.old_chunks = {}, self.chunks
+        out = self.old_chunks.get(chunk)
+        if out is None:
+            ids = [i for word in WORDS.findall(chunk) for i in self.encode_word(word)]
+            out = (len(ids), _little_endian(ids), self.decode(ids).encode("utf-8"))
+        self.chunks[chunk] = out
         return out
 
     def _pieces(self, text: str) -> Iterable[tuple[int, bytes, bytes]]:
         """For each stretch without white space: number of ids, ids as bytes, their text."""
-        known = self.chunks
         for raw, special in self._sections(text):
             if special is not None:
                 yield 1, _little_endian([special]), self.names[special].encode("utf-8")
@@ -164,7 +172,7 @@ class WordBPE:
             clean = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()
             odd = any(c in clean for c in SEPARATORS)
             for chunk in SPLIT.split(clean) if odd else clean.split():
-                yield known.get(chunk) or self._chunk(chunk)
+                yield self.chunks.get(chunk) or self._chunk(chunk)
 
     def _sections(self, text: str) -> Iterable[tuple[str, int | None]]:
         at = 0
