@@ -12,11 +12,8 @@ def test_stage_cuts_lineage_and_discard_deletes(spark):
         spark.read.parquet(files[0].rsplit("/", 1)[0]).count()
 
 
-def test_shared_folder_is_the_sessions(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
-    try:
+def test_working_tables_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark, "_lodestone_shared", f"{tmp_path}/", raising=False)
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
         assert catalog.shared_dir(spark) == str(tmp_path)
         assert catalog.stage(spark.range(2), "t").inputFiles()[0].startswith(f"file://{tmp_path}/lodestone/t-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
