@@ -165,28 +165,45 @@ def pieces(raw: bytes, length: int) -> Iterator[tuple[int, bytes]]:
             return
 
 
-ANCHORS = "anchor long, context long, key long, first long, place long, last long"
+#: What is known of an anchor's row before it is dealt.
+OPEN, SURE, STANDS_FOR = 0, 1, 2
+ANCHORS = "anchor long, context long, key long, first long, last long, state long"
 
 
 def find_anchors(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """One row per anchor of each text: its hash, its context's hash, and where it stands for strings to start."""
+    """One row per anchor of each text: its hash, its context's hash, and where it stands for strings to start.
+
+    What a batch repeats is settled in the batch, as a map-side combine: rows of a context that it has twice are SURE,
+    and the first of them also STANDS_FOR them where contexts of an anchor meet; other rows are OPEN.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         from xxhash import xxh3_64_intdigest
 
-        out: list[list[np.ndarray]] = [[] for _ in range(6)]
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
         for key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
             raw = text.encode("utf-8", "surrogatepass")
             for base, part in pieces(raw, length):
                 h, at, first, last = anchors(part, length)
                 if len(h):
                     around = [xxh3_64_intdigest(part[a : b + length], a - p & 0xFFFFFFFF) for a, b, p in zip(first.tolist(), last.tolist(), at.tolist())]
-                    for column, x in zip(out, (h, np.array(around, np.uint64).view(np.int64), np.full(len(h), key), base + first, base + at, base + last)):
+                    for column, x in zip(out, (h, np.array(around, np.uint64).view(np.int64), np.full(len(h), key), base + first, base + last)):
                         column.append(x)
+        columns = [np.concatenate(c).astype(np.int64) for c in out]
+        state = np.full(len(columns[0]), OPEN, np.int64)
+        if len(state):
+            order = np.lexsort((columns[1], columns[0]))
+            a, c = columns[0][order], columns[1][order]
+            new = np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
+            kind = np.cumsum(new) - 1
+            again = np.bincount(kind)[kind] > 1
+            state[order[again]] = SURE
+            state[order[again & new]] = STANDS_FOR
         names = [c.split()[0] for c in ANCHORS.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in [*columns, state]], names=names)
 
-    return map_batches(docs.select("key", "text"), run, ANCHORS)
+    # Whole batches, as what a batch repeats is combined.
+    return map_batches(docs.select("key", "text"), run, ANCHORS, rows=1 << 20)
 
 
 RESOLVED = "anchor long, key long, first long, last long, sure boolean"
@@ -195,46 +212,48 @@ RESOLVED = "anchor long, key long, first long, last long, sure boolean"
 def repeated_anchors(found: DataFrame) -> DataFrame:
     """Anchors that occur more than once, with what is known of them.
 
-    Anchors are dealt by hash and sorted, and a task streams over them. An anchor seen once has no repeated string.
-    Of those seen again, a context seen twice is repeated as a whole (sure); if all of an anchor's contexts are,
-    that is all; else those seen once, and one of each other, go on to be compared (not sure). Each row
-    is one thing to do; nothing is held but the rows of one anchor's last context.
+    Anchors are dealt by hash and sorted, and a task streams over them; rows that are sure already only pass, dealt
+    evenly. An anchor seen once has no repeated string. Of those seen again, a context seen twice is repeated as a
+    whole (sure); if all of an anchor's contexts are, that is all; else those seen once, and one of each other, go on
+    to be compared (not sure). A task holds the rows of one anchor.
     """
-    dealt = found.repartition("anchor").sortWithinPartitions("anchor", "context", "key", "first")
+    place = F.when(F.col("state") == SURE, F.xxhash64("key", "first")).otherwise(F.col("anchor"))
+    dealt = found.withColumn("place", place).repartition("place").sortWithinPartitions("anchor", "context", "key", "first")
+    names = [c.split()[0] for c in RESOLVED.split(", ")]
+
+    def rows(x: np.ndarray, sure: bool) -> pa.RecordBatch:
+        columns = [pa.array(x[i]) for i in (0, 2, 3, 4)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(x.shape[1], sure))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held = np.zeros((6, 0), np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = np.stack([batch.column(i).to_numpy() for i in range(5)])
-            now = now if held is None else np.concatenate([held, now], axis=1)
+            now = np.stack([batch.column(i).to_numpy() for i in range(6)])
+            passing = now[5] == SURE
+            yield rows(now[:, passing], True)
+            now = np.concatenate([held, now[:, ~passing]], axis=1)
             cut = np.flatnonzero(now[0, 1:] != now[0, :-1])
-            if len(cut) == 0:
-                held = now
-                continue
-            held = now[:, cut[-1] + 1 :]
-            yield decide(now[:, : cut[-1] + 1])
-        if held is not None:
-            yield decide(held)
+            held = now[:, cut[-1] + 1 :] if len(cut) else now
+            if len(cut):
+                yield from decide(now[:, : cut[-1] + 1])
+        if held.shape[1]:
+            yield from decide(held)
 
-    def decide(x: np.ndarray) -> pa.RecordBatch:
+    def decide(x: np.ndarray) -> Iterator[pa.RecordBatch]:
         anchor, context = x[0], x[1]
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         new_context = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])
         group = np.cumsum(new_anchor) - 1
         kind = np.cumsum(new_context) - 1
-        times = np.bincount(kind)[kind]
+        times = np.bincount(kind, 1.0 + (x[5] == STANDS_FOR))[kind]
         kinds = np.bincount(group[new_context], minlength=group[-1] + 1)[group]
         alone = np.bincount(group, weights=times == 1)[group] > 0
-        sure = times > 1
-        ask = new_context & (kinds > 1) & alone
-        rows = np.concatenate([np.flatnonzero(sure), np.flatnonzero(ask)])
-        flag = np.concatenate([np.ones(sure.sum(), bool), np.zeros(ask.sum(), bool)])
-        columns = [pa.array(x[i][rows]) for i in (0, 2, 3, 4)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(flag)], names=[c.split()[0] for c in RESOLVED.split(", ")])
-
-    return dealt.select("anchor", "context", "key", "first", "last").mapInArrow(run, RESOLVED)
+        yield rows(x[:, times > 1], True)
+        yield rows(x[:, new_context & (kinds > 1) & alone], False)
+
+    return dealt.select("anchor", "context", "key", "first", "last", "state").mapInArrow(run, RESOLVED)
 
 
 def contexts(docs: DataFrame, asked: DataFrame, length: int = LENGTH) -> DataFrame:
