@@ -6,51 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.catalog import stage
-
-#: Bits of one row of the filter table, as the bitmap functions have them.
-BUCKET_BITS = 32768
-#: The broadcast filter never exceeds this many bits (16 MB), whatever the input's size.
-MAX_BITS = 1 << 27
-
+from lodestone.llm import bloom
 
 def normalised(text: Column) -> Column:
     """Each run of ASCII white space as one space; null as the empty text."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t-\r]{2,}|[\t-\r]", " ")
 
 
-def _bit(digest: Column, bits: int, k: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(digest), 32 * k).bitwiseAND(F.lit(bits - 1))
-
-
 def repeated_bits(digests: DataFrame, bits: int) -> DataFrame:
-    """The filter of bits that two or more rows set: (bucket, bitmap), at most ``bits / 32768`` rows of 4 KB."""
-    hits = digests.select(F.explode(F.array(*(_bit(F.col("digest"), bits, k) for k in range(2)))).alias("bit"))
-    again = hits.groupBy("bit").count().filter("count > 1")
-    return again.groupBy((F.col("bit") / BUCKET_BITS).cast("long").alias("bucket")).agg(
-        F.expr(f"bitmap_construct_agg(bit % {BUCKET_BITS})").alias("bitmap")
-    )
-
-
-def _may_repeat(digests: DataFrame, repeated: DataFrame, bits: int) -> DataFrame:
-    """Add ``maybe``: both bits of the row's digest are in the filter."""
-    out = digests
-    for k in range(2):
-        side = F.broadcast(repeated.select(F.col("bucket").alias(f"bucket{k}"), F.col("bitmap").alias(f"bitmap{k}")))
-        out = out.withColumn(f"bit{k}", _bit(F.col("digest"), bits, k)).withColumn(
-            f"bucket{k}", (F.col(f"bit{k}") / BUCKET_BITS).cast("long")
-        )
-        out = out.join(side, f"bucket{k}", "left")
-    found = [
-        F.expr(
-            f"coalesce(shiftright(cast(conv(hex(substring(bitmap{k}, cast((bit{k} % {BUCKET_BITS}) / 8 as int) + 1, 1)), 16, 10) as int),"
-            f" cast(bit{k} % 8 as int)) & 1, 0) = 1"
-        )
-        for k in range(2)
-    ]
-    return out.select(*digests.columns, (found[0] & found[1]).alias("maybe"))
+    """The filter of bits that two or more rows set."""
+    hits = digests.select(F.explode(F.array(*(bloom.bit(F.col("digest"), bits, k) for k in range(2)))).alias("bit"))
+    return bloom.bitmaps(hits.groupBy("bit").count().filter("count > 1"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = bloom.MAX_BITS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Pass 1 writes a narrow table of digests (text is read once) and builds the Bloom filter of bits
@@ -69,11 +38,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"), sha.alias("digest")),
         "digests",
     )
-    rows = digests.count()
-    bits = min(max_bits, max(BUCKET_BITS, 1 << (16 * max(rows, 1) - 1).bit_length()))
-    tested = _may_repeat(digests, repeated_bits(digests, bits), bits)
+    bits = min(max_bits, bloom.bits_for(digests.count()))
+    tested = bloom.test(digests, "digest", repeated_bits(digests, bits), bits)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("rid"))).alias("first")
-    groups = tested.filter("maybe").groupBy("digest").agg(first, F.count(F.lit(1)).alias("size"))
+    # A table of its own, so that the join below deals both sides itself and a hot digest can be split.
+    groups = stage(tested.filter("maybe").groupBy("digest").agg(first, F.count(F.lit(1)).alias("size")), "groups")
     members = tested.filter("maybe").join(groups, "digest", "left")
     out = [F.lower(F.hex("digest")).alias("text_sha256")]
     return members.select(
