@@ -169,5 +169,5 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     """The document of each group whose id names it, once; documents without id pass."""
     kept = groups.filter("doc_id = component_id").groupBy("doc_id").count()
     once, more = kept.filter("count = 1").select("doc_id"), kept.filter("count > 1").select("doc_id")
-    match = lambda ids: docs.join(ids.withColumnRenamed("doc_id", "_id"), docs[id_col] == F.col("_id"), "left_semi")
+    match = lambda ids: docs.join(ids.withColumnRenamed("doc_id", "_lodestone_id"), docs[id_col] == F.col("_lodestone_id"), "left_semi")
     return match(once).unionByName(match(more).dropDuplicates([id_col])).unionByName(docs.filter(F.col(id_col).isNull()))
