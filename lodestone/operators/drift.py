@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Shares below this are raised to it; shares are not scaled again afterwards.
@@ -83,12 +83,28 @@ def with_age_weights(reference: DataFrame, current: DataFrame, age: str, bins: i
 
 
 def drift(reference: DataFrame, current: DataFrame, features: Sequence[str], age: str, bins: int = 10) -> DataFrame:
-    """(feature, psi, psi_age_matched, means and rows of both sides)."""
-    weighted = with_age_weights(reference, current, age, bins)
-    raw = psi(reference, current, features, bins)
-    matched = psi(weighted, current, features, bins, "age_weight").withColumnRenamed("psi", "psi_age_matched")
-    side = lambda df, name: unpivot(df, features).groupBy("feature").agg(F.avg("value").alias(f"{name}_mean"), F.count(F.lit(1)).alias(f"{name}_rows"))
-    return raw.join(matched, "feature").join(side(reference, "reference"), "feature").join(side(current, "current"), "feature")
+    """(feature, psi, psi_age_matched, means and rows of both sides).
+
+    Both indices have the same edges, so each side is binned once and summed with both weights; what is left after that
+    is one row per feature and bin.
+    """
+    ref = unpivot(with_age_weights(reference, current, age, bins), features, ["age_weight"])
+    cur = unpivot(current, features)
+    about = ref.groupBy("feature").agg(F.expr(quantile_edges(bins)).alias("edges"), F.avg("value").alias("reference_mean"), F.count(F.lit(1)).alias("reference_rows"))
+    edges = F.broadcast(about.select("feature", "edges"))
+    binned = lambda df: df.join(edges, "feature").groupBy("feature", bin_of(F.col("edges"), F.col("value")).alias("bin"))
+    r = binned(ref).agg(F.count(F.lit(1)).alias("r"), F.sum("age_weight").alias("w"))
+    c = binned(cur).agg(F.count(F.lit(1)).alias("c"), F.sum("value").alias("v"))
+    places = about.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bin"))
+    counts = places.join(r, ["feature", "bin"], "left").join(c, ["feature", "bin"], "left").na.fill(0, ["r", "w", "c", "v"])
+    own = Window.partitionBy("feature")
+    share = lambda x: F.greatest(F.coalesce(F.try_divide(F.col(x), F.sum(x).over(own)), F.lit(0.0)), F.lit(SHARE_FLOOR))
+    shares = counts.select("feature", "c", "v", share("r").alias("e"), share("w").alias("m"), share("c").alias("a"))
+    index = lambda e: F.sum((F.col("a") - F.col(e)) * F.log(F.col("a") / F.col(e)))
+    out = shares.groupBy("feature").agg(
+        index("e").alias("psi"), index("m").alias("psi_age_matched"), F.try_divide(F.sum("v"), F.sum("c")).alias("current_mean"), F.sum("c").alias("current_rows")
+    )
+    return out.join(about.drop("edges"), "feature")
 
 
 def alert_checks(performance: DataFrame, drift_snapshots: DataFrame, now: Column, segments: Sequence[str], max_rmse_increase: float, max_psi: float, max_age_hours: float) -> DataFrame:
