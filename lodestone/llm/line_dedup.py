@@ -21,7 +21,7 @@ SIMILAR_SIZES = f"{DEN} * least(n, m) >= {NUM} * greatest(n, m)"
 #: What the first common token's places leave possible.
 SIMILAR_PLACES = f"{NUM + DEN} * (1 + least(n - at, m - at2)) >= {NUM} * (n + m)"
 #: Tokens in one set only show up in the parities' difference, each at most once.
-SIMILAR_PARITY = " AND ".join(f"{NUM + DEN} * bit_count({p} ^ {p}2) <= {DEN - NUM} * (n + m)" for p in ("low", "high"))
+SIMILAR_PARITY = f"{NUM + DEN} * bit_count(parity ^ parity2) <= {DEN - NUM} * (n + m)"
 CANDIDATE = f"{SIMILAR_SIZES} AND {SIMILAR_PLACES} AND {SIMILAR_PARITY}"
 
 
@@ -87,23 +87,21 @@ def prefixes(lines: DataFrame, classes: list[int]) -> DataFrame:
     """The index entries: for each line, its rarest tokens, of which two similar lines share at least one.
 
     Columns: token, id, doc and line_no (the line's place), sizes (set size and the token's place in the order, from 1,
-    in one number), low and high (xor of one bit per token, by different bits of its hash). Tokens are cut to 32 bits here, which can only add candidates.
+    in one number), parity (xor of one bit per token). Tokens are cut to 32 bits here, which can only add candidates.
     """
     # Generators end a projection, so neither the keys nor what is made of them is worked out more than once a line.
     keyed = lines.select("id", "doc", "line_no", F.explode(F.array(token_keys(F.split("words", " "), classes))).alias("keys"))
     n = F.size("keys")
     length = n - F.ceil(n * NUM / DEN).cast("int") + 1
-    parity = lambda at: F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_one_bit(k, at)))
-    sized = keyed.select("id", "doc", "line_no", n.alias("n"), parity(0).alias("low"), parity(6).alias("high"), F.slice("keys", F.lit(1), length).alias("prefix"))
-    entries = sized.select("id", "doc", "line_no", "n", "low", "high", F.posexplode("prefix").alias("at", "key"))
+    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_one_bit(k)))
+    sized = keyed.select("id", "doc", "line_no", n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"))
+    entries = sized.select("id", "doc", "line_no", "n", "parity", F.posexplode("prefix").alias("at", "key"))
     sizes = F.call_function("shiftleft", F.col("n").cast("long"), F.lit(32)).bitwiseOR((F.col("at") + 1).cast("long"))
-    return entries.select(F.hash("key").alias("token"), "id", "doc", "line_no", sizes.alias("sizes"), "low", "high")
+    return entries.select(F.hash("key").alias("token"), "id", "doc", "line_no", sizes.alias("sizes"), "parity")
 
 
-def _one_bit(k: Column, at: int = 0) -> Column:
-    """The bit that six bits of the hash name, from bit ``at`` on."""
-    bits = F.call_function("shiftright", k, F.lit(at)) if at else k
-    return F.call_function("shiftleft", F.lit(1).cast("long"), bits.bitwiseAND(F.lit(63)).cast("int"))
+def _one_bit(k: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
 
 
 def _unpacked(df: DataFrame, sizes: str, n: str, at: str) -> DataFrame:
@@ -159,18 +157,18 @@ def later_matches(lines: DataFrame) -> DataFrame:
     entries = prefixes(lines, frequency_classes(lines))
     by_token = Window.partitionBy("token").orderBy("doc", "line_no", "id")
     whole = by_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.first(F.struct("id", "sizes", "low", "high")).over(by_token.rowsBetween(Window.unboundedPreceding, 0))
+    first = F.first(F.struct("id", "sizes", "parity")).over(by_token.rowsBetween(Window.unboundedPreceding, 0))
     ranked = entries.withColumns({"lead": first, "members": F.count(F.lit(1)).over(whole), "place": F.row_number().over(by_token)}).filter("members > 1")
-    met = ranked.select("*", *(F.col(f"lead.{c}").alias(f"{c}2") for c in ("sizes", "low", "high")))
+    met = ranked.select("*", *(F.col(f"lead.{c}").alias(f"{c}2") for c in ("sizes", "parity")))
     worth = F.expr(f"id <> lead.id AND {CANDIDATE}")
     met = _unpacked(_unpacked(met, "sizes", "n", "at"), "sizes2", "m", "at2")
-    kept = met.select("token", "id", "place", "sizes", "low", "high", (F.col("place") == F.col("members")).alias("last"), F.when(worth, F.col("lead.id")).alias("lead"))
+    kept = met.select("token", "id", "place", "sizes", "parity", (F.col("place") == F.col("members")).alias("last"), F.when(worth, F.col("lead.id")).alias("lead"))
     # Of two members one leads; of the others the leader is settled here, so only members from the second on meet again.
     shared = stage(kept.filter("lead IS NOT NULL OR place > 2 OR place = 2 AND NOT last"), "prefixes")
     led = stage(shared.filter("lead IS NOT NULL").select("id", F.col("lead").alias("other")).distinct(), "led")
     settled = _verified(led, lines)
-    others = shared.filter("place > 1 AND NOT last").select("token", F.col("id").alias("other"), *(F.col(c).alias(f"{c}2") for c in ("place", "sizes", "low", "high")))
-    later = shared.filter("place > 2").select("token", "id", "place", "sizes", "low", "high")
+    others = shared.filter("place > 1 AND NOT last").select("token", F.col("id").alias("other"), *(F.col(c).alias(f"{c}2") for c in ("place", "sizes", "parity")))
+    later = shared.filter("place > 2").select("token", "id", "place", "sizes", "parity")
     met = later.join(settled, "id", "left_anti").join(others, "token").filter("place2 < place AND id <> other")
     pairs = _unpacked(_unpacked(met, "sizes", "n", "at"), "sizes2", "m", "at2").filter(CANDIDATE)
     pairs = stage(pairs.select("id", "other").distinct(), "pairs")
