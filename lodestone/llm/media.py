@@ -242,5 +242,7 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and each row gets its own; equal texts have one digest; an empty table gives no rows; further columns are ignored.
     """
     stored = store_documents(docs, id_col, text_col)
-    shown = resolve(interleave(stored, "doc_id", "html"), read_media(stored)).filter("kind = 'media'")
+    # A table of its own, so that the join deals both sides itself and a hot digest can be split.
+    media = stage(read_media(stored), "payloads")
+    shown = resolve(interleave(stored, "doc_id", "html"), media).filter("kind = 'media'")
     return shown.select("doc_id", "n_bytes", *(c.split()[0] for c in READ.split(", ")[1:]), "position", "caption")
