@@ -154,7 +154,7 @@ class WordBPE:
         return ids
 
     def _chunk(self, chunk: str) -> tuple[int, bytes, bytes]:
-        if len(self.chunks) >= self.limit:
+        if len(self.chunks) >= self.limit * 8 // 5:
             self.chunks, self.old_chunks = {}, self.chunks
         out = self.old_chunks.get(chunk)
         if out is None:
