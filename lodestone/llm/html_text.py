@@ -176,6 +176,7 @@ class Table:
                         wide = max(map(len, ls))
                         others = sum(widths.get(k, 0) + 2 for k in range(c, c + n - 1) if widths.get(k, 0))
                         widths[c + n - 1] = max(widths.get(c + n - 1, 0), wide - others)
+                        widths.setdefault(c, 0)
         out = []
         for r in rows:
             for k in range(max(len(ls) for ls, _ in r.values())):

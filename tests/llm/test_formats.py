@@ -159,6 +159,16 @@ def test_visible_text(html):
     assert html_text.visible_text(html) == CASES[html]
 
 
+def test_cells_of_columns_that_only_start_spans():
+    shown = lambda rows: html_text.visible_text("<table>" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>").split()
+    assert shown(["<td colspan=2>Total</td>"]) == ["Total"]
+    assert shown(["<td colspan=2>one two</td>", "<td colspan=2>three</td>"]) == ["one", "two", "three"]
+    rng, spans = np.random.default_rng(3), [2, 3, 5]
+    for _ in range(200):
+        rows = [[(f"w{i}x{j}" * int(rng.integers(1, 4)), spans[rng.integers(3)]) for j in range(rng.integers(1, 4))] for i in range(3)]
+        assert shown(["".join(f"<td colspan={n}>{w}</td>" for w, n in r) for r in rows]) == [w for r in rows for w, _ in r]
+
+
 def test_html_never_fails_and_keeps_all_words(spark, data):
     rng = random.Random(4)
     bits = ["<p>", "</p>", "<table>", "<td>", "<tr>", "</table>", "<li>", "<ul>", "</ul>", "<b", "\"", "'", ">", "<!--", "-->", "<pre>", "&lt;", "<td colspan=3 rowspan=2>"]
