@@ -56,7 +56,10 @@ ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 BLANKS = re.compile(r"[ \t\n\f\r]+")
 HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 SHOWS = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+#: Comments, strings, the signs that structure a style sheet, and what lies between.
+CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|[{};]|[^{};\"'/]+|.", re.S)
+#: A media query that holds on every screen.
+ON_SCREEN = re.compile(r"(?:(?:only\s+)?(?:all|screen)|not\s+(?:print|speech))", re.I)
 
 
 def tokens(html: str):
@@ -91,6 +94,46 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
+def on_screen(media: str) -> bool:
+    """Whether one of the queries asks for no more than a screen; those on width and the like do not count."""
+    return not media.strip() or any(ON_SCREEN.fullmatch(q.strip()) for q in media.split(","))
+
+
+def style_rules(css: str):
+    """Yield (selectors, declarations) of the rules that hold on every screen.
+
+    Blocks of at-rules are left out with all they contain, but for layers and media queries that a screen fulfils;
+    so are rules within rules, whose selectors are not whole.
+    """
+    head, blocks = "", []
+    for m in CSS.finditer(css):
+        piece = m[0]
+        if piece == "{":
+            head = head.strip()
+            at = re.match(r"@([\w-]+)", head)
+            if blocks and blocks[-1][0] != "group":
+                kind = "other"
+            elif at is None:
+                kind = "rule"
+            else:
+                name = at[1].lower()
+                kind = "group" if name == "layer" or name == "media" and on_screen(head[at.end() :]) else "other"
+            blocks.append((kind, head, []))
+            head = ""
+        elif piece == "}":
+            if blocks:
+                kind, selectors, declarations = blocks.pop()
+                if kind == "rule":
+                    yield selectors, ";".join([*declarations, head])
+            head = ""
+        elif piece == ";":
+            if blocks:
+                blocks[-1][2].append(head)
+            head = ""
+        else:
+            head += " " if piece.startswith("/*") else piece
+
+
 class Flow:
     """Text laid out in lines: collapsed spaces, gaps between blocks, indents and list marks."""
 
@@ -232,7 +275,7 @@ class Renderer:
 
     def on_text(self, text: str) -> None:
         top = self.open[-1] if self.open else None
-        if top is not None and top.tag == "style":
+        if top is not None and top.tag == "style" and top.count:
             self.stylesheet(text)
         if top is None or top.shown and not top.gone and not (top.tag == "details" and top.count == 0):
             if top is not None and top.pre:
@@ -247,9 +290,9 @@ class Renderer:
                 self.flow.write(text)
 
     def stylesheet(self, css: str) -> None:
-        """Rules of single tags, classes and ids that hide."""
+        """Rules of single tags, classes and ids that hide on every screen."""
         if "display" in css or "visibility" in css:
-            for selectors, body in RULE.findall(css):
+            for selectors, body in style_rules(css):
                 if HIDES.search(body):
                     self.hidden.update(s for x in selectors.split(",") if re.fullmatch(r"[.#]?[\w-]+", s := x.strip()))
 
@@ -302,7 +345,7 @@ class Renderer:
                 self.flow.block(2)
             return
         e = Element(tag, shown, gone, (up.pre if up else False) or tag in PREFORMATTED)
-        if tag == "details" and "open" not in attrs:
+        if tag == "details" and "open" not in attrs or tag == "style" and not on_screen(attrs.get("media", "")):
             e.count = 0
         visible = shown and not gone
         if visible:

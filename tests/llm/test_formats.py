@@ -169,6 +169,34 @@ def test_cells_of_columns_that_only_start_spans():
         assert shown(["".join(f"<td colspan={n}>{w}</td>" for w, n in r) for r in rows]) == [w for r in rows for w, _ in r]
 
 
+@pytest.mark.parametrize(
+    "css, shown",
+    [
+        ("@media print{.nav{display:none}}", True),
+        ("@media (max-width: 600px) { .nav { display: none } }", True),
+        ("@media print{.x{color:red}.nav{display:none}} .x{color:blue}", True),
+        ("@media print{@media screen{.nav{display:none}}}", True),
+        ("@supports (display:grid){.nav{display:none}}", True),
+        (".x{color:red; @media print{.nav{display:none}}}", True),
+        ("/* @media screen { */ @media print{.nav{display:none}}", True),
+        ("@media print{.x{content:'}'}.nav{display:none}}", True),
+        ("@media print{.x{color:red}} .nav{display:none}", False),
+        ("@media screen{.nav{display:none}}", False),
+        ("@media print, only screen{.x{color:red}.nav{display:none;}}", False),
+        ("@media not print{.nav{color:red;display:none}}", False),
+        ("@import url(x.css); @layer base{.nav{display:none}}", False),
+        ("/* { */ .x, .nav { color: red; display: none }", False),
+    ],
+)
+def test_rules_that_do_not_hold_on_a_screen_hide_nothing(css, shown):
+    assert html_text.visible_text(f"<style>{css}</style><p class=nav>menu</p><p>text") == ("menu\n\ntext" if shown else "text")
+
+
+def test_style_sheets_for_print_hide_nothing():
+    page = "<style media={}>.nav{{display:none}}</style><p class=nav>menu</p><p>text"
+    assert [html_text.visible_text(page.format(m)) for m in ("print", "screen", "all", "'print, screen'", "''")] == ["menu\n\ntext"] + ["text"] * 4
+
+
 def test_html_never_fails_and_keeps_all_words(spark, data):
     rng = random.Random(4)
     bits = ["<p>", "</p>", "<table>", "<td>", "<tr>", "</table>", "<li>", "<ul>", "</ul>", "<b", "\"", "'", ">", "<!--", "-->", "<pre>", "&lt;", "<td colspan=3 rowspan=2>"]
