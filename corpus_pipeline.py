@@ -26,8 +26,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return simhash.keep_one(docs, simhash.simhash_groups(docs))
+    """Of each group of near copies the earliest document stays: smallest id, then place; those without id come last."""
+    return simhash.keep_first(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

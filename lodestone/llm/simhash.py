@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.catalog import stage
+from lodestone.catalog import discard, stage
+from lodestone.llm import line_dedup
 from lodestone.llm.arrow import map_batches, texts
 from lodestone.llm.graph import components
 
@@ -25,23 +26,30 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     Words are runs without ASCII white space, A-Z lower-cased. A text of fewer words is one shingle; without
     words the fingerprint is zero.
     """
+    total, ones = 0, np.zeros(64, np.int64)
+    for hashes in shingle_hashes(text, shingle):
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total, ones = total + len(hashes), ones + bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
+
+
+def shingle_hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
+    """The XXH64 hashes of the text's word shingles in order, in blocks; a text without words has none."""
     from xxhash import xxh64_intdigest
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     if len(words) <= shingle:
-        return xxh64_intdigest(joined, SEED)
+        yield np.array([xxh64_intdigest(joined, SEED)], "<u8")
+        return
     ends = list(accumulate([len(w) + 1 for w in words]))
     starts = [0, *ends]
-    total, ones = len(words) - shingle + 1, np.zeros(64, np.int64)
+    total = len(words) - shingle + 1
     for at in range(0, total, BLOCK):
         to = min(at + BLOCK, total)
-        hashes = [xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts[at:to], ends[at + shingle - 1 : to + shingle - 1])]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
+        yield np.array([xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts[at:to], ends[at + shingle - 1 : to + shingle - 1])], "<u8")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -145,6 +153,13 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return entries.repartition("key").sortWithinPartitions("key").mapInArrow(match, "u long, v long").distinct()
 
 
+def rooted(each: DataFrame) -> DataFrame:
+    """(fp, first, root) for the rows (fp, first) of different fingerprints: root tells the groups apart."""
+    each = stage(each, "distinct")
+    roots = components(links(each)).select(F.col("u").alias("fp"), "root")
+    return each.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -157,14 +172,44 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     no rows; further columns are ignored.
     """
     found = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    each = stage(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(each)).select(F.col("u").alias("fp"), "root")
-    grouped = each.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    grouped = rooted(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
     named = grouped.join(grouped.groupBy("root").agg(F.min("first").alias("component_id")), "root")
     named = stage(named.select("fp", "component_id"), "named")
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, without the near copies of earlier ones.
+
+    A document goes if its fingerprint's group has an earlier one. Earlier means a smaller id, and for rows of one id an earlier place; rows
+    without id come last. Removed documents count, so the earliest of documents that any links join always stays.
+
+    Rows are told apart by id and text.
+
+    Defined cases: texts without words are copies of each other; of rows that repeat id and text one stays; an empty table gives no rows.
+    """
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        read = texts(batch.column(4))
+        fps = np.array([fingerprint(t) for t in read], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps)], names=["id", "doc_id", "k1", "k2", "fp"])
+
+    hashes = (F.xxhash64(text_col), F.xxhash64(text_col, F.lit(1)))
+    source = docs.select(F.monotonically_increasing_id(), F.col(id_col).cast("long"), *hashes, F.col(text_col).cast("string"))
+    rows = stage(map_batches(source, run, "id long, doc_id long, k1 long, k2 long, fp long"), "fingerprints")
+    order = F.struct(F.coalesce("doc_id", F.lit(line_dedup.LAST)), "id", "doc_id", "k1", "k2")
+    grouped = rooted(rows.groupBy("fp").agg(F.min(order).alias("first")))
+    first = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    place = ["_lodestone_doc", "_lodestone_none", "_lodestone_k1", "_lodestone_k2"]
+    placed = lambda df, c, k1, k2: df.withColumns(dict(zip(place, (F.coalesce(c, F.lit(0)), c.isNull(), k1, k2))))
+    by_text = lambda df: placed(df, F.col("doc_id"), F.col("k1"), F.col("k2"))
+    copies = by_text(rows.select("doc_id", "k1", "k2")).groupBy(*place).agg((F.count(F.lit(1)) > 1).alias("_lodestone_more"))
+    kept = stage(by_text(first).select(*place).join(copies, place), "kept")
+    discard(rows)
+    match = lambda which: placed(docs, F.col(id_col).cast("long"), *hashes).join(kept.filter(which).select(*place), place, "left_semi")
+    return match("NOT _lodestone_more").unionByName(match("_lodestone_more").dropDuplicates(place)).select(docs.columns)
+
+
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The document of each group whose id names it, once; documents without id pass."""
     kept = groups.filter("doc_id = component_id").groupBy("doc_id").count()

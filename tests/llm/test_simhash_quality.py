@@ -46,6 +46,15 @@ def test_simhash_equals_brute_force(spark, data):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_kept_rows_where_ids_repeat_or_are_missing(spark):
+    rows = [(1, None), (2, ""), (2, "x"), (2, "x"), (None, "a b c"), (None, "a b c"), (None, "d e f"), (3, "d e f"), (3, "g"), (4, "g"), (4, "x"), (4, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 9, r.text) for r in simhash.keep_first(df).collect() if r.text)
+    assert got == [(2, "x"), (3, "d e f"), (3, "g"), (4, "h"), (9, "a b c")] and simhash.keep_first(df).count() == 6
+    assert [r.doc_id for r in simhash.keep_first(df).filter("text IS NULL").collect()] == [1]
+    assert simhash.keep_first(df.limit(0)).count() == 0
+
+
 def test_links_of_dense_and_far_fingerprints(spark):
     rng = np.random.default_rng(0)
     made = set()
