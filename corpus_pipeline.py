@@ -26,7 +26,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the earliest document stays: smallest id, then place; those without id come last."""
+    """Near copies of an earlier document go: those within four bits, and those with 0.8 of the five-word shingles in common."""
     return simhash.keep_first(docs)
 
 

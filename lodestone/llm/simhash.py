@@ -1,7 +1,8 @@
-"""SimHash near-duplicates by multi-index hashing."""
+"""SimHash near-duplicates by multi-index hashing, and near copies by exact Jaccard of shingles."""
 
 from __future__ import annotations
 
+from base64 import b64encode
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -16,6 +17,8 @@ from lodestone.llm.arrow import map_batches, texts
 from lodestone.llm.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
+#: Near copies share at least 4/5 of their five-word shingles (line_dedup's NUM/DEN).
+NEAR_SHINGLE = 5
 #: Shingles hashed at a time, so that long texts need no more memory.
 BLOCK = 1 << 16
 
@@ -52,6 +55,18 @@ def shingle_hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
         yield np.array([xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts[at:to], ends[at + shingle - 1 : to + shingle - 1])], "<u8")
 
 
+def shingle_set(text: str, shingle: int = NEAR_SHINGLE) -> str:
+    """The text's distinct shingles as 48 bits of their hashes, eight letters each with spaces between."""
+    blocks = list(shingle_hashes(text, shingle))
+    if not blocks:
+        return ""
+    hashes = np.unique(np.concatenate(blocks) >> np.uint64(16))
+    letters = np.frombuffer(b64encode(hashes.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()), np.uint8)
+    spaced = np.full((len(hashes), 9), ord(" "), np.uint8)
+    spaced[:, :8] = letters.reshape(-1, 8)
+    return spaced.tobytes()[:-1].decode("ascii")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): the fingerprint of each whole text as a signed 64-bit integer; null text is the empty text."""
 
@@ -178,13 +193,16 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = NEAR_SHINGLE) -> DataFrame:
     """The documents, all columns as they are, without the near copies of earlier ones.
 
-    A document goes if its fingerprint's group has an earlier one. Earlier means a smaller id, and for rows of one id an earlier place; rows
+    A document goes if its fingerprint's group has an earlier one, or if the sets of its and an earlier document's
+    shingles have a Jaccard of 0.8 or more. Earlier means a smaller id, and for rows of one id an earlier place; rows
     without id come last. Removed documents count, so the earliest of documents that any links join always stays.
 
-    Rows are told apart by id and text.
+    The second rule is exact but for hashes: sets are joined by prefixes of their rarest shingles as lines are by words
+    (later_matches), and every pair is verified on the whole sets. Rows are told apart by id and text, so that each text
+    is read for its fingerprint and set, and once more to be kept.
 
     Defined cases: texts without words are copies of each other; of rows that repeat id and text one stays; an empty table gives no rows.
     """
@@ -192,14 +210,17 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         read = texts(batch.column(4))
         fps = np.array([fingerprint(t) for t in read], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps)], names=["id", "doc_id", "k1", "k2", "fp"])
+        sets = pa.array([shingle_set(t, shingle) for t in read], pa.string())
+        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps), sets], names=["id", "doc_id", "k1", "k2", "fp", "words"])
 
     hashes = (F.xxhash64(text_col), F.xxhash64(text_col, F.lit(1)))
     source = docs.select(F.monotonically_increasing_id(), F.col(id_col).cast("long"), *hashes, F.col(text_col).cast("string"))
-    rows = stage(map_batches(source, run, "id long, doc_id long, k1 long, k2 long, fp long"), "fingerprints")
+    rows = stage(map_batches(source, run, "id long, doc_id long, k1 long, k2 long, fp long, words string"), "sets")
+    lines = rows.select("id", F.coalesce("doc_id", F.lit(line_dedup.LAST)).alias("doc"), F.lit(0).alias("line_no"), "words")
+    later = stage(line_dedup.later_matches(lines.filter("words <> ''")), "later")
     order = F.struct(F.coalesce("doc_id", F.lit(line_dedup.LAST)), "id", "doc_id", "k1", "k2")
     grouped = rooted(rows.groupBy("fp").agg(F.min(order).alias("first")))
-    first = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    first = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*").join(later, "id", "left_anti")
     place = ["_lodestone_doc", "_lodestone_none", "_lodestone_k1", "_lodestone_k2"]
     placed = lambda df, c, k1, k2: df.withColumns(dict(zip(place, (F.coalesce(c, F.lit(0)), c.isNull(), k1, k2))))
     by_text = lambda df: placed(df, F.col("doc_id"), F.col("k1"), F.col("k2"))

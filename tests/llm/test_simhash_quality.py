@@ -55,6 +55,27 @@ def test_kept_rows_where_ids_repeat_or_are_missing(spark):
     assert simhash.keep_first(df.limit(0)).count() == 0
 
 
+def test_near_copies_beyond_four_bits_go(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for base in range(40):
+        words = [f"w{base}x{k}" for k in range(int(rng.integers(6, 300)))]
+        for _ in range(int(rng.integers(1, 6))):
+            copy = list(words)
+            for k in rng.integers(0, len(words), int(len(words) * rng.random() * 0.06)):
+                copy[k] = f"other{rng.integers(1000)}"
+            rows.append(" ".join(copy))
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(rows)), rows)]
+    least = brute_components([(i, brute_fingerprint(t)) for i, t in sorted(rows)])
+    shingles = lambda t: {tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))}
+    sets = [(i, shingles(t)) for i, t in sorted(rows)]
+    near = {i for k, (i, a) in enumerate(sets) for _, b in sets[:k] if 5 * len(a & b) >= 4 * len(a | b)}
+    want = sorted(set(least.values()) - near)
+    assert len(want) < len(set(least.values()))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_first(df).collect()) == want
+
+
 def test_links_of_dense_and_far_fingerprints(spark):
     rng = np.random.default_rng(0)
     made = set()
