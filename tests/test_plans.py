@@ -46,3 +46,18 @@ def test_entry_points():
 
     assert set(registry.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert set(registry.oracle_sql()) <= set(registry.queries())
+
+
+def test_bootstrap_draws_all_resamples(spark, data):
+    assert registry.queries()["bootstrap_ci"](spark, data).first().samples == 2000
+
+
+def test_boosted_trees_try_all_sizes(spark, data, monkeypatch):
+    from lodestone.operators import gates
+
+    def grid(train, validation, features, label, depths=(2, 3, 4), seed=42):
+        raise LookupError(str(tuple(depths)))
+
+    monkeypatch.setattr(gates, "grid_search", grid)
+    with pytest.raises(LookupError, match="2, 3, 4"):
+        registry.queries()["gbt_score"](spark, data)
