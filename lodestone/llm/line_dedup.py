@@ -2,41 +2,21 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lodestone.catalog import discard, stage
-from lodestone.llm import bloom
-
-#: Counters of the token-frequency sketch; only those above average are looked at, at most this many.
-COUNTERS = 1 << 16
-#: Similarity as a fraction: Jaccard of at least 4/5.
-NUM, DEN = 4, 5
-
-# With sets A, B of sizes n, m and o common tokens, Jaccard >= NUM/DEN means o >= NUM*(n+m)/(NUM+DEN).
-SIMILAR_SIZES = f"{DEN} * least(n, m) >= {NUM} * greatest(n, m)"
-#: What the first common token's places leave possible.
-SIMILAR_PLACES = f"{NUM + DEN} * (1 + least(n - at, m - at2)) >= {NUM} * (n + m)"
-#: Tokens in one set only show up in the parities' difference, each at most once.
-SIMILAR_PARITY = f"{NUM + DEN} * bit_count(parity ^ parity2) <= {DEN - NUM} * (n + m)"
-CANDIDATE = f"{SIMILAR_SIZES} AND {SIMILAR_PLACES} AND {SIMILAR_PARITY}"
+from lodestone.llm import bloom, set_join
 
 
 def split_words(line: Column) -> Column:
     """The words of a line that has some, repeats included: runs without ASCII white space, lower-cased."""
-    return F.split(F.lower(F.btrim(line, F.lit(" \t\n\x0b\f\r"))), r"[ \t-\r]+")
-
+    blanks = F.when(line.rlike(r"[\t-\r]"), F.translate(line, "\t\n\x0b\f\r", "     ")).otherwise(line)
+    return F.array_remove(F.split(F.lower(blanks), " "), "")
 
-def words(line: Column) -> Column:
-    """A line's distinct words."""
-    return F.array_distinct(split_words(line))
 
-
-#: Rows without id come after all others.
-LAST = (1 << 63) - 1
+def hashes(line: Column) -> Column:
+    return F.transform(split_words(line), lambda w: F.xxhash64(w))
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -45,140 +25,27 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return lines.filter(F.col("line").rlike(r"[^ \t-\r]"))
 
 
-#: Bits of a token's key: frequency class, length (long first), hash.
-CLASS_AT, LENGTH_AT = 56, 50
-
-
-def token_keys(words: Column, classes: list[int]) -> Column:
-    """The words' keys, rare ones first: a global order of all tokens, as a key depends on the word only.
-
-    The frequency class leads; of one class longer words come first, which are rarer; the hash tells words apart.
-    """
-    # A constant array: the literal is parsed once, when the plan is optimised.
-    table = F.from_json(F.lit("[" + ",".join(str(c << CLASS_AT) for c in classes) + "]"), "array<bigint>")
-
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
-        level = F.get(table, F.pmod(h, F.lit(len(classes))).cast("int"))
-        short = F.call_function("shiftleft", (63 - F.least(F.length(w), F.lit(63))).cast("long"), F.lit(LENGTH_AT))
-        return level.bitwiseOR(short).bitwiseOR(h.bitwiseAND(F.lit((1 << LENGTH_AT) - 1)))
-
-    return F.sort_array(F.transform(words, key))
+def counts(lines: DataFrame) -> DataFrame:
+    """(counter, count) of the words of all lines, for the order of words by rarity."""
+    return lines.select(F.explode(split_words(F.col("line"))).alias("w")).groupBy(set_join.counter(F.xxhash64("w")).alias("counter")).count()
 
 
-def frequency_classes(lines: DataFrame) -> list[int]:
-    """For each counter of the sketch, the log2 of its count over the average, at most 60.
-
-    Counts cover the distinct words of all lines. Only counters above twice the average come to the driver, of the
-    fixed number there is.
-    """
-    tokens = lines.select(F.explode(F.split("words", " ")).alias("w"))
-    counts = tokens.groupBy(F.pmod(F.xxhash64("w"), F.lit(COUNTERS)).cast("int").alias("counter")).count()
-    counts = stage(counts, "counts")
-    average = max(1.0, (counts.agg(F.sum("count")).first()[0] or 0) / COUNTERS)
-    classes = [0] * COUNTERS
-    for counter, count in counts.filter(F.col("count") > 2 * average).collect():
-        classes[counter] = min(60, int(math.log2(count / average)))
-    discard(counts)
-    return classes
-
-
-def prefixes(lines: DataFrame, classes: list[int]) -> DataFrame:
-    """The index entries: for each line, its rarest tokens, of which two similar lines share at least one.
-
-    Columns: token, id, doc and line_no (the line's place), sizes (set size and the token's place in the order, from 1,
-    in one number), parity (xor of one bit per token). Tokens are cut to 32 bits here, which can only add candidates.
-    """
-    # Generators end a projection, so neither the keys nor what is made of them is worked out more than once a line.
-    keyed = lines.select("id", "doc", "line_no", F.explode(F.array(token_keys(F.split("words", " "), classes))).alias("keys"))
-    n = F.size("keys")
-    length = n - F.ceil(n * NUM / DEN).cast("int") + 1
-    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_one_bit(k)))
-    sized = keyed.select("id", "doc", "line_no", n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"))
-    entries = sized.select("id", "doc", "line_no", "n", "parity", F.posexplode("prefix").alias("at", "key"))
-    sizes = F.call_function("shiftleft", F.col("n").cast("long"), F.lit(32)).bitwiseOR((F.col("at") + 1).cast("long"))
-    return entries.select(F.hash("key").alias("token"), "id", "doc", "line_no", sizes.alias("sizes"), "parity")
+def later_lines(lines: DataFrame) -> DataFrame:
+    """Ids of the lines (id, doc, line_no, line) that have a similar line before them."""
+    classes = set_join.frequency_classes(counts(lines))
+    # Generators end a projection, so that keys are worked out once a line.
+    sets = lines.select("id", "doc", "line_no", F.explode(F.array(set_join.ordered_keys(hashes(F.col("line")), classes))).alias("keys"))
 
+    def verify(pairs: DataFrame) -> DataFrame:
+        named, bits = set_join.named_filter(pairs)
+        some = bloom.test(lines.select("id", "doc", "line_no", "line"), "id", named, bits).filter("maybe")
+        some = stage(some.select("id", "doc", "line_no", F.array_distinct(split_words(F.col("line"))).alias("keys")), "named")
+        found = set_join.similar_later(pairs, some)
+        discard(some)
+        discard(pairs)
+        return found
 
-def _one_bit(k: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
-
-
-def _unpacked(df: DataFrame, sizes: str, n: str, at: str) -> DataFrame:
-    return df.withColumn(n, F.shiftright(sizes, 32).cast("int")).withColumn(at, F.col(sizes).bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
-
-
-#: Words of the parities that candidates are compared by before their tokens are.
-MARKS = 4
-
-
-def _marks(words: Column) -> list[Column]:
-    """The parities of 64 * MARKS classes of tokens, and the number of tokens."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-
-    def mark(j: int) -> Column:
-        mine = lambda h: F.call_function("shiftright", h, F.lit(6)).bitwiseAND(F.lit(MARKS - 1)) == j
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.when(mine(h), _one_bit(h)).otherwise(F.lit(0).cast("long"))))
-
-    return [*(mark(j).alias(f"p{j}") for j in range(MARKS)), F.size(words).alias("n")]
-
-
-def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Ids of the lines whose word sets are similar enough to those of one of their ``other`` lines.
-
-    Lines that no pair names are sorted out by a filter of bounded size before lines are dealt by id. Pairs first meet
-    the lines' parities, which few pairs pass that are not similar; then the words decide.
-    """
-    named = pairs.select("id").unionAll(pairs.select(F.col("other").alias("id"))).distinct()
-    bits = bloom.bits_for(2 * pairs.count())
-    some = bloom.test(lines.select("id", "words"), "id", bloom.filter_of(named, "id", bits), bits).filter("maybe")
-    some = stage(some.select("id", "words", *_marks(F.split("words", " "))), "named")
-    marks = [f"p{j}" for j in range(MARKS)]
-    mine = some.select("id", "n", *marks)
-    theirs = some.select(F.col("id").alias("other"), F.col("n").alias("m"), *(F.col(p).alias(f"q{p}") for p in marks))
-    apart = " + ".join(f"bit_count({p} ^ q{p})" for p in marks)
-    close = pairs.join(mine, "id").join(theirs, "other").filter(f"{SIMILAR_SIZES} AND {NUM + DEN} * ({apart}) <= {DEN - NUM} * (n + m)").select("id", "other")
-    both = close.join(some.select("id", F.col("words").alias("a")), "id").join(some.select(F.col("id").alias("other"), F.col("words").alias("b")), "other")
-    sets = both.select("id", F.split("a", " ").alias("a"), F.split("b", " ").alias("b"))
-    similar = sets.filter((NUM + DEN) * F.size(F.array_intersect("a", "b")) >= NUM * (F.size("a") + F.size("b")))
-    found = stage(similar.select("id").distinct(), "verified")
-    discard(some)
-    return found
-
-
-def later_matches(lines: DataFrame) -> DataFrame:
-    """Ids of the lines (id, doc, line_no, words) that have a similar line before them.
-
-    Equal lines are already one. A token that only one line has in its prefix is left out. Of a token's lines
-    each is first compared with the earliest, which settles groups of near copies in one comparison a line. What is
-    left meets all earlier lines that share a prefix token and pass the filters; there each line is compared with two of its
-    candidates, and those that are still open with all of them.
-    """
-    entries = prefixes(lines, frequency_classes(lines))
-    by_token = Window.partitionBy("token").orderBy("doc", "line_no", "id")
-    whole = by_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.first(F.struct("id", "sizes", "parity")).over(by_token.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = entries.withColumns({"lead": first, "members": F.count(F.lit(1)).over(whole), "place": F.row_number().over(by_token)}).filter("members > 1")
-    met = ranked.select("*", *(F.col(f"lead.{c}").alias(f"{c}2") for c in ("sizes", "parity")))
-    worth = F.expr(f"id <> lead.id AND {CANDIDATE}")
-    met = _unpacked(_unpacked(met, "sizes", "n", "at"), "sizes2", "m", "at2")
-    kept = met.select("token", "id", "place", "sizes", "parity", (F.col("place") == F.col("members")).alias("last"), F.when(worth, F.col("lead.id")).alias("lead"))
-    # Of two members one leads; of the others the leader is settled here, so only members from the second on meet again.
-    shared = stage(kept.filter("lead IS NOT NULL OR place > 2 OR place = 2 AND NOT last"), "prefixes")
-    led = stage(shared.filter("lead IS NOT NULL").select("id", F.col("lead").alias("other")).distinct(), "led")
-    settled = _verified(led, lines)
-    others = shared.filter("place > 1 AND NOT last").select("token", F.col("id").alias("other"), *(F.col(c).alias(f"{c}2") for c in ("place", "sizes", "parity")))
-    later = shared.filter("place > 2").select("token", "id", "place", "sizes", "parity")
-    met = later.join(settled, "id", "left_anti").join(others, "token").filter("place2 < place AND id <> other")
-    pairs = _unpacked(_unpacked(met, "sizes", "n", "at"), "sizes2", "m", "at2").filter(CANDIDATE)
-    pairs = stage(pairs.select("id", "other").distinct(), "pairs")
-    discard(shared)
-    discard(led)
-    ends = pairs.groupBy("id").agg(F.min("other").alias("a"), F.max("other").alias("b"))
-    ends = stage(ends.select("id", F.explode(F.array_distinct(F.array("a", "b"))).alias("other")), "ends")
-    settled = stage(settled.unionAll(_verified(ends, lines)), "settled")
-    rest = stage(pairs.join(settled, "id", "left_anti").join(ends, ["id", "other"], "left_anti"), "rest")
-    return settled.unionAll(_verified(rest, lines)).distinct()
+    return set_join.later_matches(stage(set_join.dealt(sets), "dealt"), verify)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,19 +63,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gives no rows; further columns stay.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    placed = split_lines(source).withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))
+    placed = split_lines(source).withColumn("doc", F.coalesce("doc_id", F.lit(set_join.LAST)))
     # One number orders a line's places within the aggregation, whose buffer then has a fixed width.
     place = F.col("doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
     lines = placed.groupBy("line").agg(F.min(place.cast("decimal(32,0)")).alias("ord"))
     parts = ["(ord - pmod(ord, 4294967296BD)) div 4294967296BD AS doc", "cast(pmod(ord, 4294967296BD) AS int) AS line_no"]
-    hashes = (F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
-    lines = lines.withColumn("id", F.monotonically_increasing_id()).withColumns({"k1": hashes[0], "k2": hashes[1], "words": F.array_join(words(F.col("line")), " ")})
-    lines = stage(lines.selectExpr("id", *parts, "k1", "k2", "words"), "lines")
-    matched = later_matches(lines).withColumn("matched", F.lit(True))
+    digest = (F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"))
+    lines = lines.withColumns({"id": F.monotonically_increasing_id(), "k1": digest[0], "k2": digest[1]})
+    lines = stage(lines.selectExpr("id", *parts, "k1", "k2", "line"), "lines")
+    matched = later_lines(lines).withColumn("matched", F.lit(True))
     verdicts = lines.select("id", F.col("doc").alias("doc0"), F.col("line_no").alias("no0"), "k1", "k2").join(matched, "id", "left")
     verdicts = stage(verdicts.select("k1", "k2", "doc0", "no0", F.coalesce("matched", F.lit(False)).alias("matched")), "verdicts")
     discard(lines)
-    dropped = placed.select("doc_id", "copy", "doc", "line_no", *hashes).join(verdicts, ["k1", "k2"]).filter("matched OR doc > doc0 OR line_no > no0 AND doc = doc0")
+    dropped = placed.select("doc_id", "copy", "doc", "line_no", *digest).join(verdicts, ["k1", "k2"]).filter("matched OR doc > doc0 OR line_no > no0 AND doc = doc0")
     gone = dropped.groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("_lodestone_gone"))
     gone = gone.select(F.coalesce("doc_id", F.lit(0)).alias("_lodestone_doc"), F.col("doc_id").isNull().alias("_lodestone_none"), F.col("copy").alias("_lodestone_copy"), "_lodestone_gone")
     key = [

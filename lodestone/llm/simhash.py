@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.catalog import discard, stage
-from lodestone.llm import line_dedup
-from lodestone.llm.arrow import map_batches, texts
+from lodestone.llm import bloom, set_join
+from lodestone.llm.arrow import SLICE, map_batches, texts
 from lodestone.llm.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: Near copies share at least 4/5 of their five-word shingles (line_dedup's NUM/DEN).
+#: Near copies share at least 4/5 of their five-word shingles (set_join's NUM/DEN).
 NEAR_SHINGLE = 5
 #: Shingles hashed at a time, so that long texts need no more memory.
 BLOCK = 1 << 16
@@ -55,16 +55,37 @@ def shingle_hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
         yield np.array([xxh64_intdigest(joined[a : b - 1], SEED) for a, b in zip(starts[at:to], ends[at + shingle - 1 : to + shingle - 1])], "<u8")
 
 
-def shingle_set(text: str, shingle: int = NEAR_SHINGLE) -> str:
-    """The text's distinct shingles as 48 bits of their hashes, eight letters each with spaces between."""
+def shingle_set(text: str, shingle: int = NEAR_SHINGLE) -> np.ndarray:
+    """The hashes of the text's distinct shingles."""
     blocks = list(shingle_hashes(text, shingle))
-    if not blocks:
-        return ""
-    hashes = np.unique(np.concatenate(blocks) >> np.uint64(16))
-    letters = np.frombuffer(b64encode(hashes.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()), np.uint8)
-    spaced = np.full((len(hashes), 9), ord(" "), np.uint8)
-    spaced[:, :8] = letters.reshape(-1, 8)
-    return spaced.tobytes()[:-1].decode("ascii")
+    return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, np.uint64)
+
+
+def dealt(hashes: np.ndarray, classes: np.ndarray) -> Iterator[tuple]:
+    """The parts of a set of hashes as :func:`lodestone.llm.set_join.dealt` makes them: (classes, n, parity, prefix, leads)."""
+    keys = (classes[(hashes >> np.uint64(48)).astype(np.int64)].astype(np.uint64) << np.uint64(set_join.CLASS_AT)) | (hashes & np.uint64((1 << set_join.CLASS_AT) - 1))
+    keys = np.sort(keys)
+    bits = np.uint64(1) << (keys & np.uint64(63))
+    num, den = set_join.NUM, set_join.DEN
+    for count in sorted({set_join.class_count(len(keys)), set_join.class_count(len(keys) * den // num)}):
+        which = ((keys >> np.uint64(6)) & np.uint64(count - 1)).astype(np.int64)
+        order = np.argsort(which, kind="stable")
+        mine, named = keys[order].view(np.int64), which[order]
+        starts = np.flatnonzero(np.concatenate(([True], named[1:] != named[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        parity = np.bitwise_xor.reduceat(bits[order], starts).view(np.int64) if len(starts) else []
+        for at, end, p in zip(starts, [*starts[1:], len(keys)], parity):
+            n = int(end - at)
+            top = mine[at : at + 3].astype("<i8")
+            leads = []
+            if named[at] < set_join.LEADING:
+                leads = [(top[0], top[1]), (top[0], top[2]), (top[1], top[2])] if n >= 3 else [tuple(mine[at:end])]
+            yield count, n, int(p), mine[at : at + n - -(-n * num // den) + 1], [_mixed(x) for x in leads]
+
+
+def _mixed(keys: tuple) -> int:
+    from xxhash import xxh64_intdigest
+
+    return int(np.array(xxh64_intdigest(np.array(keys, "<i8").tobytes(), SEED), np.uint64).view(np.int64))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -193,6 +214,68 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _counts(source: DataFrame, shingle: int) -> DataFrame:
+    """(counter, count) of the distinct shingles of each text (the column ``text``), summed over a task's texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(set_join.COUNTERS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                for t in texts(batch.column(0).slice(at, SLICE)):
+                    np.add.at(total, (shingle_set(t, shingle) >> np.uint64(48)).astype(np.int64), 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["counter", "count"])
+
+    return source.select("text").mapInArrow(run, "counter int, count long")
+
+
+PARTS = "array<struct<classes int, n int, parity long, prefix array<bigint>, leads array<bigint>>>"
+
+
+def _parts(read: list[str], classes: np.ndarray, shingle: int) -> pa.Array:
+    """The parts of each text's shingle set, as a column of type PARTS."""
+    made = [list(dealt(shingle_set(t, shingle), classes)) for t in read]
+    flat = [part for parts in made for part in parts]
+    count, n, parity, prefix, leads = zip(*flat) if flat else ((),) * 5
+    ends = lambda lists: pa.array([0, *accumulate(map(len, lists))], pa.int32())
+    lists = [
+        pa.ListArray.from_arrays(ends(prefix), pa.array(np.concatenate(prefix) if flat else [], pa.int64())),
+        pa.ListArray.from_arrays(ends(leads), pa.array([x for some in leads for x in some], pa.int64())),
+    ]
+    columns = [pa.array(count, pa.int32()), pa.array(n, pa.int32()), pa.array(parity, pa.int64()), *lists]
+    return pa.ListArray.from_arrays(ends(made), pa.StructArray.from_arrays(columns, ["classes", "n", "parity", "prefix", "leads"]))
+
+
+def later_texts(rows: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
+    """Ids of the rows (id, doc_id, k1, k2, parts; one a text) whose text has 0.8 of its shingles in common with the text of an earlier row.
+
+    ``source`` (k1, k2, text) has each text at least once.
+    """
+    places = rows.select("id", F.coalesce("doc_id", F.lit(set_join.LAST)).alias("doc"), F.lit(0).alias("line_no"), "k1", "k2")
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = pa.array([shingle_set(t, shingle).view(np.int64) for t in texts(batch.column(2))], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], keys], names=["k1", "k2", "keys"])
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        named, bits = set_join.named_filter(pairs)
+        wanted = stage(bloom.test(places, "id", named, bits).filter("maybe").drop("maybe"), "wanted")
+        bits = bloom.bits_for(wanted.count())
+        some = bloom.test(source.select("k1", "k2", "text"), "k1", bloom.filter_of(wanted.select("k1"), "k1", bits), bits).filter("maybe")
+        # One copy of a text is enough, and its set is made after that.
+        some = some.select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
+        keys = map_batches(some, sets, "k1 long, k2 long, keys array<bigint>", 64)
+        some = stage(keys.join(wanted, ["k1", "k2"]).select("id", "doc", "line_no", "keys"), "named")
+        found = set_join.similar_later(pairs, some)
+        for t in (some, wanted, pairs):
+            discard(t)
+        return found
+
+    parts = rows.select("id", F.coalesce("doc_id", F.lit(set_join.LAST)).alias("doc"), F.lit(0).alias("line_no"), F.explode("parts").alias("part"))
+    parts = parts.select("id", "doc", "line_no", "part.*")
+    return set_join.later_matches(stage(parts, "dealt"), verify)
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = NEAR_SHINGLE) -> DataFrame:
     """The documents, all columns as they are, without the near copies of earlier ones.
 
@@ -200,25 +283,27 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingles have a Jaccard of 0.8 or more. Earlier means a smaller id, and for rows of one id an earlier place; rows
     without id come last. Removed documents count, so the earliest of documents that any links join always stays.
 
-    The second rule is exact but for hashes: sets are joined by prefixes of their rarest shingles as lines are by words
-    (later_matches), and every pair is verified on the whole sets. Rows are told apart by id and text, so that each text
-    is read for its fingerprint and set, and once more to be kept.
+    The second rule is exact but for hashes: the sets of different texts are joined by prefixes of their rarest shingles
+    (set_join), and every pair is verified on the whole sets, which are made anew for the documents that pairs name.
+    Rows are told apart by id and text.
 
     Defined cases: texts without words are copies of each other; of rows that repeat id and text one stays; an empty table gives no rows.
     """
 
+    keyed = docs.select(F.xxhash64(text_col).alias("k1"), F.xxhash64(text_col, F.lit(1)).alias("k2"), F.col(text_col).cast("string").alias("text"))
+    classes = np.array(set_join.frequency_classes(_counts(keyed, shingle)), np.uint8)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         read = texts(batch.column(4))
         fps = np.array([fingerprint(t) for t in read], np.uint64).view(np.int64)
-        sets = pa.array([shingle_set(t, shingle) for t in read], pa.string())
-        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps), sets], names=["id", "doc_id", "k1", "k2", "fp", "words"])
+        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps), _parts(read, classes, shingle)], names=["id", "doc_id", "k1", "k2", "fp", "parts"])
 
     hashes = (F.xxhash64(text_col), F.xxhash64(text_col, F.lit(1)))
     source = docs.select(F.monotonically_increasing_id(), F.col(id_col).cast("long"), *hashes, F.col(text_col).cast("string"))
-    rows = stage(map_batches(source, run, "id long, doc_id long, k1 long, k2 long, fp long, words string"), "sets")
-    lines = rows.select("id", F.coalesce("doc_id", F.lit(line_dedup.LAST)).alias("doc"), F.lit(0).alias("line_no"), "words")
-    later = stage(line_dedup.later_matches(lines.filter("words <> ''")), "later")
-    order = F.struct(F.coalesce("doc_id", F.lit(line_dedup.LAST)), "id", "doc_id", "k1", "k2")
+    rows = stage(map_batches(source, run, f"id long, doc_id long, k1 long, k2 long, fp long, parts {PARTS}", 64), "rows")
+    order = F.struct(F.coalesce("doc_id", F.lit(set_join.LAST)), "id", "doc_id", "k1", "k2")
+    firsts = stage(rows.groupBy("k1", "k2").agg(F.min(order).alias("first")).select("first.id"), "firsts")
+    later = later_texts(rows.join(firsts, "id", "left_semi"), keyed, shingle)
     grouped = rooted(rows.groupBy("fp").agg(F.min(order).alias("first")))
     first = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*").join(later, "id", "left_anti")
     place = ["_lodestone_doc", "_lodestone_none", "_lodestone_k1", "_lodestone_k2"]
@@ -227,6 +312,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = by_text(rows.select("doc_id", "k1", "k2")).groupBy(*place).agg((F.count(F.lit(1)) > 1).alias("_lodestone_more"))
     kept = stage(by_text(first).select(*place).join(copies, place), "kept")
     discard(rows)
+    discard(firsts)
     match = lambda which: placed(docs, F.col(id_col).cast("long"), *hashes).join(kept.filter(which).select(*place), place, "left_semi")
     return match("NOT _lodestone_more").unionByName(match("_lodestone_more").dropDuplicates(place)).select(docs.columns)
 
