@@ -149,11 +149,11 @@ def _(spark, sf_dir):
 
 @query(
     "doc_frequency",
-    """WITH w AS (SELECT doc_id, unnest(list_distinct(list_filter(regexp_extract_all(text, '[A-Za-z][A-Za-z''&-]+'), lambda x: x = lower(x)))) AS word FROM documents WHERE lang = 'en')
+    """WITH w AS (SELECT doc_id, unnest(list_distinct(list_filter(regexp_extract_all(text, '[A-Za-z][A-Za-z''&-]+'), lambda x: x = lower(x)))) AS word FROM documents)
 SELECT word, count(*) AS documents FROM w GROUP BY word HAVING count(*) >= 50""",
 )
 def _(spark, sf_dir):
-    return text.document_frequency(load(spark, sf_dir, "documents").filter("lang = 'en'"), "text")
+    return text.document_frequency(load(spark, sf_dir, "documents"), "text")
 
 
 # Citations: each assistant turn gets brackets made of its own numbers.
@@ -176,9 +176,29 @@ def _(spark, sf_dir):
     return checked.select("conv_id", "turn", F.array_join("cited_ids", ",").alias("cited"), F.array_join("invalid_ids", ",").alias("invalid"), F.size(text.cited_ids(F.col("said"))).alias("mentions"))
 
 
-@query("citation_coverage", "SELECT conv_id, turn, 4 AS claims, 1 AS uncited, 0.75::DOUBLE AS coverage, conv_id + 1 = turn AS valid FROM conversations WHERE role = 'assistant'")
+# Answers of one to four facts, some with a citation, some after an introduction, some followed by a bare citation.
+FACTS_SQL = """f AS (SELECT conv_id, turn, unnest(range(1, conv_id % 4 + 2)) AS i FROM conversations WHERE role = 'assistant'),
+g AS (SELECT conv_id, turn, i, (i + turn) % 2 = 0 OR i = 4 AS has, CASE WHEN i = 3 AND turn % 5 = 1 THEN -1 ELSE conv_id END AS id FROM f)"""
+
+
+def facts(spark, sf_dir):
+    c = load(spark, sf_dir, "conversations").filter("role = 'assistant'")
+    cites = lambda i: ((i + F.col("turn")) % 2 == 0) | (i == 4)
+    cited_id = lambda i: F.when((i == 3) & (F.col("turn") % 5 == 1), F.lit("7777777")).otherwise(F.col("conv_id").cast("string"))
+    fact = lambda i: F.concat(F.lit("Fact "), i.cast("string"), F.when(cites(i), F.concat(F.lit(" ["), cited_id(i), F.lit("]"))).otherwise(""), F.lit("."))
+    said = F.array_join(F.transform(F.sequence(F.lit(1), (F.col("conv_id") % 4 + 1).cast("int")), fact), " ")
+    intro = F.when(F.col("conv_id") % 2 == 0, F.lit("These reports say:\n")).otherwise("")
+    last = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("\n["), F.col("conv_id").cast("string"), F.lit("]"))).otherwise("")
+    return c.select("conv_id", "turn", F.concat(intro, said, last).alias("said"), F.array("conv_id").alias("known"))
+
+
+@query(
+    "citation_coverage",
+    f"""WITH {FACTS_SQL}, k AS (SELECT conv_id, turn, count(*) AS claims, count(*) FILTER (NOT has) AS uncited, count(*) FILTER (has) > 0 OR turn % 3 = 0 AS any_cited, count(*) FILTER (has AND id = -1) = 0 AS all_known FROM g GROUP BY conv_id, turn)
+SELECT conv_id, turn, claims::INTEGER AS claims, uncited::INTEGER AS uncited, round(1 - uncited / claims, 6) AS coverage, any_cited AND all_known AS valid FROM k""",
+)
 def _(spark, sf_dir):
-    return text.check_citations(cited(spark, sf_dir), "said", "known").select("conv_id", "turn", "claims", "uncited", "coverage", "valid")
+    return text.check_citations(facts(spark, sf_dir), "said", "known").select("conv_id", "turn", "claims", "uncited", F.round("coverage", 6).alias("coverage"), "valid")
 
 
 @query("sentences")
@@ -240,27 +260,60 @@ def _(spark, sf_dir):
     return docs.select("doc_id", F.sha2(text.mask_patterns(placed), 256).alias("masked_sha256"))
 
 
-@query(
-    "mask_reports",
-    "SELECT c_custkey, 'A worker of [EMPLOYER] was hurt at [ADDRESS], Reno, NV [ZIP]. [EMPLOYER] closed the line.' AS masked, 4 AS masked_places FROM customer",
-)
+# Employers of five kinds: with a legal suffix, with a trading name, of business words only, a short name, none. Each
+# narrative has the full name, the name in large and in small letters, one of its words in both, and addresses.
+EMPLOYERS = {0: ("% Tooling, Inc.", "% Tooling", "Tooling"), 1: ("% Works LLC dba Quick Oaks", "% Works LLC dba Quick Oaks", "Quick Oaks"), 2: ("General Services Co", "General Services", "General"), 3: ("Acme", "Acme", "Acme"), 4: ("", "Nobody", "None")}
+#: Which of the five mentions go, by kind of employer.
+GOES = {0: (1, 1, 1, 1, 0), 1: (1, 1, 1, 1, 0), 2: (1, 1, 1, 0, 0), 3: (1, 1, 0, 1, 0), 4: (0, 0, 0, 0, 0)}
+
+
+def _mention_sql(j):
+    def said(kind):
+        name = ("replace('{}', '%', c_mktsegment)".format(EMPLOYERS[kind][min(j, 1) if j < 3 else 2]))
+        return (name, f"upper({name})", f"lower({name})", name, f"lower({name})")[j]
+
+    return "CASE c_custkey % 5 " + " ".join(f"WHEN {k} THEN {repr('[EMPLOYER]') if GOES[k][j] else said(k)}" for k in GOES) + " END"
+
+
+MASKED = "'Hurt at ' || {} || ', then ' || {} || ', then ' || {} || ' and ' || {} || ' or ' || {} || ', at [ADDRESS], Reno, NV [ZIP], not at ' || c_custkey || ' oaks, mail to [ADDRESS]; NV 1234.'".format(*map(_mention_sql, range(5)))
+COUNT = " + ".join(f"(length(masked) - length(replace(masked, '{t}', ''))) // {len(t)}" for t in ("[EMPLOYER]", "[ADDRESS]", "[ZIP]"))
+
+
+@query("mask_reports", f"WITH m AS (SELECT c_custkey, {MASKED} AS masked FROM customer) SELECT c_custkey, masked, CAST({COUNT} AS INTEGER) AS masked_places FROM m")
 def _(spark, sf_dir):
     c = load(spark, sf_dir, "customer")
-    reports = c.select(
-        "c_custkey",
-        F.format_string("A worker of %s Tooling, Inc. was hurt at 12 Oak Street, Reno, NV 89501. %s Tooling closed the line.", F.col("c_mktsegment"), F.initcap("c_mktsegment")).alias("narrative"),
-        F.concat("c_mktsegment", F.lit(" Tooling, Inc.")).alias("employer"),
-        F.lit("PO Box 77").alias("address"),
-    )
-    return text.mask_reports(reports, "narrative", "employer", ["address"], frozenset()).select("c_custkey", "masked", "masked_places")
 
+    def of(place):
+        kind = lambda k: F.regexp_replace(F.lit(EMPLOYERS[k][place]), "%", F.col("c_mktsegment"))
+        return F.element_at(F.array(*map(kind, EMPLOYERS)), (F.col("c_custkey") % 5 + 1).cast("int"))
+
+    parts = c.select("c_custkey", of(0).alias("full"), of(1).alias("core"), of(2).alias("word"))
+    narrative = F.format_string("Hurt at %s, then %s, then  %s\nand %s or %s, at 12 Oak Street, Reno, NV 89501, not at %d oaks, mail to  po box %d; NV 1234.", "full", F.upper("core"), F.lower("core"), "word", F.lower("word"), "c_custkey", "c_custkey")
+    reports = parts.select("c_custkey", narrative.alias("narrative"), F.nullif("full", F.lit("")).alias("employer"), F.format_string("PO  Box %d", "c_custkey").alias("address"))
+    return text.mask_reports(reports, "narrative", "employer", ["address"], ["oaks"]).select("c_custkey", "masked", "masked_places")
 
-@query("leaked_names", "SELECT c_custkey, 'Reno Tooling' AS phrase FROM customer WHERE c_custkey % 3 = 0")
+
+# Employers of four kinds by nation; answers name them in five ways and cite the own nation's report or another's.
+LEAKS_SQL = """a AS (SELECT c_custkey, c_custkey % 5 AS said, c_nationkey AS n, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey ELSE (c_nationkey + 4) % 25 END AS m FROM customer)
+SELECT c_custkey, 'any_report_employer_phrase' AS kind FROM a WHERE said = 0 AND n % 4 IN (0, 3) OR said = 3 AND n % 4 = 0
+UNION ALL SELECT c_custkey, 'cited_report_employer' FROM a WHERE said IN (0, 2, 3) AND (m = n AND m % 4 <> 1 OR m % 4 = 0 AND (said <> 0 OR n % 4 = 0))"""
+
+
+@query("leaked_names", f"WITH {LEAKS_SQL}")
 def _(spark, sf_dir):
-    c = load(spark, sf_dir, "customer")
-    said = c.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "Work at Reno Tooling stopped.").otherwise("reno tooling and Other Places stopped.").alias("answer"))
-    names = load(spark, sf_dir, "region").select(F.concat(F.lit("Reno Tooling "), "r_name").alias("name"))
-    return text.leaked_names(said, "c_custkey", "answer", names, "name")
+    brand = lambda c: F.concat(F.lit("Brand"), F.char(97 + F.col(c)))
+    form = lambda c, tail: F.when(F.col(c) % 4 == 0, F.concat(brand(c), F.lit(" Foods"), F.lit(tail[0]))).when(F.col(c) % 4 == 1, F.lit("United Services" + tail[1])).when(F.col(c) % 4 == 2, brand(c)).otherwise(F.concat(F.lit("The "), brand(c), F.lit(tail[2])))
+    names = load(spark, sf_dir, "nation").select("n_nationkey", form("n_nationkey", (", Inc.", " LLC", " Company")).alias("name"))
+    said, plain = F.col("c_custkey") % 5, form("c_nationkey", ("", "", ""))
+    answer = (
+        F.when(said == 0, F.concat(F.lit("Work at "), plain, F.lit(" stopped.")))
+        .when(said == 1, F.concat(F.lit("Work at "), F.lower(plain), F.lit(" stopped, foods spoiled.")))
+        .when(said == 2, F.concat(F.lit("They met "), brand("c_nationkey"), F.lit(". Foods arrived.")))
+        .when(said == 3, F.concat(F.lit("UNITED   SERVICES and "), F.upper(brand("c_nationkey")), F.lit("  FOODS")))
+    )
+    cited_ids = F.array(F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey")).otherwise((F.col("c_nationkey") + 4) % 25))
+    answers = load(spark, sf_dir, "customer").select("c_custkey", answer.alias("answer"), cited_ids.alias("cited"))
+    return text.leaked_names(answers, "c_custkey", "answer", "cited", names, "n_nationkey", "name")
 
 
 @query("relevance_rules", "SELECT p_partkey FROM part WHERE (regexp_matches(lower(coalesce(p_type, '')), 'economy|small|bolt|gear') OR regexp_matches(lower(coalesce(p_name, '')), 'economy|small|bolt|gear')) AND regexp_matches(lower(coalesce(p_brand, '')), 'brand#[1-3]')")
