@@ -22,16 +22,16 @@ from lodestone.llm import bloom
 
 #: Similarity as a fraction: Jaccard of at least 4/5.
 NUM, DEN = 4, 5
-#: Sets of at least this many keys are dealt into 4, 16, 64, ... classes; so are parts of at most about this many keys.
-PART, FAN, MOST_LEVELS = 64, 4, 12
+#: Sets of at least this many keys are dealt into 4, 16, 64, ... classes, so that parts have fewer keys on average.
+PART, FAN_BITS, MOST_LEVELS = 80, 2, 12
 #: Counters of the key-frequency sketch.
 COUNTERS = 1 << 16
-#: A key: frequency class above, hash below. The hash's upper bits choose the counter, the lowest six the parity, the next the part.
-CLASS_AT = 56
+#: A key, of 63 bits: frequency class above, hash below. The hash's lowest bits choose the part, or else the parity.
+KEY_BITS, CLASS_AT = 63, 56
 #: Sets of rows without id come after all others.
 LAST = (1 << 63) - 1
-#: Parts of one set that look for a leader.
-LEADING = 4
+#: Parts of one set that look for a leader, among parts that differ in size by less than this factor.
+LEADING, BAND = 2, 1.15
 
 SIMILAR_SIZES = f"{DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)"
 #: What the common key's places (from 0) leave possible if it is the first common one.
@@ -76,46 +76,71 @@ def class_count(n: int) -> int:
     """How many classes a set of ``n`` keys is dealt into."""
     c = 1
     while n >= PART * c:
-        c *= FAN
+        c <<= FAN_BITS
     return c
 
 
-def _class_count(n: Column) -> Column:
-    steps = F.when(n < PART, F.lit(1))
+def _class_bits(n: Column) -> Column:
+    steps = F.when(n < PART, F.lit(0))
     for level in range(1, MOST_LEVELS):
-        steps = steps.when(n < PART * FAN**level, F.lit(FAN**level))
-    return steps.otherwise(F.lit(FAN**MOST_LEVELS))
+        steps = steps.when(n < PART << (FAN_BITS * level), F.lit(FAN_BITS * level))
+    return steps.otherwise(F.lit(FAN_BITS * MOST_LEVELS))
 
 
-def _dealt(keys: Column, classes: Column) -> Column:
-    """The keys by class, in two steps, so that a set of n keys costs some n * 2 * sqrt(classes) comparisons."""
-    first = F.least(classes, F.lit(16))
-    rest = (classes / first).cast("int")
+def _shiftleft(x: Column, n: Column) -> Column:
+    return F.call_function("shiftleft", x, n)
 
-    def some(array: Column, shift: int, count: Column) -> Column:
-        at = lambda k: F.call_function("shiftright", k, F.lit(shift)).bitwiseAND((count - 1).cast("long"))
-        return F.transform(F.sequence(F.lit(0), count - 1), lambda j: F.filter(array, lambda k: at(k) == j))
 
-    once = some(keys, 6, first)
-    return F.when(rest == 1, once).otherwise(F.flatten(F.transform(once, lambda part: some(part, 10, rest))))
+def _by_class(keys: Column, bits: Column) -> Column:
+    """The keys rotated so that their class leads, sorted, with a mark before each class: one pass and a sort of numbers."""
+    top = F.lit(KEY_BITS) - bits
+    turned = lambda k: _shiftleft(k.bitwiseAND(_shiftleft(F.lit(1).cast("long"), bits) - 1), top).bitwiseOR(F.call_function("shiftright", k, bits))
+    return F.sort_array(F.concat(F.transform(keys, turned), F.transform(_classes(bits), lambda j: _mark(j, bits))))
+
+
+def _classes(bits: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), _shiftleft(F.lit(1).cast("long"), bits) - 1)
+
+
+def _mark(j: Column, bits: Column) -> Column:
+    return _shiftleft(j, F.lit(KEY_BITS) - bits)
+
+
+def _cut(marked: Column, bits: Column) -> Column:
+    """The classes of what :func:`_by_class` made, as arrays without the marks."""
+    last = _shiftleft(F.lit(1).cast("long"), bits) - 1
+    start = lambda j: F.call_function("array_position", marked, _mark(j, bits)).cast("int")
+    end = lambda j: F.when(j == last, F.size(marked) + 1).otherwise(start(j + 1))
+    return F.transform(_classes(bits), lambda j: F.slice(marked, start(j) + 1, end(j) - start(j) - 1))
 
 
 def dealt(sets: DataFrame) -> DataFrame:
     """The parts (SCHEMA) of the sets (id, doc, line_no, keys): for each its size, parity, prefix, and keys to find a leader by.
 
-    A part enters with the keys that a similar part needs to share one of. A set that is little smaller than the next
-    class count begins at enters by that count too, as similar sets of the next count exist.
+    A part enters with the keys that a similar part needs to share one of. A set that is little smaller than the next class
+    count begins at enters by that count too, to meet larger sets: there the shorter prefix of a smaller part will do.
     """
     n = F.size("keys")
-    level = sets.withColumn("classes", F.explode(F.array_distinct(F.array(_class_count(n), _class_count(F.floor(n * DEN / NUM))))))
-    part = level.select("id", "doc", "line_no", "classes", F.posexplode(F.when(F.col("classes") == 1, F.array("keys")).otherwise(_dealt(F.col("keys"), F.col("classes")))).alias("part", "keys"))
-    part = part.filter("size(keys) > 0")
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
+    own, next_up = _class_bits(n), _class_bits(F.floor(n * DEN / NUM))
+    levels = F.array(F.struct(own.alias("bits"), F.lit(True).alias("own")), F.when(next_up > own, F.struct(next_up.alias("bits"), F.lit(False).alias("own"))))
+    level = sets.select("id", "doc", "line_no", "keys", F.explode(F.array_compact(levels)).alias("l")).select("id", "doc", "line_no", "keys", "l.bits", "l.own")
+    # Generators end a projection, so that what they make is made once a row.
+    marked = level.select("id", "doc", "line_no", "bits", "own", F.explode(F.array(F.when(F.col("bits") == 0, F.col("keys")).otherwise(_by_class(F.col("keys"), F.col("bits"))))).alias("marked"))
+    cut = F.when(F.col("bits") == 0, F.array("marked")).otherwise(_cut(F.col("marked"), F.col("bits")))
+    part = marked.select("id", "doc", "line_no", "bits", "own", F.posexplode(cut).alias("part", "keys")).filter("size(keys) > 0")
+    bit = lambda k: _shiftleft(F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
     pair = lambda i, j: F.xxhash64(F.col("keys")[i], F.col("keys")[j])
-    leads = F.when(F.col("part") >= LEADING, F.array().cast("array<bigint>")).when(n >= 3, F.array(pair(0, 1), pair(0, 2), pair(1, 2))).otherwise(F.array(F.xxhash64("keys")))
-    length = n - F.ceil(n * NUM / DEN).cast("int") + 1
-    return part.select("id", "doc", "line_no", "classes", n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"), leads.alias("leads"))
+    none = F.array().cast("array<bigint>")
+    leads = F.when(~F.col("own") | (F.col("part") >= LEADING), none).when(n >= 3, F.array(pair(0, 1), pair(0, 2), pair(1, 2))).otherwise(F.array(F.xxhash64("keys")))
+    length = F.when(F.col("own"), n - F.ceil(n * NUM / DEN).cast("int") + 1).otherwise(_index_length(n))
+    classes = _shiftleft(F.lit(1), F.col("bits")).alias("classes")
+    return part.select("id", "doc", "line_no", classes, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"), leads.alias("leads"))
+
+
+def _index_length(n: Column) -> Column:
+    """How many keys a part needs to enter with if the other part isn't smaller."""
+    return n - F.ceil(n * (2 * NUM) / (NUM + DEN)).cast("int") + 1
 
 
 def _entries(parts: DataFrame, index: bool = False) -> DataFrame:
@@ -123,17 +148,18 @@ def _entries(parts: DataFrame, index: bool = False) -> DataFrame:
 
     With ``index``, only those that meet sets which aren't smaller.
     """
-    short = F.slice("prefix", F.lit(1), F.col("n") - F.ceil(F.col("n") * (2 * NUM) / (NUM + DEN)).cast("int") + 1)
+    short = F.slice("prefix", F.lit(1), _index_length(F.col("n")))
     each = parts.select("id", "n", "classes", "parity", F.posexplode(short if index else F.col("prefix")).alias("at", "key"))
     return each.select(F.hash("key", "classes").alias("token"), F.col("id").alias("id"), F.col("n").alias("n"), F.col("at").alias("at"), F.col("parity").alias("parity"))
 
 
 def _led(parts: DataFrame) -> DataFrame:
-    """Pairs (id, other) of each part and the earliest one that it shares a leading key with, where sizes and parities let them be similar."""
+    """Pairs (id, other) of each part and the earliest one of about its size that it shares a leading key with, where parities let them be similar."""
     place = F.col("doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
-    each = parts.select(F.explode("leads").alias("lead"), "classes", "id", place.cast("decimal(32,0)").alias("ord"), "n", "parity")
-    first = each.groupBy("lead", "classes").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
-    met = each.alias("a").join(first.filter("members > 1").alias("b"), ["lead", "classes"])
+    band = F.floor(F.log("n") / math.log(BAND)).alias("band")
+    each = parts.select(F.explode("leads").alias("lead"), "classes", band, "id", place.cast("decimal(32,0)").alias("ord"), "n", "parity")
+    first = each.groupBy("lead", "classes", "band").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
+    met = each.alias("a").join(first.filter("members > 1").alias("b"), ["lead", "classes", "band"])
     return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PARITY}").select("a.id", F.col("b.id").alias("other")).distinct()
 
 

@@ -65,21 +65,22 @@ def dealt(hashes: np.ndarray, classes: np.ndarray) -> Iterator[tuple]:
     """The parts of a set of hashes as :func:`lodestone.llm.set_join.dealt` makes them: (classes, n, parity, prefix, leads)."""
     keys = (classes[(hashes >> np.uint64(48)).astype(np.int64)].astype(np.uint64) << np.uint64(set_join.CLASS_AT)) | (hashes & np.uint64((1 << set_join.CLASS_AT) - 1))
     keys = np.sort(keys)
-    bits = np.uint64(1) << (keys & np.uint64(63))
-    num, den = set_join.NUM, set_join.DEN
-    for count in sorted({set_join.class_count(len(keys)), set_join.class_count(len(keys) * den // num)}):
-        which = ((keys >> np.uint64(6)) & np.uint64(count - 1)).astype(np.int64)
-        order = np.argsort(which, kind="stable")
-        mine, named = keys[order].view(np.int64), which[order]
+    keys, num, den = keys.view(np.int64), set_join.NUM, set_join.DEN
+    own = set_join.class_count(len(keys))
+    for count in sorted({own, set_join.class_count(len(keys) * den // num)}):
+        up = set_join.KEY_BITS - (count.bit_length() - 1)
+        turned = np.sort(((keys & (count - 1)) << up) | (keys >> (count.bit_length() - 1))) if count > 1 else keys
+        named = turned >> up if count > 1 else np.zeros(len(keys), np.int64)
         starts = np.flatnonzero(np.concatenate(([True], named[1:] != named[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        parity = np.bitwise_xor.reduceat(bits[order], starts).view(np.int64) if len(starts) else []
-        for at, end, p in zip(starts, [*starts[1:], len(keys)], parity):
-            n = int(end - at)
-            top = mine[at : at + 3].astype("<i8")
+        parity = np.bitwise_xor.reduceat(np.int64(1) << (turned & 63), starts) if len(starts) else []
+        for at, end, p in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], parity):
+            n = end - at
             leads = []
-            if named[at] < set_join.LEADING:
-                leads = [(top[0], top[1]), (top[0], top[2]), (top[1], top[2])] if n >= 3 else [tuple(mine[at:end])]
-            yield count, n, int(p), mine[at : at + n - -(-n * num // den) + 1], [_mixed(x) for x in leads]
+            if count == own and named[at] < set_join.LEADING:
+                top = turned[at : at + 3].tolist()
+                leads = [(top[0], top[1]), (top[0], top[2]), (top[1], top[2])] if n >= 3 else [tuple(top)]
+            least = -(-n * num // den) if count == own else -(-n * 2 * num // (num + den))
+            yield count, n, int(p), turned[at : at + n - least + 1], [_mixed(x) for x in leads]
 
 
 def _mixed(keys: tuple) -> int:

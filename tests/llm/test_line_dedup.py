@@ -60,3 +60,22 @@ def test_cases(spark):
         for i, t in [(3, "a b c d e\n\nx"), (1, None), (2, ""), (None, "new line"), (4, "y " * 50_000), (4, "other"), (5, "z"), (5, "z"), (6, " \n")]
     )
     assert dedup_lines(df.limit(0)).count() == 0 and dedup_lines(df).columns == df.columns
+
+
+def test_equals_brute_force_on_long_lines(spark):
+    """Lines on both sides of where sets are dealt into more classes, a group of near copies among them."""
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(20_000)]
+    base = [rng.sample(vocabulary, n) for n in (50, 66, 79, 80, 81, 99, 130, 318, 322, 400, 1281, 5200)]
+    docs = []
+    for i in range(120):
+        lines = []
+        for words in rng.sample(base, 3):
+            words = words[: rng.choice([len(words), len(words), int(len(words) * rng.uniform(0.75, 1))])]
+            changed = set(rng.sample(range(len(words)), int(len(words) * rng.choice([0, 0.02, 0.05, 0.1, 0.12]))))
+            lines.append(" ".join(rng.choice(vocabulary) if k in changed else w for k, w in enumerate(words)))
+        docs.append((i, "\n".join(lines)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute(docs)
+    assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == want
+    assert 0.1 < sum(len(t) for t in want.values()) / sum(len(t) for _, t in docs) < 0.9
