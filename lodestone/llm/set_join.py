@@ -32,6 +32,8 @@ KEY_BITS, CLASS_AT = 63, 56
 LAST = (1 << 63) - 1
 #: Parts of one set that look for a leader, among parts that differ in size by less than this factor.
 LEADING, BAND = 2, 1.15
+#: The index is dealt and joined in so many turns, each with its share of the keys, so that no more of it is on disk at once.
+TURNS = 2
 
 SIMILAR_SIZES = f"{DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)"
 #: What the common key's places (from 0) leave possible if it is the first common one.
@@ -163,9 +165,13 @@ def _led(parts: DataFrame) -> DataFrame:
     return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PARITY}").select("a.id", F.col("b.id").alias("other")).distinct()
 
 
-def _met(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pairs of different sets with a common prefix key that pass the length, position and parity filters, smaller id first."""
-    met = a.alias("a").join(b.alias("b"), F.col("a.token") == F.col("b.token"))
+def _met(marked: DataFrame, turn: int) -> DataFrame:
+    """Pairs of different sets, one of them open, with a common prefix key whose turn it is, that pass the length, position and
+    parity filters; smaller id first."""
+    open_parts = marked.filter("NOT settled")
+    a, b = _entries(open_parts), _entries(open_parts, index=True).unionAll(_entries(marked.filter("settled")))
+    mine = F.pmod("token", F.lit(TURNS)) == turn
+    met = a.filter(mine).alias("a").join(b.filter(mine).alias("b"), F.col("a.token") == F.col("b.token"))
     met = met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PLACES} AND {SIMILAR_PARITY}")
     return met.select(F.least("a.id", "b.id").alias("id"), F.greatest("a.id", "b.id").alias("other"))
 
@@ -181,15 +187,19 @@ def later_matches(parts: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     shorter prefix, so only that is indexed. No pair of two settled sets is ever made.
     """
     settled = verify(stage(_led(parts), "led"))
-    both = parts.join(settled.select("id", F.lit(True).alias("settled")), "id", "left")
-    marked = stage(both.select(*parts.columns, F.coalesce("settled", F.lit(False)).alias("settled")), "parts")
+    marked = stage(_marked(parts, settled), "parts")
     discard(parts)
-    open_parts = marked.filter("NOT settled")
-    index = _entries(open_parts, index=True).unionAll(_entries(marked.filter("settled")))
-    pairs = stage(_met(_entries(open_parts), index).distinct(), "pairs")
+    found = settled
+    for turn in range(TURNS):
+        pairs = stage(_met(marked, turn).distinct(), "pairs")
+        found = found.unionAll(verify(pairs))
     discard(marked)
-    found = settled.unionAll(verify(pairs)).distinct()
-    return found
+    return found.distinct()
+
+
+def _marked(parts: DataFrame, settled: DataFrame) -> DataFrame:
+    both = parts.join(settled.select("id", F.lit(True).alias("settled")), "id", "left")
+    return both.select(*parts.columns, F.coalesce("settled", F.lit(False)).alias("settled"))
 
 
 def named_filter(pairs: DataFrame) -> tuple[DataFrame, int]:
