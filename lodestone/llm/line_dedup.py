@@ -33,8 +33,9 @@ def counts(lines: DataFrame) -> DataFrame:
 def later_lines(lines: DataFrame) -> DataFrame:
     """Ids of the lines (id, doc, line_no, line) that have a similar line before them."""
     classes = set_join.frequency_classes(counts(lines))
-    # Generators end a projection, so that keys are worked out once a line.
-    sets = lines.select("id", "doc", "line_no", F.explode(F.array(set_join.ordered_keys(hashes(F.col("line")), classes))).alias("keys"))
+    # Generators end a projection, so that hashes and keys are worked out once a line.
+    hashed = lines.select("id", "doc", "line_no", F.explode(F.array(F.array_distinct(hashes(F.col("line"))))).alias("hashes"))
+    sets = hashed.select("id", "doc", "line_no", set_join.lead_keys(F.col("hashes")).alias("leads"), F.explode(F.array(set_join.ordered_keys(F.col("hashes"), classes))).alias("keys"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         named, bits = set_join.named_filter(pairs)

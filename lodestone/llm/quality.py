@@ -197,8 +197,9 @@ def held_out(id_col: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MAX_LABELLED) -> Trees:
     """Learn from at most ``most`` labelled documents outside the held-out fold, chosen by the hash of their ids.
 
-    The sample's ids are bounded by ``most``, so they are broadcast; only its statistics come to the driver.
-    An id with contradictory labels counts as 0; ids and labels that are null are left out.
+    The sample's ids are bounded by ``most``, so they are broadcast; only its statistics come to the driver, a row an id.
+    An id with contradictory labels counts as 0; of rows that share an id the one of the least statistics counts; ids and labels
+    that are null are left out.
     """
     own = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y")).dropna()
     chosen = own.filter(~held_out("_id")).groupBy("_id").agg(F.min("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(most)
@@ -209,8 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         x = pa.array([statistics(t) for t in texts(batch.column(2))], pa.list_(pa.float64()))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), x], names=["_id", "_y", "x"])
 
-    rows = map_batches(sample, measure, "_id long, _y int, x array<double>").toPandas()
-    rows = rows.assign(key=[tuple(v) for v in rows.x]).sort_values(["_id", "key"])
+    measured = map_batches(sample, measure, "_id long, _y int, x array<double>")
+    rows = measured.groupBy("_id").agg(F.min("_y").alias("_y"), F.min("x").alias("x")).toPandas().sort_values("_id")
     x = np.array(rows.x.tolist(), float).reshape(len(rows), len(FEATURES))
     return fit(x, (rows._y.to_numpy() > 0).astype(float))
 

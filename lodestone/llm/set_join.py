@@ -30,17 +30,22 @@ COUNTERS = 1 << 16
 KEY_BITS, CLASS_AT = 63, 56
 #: Sets of rows without id come after all others.
 LAST = (1 << 63) - 1
-#: Parts of one set that look for a leader, among parts that differ in size by less than this factor.
-LEADING, BAND = 2, 1.15
+#: A set looks for a leader by pairs of so many of its keys, among sets that differ in size by less than this factor.
+LEADING, BAND = 3, 1.15
 #: The index is dealt and joined in so many turns, each with its share of the keys, so that no more of it is on disk at once.
 TURNS = 2
 
 SIMILAR_SIZES = f"{DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)"
-#: What the common key's places (from 0) leave possible if it is the first common one.
-SIMILAR_PLACES = f"{NUM + DEN} * least(a.n - a.at, b.n - b.at) >= {NUM} * (a.n + b.n)"
 #: Keys in one set only show up in the parities' difference, each at most once.
 SIMILAR_PARITY = f"{NUM + DEN} * bit_count(a.parity ^ b.parity) <= {DEN - NUM} * (a.n + b.n)"
-SCHEMA = "id long, doc long, line_no int, classes int, n int, parity long, prefix array<bigint>, leads array<bigint>"
+
+_N, _AT, _ERA = "({0}.info & 65535)", "(shiftright({0}.info, 16) & 65535)", "shiftright({0}.info, 32)"
+_SIDES = [(x.format("a"), x.format("b")) for x in (_N, _AT, _ERA)]
+#: The filters on two entries of one key. What the key's places leave possible if it is the first common one comes after the sizes.
+CANDIDATE = (
+    "{DEN} * least({0}, {1}) >= {NUM} * greatest({0}, {1}) AND {5} <= {4} AND {BOTH} * least({0} - {2}, {1} - {3}) >= {NUM} * ({0} + {1})"
+    " AND {BOTH} * bit_count(a.parity ^ b.parity) <= {LOST} * ({0} + {1})"
+).format(*_SIDES[0], *_SIDES[1], *_SIDES[2], NUM=NUM, DEN=DEN, BOTH=NUM + DEN, LOST=DEN - NUM)
 
 
 def counter(h: Column) -> Column:
@@ -61,7 +66,7 @@ def frequency_classes(counts: DataFrame) -> list[int]:
 
 
 def ordered_keys(hashes: Column, classes: list[int]) -> Column:
-    """The distinct hashes as sorted keys: a global order, as a key depends on its hash only.
+    """The hashes, distinct ones, as sorted keys: a global order, as a key depends on its hash only.
 
     Classes are small integers, which the JVM keeps once each, so that the table stays in cache.
     """
@@ -71,7 +76,14 @@ def ordered_keys(hashes: Column, classes: list[int]) -> Column:
         level = F.call_function("shiftleft", F.get(table, counter(h)).cast("long"), F.lit(CLASS_AT))
         return level.bitwiseOR(h.bitwiseAND(F.lit((1 << CLASS_AT) - 1)))
 
-    return F.sort_array(F.transform(F.array_distinct(hashes), key))
+    return F.sort_array(F.transform(hashes, key))
+
+
+def lead_keys(hashes: Column) -> Column:
+    """What a set finds a leader by: hashes of pairs of its least hashes. Those are any of its keys, common ones mostly in near copies."""
+    low = F.slice(F.sort_array(hashes), 1, LEADING)
+    pairs = [F.xxhash64(low[i], low[j]) for i in range(LEADING) for j in range(i + 1, LEADING)]
+    return F.when(F.size(hashes) >= LEADING, F.array(*pairs)).otherwise(F.array(F.xxhash64(low)))
 
 
 def class_count(n: int) -> int:
@@ -117,7 +129,8 @@ def _cut(marked: Column, bits: Column) -> Column:
 
 
 def dealt(sets: DataFrame) -> DataFrame:
-    """The parts (SCHEMA) of the sets (id, doc, line_no, keys): for each its size, parity, prefix, and keys to find a leader by.
+    """The parts of the sets (id, doc, line_no, keys, leads): for each the set's size ``total``, its own size, parity and prefix, and with
+    a set's first part its ``leads``.
 
     A part enters with the keys that a similar part needs to share one of. A set that is little smaller than the next class
     count begins at enters by that count too, to meet larger sets: there the shorter prefix of a smaller part will do.
@@ -125,19 +138,17 @@ def dealt(sets: DataFrame) -> DataFrame:
     n = F.size("keys")
     own, next_up = _class_bits(n), _class_bits(F.floor(n * DEN / NUM))
     levels = F.array(F.struct(own.alias("bits"), F.lit(True).alias("own")), F.when(next_up > own, F.struct(next_up.alias("bits"), F.lit(False).alias("own"))))
-    level = sets.select("id", "doc", "line_no", "keys", F.explode(F.array_compact(levels)).alias("l")).select("id", "doc", "line_no", "keys", "l.bits", "l.own")
+    level = sets.select("*", F.explode(F.array_compact(levels)).alias("l")).select("id", "doc", "line_no", "leads", "keys", n.alias("total"), "l.bits", "l.own")
     # Generators end a projection, so that what they make is made once a row.
-    marked = level.select("id", "doc", "line_no", "bits", "own", F.explode(F.array(F.when(F.col("bits") == 0, F.col("keys")).otherwise(_by_class(F.col("keys"), F.col("bits"))))).alias("marked"))
+    marked = level.select("id", "doc", "line_no", "leads", "total", "bits", "own", F.explode(F.array(F.when(F.col("bits") == 0, F.col("keys")).otherwise(_by_class(F.col("keys"), F.col("bits"))))).alias("marked"))
     cut = F.when(F.col("bits") == 0, F.array("marked")).otherwise(_cut(F.col("marked"), F.col("bits")))
-    part = marked.select("id", "doc", "line_no", "bits", "own", F.posexplode(cut).alias("part", "keys")).filter("size(keys) > 0")
+    part = marked.select("id", "doc", "line_no", "leads", "total", "bits", "own", F.posexplode(cut).alias("part", "keys")).filter("size(keys) > 0")
     bit = lambda k: _shiftleft(F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
-    pair = lambda i, j: F.xxhash64(F.col("keys")[i], F.col("keys")[j])
-    none = F.array().cast("array<bigint>")
-    leads = F.when(~F.col("own") | (F.col("part") >= LEADING), none).when(n >= 3, F.array(pair(0, 1), pair(0, 2), pair(1, 2))).otherwise(F.array(F.xxhash64("keys")))
+    leads = F.when(F.col("own") & (F.col("part") == 0), F.col("leads")).otherwise(F.array().cast("array<bigint>"))
     length = F.when(F.col("own"), n - F.ceil(n * NUM / DEN).cast("int") + 1).otherwise(_index_length(n))
     classes = _shiftleft(F.lit(1), F.col("bits")).alias("classes")
-    return part.select("id", "doc", "line_no", classes, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"), leads.alias("leads"))
+    return part.select("id", "doc", "line_no", "total", classes, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"), leads.alias("leads"))
 
 
 def _index_length(n: Column) -> Column:
@@ -146,33 +157,50 @@ def _index_length(n: Column) -> Column:
 
 
 def _entries(parts: DataFrame, index: bool = False) -> DataFrame:
-    """The prefix entries (token, id, n, at, parity); tokens are cut to 32 bits, which can only add candidates.
+    """The prefix entries (token, id, info, parity); tokens are cut to 32 bits, which can only add candidates.
 
-    With ``index``, only those that meet sets which aren't smaller.
+    ``info`` is the part's size, the key's place from 0 and the set's era in 16, 16 and 31 bits. With ``index``, only entries that
+    meet sets which aren't smaller, in era 0.
     """
     short = F.slice("prefix", F.lit(1), _index_length(F.col("n")))
-    each = parts.select("id", "n", "classes", "parity", F.posexplode(short if index else F.col("prefix")).alias("at", "key"))
-    return each.select(F.hash("key", "classes").alias("token"), F.col("id").alias("id"), F.col("n").alias("n"), F.col("at").alias("at"), F.col("parity").alias("parity"))
+    each = parts.select("id", "n", "classes", "era", "parity", F.posexplode(short if index else F.col("prefix")).alias("at", "key"))
+    sizes = _shiftleft(F.col("at").cast("long"), F.lit(16)).bitwiseOR(F.col("n").cast("long"))
+    info = sizes if index else _shiftleft(F.col("era"), F.lit(32)).bitwiseOR(sizes)
+    return each.select(F.hash("key", "classes").alias("token"), "id", info.alias("info"), "parity")
+
+
+def _eras(parts: DataFrame) -> Column:
+    """A number of 31 bits for each set, in the order of ``doc`` as far as that many bits can tell."""
+    low, high = parts.agg(F.min("doc"), F.max(F.when(F.col("doc") < LAST, F.col("doc")))).first()
+    low, high = (low or 0) >> 1, (high if high is not None else low or 0) >> 1
+    spare = max(0, (high - low + 1).bit_length() - 31)
+    half = F.least(F.call_function("shiftright", F.col("doc"), F.lit(1)), F.lit(high + 1)) - F.lit(low)
+    return F.call_function("shiftright", half, F.lit(spare))
 
 
 def _led(parts: DataFrame) -> DataFrame:
-    """Pairs (id, other) of each part and the earliest one of about its size that it shares a leading key with, where parities let them be similar."""
+    """Pairs (id, other) of each set and the earliest one of about its size that it shares a leading key with, where parities let them be similar."""
     place = F.col("doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
-    band = F.floor(F.log("n") / math.log(BAND)).alias("band")
-    each = parts.select(F.explode("leads").alias("lead"), "classes", band, "id", place.cast("decimal(32,0)").alias("ord"), "n", "parity")
-    first = each.groupBy("lead", "classes", "band").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
-    met = each.alias("a").join(first.filter("members > 1").alias("b"), ["lead", "classes", "band"])
-    return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PARITY}").select("a.id", F.col("b.id").alias("other")).distinct()
+    # Two rows of bands, the borders of one within those of the other, so that a group of one size is whole in either.
+    size = F.log("total") / math.log(BAND)
+    bands = F.explode(F.array(2 * F.floor(size), 2 * F.floor(size + 0.5) + 1)).alias("band")
+    # Parts of one set share its leads, but the parity of a part says nothing about sets.
+    parity = F.when(F.col("classes") == 1, F.col("parity"))
+    banded = parts.filter(F.size("leads") > 0).withColumn("parity", parity).select("leads", bands, "id", "doc", "line_no", "total", "parity")
+    each = banded.select(F.explode("leads").alias("lead"), "band", "id", place.cast("decimal(32,0)").alias("ord"), F.col("total").alias("n"), "parity")
+    first = each.groupBy("lead", "band").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
+    met = each.alias("a").join(first.filter("members > 1").alias("b"), ["lead", "band"])
+    return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND coalesce({SIMILAR_PARITY}, true)").select("a.id", F.col("b.id").alias("other")).distinct()
 
 
 def _met(marked: DataFrame, turn: int) -> DataFrame:
     """Pairs of different sets, one of them open, with a common prefix key whose turn it is, that pass the length, position and
-    parity filters; smaller id first."""
+    parity filters; smaller id first. A settled set is of use only to sets after it, so it meets none of earlier eras."""
     open_parts = marked.filter("NOT settled")
     a, b = _entries(open_parts), _entries(open_parts, index=True).unionAll(_entries(marked.filter("settled")))
     mine = F.pmod("token", F.lit(TURNS)) == turn
     met = a.filter(mine).alias("a").join(b.filter(mine).alias("b"), F.col("a.token") == F.col("b.token"))
-    met = met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PLACES} AND {SIMILAR_PARITY}")
+    met = met.filter(f"a.id <> b.id AND {CANDIDATE}")
     return met.select(F.least("a.id", "b.id").alias("id"), F.greatest("a.id", "b.id").alias("other"))
 
 
@@ -182,7 +210,7 @@ def later_matches(parts: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     Before is by (doc, line_no, id), matched sets included. ``verify`` takes candidate pairs (id, other) and returns the ids of the later ones
     of those that are similar, with their whole keys compared.
 
-    Each set first meets the earliest set that two of its rarest keys lead to, which settles groups of near copies in a few comparisons
+    Each set first meets the earliest sets that two of its keys lead to, which settles groups of near copies in a few comparisons
     a set. Sets that are open then meet all sets with a common prefix key; of two open ones the smaller part needs a
     shorter prefix, so only that is indexed. No pair of two settled sets is ever made.
     """
@@ -198,8 +226,8 @@ def later_matches(parts: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
 
 
 def _marked(parts: DataFrame, settled: DataFrame) -> DataFrame:
-    both = parts.join(settled.select("id", F.lit(True).alias("settled")), "id", "left")
-    return both.select(*parts.columns, F.coalesce("settled", F.lit(False)).alias("settled"))
+    both = parts.withColumn("era", _eras(parts)).join(settled.select("id", F.lit(True).alias("settled")), "id", "left")
+    return both.select("id", "era", "classes", "n", "parity", "prefix", F.coalesce("settled", F.lit(False)).alias("settled"))
 
 
 def named_filter(pairs: DataFrame) -> tuple[DataFrame, int]:

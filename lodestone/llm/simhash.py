@@ -62,7 +62,12 @@ def shingle_set(text: str, shingle: int = NEAR_SHINGLE) -> np.ndarray:
 
 
 def dealt(hashes: np.ndarray, classes: np.ndarray) -> Iterator[tuple]:
-    """The parts of a set of hashes as :func:`lodestone.llm.set_join.dealt` makes them: (classes, n, parity, prefix, leads)."""
+    """The parts of a set of hashes as :func:`lodestone.llm.set_join.dealt` makes them: (total, classes, n, parity, prefix, leads).
+
+    ``hashes`` are sorted, as :func:`shingle_set` has them.
+    """
+    low = hashes[: set_join.LEADING]
+    leads = [_mixed(low[[i, j]]) for i in range(len(low)) for j in range(i + 1, len(low))] if len(low) == set_join.LEADING else [_mixed(low)]
     keys = (classes[(hashes >> np.uint64(48)).astype(np.int64)].astype(np.uint64) << np.uint64(set_join.CLASS_AT)) | (hashes & np.uint64((1 << set_join.CLASS_AT) - 1))
     keys = np.sort(keys)
     keys, num, den = keys.view(np.int64), set_join.NUM, set_join.DEN
@@ -75,18 +80,14 @@ def dealt(hashes: np.ndarray, classes: np.ndarray) -> Iterator[tuple]:
         parity = np.bitwise_xor.reduceat(np.int64(1) << (turned & 63), starts) if len(starts) else []
         for at, end, p in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], parity):
             n = end - at
-            leads = []
-            if count == own and named[at] < set_join.LEADING:
-                top = turned[at : at + 3].tolist()
-                leads = [(top[0], top[1]), (top[0], top[2]), (top[1], top[2])] if n >= 3 else [tuple(top)]
             least = -(-n * num // den) if count == own else -(-n * 2 * num // (num + den))
-            yield count, n, int(p), turned[at : at + n - least + 1], [_mixed(x) for x in leads]
+            yield len(keys), count, n, int(p), turned[at : at + n - least + 1], leads if count == own and not at else []
 
 
-def _mixed(keys: tuple) -> int:
+def _mixed(hashes: np.ndarray) -> int:
     from xxhash import xxh64_intdigest
 
-    return int(np.array(xxh64_intdigest(np.array(keys, "<i8").tobytes(), SEED), np.uint64).view(np.int64))
+    return int(np.array(xxh64_intdigest(hashes.astype("<u8").tobytes(), SEED), np.uint64).view(np.int64))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -230,21 +231,21 @@ def _counts(source: DataFrame, shingle: int) -> DataFrame:
     return source.select("text").mapInArrow(run, "counter int, count long")
 
 
-PARTS = "array<struct<classes int, n int, parity long, prefix array<bigint>, leads array<bigint>>>"
+PARTS = "array<struct<total int, classes int, n int, parity long, prefix array<bigint>, leads array<bigint>>>"
 
 
 def _parts(read: list[str], classes: np.ndarray, shingle: int) -> pa.Array:
     """The parts of each text's shingle set, as a column of type PARTS."""
     made = [list(dealt(shingle_set(t, shingle), classes)) for t in read]
     flat = [part for parts in made for part in parts]
-    count, n, parity, prefix, leads = zip(*flat) if flat else ((),) * 5
+    total, count, n, parity, prefix, leads = zip(*flat) if flat else ((),) * 6
     ends = lambda lists: pa.array([0, *accumulate(map(len, lists))], pa.int32())
     lists = [
         pa.ListArray.from_arrays(ends(prefix), pa.array(np.concatenate(prefix) if flat else [], pa.int64())),
         pa.ListArray.from_arrays(ends(leads), pa.array([x for some in leads for x in some], pa.int64())),
     ]
-    columns = [pa.array(count, pa.int32()), pa.array(n, pa.int32()), pa.array(parity, pa.int64()), *lists]
-    return pa.ListArray.from_arrays(ends(made), pa.StructArray.from_arrays(columns, ["classes", "n", "parity", "prefix", "leads"]))
+    columns = [pa.array(total, pa.int32()), pa.array(count, pa.int32()), pa.array(n, pa.int32()), pa.array(parity, pa.int64()), *lists]
+    return pa.ListArray.from_arrays(ends(made), pa.StructArray.from_arrays(columns, ["total", "classes", "n", "parity", "prefix", "leads"]))
 
 
 def later_texts(rows: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
@@ -317,10 +318,3 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     match = lambda which: placed(docs, F.col(id_col).cast("long"), *hashes).join(kept.filter(which).select(*place), place, "left_semi")
     return match("NOT _lodestone_more").unionByName(match("_lodestone_more").dropDuplicates(place)).select(docs.columns)
 
-
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The document of each group whose id names it, once; documents without id pass."""
-    kept = groups.filter("doc_id = component_id").groupBy("doc_id").count()
-    once, more = kept.filter("count = 1").select("doc_id"), kept.filter("count > 1").select("doc_id")
-    match = lambda ids: docs.join(ids.withColumnRenamed("doc_id", "_lodestone_id"), docs[id_col] == F.col("_lodestone_id"), "left_semi")
-    return match(once).unionByName(match(more).dropDuplicates([id_col])).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -55,6 +55,12 @@ def test_kept_rows_where_ids_repeat_or_are_missing(spark):
     assert simhash.keep_first(df.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_kept_or_go_each_by_itself(spark):
+    alpha, one, red = "alpha beta gamma delta epsilon zeta eta", "one two three four five six seven", "red green blue yellow black white grey"
+    df = spark.createDataFrame([(1, ""), (2, ""), (2, alpha), (2, alpha), (5, one), (5, red)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.keep_first(df).collect()) == [(1, ""), (2, alpha), (5, one), (5, red)]
+
+
 def test_near_copies_beyond_four_bits_go(spark):
     rng = np.random.default_rng(4)
     rows = []
@@ -110,8 +116,7 @@ def test_simhash_cases(spark):
     got = [(r.doc_id, r.fingerprint, r.component_id) for r in simhash.simhash_groups(df).collect()]
     assert sorted((i or -1, c or -1) for i, _, c in got) == [(-1, -1), (-1, 2), (2, 2), (2, 2), (3, 3), (4, 3), (7, 2), (9, 9)]
     assert {f for i, f, _ in got if i in (3, 4)} == {"0" * 16}
-    kept = simhash.keep_one(df, simhash.simhash_groups(df))
-    assert sorted((r.doc_id or -1, r.fp) for r in kept.collect()) == [(-1, 1), (-1, 1), (2, 1), (3, 1), (9, 1)]
+    assert sorted(r.doc_id or -1 for r in simhash.keep_first(df).collect()) == [-1, 2, 3, 9]
     assert simhash.simhash_groups(df.limit(0)).count() == 0
 
 
@@ -136,6 +141,40 @@ def test_quality_on_the_held_out_fold(spark):
     assert sum(r.predicted for r in unseen if truth[r.doc_id]) >= 0.96 * sum(truth[r.doc_id] for r in unseen)
 
 
+def test_every_score_equals_a_plain_walk_over_the_statistics(spark, data):
+    import zlib
+
+    trees = quality.train(load(spark, data, "documents"), load(spark, data, "labels"))
+    texts = {r.doc_id: r.text or "" for r in load(spark, data, "documents").collect()}
+    got = {r.doc_id: r for r in queries.QUERIES["op1_quality"](spark, data).collect()}
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        x, total = quality.statistics(text), trees.prior
+        for node in trees.roots:
+            while trees.left[node] != node:
+                node = trees.left[node] if x[trees.feature[node]] <= trees.limit[node] else trees.right[node]
+            total += trees.value[node]
+        want = 1 / (1 + np.exp(-total))
+        assert got[i].score == pytest.approx(want, abs=1e-9) and got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert got[i].predicted == int(got[i].score >= 0.7)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(1, f"text number {i} " * 30) for i in range(50)] + [(2, "x"), (3, "y y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    seen = []
+    import lodestone.llm.quality as module
+
+    plain, module.fit = module.fit, lambda x, y: seen.append((x, y)) or plain(x, y)
+    try:
+        module.train(df, labels)
+    finally:
+        module.fit = plain
+    kept = [i for i in (1, 2, 3) if __import__("zlib").crc32(str(i).encode()) % 4 != 2]
+    assert len(seen[0][0]) == len(kept)
+
+
 def test_flat_traversal_equals_walking_each_tree():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, len(quality.FEATURES)))
