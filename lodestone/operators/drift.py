@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.operators.quantiles import exact_quantiles
+
 #: Shares below this are raised to it; shares are not scaled again afterwards.
 SHARE_FLOOR = 1e-6
 
@@ -20,10 +22,10 @@ def unpivot(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.feature", "_p.value")
 
 
-def quantile_edges(bins: int) -> str:
-    """SQL for the distinct inner quantiles of ``value`` in order, by linear interpolation."""
-    points = ", ".join(f"{i / bins}D" for i in range(1, bins))
-    return f"array_sort(array_distinct(percentile(value, array({points}))))"
+def quantile_edges(values: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
+    """(by, edges): the distinct inner quantiles of ``value`` in order, a row for each group."""
+    inner = exact_quantiles(values, "value", [i / bins for i in range(1, bins)], by, "edges")
+    return inner.select(*by, F.array_sort(F.array_distinct("edges")).alias("edges"))
 
 
 def bin_of(edges: Column, value: Column) -> Column:
@@ -50,7 +52,7 @@ def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins:
     """(feature, psi): sum of (actual - expected) * ln(actual / expected) over bins whose edges come from the reference."""
     keep = [weight] if weight else []
     ref, cur = unpivot(reference, features, keep), unpivot(current, features)
-    edges = ref.groupBy("feature").agg(F.expr(quantile_edges(bins)).alias("edges"))
+    edges = quantile_edges(ref, bins, ["feature"])
     expected = bin_shares(ref, edges, F.col(weight) if weight else None).withColumnRenamed("share", "e")
     actual = bin_shares(cur, edges).withColumnRenamed("share", "a")
     term = (F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))
@@ -64,8 +66,8 @@ def with_age_weights(reference: DataFrame, current: DataFrame, age: str, bins: i
     current share over its reference share among rows in range. A bin with current but no reference rows raises.
     """
     ages = current.select(F.col(age).cast("double").alias("value"))
-    bounds = ages.agg(F.expr(quantile_edges(bins)).alias("edges"), F.min("value").alias("low"), F.max("value").alias("high"))
-    one = F.broadcast(bounds)
+    ends = ages.agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    one = F.broadcast(ends.join(quantile_edges(ages, bins)))  # one row each
     cur = ages.join(one).groupBy(bin_of(F.col("edges"), F.col("value")).alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     a = F.col(age).cast("double")
     binned = reference.join(one).withColumn("_in", a.between(F.col("low"), F.col("high"))).withColumn("_bin", bin_of(F.col("edges"), a)).drop("edges", "low", "high")
@@ -74,7 +76,7 @@ def with_age_weights(reference: DataFrame, current: DataFrame, age: str, bins: i
         F.col("bin").alias("_bin"), F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("r", F.lit(0)).alias("r")
     )
     sums = shares.agg(F.sum("c").alias("cs"), F.sum("r").alias("rs"))
-    ratio = F.when((F.col("c") > 0) & (F.col("r") == 0), F.raise_error(F.lit("current ages outside the reference range cannot be matched")).cast("double")).otherwise(
+    ratio = F.when((F.col("c") > 0) & (F.col("r") == 0), F.raise_error(F.lit("some current ages have no reference rows to be weighed")).cast("double")).otherwise(
         F.when(F.col("r") > 0, (F.col("c") / F.col("cs")) / (F.col("r") / F.col("rs"))).otherwise(0.0)
     )
     table = shares.join(F.broadcast(sums)).select("_bin", ratio.alias("_ratio"))
@@ -90,7 +92,8 @@ def drift(reference: DataFrame, current: DataFrame, features: Sequence[str], age
     """
     ref = unpivot(with_age_weights(reference, current, age, bins), features, ["age_weight"])
     cur = unpivot(current, features)
-    about = ref.groupBy("feature").agg(F.expr(quantile_edges(bins)).alias("edges"), F.avg("value").alias("reference_mean"), F.count(F.lit(1)).alias("reference_rows"))
+    about = ref.groupBy("feature").agg(F.avg("value").alias("reference_mean"), F.count(F.lit(1)).alias("reference_rows"))
+    about = about.join(F.broadcast(quantile_edges(ref.select("feature", "value"), bins, ["feature"])), "feature")
     edges = F.broadcast(about.select("feature", "edges"))
     binned = lambda df: df.join(edges, "feature").groupBy("feature", bin_of(F.col("edges"), F.col("value")).alias("bin"))
     r = binned(ref).agg(F.count(F.lit(1)).alias("r"), F.sum("age_weight").alias("w"))
@@ -113,20 +116,20 @@ def alert_checks(performance: DataFrame, drift_snapshots: DataFrame, now: Column
     performance: segment, rmse, computed_at; drift_snapshots: feature, psi_age_matched, computed_at. Ages and the RMSE
     rise of each segment are always reported: without snapshots the age is infinite and the rise NaN, and both breach.
     """
-    hours = lambda c: (F.unix_micros(now) - F.unix_micros(c)) / 3.6e9
-    parts = []
-    for name, df in (("performance", performance), ("drift", drift_snapshots)):
-        value = F.coalesce(hours(F.max("computed_at")), F.lit(float("inf")))
-        parts.append(df.agg(value.alias("value")).select(F.lit("snapshot_age_hours").alias("check"), F.lit(name).alias("subject"), "value", F.lit(float(max_age_hours)).alias("threshold")))
-    for segment in segments:
-        own = performance.filter(F.col("segment") == segment)
-        rise = own.agg((F.max_by("rmse", "computed_at") / F.min_by("rmse", "computed_at") - 1).alias("value"))
-        parts.append(rise.select(F.lit("rmse_increase").alias("check"), F.lit(segment).alias("subject"), F.coalesce("value", F.lit(float("nan"))).alias("value"), F.lit(float(max_rmse_increase)).alias("threshold")))
-    latest = drift_snapshots.join(F.broadcast(drift_snapshots.agg(F.max("computed_at").alias("computed_at"))), "computed_at")
-    parts.append(latest.select(F.lit("psi_age_matched").alias("check"), F.col("feature").alias("subject"), F.col("psi_age_matched").alias("value"), F.lit(float(max_psi)).alias("threshold")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    hours = lambda c: F.coalesce((F.unix_micros(now) - F.unix_micros(c)) / 3.6e9, F.lit(float("inf")))
+    check = lambda kind, subject, value, most: F.struct(F.lit(kind).alias("check"), subject.alias("subject"), value.cast("double").alias("value"), F.lit(float(most)).alias("threshold"))
+    # Each table is read once and ends up as one row: as many numbers as there are segments asked for, or features.
+    own = F.col("segment").isin(*segments)
+    rises = performance.groupBy("segment").agg((F.max_by("rmse", "computed_at") / F.min_by("rmse", "computed_at") - 1).alias("rise"), F.max("computed_at").alias("newest"))
+    seen = rises.agg(F.max("newest").alias("newest"), F.map_from_entries(F.collect_list(F.when(own, F.struct("segment", "rise")))).alias("rises"))
+    rise = lambda s: F.coalesce(F.try_element_at("rises", F.lit(s)), F.lit(float("nan")))
+    first = seen.select(F.explode(F.array(check("snapshot_age_hours", F.lit("performance"), hours(F.col("newest")), max_age_hours), *(check("rmse_increase", F.lit(s), rise(s), max_rmse_increase) for s in segments))).alias("c"))
+    latest = drift_snapshots.groupBy("feature").agg(F.max(F.struct("computed_at", "psi_age_matched")).alias("l"))
+    drifts = latest.agg(F.max("l.computed_at").alias("newest"), F.collect_list(F.struct("feature", "l")).alias("each"))
+    current = F.filter("each", lambda e: e["l"]["computed_at"] == F.col("newest"))
+    each = F.transform(current, lambda e: check("psi_age_matched", e["feature"], e["l"]["psi_age_matched"], max_psi))
+    second = drifts.select(F.explode(F.concat(F.array(check("snapshot_age_hours", F.lit("drift"), hours(F.col("newest")), max_age_hours)), each)).alias("c"))
+    out = first.unionAll(second).select("c.*")
     # NaN compares as greater than any number, so a missing history breaches.
     return out.withColumn("breached", F.col("value") > F.col("threshold"))
 

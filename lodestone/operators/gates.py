@@ -76,20 +76,47 @@ def grid_search(train: DataFrame, validation: DataFrame, features: Sequence[str]
     return assemble, model, dict((d, e) for e, d in errors)
 
 
-def text_baseline(train: DataFrame, text: str, label: str):
-    """TF-IDF of single words and pairs with logistic regression, and the majority label of the training rows."""
+class TextModel:
+    """Terms counted by the first pipeline, counts damped, and the second pipeline's prediction in ``_p``."""
+
+    def __init__(self, terms, rest):
+        self.terms, self.rest = terms, rest
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.rest.transform(damped(self.terms.transform(df)))
+
+
+def damped(df: DataFrame) -> DataFrame:
+    """``_c`` with 1 + ln(count) in place of each count; one call a text, on its whole vector."""
+    import numpy as np
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    return df.withColumn("_c", F.udf(lambda v: SparseVector(v.size, v.indices, 1 + np.log(v.values)), VectorUDT())("_c"))
+
+
+def text_baseline(train: DataFrame, text: str, label: str) -> tuple[TextModel, str | None]:
+    """TF-IDF of single words and pairs with logistic regression, and the majority label of the training rows.
+
+    Counts enter as 1 + ln(count); terms of fewer than three texts weigh nothing; vectors have length one. Terms are hashed to
+    2^20 places, so that neither the driver nor the model holds a vocabulary that grows with the texts; none is left out.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer, SQLTransformer, StringIndexer
+    from pyspark.ml.feature import IDF, HashingTF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
 
-    stages = [
+    known = train.filter(F.col(label).isNotNull())
+    counted = [
         RegexTokenizer(inputCol=text, outputCol="_w", pattern=r"\W+"),
         NGram(n=2, inputCol="_w", outputCol="_b"),
         SQLTransformer(statement="SELECT *, concat(_w, _b) AS _t FROM __THIS__"),
-        CountVectorizer(inputCol="_t", outputCol="_c", minDF=3, vocabSize=1 << 16),
-        IDF(inputCol="_c", outputCol="_x"),
+        HashingTF(inputCol="_t", outputCol="_c", numFeatures=1 << 20),
+    ]
+    rest = [
+        IDF(inputCol="_c", outputCol="_i", minDocFreq=3),
+        Normalizer(inputCol="_i", outputCol="_x"),
         StringIndexer(inputCol=label, outputCol="_y", handleInvalid="skip"),
         LogisticRegression(featuresCol="_x", labelCol="_y", predictionCol="_p", maxIter=20, regParam=0.01),
     ]
-    majority = train.filter(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).first()
-    return Pipeline(stages=stages).fit(train.filter(F.col(label).isNotNull())), majority[0] if majority else None
+    terms = Pipeline(stages=counted).fit(known)
+    majority = known.groupBy(label).count().orderBy(F.desc("count"), label).first()
+    return TextModel(terms, Pipeline(stages=rest).fit(damped(terms.transform(known)))), majority[0] if majority else None

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.operators.quantiles import exact_quantiles
+
 
 def asymmetric_penalty(error: Column) -> Column:
     """Late predictions (positive error) cost more than early ones."""
@@ -76,15 +78,17 @@ def accuracy(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ())
 
 
 def percentiles(df: DataFrame, value: str, points: dict[str, float]) -> DataFrame:
-    """Exact percentiles with linear interpolation, and the maximum."""
-    return df.agg(*(F.expr(f"percentile({value}, {p}D)").alias(n) for n, p in points.items()), F.max(value).alias("max"))
+    """Exact percentiles with linear interpolation, and the maximum, as one row; all null where there are no values."""
+    found = exact_quantiles(df, value, list(points.values()))
+    named = found.select(*(F.col("quantiles")[i].alias(n) for i, n in enumerate(points)))
+    return df.agg(F.max(value).alias("max")).join(named, F.lit(True), "left").select(*points, "max")
 
 
-def ranking_metrics(ranked: DataFrame, query: str, rank: str, hit: str, base_rate: str, k: int = 10) -> DataFrame:
+def ranking_metrics(ranked: DataFrame, query: str, rank: str, hit: str, base_rate: str, relevant: str, k: int = 10) -> DataFrame:
     """Per query over its k best results: precision at 5 and 10, reciprocal rank, hit at 1, nDCG at 10 and lift.
 
-    ``hit`` is 0 or 1. Discounted gain is binary, against the best order of as many relevant results as there are hits in
-    the k results. A query with fewer than k results raises.
+    ``hit`` is 0 or 1; ``relevant`` is how many relevant documents the query has, found or not. Discounted gain is binary, against
+    a list that begins with all relevant documents. A query with fewer than k results raises.
     """
     gain = F.col(hit) / F.log2(F.col(rank) + 1)
     per = ranked.filter(F.col(rank) <= k).groupBy(query).agg(
@@ -95,16 +99,18 @@ def ranking_metrics(ranked: DataFrame, query: str, rank: str, hit: str, base_rat
         F.max(F.when(F.col(rank) == 1, F.col(hit))).alias("hit_at_1"),
         F.sum(gain).alias("_dcg"),
         F.max(base_rate).alias("_base"),
+        F.max(relevant).alias("_relevant"),
     )
     per = per.filter(F.when(F.col("_n") == k, F.lit(True)).otherwise(F.raise_error(F.lit("a query has too few results")).cast("boolean")))
-    ideal = F.aggregate(F.sequence(F.lit(1), F.col("_h10").cast("int")), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1))
+    places = F.least(F.lit(k), F.col("_relevant")).cast("int")
+    ideal = F.aggregate(F.sequence(F.lit(1), F.greatest(places, F.lit(1))), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1))
     return per.select(
         query,
         (F.col("_h5") / 5).alias("precision_at_5"),
         (F.col("_h10") / 10).alias("precision_at_10"),
         F.coalesce(1 / F.col("_first"), F.lit(0.0)).alias("reciprocal_rank"),
         "hit_at_1",
-        F.when(F.col("_h10") > 0, F.col("_dcg") / ideal).otherwise(0.0).alias("ndcg_at_10"),
+        F.when(places > 0, F.col("_dcg") / ideal).otherwise(0.0).alias("ndcg_at_10"),
         F.try_divide(F.col("_h10") / 10, F.col("_base")).alias("lift_at_10"),
     )
 

@@ -27,6 +27,7 @@ def _(spark, sf_dir):
     return t.select("l_orderkey", "l_linenumber", fn.token_double(F.col("t"), 1).alias("t1"), fn.token_double(F.col("t"), 2).alias("t2"), fn.token_double(F.col("t"), 9).alias("t9"), F.size("t").alias("width"), ((third == F.floor(third)) & third.between(1, 2147483647)).alias("whole"))
 
 
+# Fixed value: how response files are named: model, state, city, first and last day.
 FILE = r"^([a-z0-9]+)_([a-z-]+?)--([a-z-]+)_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{4}-[0-9]{2}-[0-9]{2})[.]json$"
 
 
@@ -36,7 +37,7 @@ FILE = r"^([a-z0-9]+)_([a-z-]+?)--([a-z-]+)_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{
 )
 def _(spark, sf_dir):
     name = F.concat(F.lit("state-"), F.char(97 + F.col("n_nationkey")))
-    path = F.concat(F.lit("s3://bucket/daily/"), F.when(F.col("n_nationkey") % 6 == 0, "notes.txt").otherwise(F.concat(F.lit("era5_"), name, F.lit("--capital_2024-01-01_2024-12-31.json"))))
+    path = F.concat(F.lit("landing/daily/"), F.when(F.col("n_nationkey") % 6 == 0, "notes.txt").otherwise(F.concat(F.lit("era5_"), name, F.lit("--capital_2024-01-01_2024-12-31.json"))))
     parts = load(spark, sf_dir, "nation").select("n_nationkey", fn.file_name(path).alias("f"))
     get = lambda i: fn.matched(F.col("f"), FILE, i)
     return parts.select("n_nationkey", get(1).alias("model"), get(2).alias("state"), (F.datediff(fn.safe_date(get(5)), fn.safe_date(get(4))) + 1).cast("string").alias("days"), F.upper(get(2)).alias("shown"))
@@ -69,8 +70,11 @@ def responses(spark, sf_dir):
 
 
 def response_days(spark, sf_dir):
-    exploded = responses(spark, sf_dir).selectExpr("*", "posexplode_outer(daily.time) AS (i, day)")
-    return exploded.selectExpr("*", "to_date(try_to_timestamp(day, 'yyyy-MM-dd')) AS date", *(f"get(daily.{s}, i) AS {s}" for s in SERIES))
+    """A row for each day of a response, with its place; a response without days is one row without values."""
+    read = responses(spark, sf_dir)
+    rows = F.arrays_zip(*(F.col(f"daily.{c}").alias(c) for c in ("time", *SERIES)))
+    days = read.select("*", F.posexplode_outer(rows).alias("i", "_day"))
+    return days.select(*read.columns, "i", F.col("_day.time").alias("day"), fn.safe_date(F.col("_day.time")).alias("date"), *(F.col(f"_day.{s}").alias(s) for s in SERIES))
 
 
 DAYS_SQL = """d AS (SELECT user_id, ts::DATE AS day, max(value) AS v FROM events GROUP BY ALL), w AS (SELECT user_id, min(day) AS lo, max(day) AS hi, count(*) AS n FROM d GROUP BY user_id),
@@ -88,36 +92,56 @@ def _(spark, sf_dir):
     return checked.groupBy(F.array_join("failed_rules", ",").alias("failed_rules")).agg(F.count(F.lit(1)).alias("days"), F.count_distinct("user_id").alias("responses"))
 
 
+# Reports whose months, industries and codes lie on both sides of what the rules allow.
+MONTHS = ["2024-05", "2024-13", "1999-05", "2024-00", "2031-12"]
+INDUSTRIES = ["", "31-33", "311111", "311111-22", "abc", "3", "48-49", "1234567"]
+CODES = ["12", None, "x1", ""]
+
+
 @query(
     "report_rules",
-    """WITH r AS (SELECT doc_id, CASE WHEN doc_id % 12 = 0 THEN '2024-13' ELSE '2024-05' END AS m, CASE WHEN doc_id % 7 = 0 THEN 'X' ELSE 'TX' END AS s, CASE WHEN doc_id % 5 = 0 THEN '31-33' WHEN doc_id % 9 = 0 THEN 'abc' ELSE '' END AS n, text FROM documents)
-SELECT doc_id, concat_ws(',', CASE WHEN NOT doc_id > 0 THEN 'positive_id' END, CASE WHEN doc_id % 12 = 0 THEN 'month_format' END, CASE WHEN length(s) <= 1 THEN 'state_present' END, CASE WHEN n = 'abc' THEN 'naics_format' END, CASE WHEN length(trim(text)) < 20 THEN 'narrative_present' END) AS failed_rules FROM r""",
+    f"""WITH r AS (SELECT doc_id, {MONTHS}[doc_id % {len(MONTHS)} + 1] AS m, CASE WHEN doc_id % 7 = 0 THEN 'X' WHEN doc_id % 11 = 0 THEN NULL ELSE 'TX' END AS s, {INDUSTRIES}[doc_id % {len(INDUSTRIES)} + 1] AS n, doc_id % 4 = 1 AS uncoded, doc_id % 13 = 0 AS odd, text FROM documents)
+SELECT doc_id, concat_ws(',', CASE WHEN NOT doc_id > 0 THEN 'positive_id' END, CASE WHEN odd THEN 'schema_conforms' END, CASE WHEN m NOT IN ('2024-05', '2031-12') THEN 'month_format' END, CASE WHEN s IS NULL OR length(s) <= 1 THEN 'state_present' END,
+  CASE WHEN n IN ('311111-22', 'abc', '3', '1234567') THEN 'naics_format' END, CASE WHEN length(trim(text)) < 20 THEN 'narrative_present' END, CASE WHEN uncoded THEN 'event_coded' END) AS failed_rules FROM r""",
 )
 def _(spark, sf_dir):
     i = F.col("doc_id")
+    one_of = lambda values: F.element_at(F.array(*(F.lit(v).cast("string") for v in values)), (i % len(values) + 1).cast("int"))
     r = load(spark, sf_dir, "documents").select(
         "doc_id",
         i.alias("report_id"),
-        F.lit(None).cast("string").alias("rescued"),
-        F.when(i % 12 == 0, "2024-13").otherwise("2024-05").alias("event_month"),
-        F.when(i % 7 == 0, "X").otherwise("TX").alias("state"),
-        F.when(i % 5 == 0, "31-33").when(i % 9 == 0, "abc").otherwise("").alias("naics"),
+        F.when(i % 13 == 0, '{"more":"1"}').alias("rescued"),
+        one_of(MONTHS).alias("event_month"),
+        F.when(i % 7 == 0, "X").when(i % 11 != 0, "TX").alias("state"),
+        one_of(INDUSTRIES).alias("naics"),
         F.col("text").alias("narrative"),
-        F.lit("12").alias("event_code"),
+        one_of(CODES).alias("event_code"),
     )
     return REPORT_RULES.check(r).select("doc_id", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+# Events of a fleet as JSON; some are no object, have a field too many, another id, or keys outside their domain.
+DOMAINS = {"dataset": "^FLEET$", "subset": "^FD00[1-4]$", "split": "^(train|test)$"}
+
+
 @query(
     "stream_events",
-    """WITH c AS (SELECT user_id + 1 AS unit, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cycle, value FROM events)
-SELECT unit, cycle, concat_ws(',', CASE WHEN cycle % 50 = 3 THEN 'is_json_object' END, CASE WHEN cycle % 50 IN (3, 7) THEN 'exact_keys' END, CASE WHEN cycle % 50 = 3 THEN 'key_domain' END, CASE WHEN cycle % 50 IN (3, 11) THEN 'id_matches' END, CASE WHEN cycle % 50 = 3 THEN 'finite_values' END) AS failed_rules FROM c""",
+    """WITH c AS (SELECT user_id + 1 AS unit, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cycle FROM events),
+d AS (SELECT *, cycle % 50 = 3 AS no_object, cycle % 50 = 7 AS odd, cycle % 50 = 11 AS other_id, cycle % 50 = 13 AS unknown_subset, cycle % 50 = 17 AS held, cycle % 50 = 19 AS none, cycle % 50 = 23 AS no_dataset FROM c)
+SELECT unit, cycle, concat_ws(',', CASE WHEN no_object THEN 'is_json_object' END, CASE WHEN no_object OR odd OR no_dataset THEN 'exact_keys' END, CASE WHEN no_object OR unknown_subset OR held OR no_dataset THEN 'key_domain' END,
+  CASE WHEN no_object OR other_id OR no_dataset THEN 'id_matches' END, CASE WHEN no_object OR none THEN 'finite_values' END) AS failed_rules FROM d""",
 )
 def _(spark, sf_dir):
-    e = produced(spark, sf_dir).withColumnRenamed("event_id", "sent")
-    damaged = F.when(F.col("cycle") % 50 == 3, F.lit("[1]")).when(F.col("cycle") % 50 == 7, F.regexp_replace("payload", r"^\{", '{"odd":1,')).when(F.col("cycle") % 50 == 11, F.regexp_replace("payload", "EV-", "XX-")).otherwise(F.col("payload"))
-    parsed = e.select("unit", "cycle", damaged.alias("payload")).withColumn("event", F.from_json("payload", "event_id STRING, unit BIGINT, cycle INT, value DOUBLE"))
-    rules = event_rules("payload", ["unit", "cycle"], ["value"], "format_string('EV-%03d-%03d', event.unit, event.cycle)")
+    e, at = produced(spark, sf_dir).select("unit", "cycle", F.from_json("payload", "value DOUBLE")["value"].alias("v")), F.col("cycle") % 50
+    subset, split = F.when(at == 13, "FD005").otherwise("FD002"), F.when(at == 17, "held").otherwise("test")
+    key = F.format_string("%s-%s-%s-%03d-%03d", F.lit("FLEET"), subset, split, F.col("unit").cast("int"), F.col("cycle").cast("int"))
+    fields = F.struct(
+        F.when(at == 11, "other").otherwise(key).alias("event_id"), F.when(at != 23, F.lit("FLEET")).alias("dataset"), subset.alias("subset"), split.alias("split"), "unit", "cycle", F.when(at == 19, "NaN").alias("value"), F.when(at == 7, 1).alias("odd")
+    )
+    shown = F.regexp_replace(F.to_json(fields), r"\}$", F.when(at == 19, "}").otherwise(F.concat(F.lit(',"value":'), F.col("v").cast("string"), F.lit("}"))))
+    parsed = e.select("unit", "cycle", F.when(at == 3, "[1]").otherwise(shown).alias("payload"))
+    parsed = parsed.withColumn("event", F.from_json("payload", "event_id STRING, dataset STRING, subset STRING, split STRING, unit INT, cycle INT, value DOUBLE"))
+    rules = event_rules("payload", ["dataset", "subset", "split", "unit", "cycle"], ["value"], "format_string('%s-%s-%s-%03d-%03d', event.dataset, event.subset, event.split, event.unit, event.cycle)", DOMAINS)
     return rules.check(parsed).select("unit", "cycle", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
@@ -126,16 +150,34 @@ def _(spark, sf_dir):
     return pacing.request_plan(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 2019, 2024, ["n_name"])
 
 
+# A log of calls: each order asks for some days and variables of one to three places, at its date.
+CALLS = "w AS (SELECT o_orderkey, o_custkey, o_orderdate AS called, (1 + o_orderkey % 3) * greatest(1.0, (1 + o_orderkey % 400) / 14.0) * greatest(1.0, (1 + o_orderkey % 25) / 10.0) AS weight FROM orders)"
+
+
+def calls(spark, sf_dir):
+    k = F.col("o_orderkey")
+    weight = pacing.call_weights(1 + k % 400, 1 + k % 25, 1 + k % 3)
+    return load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("called"), weight.alias("weight"))
+
+
+@query("call_weights", f"WITH {CALLS} SELECT o_orderkey, round(weight, 6) AS weight FROM w")
+def _(spark, sf_dir):
+    return calls(spark, sf_dir).select("o_orderkey", F.round("weight", 6).alias("weight"))
+
+
+@query("call_budgets", f"WITH {CALLS} SELECT o_orderkey, round(sum(weight) OVER (PARTITION BY o_custkey ORDER BY epoch(called)::BIGINT RANGE BETWEEN 2591999 PRECEDING AND CURRENT ROW), 4) AS used FROM w")
+def _(spark, sf_dir):
+    used = pacing.budget_used(calls(spark, sf_dir), "called", "weight", 30 * 86400, "used", ["o_custkey"])
+    return used.select("o_orderkey", F.round("used", 4).alias("used"))
+
+
 @query(
-    "call_budgets",
-    """SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY epoch(ts)::BIGINT RANGE BETWEEN 86399 PRECEDING AND CURRENT ROW), 4) AS used FROM (SELECT event_id, user_id, value, date_trunc('second', ts) AS ts FROM events)""",
+    "calls_left",
+    f"""WITH {CALLS} SELECT round(coalesce(sum(weight) FILTER (called <= TIMESTAMP '1998-01-01' AND called > TIMESTAMP '1997-12-25'), 0), 3) AS week, round(coalesce(sum(weight) FILTER (called <= TIMESTAMP '1998-01-01' AND called > TIMESTAMP '1996-12-27'), 0), 3) AS long FROM w""",
 )
 def _(spark, sf_dir):
-    from pyspark.sql import Window
-
-    e = load(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy(F.date_trunc("second", "ts").cast("timestamp").cast("long")).rangeBetween(-86399, 0)
-    return e.select("event_id", F.round(F.sum("value").over(w), 4).alias("used"))
+    used = pacing.used_by_window(calls(spark, sf_dir), "called", "weight", F.lit("1998-01-01 00:00:00"), {"week": 7 * 86400, "long": 370 * 86400})
+    return used.select(F.round("week", 3).alias("week"), F.round("long", 3).alias("long"))
 
 
 @query("stream_rerun")
@@ -149,13 +191,14 @@ def _(spark, sf_dir):
     return spark.read.parquet(f"{root}/bronze").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events")).withColumn("added_again", F.lit(added[1]))
 
 
-@query("landed_lines", "SELECT count(*) AS lines, 25 AS nations, 25 AS keys FROM nation")
+@query("landed_lines", "SELECT l_orderkey % 50 AS first, count(*) AS lines, count(DISTINCT l_orderkey) AS orders, CAST(sum(l_linenumber) AS BIGINT) AS numbers FROM lineitem GROUP BY 1")
 def _(spark, sf_dir):
     root = f"{shared_dir(spark)}/lodestone/lines-{uuid.uuid4().hex}"
-    n = load(spark, sf_dir, "nation")
-    n.select(F.concat_ws(" ", "n_nationkey", "n_regionkey")).write.text(root)
+    l = load(spark, sf_dir, "lineitem")
+    l.select(F.concat(F.lit(" "), F.concat_ws("  ", "l_orderkey", "l_linenumber"))).write.text(root)
     lines = files.text_lines(spark, root).withColumn("t", fn.tokens(F.col("raw_line")))
-    return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("raw_line").cast("int").alias("nations"), F.count_distinct(fn.token_double(F.col("t"), 1)).cast("int").alias("keys"))
+    key, number = (fn.token_double(F.col("t"), i).cast("long") for i in (1, 2))
+    return lines.groupBy((key % 50).alias("first")).agg(F.count(F.lit(1)).alias("lines"), F.count_distinct(key).alias("orders"), F.sum(number).alias("numbers"))
 
 
 @query("rescued_json", """SELECT n_nationkey AS id, n_name AS name, CASE WHEN n_nationkey % 3 = 0 THEN '{"extra":"1"}' END AS rescued FROM nation""")

@@ -145,7 +145,7 @@ AGE = "((extract('year' FROM l_shipdate) - 1995) * 12 + extract('month' FROM l_s
 def _drift_sql(weighted):
     """The bins' shares on both sides, and their divergence, in plain SQL."""
     edges = ", ".join(f"{i / 10}" for i in range(1, 10))
-    sides = f"""r AS (SELECT *, {AGE}::DOUBLE AS age FROM lineitem WHERE l_returnflag = 'R'), c AS (SELECT *, {AGE}::DOUBLE AS age FROM lineitem WHERE l_returnflag <> 'R' AND {AGE} BETWEEN 13 AND 70),
+    sides = f"""r AS (SELECT *, {AGE}::DOUBLE AS age FROM lineitem WHERE l_returnflag = 'R'), c AS (SELECT *, {AGE}::DOUBLE AS age FROM lineitem WHERE l_returnflag <> 'R'),
 ce AS (SELECT list_sort(list_distinct(quantile_cont(age, [{edges}]))) AS e, min(age) AS lo, max(age) AS hi FROM c),
 ca AS (SELECT len(list_filter(e, lambda x: x <= age)) AS b, count(*) AS n FROM c, ce GROUP BY 1),
 ra AS (SELECT len(list_filter(e, lambda x: x <= age)) AS b, count(*) AS n FROM r, ce WHERE age BETWEEN lo AND hi GROUP BY 1),
@@ -165,7 +165,7 @@ LEFT JOIN (SELECT len(list_filter(e, lambda x: x <= {f})) AS b, count(*) AS n FR
 
 def sides(spark, sf_dir):
     lines = load(spark, sf_dir, "lineitem").withColumn("age", ((F.year("l_shipdate") - 1995) * 12 + F.month("l_shipdate")).cast("double"))
-    return lines.filter("l_returnflag = 'R'"), lines.filter("l_returnflag <> 'R' AND age BETWEEN 13 AND 70")
+    return lines.filter("l_returnflag = 'R'"), lines.filter("l_returnflag <> 'R'")
 
 
 @query("psi_drift", _drift_sql(False) + " SELECT feature, round(v, 6) AS psi FROM d")
@@ -197,13 +197,9 @@ def _(spark, sf_dir):
 def snapshots(spark, sf_dir):
     monthly = performance(spark, sf_dir, "month").select("segment", "rmse", F.to_timestamp(F.concat("month", F.lit("-01"))).alias("computed_at"))
     lines = load(spark, sf_dir, "lineitem")
-    value = lambda c: F.abs(F.avg(c) / F.max(c) - 0.5).alias("psi_age_matched")
     by_month = F.to_timestamp(F.date_format("l_shipdate", "yyyy-MM-01")).alias("computed_at")
-    parts = [lines.groupBy(by_month).agg(value(c)).select(F.lit(c).alias("feature"), "psi_age_matched", "computed_at") for c in FEATURES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return monthly, out
+    each = drift.unpivot(lines.withColumn("computed_at", by_month), FEATURES, ["computed_at"])
+    return monthly, each.groupBy("feature", "computed_at").agg(F.abs(F.avg("value") / F.max("value") - 0.5).alias("psi_age_matched"))
 
 
 SNAPSHOTS = f"""{PREDICTED}, {SEGMENTS}, perf AS (SELECT segment, month || '-01' AS computed_at, sqrt(avg((predicted - actual) ** 2)) AS rmse, count(*) AS n FROM s GROUP BY ALL),

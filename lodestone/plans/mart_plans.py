@@ -36,19 +36,19 @@ def _(spark, sf_dir):
 @query(
     "fleet_kpis",
     f"""WITH {FLEET} SELECT (SELECT count(*) FROM status) AS units, (SELECT count(*) FROM status WHERE risk_band = 'critical') AS critical, (SELECT count(*) FROM status WHERE risk_band = 'warning') AS warning,
-(SELECT max(model_version) FROM log) AS model_version, (SELECT max_by(predicted, cycle * 1000 + user_id) FROM log WHERE model_version = (SELECT max(model_version) FROM log)) AS newest_prediction, (SELECT round(avg(predicted), 4) FROM status) AS mean_remaining""",
+(SELECT max(model_version) FROM log) AS model_version, (SELECT max_by(predicted, (cycle, user_id)) FROM log WHERE model_version = (SELECT max(model_version) FROM log)) AS newest_prediction, (SELECT round(avg(predicted), 4) FROM status) AS mean_remaining""",
 )
 def _(spark, sf_dir):
     log, fleet = predictions(spark, sf_dir), status(spark, sf_dir)
     kpis = bi.risk_kpis(fleet, "predicted").select("units", "critical", "warning", F.round("mean_remaining", 4).alias("mean_remaining"))
-    newest = log.groupBy("model_version").agg(F.max_by("predicted", F.col("cycle") * 1000 + F.col("user_id")).alias("newest_prediction")).agg(F.max("model_version").alias("model_version"), F.max_by("newest_prediction", "model_version").alias("newest_prediction"))
+    newest = log.groupBy("model_version").agg(F.max_by("predicted", F.struct("cycle", "user_id")).alias("newest_prediction")).agg(F.max("model_version").alias("model_version"), F.max_by("newest_prediction", "model_version").alias("newest_prediction"))
     return kpis.join(newest)  # one row each
 
 
 @query(
     "at_risk_trajectories",
     f"""WITH {FLEET}, worst AS (SELECT user_id FROM status ORDER BY predicted, user_id LIMIT 5)
-SELECT 'Unit ' || lpad(CAST(log.user_id AS VARCHAR), 3, '0') AS unit, cycle, predicted FROM log JOIN worst USING (user_id) WHERE model_version = (SELECT max(model_version) FROM log) OR true""",
+SELECT 'Unit ' || lpad(CAST(log.user_id AS VARCHAR), 3, '0') AS unit, cycle, predicted FROM log JOIN worst USING (user_id)""",
 )
 def _(spark, sf_dir):
     log = predictions(spark, sf_dir)
@@ -156,12 +156,17 @@ def _(spark, sf_dir):
     return o.rollup("status", "priority").agg(F.count(F.lit(1)).alias("orders"))
 
 
-@query("dataset_lint", "SELECT * FROM (VALUES ('good', ''), ('bad', 'reads secret.table; names ssn; lacks total')) v(dataset, problems)")
+# A dataset for each nation: it may read a table that it must not, name a column that it must not, or lack what a widget shows.
+@query(
+    "dataset_lint",
+    """SELECT n_nationkey AS id, concat_ws('; ', CASE WHEN n_nationkey % 2 = 1 THEN 'reads raw.table' || n_nationkey END, CASE WHEN n_nationkey % 3 = 1 THEN 'names ssn' END, CASE WHEN n_nationkey % 5 = 1 THEN 'lacks total' END) AS problems FROM nation""",
+)
 def _(spark, sf_dir):
-    good = "WITH x AS (SELECT * FROM orders) SELECT count(*) AS total FROM x JOIN customer c ON true"
-    bad = "SELECT ssn FROM secret.table"
-    rows = [(n, "; ".join(bi.lint(q, {"orders", "customer"}, ["ssn"], ["total"], cols))) for n, q, cols in (("good", good, ["total"]), ("bad", bad, ["ssn"]))]
-    return spark.createDataFrame(rows, "dataset string, problems string")
+    def problems(i):
+        sql = f"WITH own{i} AS (SELECT * FROM orders WHERE note <> 'from hidden.table') SELECT {'SSN' if i % 3 == 1 else 'ssnx'}, count(*) AS n FROM own{i} JOIN {f'raw.table{i}' if i % 2 else 'customer'} c ON true"
+        return "; ".join(bi.lint(sql, {"orders", "customer"}, ["ssn"], ["total", "n"], ["n"] if i % 5 == 1 else ["n", "total"]))
+
+    return load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.udf(problems, "string")("n_nationkey").alias("problems"))
 
 
 # ---- gates -----------------------------------------------------------------------------------------------------
@@ -185,10 +190,20 @@ def _(spark, sf_dir):
     return e.select("id", F.array_join(gates.promotion_reasons("challenger", "champion", "baseline", "gold", ["a", "b"]), ", ").alias("reasons"))
 
 
-@query("retrain_reason", "SELECT true AS retrain, 'changed: labels' AS reason")
+# Inputs of training and their digests: those of nations, of which the champion had other ones, or lacked some, or had more.
+DIGESTS = """now AS (SELECT 'input ' || n_nationkey AS name, md5(n_name) AS digest FROM nation WHERE n_nationkey % 7 <> 3), used AS (SELECT 'input ' || n_nationkey AS name, CASE WHEN n_nationkey % 6 = 1 THEN md5('other') ELSE md5(n_name) END AS digest FROM nation WHERE n_nationkey % 5 <> 2)"""
+
+
+@query(
+    "retrain_reason",
+    f"""WITH {DIGESTS}, d AS (SELECT now.name FROM now LEFT JOIN used ON now.name = used.name WHERE now.digest IS DISTINCT FROM used.digest)
+SELECT count(*) > 0 AS retrain, CASE WHEN count(*) > 0 THEN 'changed: ' || string_agg(name, ', ' ORDER BY name) ELSE 'unchanged' END AS reason FROM d""",
+)
 def _(spark, sf_dir):
-    now = spark.createDataFrame([("features", "1"), ("labels", "2")], "name string, digest string")
-    used = spark.createDataFrame([("features", "1"), ("labels", "0")], "name string, digest string")
+    key, name = F.col("n_nationkey"), F.concat(F.lit("input "), F.col("n_nationkey").cast("string")).alias("name")
+    nations = load(spark, sf_dir, "nation")
+    now = nations.filter(key % 7 != 3).select(name, F.md5("n_name").alias("digest"))
+    used = nations.filter(key % 5 != 2).select(name, F.md5(F.when(key % 6 == 1, F.lit("other")).otherwise(F.col("n_name"))).alias("digest"))
     return gates.retrain_reason(now, used)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestone import functions as fn
 from lodestone.catalog import load
-from lodestone.operators import gates, metrics, text
+from lodestone.operators import gates, injuries, metrics, text
 from lodestone.plans.registry import query
 
 # Kinds of parts by the first pattern that fits their type.
@@ -71,29 +71,71 @@ def _(spark, sf_dir):
     return out.select("p_partkey", text.era(F.col("month")).alias("era"), F.col("body_part_division").alias("division"), "body_part", F.col("body_part_changed").alias("changed"))
 
 
+def _shown_sql(label, field):
+    return f"coalesce(CASE {label} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in injuries.SHOWN[field].items()) + f" END, '{injuries.NOWHERE[field]}')"
+
+
+def _field_sql(field):
+    """Titles and codes of one field, harmonised: the current era's most frequent division of a title, hips apart."""
+    own = "left(code, 1)"
+    hips = "WHEN regexp_matches(n.t, '\\bhips?\\b') AND NOT contains(n.t, 'trunk') THEN '5' " if field == "body_part" else ""
+    names = "CASE division " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in text.DIVISIONS[field].items()) + " END"
+    unplaced = text.UNSCOREABLE[field]
+    return f"""{field}_n AS (SELECT id, month, {own} AS own, trim(regexp_replace(lower({field}_title), '[^a-z0-9.]+', ' ', 'g')) AS t FROM (SELECT *, {field}_code AS code FROM raw)),
+{field}_m AS (SELECT t, own AS mode FROM (SELECT t, own, count(*) AS c FROM {field}_n WHERE month >= '2024-01' GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY t ORDER BY c DESC, own) = 1),
+{field}_d AS (SELECT n.id, n.t, CASE {hips}WHEN true THEN coalesce(m.mode, n.own) END AS division FROM {field}_n n LEFT JOIN {field}_m m ON n.t = m.t),
+{field}_f AS (SELECT id, {_shown_sql(f"(CASE WHEN regexp_matches(t, '{unplaced}') THEN NULL ELSE {names} END)", field)} AS {field}_category FROM {field}_d)"""
+
+
+RAW_FACTS = f"""raw AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN '2024-05' ELSE '2019-05' END AS month, CAST(p_size AS VARCHAR) AS body_part_code,
+  CASE WHEN p_partkey % 40 = 0 THEN 'Hips, thigh' WHEN p_partkey % 41 = 0 THEN 'Part of body, unspecified' ELSE p_brand END AS body_part_title, CAST(p_size % 9 AS VARCHAR) || '10' AS event_code, CASE WHEN p_partkey % 17 = 0 THEN 'Nonclassifiable' ELSE p_type END AS event_title,
+  CAST(p_partkey % 10 AS VARCHAR) AS source_code, CASE WHEN p_partkey % 19 = 0 THEN 'Source, n.e.c.' ELSE 'Kind ' || p_partkey % 31 END AS source_title, CAST(11 + p_partkey % 88 AS VARCHAR) || '1' AS naics,
+  {TITLE_SQL}[p_partkey % {len(TITLES)} + 1] AS nature_title FROM part)"""
+
+
 @query(
     "injury_facts",
-    f"""WITH {HARMONISE} SELECT p_partkey AS report_id, month AS event_month, coalesce(CASE WHEN regexp_matches(t, '^nonclassifiable$|^part of body\\b') THEN NULL ELSE {NAMES_SQL} END, 'Not classifiable') AS body_part,
-  coalesce({NATURE_SQL.replace('trim(t)', "trim(lower(" + TITLE_SQL + "[p_partkey % 12 + 1]))")}, 'Unspecified') AS nature, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_partkey % 3 AS VARCHAR) END AS hospitalized FROM d""",
+    f"""WITH {RAW_FACTS}, {", ".join(_field_sql(f) for f in ("event", "body_part", "source"))}, k AS (SELECT id, {NATURE_SQL.replace("trim(t)", "trim(lower(nature_title))")} AS nature FROM raw)
+SELECT raw.id AS report_id, month AS event_month, month || '-01' AS event_date, CAST(left(month, 4) AS INTEGER) AS event_year, CASE WHEN month >= '2024-01' THEN '2024-25' ELSE '2015-23' END AS coding_era, 'TX' AS state, naics, left(naics, 2) AS naics_sector,
+  coalesce(CASE left(naics, 2) {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in injuries.SECTORS.items())} END, '{injuries.UNKNOWN_SECTOR}') AS industry_sector, event_category, {_shown_sql("k.nature", "nature")} AS nature_category, body_part_category, source_category,
+  CASE WHEN raw.id % 9 <> 0 THEN CAST(raw.id % 3 AS INTEGER) END AS hospitalized, CASE WHEN raw.id % 7 <> 0 THEN CAST(raw.id % 2 AS INTEGER) END AS amputation, CAST(NULL AS INTEGER) AS loss_of_eye, CASE WHEN raw.id % 5 <> 0 THEN raw.id % 2 = 0 END AS inspected
+FROM raw JOIN event_f USING (id) JOIN body_part_f USING (id) JOIN source_f USING (id) JOIN k USING (id)""",
 )
 def _(spark, sf_dir):
+    i, of = F.col("p_partkey"), lambda n: F.col("p_partkey") % n
     coded = coded_parts(spark, sf_dir).join(titled(spark, sf_dir).select("p_partkey", F.col("title").alias("nature_title")), "p_partkey")
-    out = text.harmonise(coded, "body_part", "code", "title", "month")
-    return out.select(
-        F.col("p_partkey").alias("report_id"),
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    naics = F.concat((of(88) + 11).cast("string"), F.lit("1"))
+    reports = coded.join(part, "p_partkey").select(
+        i.alias("report_id"),
         F.col("month").alias("event_month"),
-        F.coalesce("body_part", F.lit("Not classifiable")).alias("body_part"),
-        F.coalesce(text.nature_type(F.col("nature_title")), F.lit("Unspecified")).alias("nature"),
-        F.when(F.col("p_partkey") % 9 != 0, (F.col("p_partkey") % 3).cast("string")).alias("hospitalized"),
+        F.substring("month", 1, 4).alias("event_year"),
+        F.lit("TX").alias("state"),
+        naics.alias("naics"),
+        F.substring(naics, 1, 2).alias("naics_sector"),
+        F.col("code").alias("body_part_code"),
+        F.col("title").alias("body_part_title"),
+        F.concat((F.col("p_size") % 9).cast("string"), F.lit("10")).alias("event_code"),
+        F.when(of(17) == 0, "Nonclassifiable").otherwise(F.col("p_type")).alias("event_title"),
+        of(10).cast("string").alias("source_code"),
+        F.when(of(19) == 0, "Source, n.e.c.").otherwise(F.concat(F.lit("Kind "), of(31).cast("string"))).alias("source_title"),
+        "nature_title",
+        F.when(of(9) != 0, of(3)).alias("hospitalized"),
+        F.when(of(7) != 0, of(2)).alias("amputation"),
+        F.lit(None).cast("int").alias("loss_of_eye"),
+        F.when(of(5) != 0, of(2) == 0).alias("inspected"),
     )
+    return injuries.injury_facts(reports).withColumn("event_date", F.col("event_date").cast("string"))
 
 
-SPLIT_SQL = "CAST(('0x' || left(sha256('osha-extraction-v1:' || {k}), 8)) AS BIGINT) % 1000"
+# Fixed value: what the split's hash begins with.
+SPLIT_SALT = "osha-extraction-v1"
+SPLIT_SQL = f"CAST(('0x' || left(sha256('{SPLIT_SALT}:' || {{k}}), 8)) AS BIGINT) % 1000"
 
 
 @query("hash_split", f"WITH b AS (SELECT doc_id, {SPLIT_SQL.format(k='doc_id')} AS bucket FROM documents) SELECT doc_id, CASE WHEN bucket < 10 THEN 'test' WHEN bucket < 11 THEN 'dev' ELSE 'train' END AS split FROM b")
 def _(spark, sf_dir):
-    return load(spark, sf_dir, "documents").select("doc_id", text.hash_split(F.col("doc_id"), "osha-extraction-v1").alias("split"))
+    return load(spark, sf_dir, "documents").select("doc_id", text.hash_split(F.col("doc_id"), SPLIT_SALT).alias("split"))
 
 
 @query("group_split", "WITH u AS (SELECT DISTINCT user_id FROM events) SELECT user_id, CAST(('0x' || left(sha256('42:' || user_id), 8)) AS BIGINT) % 1000 < 200 AS validation FROM u")
@@ -201,7 +243,15 @@ def _(spark, sf_dir):
     return text.check_citations(facts(spark, sf_dir), "said", "known").select("conv_id", "turn", "claims", "uncited", F.round("coverage", 6).alias("coverage"), "valid")
 
 
-@query("sentences")
+@query(
+    "sentences",
+    r"""WITH c AS (SELECT conv_id, turn, regexp_split_to_array(coalesce(text, ''), '\r\n|[\n\r]') AS lines FROM conversations WHERE role = 'assistant'),
+l AS (SELECT conv_id, turn, i, regexp_replace(lines[i], '^[ \t\n\x0B\f\r]*([-*•]|\d+[.)])[ \t\n\x0B\f\r]+', '') AS line FROM c, unnest(range(1, len(lines) + 1)) r(i)),
+m AS (SELECT conv_id, turn, i, regexp_replace(regexp_replace(line, '([.!?])[ \t\n\x0B\f\r]+([^ \t\n\x0B\f\r\[])', '\1' || chr(1) || '\2', 'g'), '(\])[ \t\n\x0B\f\r]+([A-Z])', '\1' || chr(1) || '\2', 'g') AS line FROM l),
+p AS (SELECT conv_id, turn, i, j, trim(string_split(line, chr(1))[j]) AS s FROM m, unnest(range(1, len(string_split(line, chr(1))) + 1)) r(j)),
+k AS (SELECT * FROM p WHERE s <> '' AND NOT ends_with(s, ':') AND trim(regexp_replace(s, '\[\d+(\s*,\s*\d+)*\]', '', 'g'), ' .') <> '')
+SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY i, j) - 1 AS INTEGER) AS place, s AS sentence FROM k""",
+)
 def _(spark, sf_dir):
     c = load(spark, sf_dir, "conversations").filter("role = 'assistant'")
     return c.select("conv_id", "turn", F.posexplode(text.sentences(F.col("text"))).alias("place", "sentence"))
@@ -238,13 +288,13 @@ def _(spark, sf_dir):
 
 @query(
     "decline_routes",
-    f"""WITH {ANSWER} SELECT status, count(*) FILTER (top1 >= 0.3) AS above, count(*) FILTER (top1 < 0.3) AS below, count(*) FILTER (abs(top1 - 0.3) <= 0.02) AS near, array_to_string(list_sort(list(DISTINCT conv_id)), ',') AS conversations
+    f"""WITH {ANSWER} SELECT status, count(*) FILTER (top1 >= 0.3) AS above, count(*) FILTER (top1 < 0.3) AS below, count(*) FILTER (abs(top1 - 0.3) <= 0.02) AS near, count(DISTINCT conv_id) AS conversations, min(conv_id) AS first_conversation
 FROM s WHERE status LIKE 'declined%' GROUP BY status""",
 )
 def _(spark, sf_dir):
     a = answers(spark, sf_dir).filter(F.col("status").startswith("declined"))
     return a.groupBy("status").agg(
-        F.count_if(F.col("top1") >= 0.3).alias("above"), F.count_if(F.col("top1") < 0.3).alias("below"), F.count_if(F.abs(F.col("top1") - 0.3) <= 0.02).alias("near"), F.array_join(F.array_sort(F.collect_set("conv_id")), ",").alias("conversations")
+        F.count_if(F.col("top1") >= 0.3).alias("above"), F.count_if(F.col("top1") < 0.3).alias("below"), F.count_if(F.abs(F.col("top1") - 0.3) <= 0.02).alias("near"), F.count_distinct("conv_id").alias("conversations"), F.min("conv_id").alias("first_conversation")
     )
 
 

@@ -55,13 +55,13 @@ def _(spark, sf_dir):
 
 
 METRICS = """r AS (SELECT query_id, sum(CASE WHEN rank <= 5 AND hit THEN 1 ELSE 0 END) / 5 AS p5, sum(hit::INT) / 10 AS p10, coalesce(1 / min(CASE WHEN hit THEN rank END), 0) AS rr, max(CASE WHEN rank = 1 THEN hit::INT END) AS h1,
-  sum(hit::INT / log2(rank + 1)) AS dcg, sum(hit::INT) AS hits FROM t GROUP BY query_id), base AS (SELECT label, count(*) / (SELECT count(*) FROM v) AS rate FROM v GROUP BY label)"""
+  sum(hit::INT / log2(rank + 1)) AS dcg, sum(hit::INT) AS hits FROM t GROUP BY query_id), base AS (SELECT label, count(*) / (SELECT count(*) FROM v) AS rate, count(*) - 1 AS wanted FROM v GROUP BY label)"""
 
 
 @query(
     "ranking_metrics",
     f"""WITH {VECTORS}, {_ranked('t', 'v', 64)}, {METRICS} SELECT r.query_id, p5 AS precision_at_5, p10 AS precision_at_10, round(rr, 6) AS reciprocal_rank, h1 AS hit_at_1,
-  round(CASE WHEN hits > 0 THEN dcg / list_sum(list_transform(range(1, hits::BIGINT + 1), lambda i: 1 / log2(i + 1))) ELSE 0 END, 6) AS ndcg_at_10, round(p10 / rate, 6) AS lift_at_10 FROM r JOIN v ON r.query_id = v.vec_id JOIN base ON v.label = base.label""",
+  round(CASE WHEN wanted > 0 THEN dcg / list_sum(list_transform(range(1, least(10, wanted) + 1), lambda i: 1 / log2(i + 1))) ELSE 0 END, 6) AS ndcg_at_10, round(p10 / rate, 6) AS lift_at_10 FROM r JOIN v ON r.query_id = v.vec_id JOIN base ON v.label = base.label""",
 )
 def _(spark, sf_dir):
     return ranked(spark, sf_dir)
@@ -70,10 +70,10 @@ def _(spark, sf_dir):
 def ranked(spark, sf_dir):
     labels = embeddings(spark, sf_dir).select("vec_id", "label")
     total = labels.agg(F.count(F.lit(1)).alias("n"))
-    base = labels.groupBy("label").agg(F.count(F.lit(1)).alias("c")).join(total).select("label", (F.col("c") / F.col("n")).alias("base"))
+    base = labels.groupBy("label").agg(F.count(F.lit(1)).alias("c")).join(total).select("label", (F.col("c") / F.col("n")).alias("base"), (F.col("c") - 1).alias("relevant"))
     hits = searched(spark, sf_dir).join(labels, "vec_id").join(labels.select(F.col("vec_id").alias("query_id"), F.col("label").alias("wanted")), "query_id")
     hits = hits.join(base.withColumnRenamed("label", "wanted"), "wanted").withColumn("hit", (F.col("label") == F.col("wanted")).cast("int"))
-    out = metrics.ranking_metrics(hits, "query_id", "rank", "hit", "base")
+    out = metrics.ranking_metrics(hits, "query_id", "rank", "hit", "base", "relevant")
     return out.select("query_id", "precision_at_5", "precision_at_10", F.round("reciprocal_rank", 6).alias("reciprocal_rank"), "hit_at_1", F.round("ndcg_at_10", 6).alias("ndcg_at_10"), F.round("lift_at_10", 6).alias("lift_at_10"))
 
 
@@ -86,12 +86,14 @@ def _(spark, sf_dir):
     return vector.threshold(s, "score", F.col("on_topic"))
 
 
-_STOP = ", ".join(f"'{w}'" for w in vector.STOP_WORDS)
-TFIDF = f"""words AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]{{2,}}')) AS term FROM documents),
+#: The words that this search leaves out, so that its SQL can name them.
+STOP = ["the", "a", "an", "of", "and", "in", "to", "is", "that", "it", "on", "for", "was", "with", "as", "at", "by", "be", "this", "or"]
+_STOP = ", ".join(f"'{w}'" for w in STOP)
+TFIDF = f"""words AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN\\pM_]{{2,}}')) AS term FROM documents),
 tf AS (SELECT id, term, count(*) AS tf FROM words WHERE term NOT IN ({_STOP}) GROUP BY ALL),
 idf AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term HAVING count(*) >= 2),
 dw AS (SELECT id, term, (1 + ln(tf)) * idf AS w FROM tf JOIN idf USING (term)), dn AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM dw),
-qwords AS (SELECT item_id AS q, unnest(regexp_extract_all(lower(text), '[a-z0-9_]{{2,}}')) AS term FROM benchmark),
+qwords AS (SELECT item_id AS q, unnest(regexp_extract_all(lower(text), '[\\pL\\pN\\pM_]{{2,}}')) AS term FROM benchmark),
 qtf AS (SELECT q, term, count(*) AS tf FROM qwords WHERE term NOT IN ({_STOP}) GROUP BY ALL),
 qw AS (SELECT q, term, (1 + ln(tf)) * idf AS w FROM qtf JOIN idf USING (term)), qn AS (SELECT q, term, w / sqrt(sum(w * w) OVER (PARTITION BY q)) AS w FROM qw),
 sc AS (SELECT q AS query_id, id AS doc_id, round(sum(qn.w * dn.w), 9) AS score FROM qn JOIN dn USING (term) GROUP BY ALL)"""
@@ -99,7 +101,7 @@ sc AS (SELECT q AS query_id, id AS doc_id, round(sum(qn.w * dn.w), 9) AS score F
 
 @query("tfidf_topk", f"WITH {TFIDF} SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc QUALIFY rank <= 10")
 def _(spark, sf_dir):
-    out = vector.tfidf_top_k(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 10, "doc_id", "item_id", "text")
+    out = vector.tfidf_top_k(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 10, "doc_id", "item_id", "text", stop=STOP)
     return out.select("query_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 

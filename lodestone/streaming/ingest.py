@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,12 +13,25 @@ from lodestone.functions import event_key, unit_partition
 
 
 def ingest(stream: DataFrame, path: str, checkpoint: str) -> int:
-    """Append all that is there and not yet ingested; returns the rows added."""
+    """Append all that is there and not yet ingested; returns the rows added.
+
+    Rows are counted before and after, which reads the footers of the table's files; a query's progress reports go back only
+    so far.
+    """
+    before = _rows(stream.sparkSession, path)
     query = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(path)
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return _rows(stream.sparkSession, path) - before
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = fs.exists(p) and any(s.getPath().getName().endswith(".parquet") or s.isDirectory() and s.getPath().getName() != "_spark_metadata" for s in fs.listStatus(p))
+    return spark.read.parquet(path).count() if there else 0
 
 
 def append_flows(flows: dict[str, DataFrame], path: str, checkpoints: str) -> dict[str, int]:
@@ -32,11 +46,27 @@ def parquet_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.p
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, options: dict[str, str] | None = None) -> DataFrame:
-    """The topic from its beginning, failing loudly on lost data: key, payload, topic, partition, offset, enqueued_at."""
-    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    reader = reader.option("startingOffsets", "earliest").option("failOnDataLoss", "true").options(**(options or {}))
-    return transport(reader.load())
+def kafka_options(servers: str, topic: str, user: str | None = None, password: str | None = None, login: str = "org.apache.kafka.common.security.plain.PlainLoginModule") -> dict[str, str]:
+    """The reader's options: the topic from its beginning, failing on lost data; with a user, over TLS with that login.
+
+    ``login`` is the class that the cluster's Kafka client has for it, which some distributions rename.
+    """
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "true"}
+    if user is None:
+        return options
+    quoted = lambda x: '"' + (x or "").replace("\\", "\\\\").replace('"', '\\"') + '"'
+    return options | {
+        "kafka.security.protocol": "SASL_SSL",
+        "kafka.sasl.mechanism": "PLAIN",
+        "kafka.sasl.jaas.config": f"{login} required username={quoted(user)} password={quoted(password)};",
+        "kafka.request.timeout.ms": "60000",
+        "kafka.session.timeout.ms": "30000",
+    }
+
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, options: dict[str, str] | None = None, **login: str) -> DataFrame:
+    """key, payload, topic, partition, offset and enqueued_at of the topic's records; see :func:`kafka_options`."""
+    return transport(spark.readStream.format("kafka").options(**kafka_options(servers, topic, **login), **(options or {})).load())
 
 
 def transport(records: DataFrame) -> DataFrame:
@@ -50,8 +80,12 @@ def produce(rows: DataFrame, unit: str, cycle: str, id_parts: Sequence[tuple[str
     """Events of the rows: partition, offset within it in (unit, cycle) order, event id and JSON payload."""
     body = F.to_json(F.struct(event_key(*id_parts).alias("event_id"), unit, cycle, *values))
     events = rows.select(unit, cycle, event_key(*id_parts).alias("event_id"), unit_partition(F.col(unit), partitions).cast("int").alias("partition"), body.alias("payload"))
-    w = Window.partitionBy("partition").orderBy(unit, cycle)
-    return events.withColumn("offset", (F.row_number().over(w) - 1).cast("long"))
+    # Places within a unit, after as many events as the partition's earlier units have: there are few units for many events.
+    sizes = events.groupBy("partition", unit).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("partition").orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("partition", unit, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("partition", unit).orderBy(cycle)) - 1
+    return events.withColumn("_place", place).join(starts, ["partition", unit]).withColumn("offset", (F.col("_start") + F.col("_place")).cast("long")).select(*events.columns, "offset")
 
 
 def event_batches(events: DataFrame, max_bytes: int, max_events: int) -> DataFrame:
@@ -79,6 +113,24 @@ def event_batches(events: DataFrame, max_bytes: int, max_events: int) -> DataFra
     return events.join(placed, ["partition", "offset"])
 
 
+def send_batches(batches: Iterable[tuple[int, list[str]]], post: Callable[[int, bytes], int]) -> dict:
+    """Post batches (partition, payloads) in order as JSON arrays; the first that isn't accepted (201) ends it, nothing is sent twice.
+
+    Returns how many events were accepted, a row for each batch, and the error if there was one. Batches may come from
+    ``toLocalIterator``, so that the sender holds one partition's at a time.
+    """
+    log: dict = {"sent": 0, "batches": [], "error": None}
+    for partition, payloads in batches:
+        body = ("[" + ",".join(json.dumps({"Body": p}, separators=(",", ":")) for p in payloads) + "]").encode()
+        status = post(partition, body)
+        log["batches"].append({"partition": partition, "events": len(payloads), "bytes": len(body), "status": status})
+        if status != 201:
+            log["error"] = f"status {status} on partition {partition}"
+            break
+        log["sent"] += len(payloads)
+    return log
+
+
 def windowed_counts(stream: DataFrame, time: str, key: str, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts and sums per tumbling window and key; events later than ``late`` are left out. An extra beyond batch marts."""
     return stream.withWatermark(time, late).groupBy(F.window(time, window), key).agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("total"))
