@@ -35,10 +35,16 @@ def filter_of(keys: DataFrame, key: str, bits: int) -> DataFrame:
     return bitmaps(keys.select(F.explode(F.array(*(bit(F.col(key), bits, k) for k in range(2)))).alias("bit")))
 
 
-def test(df: DataFrame, key: str, table: DataFrame, bits: int, name: str = "maybe", keep: Sequence[str] | None = None) -> DataFrame:
-    """Add ``name``: whether both places of the row's key are in the filter. The table is bounded, so it is broadcast."""
+def repeated(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """The filter of first places that two or more rows have."""
+    hits = keys.select(bit(F.col(key), bits, 0).alias("bit")).groupBy("bit").count()
+    return bitmaps(hits.filter("count > 1"))
+
+
+def test(df: DataFrame, key: str, table: DataFrame, bits: int, name: str = "maybe", keep: Sequence[str] | None = None, places: int = 2) -> DataFrame:
+    """Add ``name``: whether the first ``places`` places of the row's key are in the filter. The table is bounded, so it is broadcast."""
     out = df
-    for k in range(2):
+    for k in range(places):
         side = F.broadcast(table.select(F.col("bucket").alias(f"_bucket{k}"), F.col("bitmap").alias(f"_bitmap{k}")))
         out = out.withColumn(f"_bit{k}", bit(F.col(key), bits, k)).withColumn(f"_bucket{k}", (F.col(f"_bit{k}") / BUCKET_BITS).cast("long"))
         out = out.join(side, f"_bucket{k}", "left")
@@ -47,6 +53,7 @@ def test(df: DataFrame, key: str, table: DataFrame, bits: int, name: str = "mayb
             f"coalesce(shiftright(cast(conv(hex(substring(_bitmap{k}, cast((_bit{k} % {BUCKET_BITS}) / 8 as int) + 1, 1)), 16, 10) as int),"
             f" cast(_bit{k} % 8 as int)) & 1, 0) = 1"
         )
-        for k in range(2)
+        for k in range(places)
     ]
-    return out.select(*(keep or df.columns), (found[0] & found[1]).alias(name))
+    all_found = found[0] & found[1] if places > 1 else found[0]
+    return out.select(*(keep or df.columns), all_found.alias(name))

@@ -31,7 +31,7 @@ def counts(lines: DataFrame) -> DataFrame:
 
 
 def later_lines(lines: DataFrame) -> DataFrame:
-    """Ids of the lines (id, doc, line_no, line) that have a similar line before them."""
+    """Ids of the lines (id, doc, line_no, line) that have a similar line before them. Words are told apart by 64 bits of hash."""
     classes = set_join.frequency_classes(counts(lines))
     # Generators end a projection, so that hashes and keys are worked out once a line.
     hashed = lines.select("id", "doc", "line_no", F.explode(F.array(F.array_distinct(hashes(F.col("line"))))).alias("hashes"))
@@ -40,7 +40,7 @@ def later_lines(lines: DataFrame) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         named, bits = set_join.named_filter(pairs)
         some = bloom.test(lines.select("id", "doc", "line_no", "line"), "id", named, bits).filter("maybe")
-        some = stage(some.select("id", "doc", "line_no", F.array_distinct(split_words(F.col("line"))).alias("keys")), "named")
+        some = stage(some.select("id", "doc", "line_no", F.array_distinct(hashes(F.col("line"))).alias("keys")), "named")
         found = set_join.similar_later(pairs, some)
         discard(some)
         discard(pairs)

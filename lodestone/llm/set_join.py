@@ -179,17 +179,25 @@ def _eras(parts: DataFrame) -> Column:
 
 
 def _led(parts: DataFrame) -> DataFrame:
-    """Pairs (id, other) of each set and the earliest one of about its size that it shares a leading key with, where parities let them be similar."""
-    place = F.col("doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
+    """Pairs (id, other) of each set and an early one of about its size that it shares a leading key with, where parities let them be similar.
+
+    Most leading keys are one set's own. A filter of the keys that come again leaves those out before anything is dealt by
+    key; where it is full, more rows are dealt and the pairs are the same.
+    """
     # Two rows of bands, the borders of one within those of the other, so that a group of one size is whole in either.
     size = F.log("total") / math.log(BAND)
     bands = F.explode(F.array(2 * F.floor(size), 2 * F.floor(size + 0.5) + 1)).alias("band")
     # Parts of one set share its leads, but the parity of a part says nothing about sets.
     parity = F.when(F.col("classes") == 1, F.col("parity"))
-    banded = parts.filter(F.size("leads") > 0).withColumn("parity", parity).select("leads", bands, "id", "doc", "line_no", "total", "parity")
-    each = banded.select(F.explode("leads").alias("lead"), "band", "id", place.cast("decimal(32,0)").alias("ord"), F.col("total").alias("n"), "parity")
-    first = each.groupBy("lead", "band").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
-    met = each.alias("a").join(first.filter("members > 1").alias("b"), ["lead", "band"])
+    # Sets of one era are in any order, as long as it is one.
+    order = _shiftleft(_eras(parts), F.lit(32)).bitwiseOR(F.xxhash64("id").bitwiseAND(F.lit((1 << 32) - 1)))
+    heads = parts.filter(F.size("leads") > 0).withColumns({"parity": parity, "ord": order})
+    banded = heads.select("leads", bands, "id", "ord", F.col("total").alias("n"), "parity")
+    each = banded.select(F.explode("leads").alias("key"), "band", "id", "ord", "n", "parity").select(F.xxhash64("key", "band").alias("lead"), "id", "ord", "n", "parity")
+    bits = bloom.bits_for(2 * LEADING * parts.count())
+    again = bloom.test(each, "lead", bloom.repeated(each, "lead", bits), bits, places=1).filter("maybe").drop("maybe")
+    first = again.groupBy("lead").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
+    met = again.alias("a").join(first.filter("members > 1").alias("b"), "lead")
     return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND coalesce({SIMILAR_PARITY}, true)").select("a.id", F.col("b.id").alias("other")).distinct()
 
 
