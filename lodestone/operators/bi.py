@@ -42,6 +42,19 @@ def label_delayed(log: DataFrame, endpoints: DataFrame, keys: Sequence[str], cyc
     return joined.filter(F.col(cycle) <= F.col(end_cycle)).withColumn(name, F.col(end_value) + F.col(end_cycle) - F.col(cycle))
 
 
+def cost_review(usage: DataFrame, prices: DataFrame, by: Sequence[str], today: Column, days: int = 7) -> DataFrame:
+    """Units and their cost at list prices, for each group of the last ``days`` days and today.
+
+    usage: sku, units, started and usage_date; prices: sku, price, valid_from and valid_to, which is null for the price that
+    still holds. The window is asked before the join, so that old usage isn't read.
+    """
+    recent = usage.filter((F.col("usage_date") >= F.date_sub(today, days)) & (F.col("usage_date") <= today)).alias("u")
+    p = prices.alias("p")
+    holds = (F.col("u.sku") == F.col("p.sku")) & (F.col("u.started") >= F.col("p.valid_from")) & (F.col("p.valid_to").isNull() | (F.col("u.started") < F.col("p.valid_to")))
+    priced = recent.join(p, holds).select("u.*", "p.price")
+    return priced.groupBy(*by).agg(F.sum("units").alias("units"), F.sum(F.col("units") * F.col("price")).alias("cost"))
+
+
 TABLE = re.compile(r"\b(?:from|join)\s+([A-Za-z_][\w.]*)", re.I)
 CTE = re.compile(r"(?:\bwith\s+|,\s*)([A-Za-z_]\w*)\s+as\s*\(", re.I)
 

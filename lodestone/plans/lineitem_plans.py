@@ -262,6 +262,20 @@ def _(spark, sf_dir):
     return joined.groupBy("sku", F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("units"), F.round(F.sum(F.col("o_totalprice") * F.col("price")), 3).alias("cost"))
 
 
+# Usage by line item: the day it ships, the supplier as the job, the status of its order as what is paid for.
+@query(
+    "cost_review",
+    f"""WITH {PRICES}, u AS (SELECT l_shipdate::DATE AS usage_date, l_suppkey AS job_id, o_orderstatus AS sku, l_quantity AS units, l_shipdate AS started FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT CAST(usage_date AS VARCHAR) AS usage_date, job_id, u.sku, round(sum(units), 3) AS units, round(sum(units * price), 4) AS cost FROM u JOIN pr ON u.sku = pr.sku AND started >= valid_from AND (started < valid_to OR valid_to IS NULL)
+WHERE usage_date >= DATE '2001-06-01' - INTERVAL 7 DAYS AND usage_date <= DATE '2001-06-01' GROUP BY ALL""",
+)
+def _(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem").join(load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("sku")), "l_orderkey")
+    usage = lines.select(F.to_date("l_shipdate").alias("usage_date"), F.col("l_suppkey").alias("job_id"), "sku", F.col("l_quantity").alias("units"), F.col("l_shipdate").alias("started"))
+    out = bi.cost_review(usage, prices(spark), ["usage_date", "job_id", "sku"], F.to_date(F.lit("2001-06-01")), days=7)
+    return out.select(F.col("usage_date").cast("string").alias("usage_date"), "job_id", "sku", F.round("units", 3).alias("units"), F.round("cost", 4).alias("cost"))
+
+
 # ---- merges: a target of most customers, changes for some --------------------------------------------------------
 
 TARGET = "t AS (SELECT c_custkey AS id, c_mktsegment AS segment, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS balance FROM customer WHERE c_custkey % 5 <> 0)"

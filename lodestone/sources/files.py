@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,11 +74,41 @@ def zipped_csv(spark: SparkSession, path: str, member: str, columns: list[str])
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(read, schema)
 
 
-def verified_files(spark: SparkSession, path: str, sha256: dict[str, str]) -> DataFrame:
-    """(file, sha256, matches) of binary files against known digests by file name."""
-    known = F.create_map(*(F.lit(x) for p in sha256.items() for x in p))
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256"))
-    return files.withColumn("matches", F.coalesce(F.col("sha256") == F.try_element_at(known, F.col("file")), F.lit(False)))
+#: How a file's digest is worked out, by the name that publishers give it.
+DIGESTS = {"sha256": lambda content: F.sha2(content, 256), "md5": F.md5}
+
+
+def verified_files(spark: SparkSession, path: str, known: dict[str, str], kind: str = "sha256") -> DataFrame:
+    """(file, digest, matches) of binary files against known digests by file name; the digest's column is named as its kind."""
+    table = F.create_map(*(F.lit(x) for p in known.items() for x in p))
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), DIGESTS[kind](F.col("content")).alias(kind))
+    return files.withColumn("matches", F.coalesce(F.col(kind) == F.try_element_at(table, F.col("file")), F.lit(False)))
+
+
+def download(get: Callable[[], bytes], store, name: str, digest: str, kind: str = "sha256") -> bytes:
+    """The file ``name`` of the store, got once: what arrives, and what the store has already, must have the digest.
+
+    ``store`` is as for :func:`lodestone.sources.pacing.land_responses`, with bytes. A file that doesn't match is never kept.
+    """
+    check = hashlib.new(kind)
+    fresh = name not in store.names()
+    content = get() if fresh else store.read(name)
+    check.update(content)
+    if check.hexdigest() != digest:
+        raise ValueError(f"{name} {'arrived' if fresh else 'is kept'} with another {kind}")
+    if fresh:
+        store.write_new(name, content)
+    return content
+
+
+def sole_members(archive: bytes, names: Sequence[str]) -> dict[str, bytes]:
+    """The named members of a zip archive, whatever folder and case they have; one that is missing or there twice raises."""
+    with zipfile.ZipFile(io.BytesIO(archive)) as z:
+        found = {n: [m for m in z.namelist() if m.rsplit("/", 1)[-1].lower() == n.lower()] for n in names}
+        odd = sorted(n for n, members in found.items() if len(members) != 1)
+        if odd:
+            raise ValueError(f"missing or more than once in the archive: {', '.join(odd)}")
+        return {n: z.read(members[0]) for n, members in found.items()}
 
 
 def trajectory_columns(settings: int = 3, sensors: int = 21) -> list[str]:
