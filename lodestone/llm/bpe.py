@@ -30,6 +30,9 @@ def byte_chars() -> list[str]:
     hidden = [b for b in range(256) if b not in set(shown)]
     return [chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256)]
 
+#: Characters of the longest word or stretch that is kept for its next occurrence.
+LONGEST_KEPT = 120
+
 
 class WordBPE:
     """A vocabulary of words with an end mark.
@@ -128,6 +131,8 @@ class WordBPE:
                 before, right = b + 1, self.parts[right][0]
 
     def encode_word(self, word: str) -> list[int]:
+        if len(word) > LONGEST_KEPT:
+            return self._encode_word(word)
         known = self.words.get(word)
         if known is not None:
             return known
@@ -154,15 +159,20 @@ class WordBPE:
         return ids
 
     def _chunk(self, chunk: str) -> tuple[int, bytes, bytes]:
+        if len(chunk) > LONGEST_KEPT:
+            return self._encode_chunk(chunk)
         if len(self.chunks) >= self.limit * 8 // 5:
             self.chunks, self.old_chunks = {}, self.chunks
         out = self.old_chunks.get(chunk)
         if out is None:
-            ids = [i for word in WORDS.findall(chunk) for i in self.encode_word(word)]
-            out = (len(ids), _little_endian(ids), self.decode(ids).encode("utf-8"))
+            out = self._encode_chunk(chunk)
         self.chunks[chunk] = out
         return out
 
+    def _encode_chunk(self, chunk: str) -> tuple[int, bytes, bytes]:
+        ids = [i for word in WORDS.findall(chunk) for i in self.encode_word(word)]
+        return len(ids), _little_endian(ids), self.decode(ids).encode("utf-8")
+
     def _pieces(self, text: str) -> Iterable[tuple[int, bytes, bytes]]:
         """For each stretch without white space: number of ids, ids as bytes, their text."""
         for raw, special in self._sections(text):
@@ -226,7 +236,7 @@ def bpe_frame(
     """Encode every whole text and decode the ids: the id column and the chosen ``outputs``.
 
     No shuffle: each Arrow batch is encoded where it lies. ``path`` is the vocabulary's file, which each
-    worker reads by itself. Caches of words and pairs are bounded and only save time.
+    worker reads by itself. Caches of words and pairs are bounded, as long stretches aren't kept, and only save time.
 
     Defined cases: a null text is the empty text, which has no ids and decodes to the empty text; ids may
     be null and rows may repeat; an empty table gives no rows; further columns are dropped.
