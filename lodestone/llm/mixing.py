@@ -52,6 +52,8 @@ class Mixture:
     steps: list[np.ndarray] = field(default_factory=list)
     totals: np.ndarray | None = None
     targets: np.ndarray | None = None
+    #: The largest difference between a domain's expected tokens and its target, as a share of all target tokens.
+    gap: float = 0.0
 
     def posterior(self, counts: np.ndarray) -> np.ndarray:
         """Soft membership of a text; without triples it is the prior. More than EVIDENCE triples weigh no more."""
@@ -139,8 +141,10 @@ def fit_rates(table: DataFrame, mixture: Mixture, weights: dict[str, float], bud
     The rates r >= 0 shall make the expected tokens of each domain, A r with a column tokens * p a document, meet
     ``budget * weights``. Steps minimise the residual in the norm of G^-1, G = sum of tokens * p * p', over rates
     scaled by the square root of tokens; there the step 1 is safe, and a document's rate depends on its posterior
-    only. Each step is one pass over the narrow table and sends one vector of domains to the driver. Without a
-    budget it is the least with which no domain has to shrink, so documents are repeated and not lost.
+    only. Each step is one pass over the narrow table and sends one vector of domains to the driver. Steps end when targets are
+    met to TOLERANCE, when a step brings nothing, or after MOST_STEPS; what is missing then is the mixture's ``gap``, as where
+    no document belongs to a domain. Without a budget it is the least with which no domain has to shrink, so documents are
+    repeated and not lost.
     """
     k = len(mixture.domains)
     w = np.array([weights[d] for d in mixture.domains], float)
@@ -156,6 +160,7 @@ def fit_rates(table: DataFrame, mixture: Mixture, weights: dict[str, float], bud
             break
         mixture.steps.append(inverse @ (got - mixture.targets))
         got = _sums(table, mixture)[:k]
+    mixture.gap = float(np.abs(got - mixture.targets).max() / budget) if budget else 0.0
     return mixture
 
 
@@ -169,43 +174,47 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
     return mixture
 
 
-def _copies(ids: list, rates: np.ndarray) -> list[int]:
-    """Whole copies, and one more with the probability that is left, drawn from the id's hash."""
+def _copies(ids: list, read: list[str], rates: np.ndarray) -> list[int]:
+    """Whole copies, and one more with the probability that is left, drawn from the id's hash, or the text's where there is no id."""
     from xxhash import xxh64_intdigest
 
-    draw = np.array([xxh64_intdigest(str(i).encode(), 7) / 2**64 for i in ids])
+    drawn = [t.encode("utf-8", "surrogatepass") if i is None else str(i).encode() for i, t in zip(ids, read)]
+    draw = np.array([xxh64_intdigest(x, 7) / 2**64 for x in drawn])
     whole = np.floor(rates)
     return (whole + (draw < rates - whole)).astype(np.int64).tolist()
 
 
 def document_rates(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, tokens, one column p_<domain> each, rate and copies.
+    """One row per document: doc_id, tokens, one column p_<domain> each, rate, copies and the mixture's target_gap.
 
     The model is a few arrays, so rates are worked out where the documents lie, without a shuffle.
 
     Defined cases: null and empty texts have 0 tokens, the prior as posterior and a rate like any other; rows may
-    repeat; null ids draw like the text "None"; without labelled documents all domains are equally likely; an empty
+    repeat; rows without id draw by their text; without labelled documents all domains are equally likely; an empty
     table gives no rows; further columns are dropped.
     """
     names = [f"p_{d}" for d in mixture.domains]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens, p = mixture.memberships(texts(batch.column(1)))
+        read = texts(batch.column(1))
+        tokens, p = mixture.memberships(read)
         rate = np.round(mixture.rates(p), 6)
         columns = [batch.column(0), pa.array(tokens), *(pa.array(p[:, i]) for i in range(p.shape[1])), pa.array(rate)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(_copies(batch.column(0).to_pylist(), rate), pa.int64())], names=["doc_id", "tokens", *names, "rate", "copies"])
+        columns += [pa.array(_copies(batch.column(0).to_pylist(), read, rate), pa.int64()), pa.array(np.full(len(rate), mixture.gap))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "tokens", *names, "rate", "copies", "target_gap"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(source, run, ", ".join(["doc_id long", "tokens long", *(f"`{n}` double" for n in names), "rate double", "copies long"]))
+    return map_batches(source, run, ", ".join(["doc_id long", "tokens long", *(f"`{n}` double" for n in names), "rate double", "copies long", "target_gap double"]))
 
 
 def mix(docs: DataFrame, mixture: Mixture, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, each as often as its copies say."""
+    """The documents, all columns as they are, each as often as its copies say; cases as for :func:`document_rates`."""
     text_at, id_at = docs.columns.index(text_col), docs.columns.index(id_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, p = mixture.memberships(texts(batch.column(text_at)))
-        copies = _copies(batch.column(id_at).to_pylist(), np.round(mixture.rates(p), 6))
+        read = texts(batch.column(text_at))
+        _, p = mixture.memberships(read)
+        copies = _copies(batch.column(id_at).to_pylist(), read, np.round(mixture.rates(p), 6))
         return batch.take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
 
     return map_batches(docs.select(*docs.columns), run, docs.schema)
