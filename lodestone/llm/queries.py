@@ -99,6 +99,4 @@ def _op6(spark, sf_dir):
 
 @query("op8_suffixes")
 def _op8(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents")
-    where = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    return suffixes.remove_repeats(docs.select("doc_id", "text", where.alias("row_key")), key=F.col("row_key"))
+    return suffixes.remove_repeats(suffixes.with_row_keys(load(spark, sf_dir, "documents")), key=F.col("row_key"))

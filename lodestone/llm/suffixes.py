@@ -331,6 +331,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return sure.unionAll(compared)
 
 
+def with_row_keys(docs: DataFrame, name: str = "row_key") -> DataFrame:
+    """The rows of a table of files with a number that tells all of them apart and that every scan agrees on.
+
+    A row's number is its file's, above 40 bits, and its place in the file. Files are numbered by their names, in a table with
+    a row a file that is broadcast: the driver holds more than that for every file that it plans to read.
+    """
+    path = F.col("_metadata.file_path")
+    names = sorted(r[0] for r in docs.select(path.alias("path")).distinct().collect())
+    if len(names) >= 1 << 23:
+        raise ValueError("too many files to number")
+    files = docs.sparkSession.createDataFrame(list(enumerate(names)), "_file long, _path string")
+    placed = docs.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("_row")).join(F.broadcast(files), "_path")
+    key = F.call_function("shiftleft", F.col("_file"), F.lit(40)).bitwiseOR(F.col("_row"))
+    return placed.withColumn(name, key).drop("_path", "_file", "_row")
+
+
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -343,7 +359,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     The corpus is cut down to where repeats can be: equal strings have equal anchors, so strings whose anchor is
     unique are unique. Anchors with their contexts' hashes are dealt by hash; contexts repeated as a whole are decided
     at once, and those that agree in part only have their suffixes sorted over a difference cover, partition by
-    partition, and neighbours in the order compared. Texts move twice: for the contexts and for the result.
+    partition, and neighbours in the order compared. A context is repeated as a whole if its anchor's 64-bit hash and its own,
+    which is of another kind, are; bytes decide wherever contexts differ. Texts move twice: for the contexts and for the result.
 
     ``key`` is a column of 64-bit row keys that repeated scans agree on; without one, the texts are first written with
     keys to the shared folder. Defined cases: null text is the empty text; ids may be null or repeat; texts shorter than

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from lodestone.catalog import load
 from lodestone.llm import mixing, queries, suffixes
@@ -142,3 +143,72 @@ def test_mixing_cases(spark):
         assert sorted(r.tokens for r in out) == [0, 0, 3, 100_000, 100_000]
     empty = mixing.fit(df.limit(0), labels)
     assert mixing.document_rates(df.limit(0), empty).count() == 0 and mixing.mix(df.limit(0), empty).columns == df.columns
+
+
+def test_every_posterior_and_rate_equals_a_plain_version(spark, data):
+    """Byte triples counted one by one, naive Bayes by its definition, and the descent step by step."""
+    import math
+
+    docs = load(spark, data, "documents").collect()
+    labelled = {r.doc_id for r in load(spark, data, "labels").collect()}
+    domains = sorted(mixing.WEIGHTS)
+
+    def bucket(a, b, c):
+        return ((((a << 16) | (b << 8) | c) * 2654435761) & 0xFFFFFFFF) >> 19
+
+    counted = {}
+    for r in docs:
+        raw = (r.text or "").encode()
+        counted[r.doc_id] = Counter(bucket(*raw[i : i + 3]) for i in range(len(raw) - 2))
+    shares, prior = {}, {}
+    for d in domains:
+        own = [counted[r.doc_id] for r in docs if r.lang == d and r.doc_id in labelled]
+        total = sum(own, Counter())
+        every = sum(total.values()) + 0.5 * mixing.BUCKETS
+        shares[d] = lambda b, total=total, every=every: math.log((total[b] + 0.5) / every)
+        prior[d] = len(own) + 1
+    p = {}
+    for r in docs:
+        n = sum(counted[r.doc_id].values())
+        weigh = min(n, mixing.EVIDENCE) / n if n else 0
+        z = {d: math.log(prior[d] / sum(prior.values())) + weigh * sum(k * shares[d](b) for b, k in counted[r.doc_id].items()) for d in domains}
+        e = {d: math.exp(z[d] - max(z.values())) for d in domains}
+        p[r.doc_id] = [round(e[d] / sum(e.values()), 9) for d in domains]
+    got = {r.doc_id: r for r in queries.QUERIES["op6_mixing"](spark, data).collect()}
+    assert set(got) == set(p)
+    for i in p:
+        assert [got[i][f"p_{d}"] for d in domains] == pytest.approx(p[i], abs=2e-9)
+
+    ids = sorted(p)
+    q, tokens = np.array([p[i] for i in ids]), np.array([len((r.text or "").encode().split()) for r in sorted(docs, key=lambda r: r.doc_id)], float)
+    weights = np.array([mixing.WEIGHTS[d] for d in domains])
+    goal = weights * ((tokens @ q) / weights).max()
+    rate, inverse = np.ones(len(ids)), np.linalg.inv((q * tokens[:, None]).T @ q)
+    for _ in range(mixing.MOST_STEPS):
+        rate = np.maximum(0, rate - q @ (inverse @ ((tokens * rate) @ q - goal)))
+    assert [got[i].rate for i in ids] == pytest.approx(rate, abs=2e-6)
+    gap = np.abs((tokens * rate) @ q - goal).max() / goal.sum()
+    assert all(abs(r.target_gap - gap) < 1e-6 for r in got.values())
+
+
+def test_a_domain_without_documents_leaves_a_gap(spark):
+    df = spark.createDataFrame([(i, "the and of " * 9, "en") for i in range(8)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(8)], "doc_id long, quality int")
+    m = mixing.fit(df, labels, {"en": 0.5, "fr": 0.5})
+    assert m.gap >= 0 and {round(r.target_gap, 9) for r in mixing.document_rates(df, m).collect()} == {round(m.gap, 9)}
+
+
+def test_rows_without_id_draw_by_their_text(spark):
+    rows = [(None, f"the and of {i}", "en") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = mixing.Mixture(["en"], np.zeros((1, mixing.BUCKETS)), np.zeros(1), steps=[np.array([0.5])])
+    copies = [r.copies for r in mixing.document_rates(df, m).collect()]
+    assert 100 < sum(copies) < 200
+
+
+def test_row_keys_tell_all_rows_apart(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS doc_id", "'same' AS text").repartition(7).write.parquet(str(tmp_path / "t"))
+    rows = suffixes.with_row_keys(spark.read.parquet(str(tmp_path / "t")))
+    first = {r.doc_id: r.row_key for r in rows.collect()}
+    assert len(set(first.values())) == 1000 and {k >> 40 for k in first.values()} == set(range(7)) and rows.columns == ["doc_id", "text", "row_key"]
+    assert first == {r.doc_id: r.row_key for r in rows.filter("doc_id >= 0").repartition(3).collect()}
