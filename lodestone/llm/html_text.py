@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 import pyarrow as pa
@@ -48,6 +49,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An end tag or implied end is not looked for beyond these.
 SCOPES = frozenset("table td th caption html template".split())
 MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
+#: Lines aren't moved in further than so many levels, nor cells padded beyond so many characters: layout stays in proportion to text.
+MOST_INDENTS, WIDEST = 40, 200
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)", re.S
@@ -62,11 +65,47 @@ CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|[
 ON_SCREEN = re.compile(r"(?:(?:only\s+)?(?:all|screen)|not\s+(?:print|speech))", re.I)
 
 
+#: A stretch that a tag in search of its end passes in one go.
+IN_TAG = re.compile(r"[^>\"']+|\"[^\"]*\"|'[^']*'")
+
+
+class Unfinished:
+    """Where tags that never end begin: what one search has passed outside quotes needs no search of its own.
+
+    Searches that begin in different states of quoting are three at most, so a page is passed a few times in all.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.known = html, []
+
+    def add(self, at: int) -> None:
+        ends = [at]
+        while m := IN_TAG.match(self.html, ends[-1]):
+            ends.append(m.end())
+        # Where a quote begins that is not closed, nothing more is known.
+        quoted = [(a, b) for a, b in zip(ends, ends[1:]) if self.html[a] in "\"'"]
+        self.known.append((at, ends[-1], [a for a, _ in quoted], [b for _, b in quoted]))
+
+    def has(self, at: int) -> bool:
+        for start, end, firsts, lasts in self.known:
+            k = bisect_right(firsts, at) - 1
+            if start < at < end and (k < 0 or at >= lasts[k]):
+                return True
+        return False
+
+
 def tokens(html: str):
     """Yield ("text", text, None), ("start", tag, attributes) and ("end", tag, None) in order."""
-    at, end = 0, len(html)
+    at, end, unfinished = 0, len(html), Unfinished(html)
     while at < end:
+        opens = html.startswith("<", at) and html[at + 1 : at + 2].isalpha()
+        if opens and unfinished.has(at):
+            yield "text", "<", None
+            at += 1
+            continue
         m = TOKEN.match(html, at)
+        if opens and m and m[4] is not None:
+            unfinished.add(at)
         if m is None:
             yield "text", html[at], None
             at += 1
@@ -156,8 +195,9 @@ class Flow:
             fresh = not self.parts
         if fresh:
             width = len(self.mark)
-            lead = "".join(self.indents)
-            self.parts.append(lead[: len(lead) - width] + self.mark if self.mark else lead)
+            lead = "".join(self.indents[:MOST_INDENTS])
+            inside = lead[: len(lead) - width] if len(self.indents) <= MOST_INDENTS else lead
+            self.parts.append(inside + self.mark if self.mark else lead)
             self.mark, self.space = "", False
         self.gap = 0
 
@@ -209,14 +249,17 @@ class Table:
                 self.spans[c] = down
 
     def lines(self) -> list[str]:
-        """Rows as lines of cells in aligned columns, two spaces apart; a cell across columns takes their joint width."""
+        """Rows as lines of cells in aligned columns, two spaces apart; a cell across columns takes their joint width.
+
+        A column is WIDEST characters at most; what is longer stands out and moves the rest of its line.
+        """
         rows = [{c: (t.split("\n"), n) for c, (t, n) in r.items() if n} for r in self.rows if any(t for t, _ in r.values())]
         widths: dict[int, int] = {}
         for spanning in (False, True):
             for r in rows:
                 for c, (ls, n) in r.items():
                     if spanning == (n > 1):
-                        wide = max(map(len, ls))
+                        wide = min(WIDEST, max(map(len, ls)))
                         others = sum(widths.get(k, 0) + 2 for k in range(c, c + n - 1) if widths.get(k, 0))
                         widths[c + n - 1] = max(widths.get(c + n - 1, 0), wide - others)
                         widths.setdefault(c, 0)
@@ -259,6 +302,8 @@ class Renderer:
     def __init__(self):
         self.flow = Flow()
         self.open: list[Element] = []
+        #: Of each tag, where in ``open`` its elements stand.
+        self.places: dict[str, list[int]] = {}
         self.hidden: set[str] = set()
 
     def feed(self, html: str) -> str:
@@ -304,16 +349,14 @@ class Renderer:
             tag in self.hidden or "#" + attrs.get("id", "") in self.hidden or any("." + c in self.hidden for c in attrs.get("class", "").split())
         )
 
+    def nearest(self, tags) -> int:
+        """Where the innermost open element with one of the tags stands; -1 without one."""
+        return max([places[-1] for t in tags if (places := self.places.get(t))], default=-1)
+
     def close_implied(self, targets, borders) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            tag = self.open[i].tag
-            if tag in borders:
-                return
-            if tag in targets:
-                while len(self.open) > i:
-                    self.pop()
-                if not any(e.tag in targets for e in self.open):
-                    return
+        while (i := self.nearest(targets)) > self.nearest(borders):
+            while len(self.open) > i:
+                self.pop()
 
     def start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag in ENDS_P:
@@ -324,7 +367,7 @@ class Renderer:
             self.pop()
         up = self.open[-1] if self.open else None
         if tag in ("td", "th") and not (up and up.tag == "tr"):
-            if not any(e.tag == "table" for e in self.open):
+            if not self.places.get("table"):
                 return
             self.start("tr", {})
             up = self.open[-1]
@@ -349,7 +392,7 @@ class Renderer:
             e.count = 0
         visible = shown and not gone
         if visible:
-            nested = tag in LISTS and any(x.tag == "li" for x in self.open)
+            nested = tag in LISTS and self.places.get("li")
             if tag in SPACED and not nested:
                 self.flow.block(2)
             elif tag in BLOCKS:
@@ -359,7 +402,7 @@ class Renderer:
         if tag in ("li", "dd", "blockquote") and visible:
             mark = "  "
             if tag == "li":
-                parent = next((x for x in reversed(self.open) if x.tag in LISTS), None)
+                parent = self.open[at] if (at := self.nearest(LISTS)) >= 0 else None
                 mark = "- "
                 if parent and parent.tag == "ol":
                     parent.count = _number(attrs.get("value"), parent.count, 1 << 30)
@@ -381,13 +424,16 @@ class Renderer:
             if table := self.table():
                 table.cell = (max(1, e.count), max(1, _number(attrs.get("rowspan"), 1, MAX_ROWSPAN)))
             e.count = table.cell[0] * (MAX_ROWSPAN + 1) + table.cell[1] if table else MAX_ROWSPAN + 2
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append(e)
 
     def table(self) -> Table | None:
-        return next((x.table for x in reversed(self.open) if x.table is not None), None)
+        places = self.places.get("table")
+        return self.open[places[-1]].table if places else None
 
     def pop(self) -> None:
         e = self.open.pop()
+        self.places[e.tag].pop()
         visible = e.shown and not e.gone
         if e.flow is not None:
             text, self.flow = self.flow.text(), e.flow
@@ -404,7 +450,7 @@ class Renderer:
                 self.flow._begin()
                 self.flow.parts.append(line)
         if visible:
-            nested = e.tag in LISTS and any(x.tag == "li" for x in self.open)
+            nested = e.tag in LISTS and self.places.get("li")
             if e.tag in SPACED and not nested:
                 self.flow.block(2)
             elif e.tag in BLOCKS:
@@ -414,17 +460,14 @@ class Renderer:
         if tag == "br":
             self.start("br", {})
             return
-        if tag == "p" and not any(e.tag == "p" for e in self.open):
+        if tag == "p" and not self.places.get("p"):
             self.flow.block(2)
             return
         borders = set() if tag == "table" else {"table"} if tag in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption") else SCOPES - {tag}
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag == tag or tag in HEADINGS and self.open[i].tag in HEADINGS:
-                while len(self.open) > i:
-                    self.pop()
-                return
-            if self.open[i].tag in borders:
-                return
+        i = self.nearest(HEADINGS if tag in HEADINGS else (tag,))
+        if i > self.nearest(borders):
+            while len(self.open) > i:
+                self.pop()
 
 
 def visible_text(html: str | None) -> str:
@@ -438,6 +481,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     Each Arrow batch is rendered where it lies; there is no shuffle. Elements stay on an explicit stack, so
     nesting of any depth works, and text is written once.
 
+    Time and output grow in proportion to the page, but for indents of 40 levels and padding to 200 characters at most.
+
     Defined cases: null and empty pages give the empty text; broken markup never fails (an unfinished tag
     is text, unknown end tags are ignored, open elements end with the page); ids may be null and rows may
     repeat; an empty table gives no rows; further columns are dropped.

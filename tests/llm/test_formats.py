@@ -120,10 +120,11 @@ def test_media_equals_brute_force(spark, data):
     for r in got:
         raw = texts[r.doc_id]
         payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
-        png = media.store_png(payload)
+        png = media.store_png(payload, len(raw))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest())
         assert (r.tail_crc32, r.media_bytes, r.media_sha256) == (zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest())
-        assert r.feature == media.feature(payload) and r.position == 1 and r.caption == f"Document {r.doc_id}, {len(raw)} bytes"
+        assert r.feature == media.feature(payload) and (r.position, r.caption) == (1, f"Part 0 of document {r.doc_id}")
+        assert (r.n_items, r.text_after) == (3, "Text after part 0")
 
 
 def test_media_cases(spark):
@@ -132,6 +133,39 @@ def test_media_cases(spark):
     assert media.media_columns(frame(spark, [])).count() == 0
 
 
+def test_stored_payloads_keep_their_size():
+    for raw in (b"", b"a", bytes(64), bytes(200)):
+        stored = media.store_png(media.padded(raw), len(raw))
+        assert media.read_png(stored) == (media.padded(raw), len(raw))
+
+
+def test_sequences_keep_order_positions_and_captions_through_the_join(spark, data):
+    """Pages of the table and made ones, which share payloads, name unknown ones, repeat and have no id."""
+    rng = random.Random(9)
+    docs = frame(spark, [(i, "text %d" % (i % 7)) for i in range(20)])
+    stored = media.store_documents(docs)
+    known = {r.digest: r for r in media.read_media(stored).collect()}
+    assert len(known) == 7
+    made = []
+    for i in range(60):
+        html = "<p>start"
+        for k in range(rng.randint(0, 9)):
+            ref = rng.choice([f"media:{rng.choice(sorted(known))}", "media:unknown", "pic.png"])
+            figure = f"<figure><img src='{ref}' alt=a{k}>" + rng.choice(["", f"<figcaption>caption {k}</figcaption>"]) + "</figure>"
+            html += rng.choice([figure, f"<img src='{ref}'>", f"<p>words {k}</p>"])
+        made.append((rng.choice([None, i, 5]), rng.choice([html, html, None])))
+    pages = [(r.page_id, r.html) for r in load(spark, data, "pages").collect()] + made
+    df = spark.createDataFrame(pages, "page_id long, html string").repartition(5)
+    plain = lambda page, items: (-1 if page is None else page, tuple((x["position"], x["kind"], x["text"] or "", x["ref"] or "", x["caption"] or "", x["payload"]) for x in items))
+    got = [plain(r.doc_id, [{**x.asDict(), "payload": x.media.payload_sha256 if x.media else ""} for x in r.sequence]) for r in media.sequences(df, media.read_media(stored)).collect()]
+    want = []
+    for page, html in pages:
+        items = media.parse_interleaved(html or "")
+        want.append(plain(page, [{**x, "payload": known[d].payload_sha256 if (d := (x["ref"] or "")[6:]) in known and x["ref"].startswith("media:") else ""} for x in items]))
+    assert sorted(got) == sorted(want) and sum(len(x[1]) for x in want) > 200
+    assert media.sequences(df.limit(0), media.read_media(stored)).count() == 0
+
+
 def test_interleaving_keeps_order_and_captions():
     items = media.parse_interleaved("<p>a<img src=x alt=A>b<figure><img src='y'><figcaption>cap  <b>t</b></figcaption></figure><script>n</script><style>s</style>c")
     assert [(i["kind"], i["text"] or i["ref"], i["caption"]) for i in items] == [
@@ -203,6 +237,22 @@ def test_html_never_fails_and_keeps_all_words(spark, data):
     for _ in range(2000):
         html_text.visible_text("".join(rng.choice(bits) + rng.choice(["", "w", " "]) for _ in range(15)))
     assert html_text.visible_text("<div>" * 20_000 + "x") == "x"
+
+
+def test_time_and_output_grow_with_the_page():
+    import time
+
+    began = time.perf_counter()
+    assert html_text.visible_text("<a " * 30_000).count("<a") == 30_000
+    assert html_text.visible_text("<a '\"" * 20_000 + "x").endswith("x")
+    assert html_text.visible_text("<p><table><td>" + "<div>" * 30_000 + "x") == "x"
+    deep = html_text.visible_text("<ul><li>x" * 3000)
+    wide = html_text.visible_text("<table><tr><td>" + "y" * 20_000 + "</td><td>z</td></tr>" + "<tr><td>a</td><td>b</td></tr>" * 1000 + "</table>")
+    assert deep.count("x") == 3000 and len(deep) < 100 * 3000 and len(wide) < 20_000 + 210 * 1001 and wide.endswith("a" + " " * 201 + "b")
+    assert time.perf_counter() - began < 10
+
+
+def test_pages_of_the_table_equal_brute_force(spark, data):
     rows = load(spark, data, "pages").collect()
     got = {r.page_id: r.text for r in queries.QUERIES["op9_html_text"](spark, data).collect()}
     assert len(got) == len(rows)
