@@ -17,8 +17,10 @@ from lodestone.llm.arrow import map_batches, texts
 LENGTH = 200
 #: Anchors are strings of this many bytes; each string of LENGTH bytes has exactly one.
 ANCHOR = 48
-#: Symbols sorted together; a group of contexts with one anchor is never cut.
+#: Symbols sorted together; a group of contexts with one anchor is not cut.
 BLOCK = 1 << 20
+#: An anchor with more open contexts than this is not one task's work: its strings are dealt singly.
+CROWD = 4096
 POSITION_BITS = 24
 
 
@@ -309,6 +311,31 @@ def sorted_contexts(found: DataFrame, length: int = LENGTH) -> DataFrame:
     return dealt.mapInArrow(run, "key long, start long, end long")
 
 
+def dealt_strings(found: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Runs (key, start, end) like :func:`sorted_contexts`, for anchors with crowds of contexts.
+
+    Strings of one anchor are too many for one order, so each string goes by 128 bits of its own hash, counted map-side, and
+    those that occur again are found in a join that adaptive execution splits.
+    """
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        from xxhash import xxh3_128_digest
+
+        keys, starts, hashes = [], [], []
+        for key, first, raw in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            n = len(raw) - length + 1
+            hashes.append(b"".join([xxh3_128_digest(raw[i : i + length]) for i in range(n)]))
+            keys.append(np.full(n, key))
+            starts.append(np.arange(first, first + n))
+        both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+        columns = [np.concatenate(keys), np.concatenate(starts), both[:, 0], both[:, 1]]
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns], names=["key", "start", "h1", "h2"])
+
+    strings = stage(map_batches(found, run, "key long, start long, h1 long, h2 long"), "strings")
+    again = stage(strings.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "again")
+    return strings.join(again, ["h1", "h2"]).select("key", "start", (F.col("start") + length).alias("end"))
+
+
 def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(zip(starts, ends)):
@@ -326,7 +353,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     known = stage(repeated_anchors(find_anchors(docs, length)), "anchors")
     asked = known.filter("not sure").select("anchor", "key", "first", "last")
-    compared = stage(sorted_contexts(contexts(docs, asked, length), length), "spans")
+    crowds = stage(asked.groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor"), "crowds")
+    compared = stage(sorted_contexts(contexts(docs, asked.join(crowds, "anchor", "left_anti"), length), length), "spans")
+    if crowds.count():
+        compared = compared.unionAll(dealt_strings(contexts(docs, asked.join(crowds, "anchor", "left_semi"), length), length))
+    discard(crowds)
     sure = known.filter("sure").select("key", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     return sure.unionAll(compared)
 
@@ -359,7 +390,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     The corpus is cut down to where repeats can be: equal strings have equal anchors, so strings whose anchor is
     unique are unique. Anchors with their contexts' hashes are dealt by hash; contexts repeated as a whole are decided
     at once, and those that agree in part only have their suffixes sorted over a difference cover, partition by
-    partition, and neighbours in the order compared. A context is repeated as a whole if its anchor's 64-bit hash and its own,
+    partition, and neighbours in the order compared; strings of an anchor with a crowd of contexts are dealt one by one. A context is repeated as a whole if its anchor's 64-bit hash and its own,
     which is of another kind, are; bytes decide wherever contexts differ. Texts move twice: for the contexts and for the result.
 
     ``key`` is a column of 64-bit row keys that repeated scans agree on; without one, the texts are first written with

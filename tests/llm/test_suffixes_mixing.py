@@ -74,6 +74,19 @@ def test_equals_brute_force_on_shared_passages(spark):
     assert sum(r[2] > 0 for r in got) > 5
 
 
+def test_a_crowd_of_contexts_is_dealt_by_strings(spark, monkeypatch):
+    """One passage in all documents, cut differently in each."""
+    monkeypatch.setattr(suffixes, "CROWD", 5)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7)))
+    passage = " ".join(word() for _ in range(150))
+    rows = []
+    for i in range(60):
+        a, b = rng.randint(0, 150), rng.randint(350, len(passage))
+        rows.append((i, " ".join(word() for _ in range(40)) + passage[a:b] + " ".join(word() for _ in range(40))))
+    assert sum(r[2] > 0 for r in check(spark, rows, 200)) == 60
+
+
 def test_cases(spark):
     text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(500))
     rows = [(1, None), (2, ""), (3, "x" * 199), (4, "x" * 205), (5, text), (5, text), (6, text[:250]), (7, "z" + text[100:299] + "y"), (8, "ab" * 3000)]
