@@ -1,4 +1,4 @@
-"""Exact quantiles without a task that holds all values of a group."""
+"""Exact quantiles and row numbers without a task that has all rows of a group."""
 
 from __future__ import annotations
 
@@ -40,3 +40,18 @@ def exact_quantiles(values: DataFrame, value: str, points: Sequence[float], by:
     one = ends.select(*keys, "_i", F.when(F.col("_low") == F.col("_high"), F.col("_a")).otherwise(between).alias("_q"))
     rows = F.array_sort(F.collect_list(F.struct("_i", "_q")))
     return one.groupBy(*keys).agg(F.transform(rows, lambda r: r["_q"]).alias(name)).select(*by, name)
+
+
+def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, start: int = 1) -> DataFrame:
+    """Add each row's number within its group, in the given order, which has no ties.
+
+    Rows are dealt into ranges of group and order, numbered within their range, and moved on by the rows of the ranges before:
+    few large groups keep all tasks busy. What is broadcast has a row for each group and range.
+    """
+    placed = stage(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = placed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*by, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*order))
+    numbered = placed.withColumn("_within", within).join(F.broadcast(before), [*by, "_range"])
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_within") + (start - 1)).cast("long").alias(name))

@@ -11,6 +11,7 @@ from lodestone.operators.dedupe import label_count
 from lodestone.operators.expect import Rules
 from lodestone.operators.features import causal_features, countdown_label, endpoint_rows, with_cycle
 from lodestone.operators.metrics import percentiles
+from lodestone.operators.quantiles import row_numbers
 from lodestone.plans.registry import query
 from lodestone.streaming.ingest import event_batches, produce
 
@@ -130,10 +131,7 @@ DELIVERED = "d AS (SELECT user_id, cycle, user_id % 4 AS part, row_number() OVER
 
 
 def delivered(spark, sf_dir):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("part").orderBy("ts", "event_id")  # the order of arrival, of which a partition has one
-    return cycles(spark, sf_dir).withColumn("part", F.col("user_id") % 4).withColumn("off", F.row_number().over(w) - 1)
+    return row_numbers(cycles(spark, sf_dir).withColumn("part", F.col("user_id") % 4), ["part"], ["ts", "event_id"], "off", start=0)
 
 
 @query("offset_contiguity", f"WITH {CYCLES}, {DELIVERED} SELECT part, count(*) AS rows, min(off) AS first_offset, max(off) AS last_offset, max(off) - min(off) + 1 = count(*) AS contiguous FROM d GROUP BY part")
@@ -206,9 +204,13 @@ def _(spark, sf_dir):
     return load(spark, sf_dir, "events").select("user_id").distinct().select("user_id", unit_partition(F.col("user_id"), 8).alias("part"))
 
 
-@query("content_digest")
+@query(
+    "content_digest",
+    """SELECT count(*) AS rows, CAST(sum(CAST('0x' || left(md5(concat_ws('|', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), event_type, CAST(CAST(floor(value * 1000) AS BIGINT) AS VARCHAR))), 15) AS HUGEINT)) AS VARCHAR) AS digest FROM events""",
+)
 def _(spark, sf_dir):
-    return digest(load(spark, sf_dir, "events").select("event_id", "user_id", "value"))
+    e = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.floor(F.col("value") * 1000).cast("long").alias("thousandths"))
+    return digest(e, kind="md5")
 
 
 @query(

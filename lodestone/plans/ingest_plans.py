@@ -180,7 +180,7 @@ def _(spark, sf_dir):
     return used.select(F.round("week", 3).alias("week"), F.round("long", 3).alias("long"))
 
 
-@query("stream_rerun")
+@query("stream_rerun", "SELECT count(*) AS rows, count(DISTINCT event_id) AS events, 0 AS added_again FROM events")
 def _(spark, sf_dir):
     """Events as a stream of files: a second run adds nothing, and a second flow adds its own source once."""
     root = f"{shared_dir(spark)}/lodestone/stream-{uuid.uuid4().hex}"
