@@ -33,7 +33,7 @@ LAST = (1 << 63) - 1
 #: A set looks for a leader by pairs of so many of its keys, among sets that differ in size by less than this factor.
 LEADING, BAND = 3, 1.15
 #: The index is dealt and joined in so many turns, each with its share of the keys, so that no more of it is on disk at once.
-TURNS = 2
+TURNS = 3
 
 SIMILAR_SIZES = f"{DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)"
 #: Keys in one set only show up in the parities' difference, each at most once.
@@ -187,18 +187,17 @@ def _led(parts: DataFrame) -> DataFrame:
     # Two rows of bands, the borders of one within those of the other, so that a group of one size is whole in either.
     size = F.log("total") / math.log(BAND)
     bands = F.explode(F.array(2 * F.floor(size), 2 * F.floor(size + 0.5) + 1)).alias("band")
-    # Parts of one set share its leads, but the parity of a part says nothing about sets.
-    parity = F.when(F.col("classes") == 1, F.col("parity"))
     # Sets of one era are in any order, as long as it is one.
     order = _shiftleft(_eras(parts), F.lit(32)).bitwiseOR(F.xxhash64("id").bitwiseAND(F.lit((1 << 32) - 1)))
-    heads = parts.filter(F.size("leads") > 0).withColumns({"parity": parity, "ord": order})
-    banded = heads.select("leads", bands, "id", "ord", F.col("total").alias("n"), "parity")
-    each = banded.select(F.explode("leads").alias("key"), "band", "id", "ord", "n", "parity").select(F.xxhash64("key", "band").alias("lead"), "id", "ord", "n", "parity")
+    heads = parts.filter(F.size("leads") > 0).withColumn("ord", order)
+    # A set's first part stands for it here: near copies are mostly near in each part.
+    banded = heads.select("leads", bands, "classes", "id", "ord", "n", "parity")
+    each = banded.select(F.explode("leads").alias("key"), "band", "classes", "id", "ord", "n", "parity").select(F.xxhash64("key", "band", "classes").alias("lead"), "id", "ord", "n", "parity")
     bits = bloom.bits_for(2 * LEADING * parts.count())
     again = bloom.test(each, "lead", bloom.repeated(each, "lead", bits), bits, places=1).filter("maybe").drop("maybe")
     first = again.groupBy("lead").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
     met = again.alias("a").join(first.filter("members > 1").alias("b"), "lead")
-    return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND coalesce({SIMILAR_PARITY}, true)").select("a.id", F.col("b.id").alias("other")).distinct()
+    return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PARITY}").select("a.id", F.col("b.id").alias("other")).distinct()
 
 
 def _met(marked: DataFrame, turn: int) -> DataFrame:
@@ -227,15 +226,22 @@ def later_matches(parts: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     discard(parts)
     found = settled
     for turn in range(TURNS):
-        pairs = stage(_met(marked, turn).distinct(), "pairs")
-        found = found.unionAll(verify(pairs))
+        if turn:
+            # What the last turn has settled is open no more.
+            marked, before = stage(_marked(marked, settled), "parts"), marked
+            discard(before)
+        settled = verify(stage(_met(marked, turn).distinct(), "pairs"))
+        found = found.unionAll(settled)
     discard(marked)
     return found.distinct()
 
 
 def _marked(parts: DataFrame, settled: DataFrame) -> DataFrame:
-    both = parts.withColumn("era", _eras(parts)).join(settled.select("id", F.lit(True).alias("settled")), "id", "left")
-    return both.select("id", "era", "classes", "n", "parity", "prefix", F.coalesce("settled", F.lit(False)).alias("settled"))
+    """The parts with an era, and whether their sets are settled, now or before."""
+    era = F.col("era") if "era" in parts.columns else _eras(parts)
+    known = F.col("_before") if "settled" in parts.columns else F.lit(False)
+    both = parts.withColumnsRenamed({"settled": "_before"}).withColumn("era", era).join(settled.select("id", F.lit(True).alias("settled")), "id", "left")
+    return both.select("id", "era", "classes", "n", "parity", "prefix", F.coalesce("settled", known).alias("settled"))
 
 
 def named_filter(pairs: DataFrame) -> tuple[DataFrame, int]:

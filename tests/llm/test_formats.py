@@ -239,6 +239,53 @@ def test_html_never_fails_and_keeps_all_words(spark, data):
     assert html_text.visible_text("<div>" * 20_000 + "x") == "x"
 
 
+def plain_list(kind, items, indent):
+    """The lines of a list, each item a text and perhaps a list within."""
+    lines = []
+    for i, (text, inner) in enumerate(items):
+        mark = "- " if kind == "ul" else f"{i + 1}. "
+        lines.append(indent + mark + text)
+        if inner:
+            lines += plain_list(*inner, indent + " " * len(mark))
+    return lines
+
+
+def test_layout_of_made_pages():
+    """Paragraphs, nested lists and tables, with and without end tags, against lines laid out from what they were made of."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 8)))
+    words = lambda: " ".join(word() for _ in range(rng.randint(1, 4)))
+    spread = lambda t: t.replace(" ", rng.choice([" ", "\n  ", "\t"]))
+    ends = lambda tag: rng.choice([f"</{tag}>", ""])
+
+    def a_list(depth):
+        kind = rng.choice(["ul", "ol"])
+        return kind, [(words(), a_list(depth + 1) if depth < 3 and rng.random() < 0.4 else None) for _ in range(rng.randint(1, 4))]
+
+    def list_html(kind, items):
+        return f"<{kind}>" + "".join(f"<li>{spread(t)}" + (list_html(*inner) if inner else "") + ends("li") for t, inner in items) + f"</{kind}>"
+
+    for _ in range(400):
+        html, want = "", []
+        for _ in range(rng.randint(1, 6)):
+            which = rng.choice(["p", "list", "table"])
+            if which == "p":
+                text = words()
+                html += f"<p>{spread(text)}" + ends("p")
+                want.append(text)
+            elif which == "list":
+                made = a_list(0)
+                html += list_html(*made)
+                want.append("\n".join(plain_list(*made, "")))
+            else:
+                across = rng.randint(1, 4)
+                rows = [[words() for _ in range(across)] for _ in range(rng.randint(1, 4))]
+                widths = [max(len(r[c]) for r in rows) for c in range(across)]
+                html += "<table>" + "".join("<tr>" + "".join(f"<td>{spread(t)}" + ends("td") for t in r) + ends("tr") for r in rows) + "</table>"
+                want.append("\n".join("  ".join(t.ljust(w) for t, w in zip(r, widths)).rstrip() for r in rows))
+        assert html_text.visible_text(html) == "\n\n".join(want), html
+
+
 def test_time_and_output_grow_with_the_page():
     import time
 

@@ -45,7 +45,13 @@ def test_stages_on_odd_tables(spark, tmp_path):
     rows = [(1, None, "en", "a", None), (None, "some words\n\nhere", None, None, 3), (2, "", "de", "b", 0), (2, "x", "de", "b", 1), (2, "x", "de", "b", 1), (3, "y " * 60_000, "fr", "c", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 2
+    kept = docs
+    for name, apply in corpus_pipeline.STAGES[:3]:
+        kept = corpus_pipeline.stage(apply(spark, kept, str(tmp_path)), name, spark)
+    # Of the two texts without words the earlier stays, of the repeated row one, and each other text.
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, "some words\n\nhere"), (1, ""), (2, "x"), (3, "y " * 60_000)]
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.n_tokens) for r in out} == {(None, 3), (1, 0), (2, 1), (3, 60_000)}
     empty = docs.limit(0)
     for name, apply in corpus_pipeline.STAGES:
         out = apply(spark, empty, str(tmp_path))
