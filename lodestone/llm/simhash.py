@@ -248,10 +248,10 @@ def _parts(read: list[str], classes: np.ndarray, shingle: int) -> pa.Array:
     return pa.ListArray.from_arrays(ends(made), pa.StructArray.from_arrays(columns, ["total", "classes", "n", "parity", "prefix", "leads"]))
 
 
-def later_texts(rows: DataFrame, wide: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
+def later_texts(rows: DataFrame, parts: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
     """Ids of the rows (id, doc_id, k1, k2; one a text) whose text has 0.8 of its shingles in common with the text of an earlier row.
 
-    ``wide`` has the rows' id, doc_id and parts, from a staged table that is deleted here; ``source`` (k1, k2, text) has each text at least once.
+    ``parts`` is a staged table of the rows' parts, which is deleted here; ``source`` (k1, k2, text) has each text at least once.
     """
     places = rows.select("id", F.coalesce("doc_id", F.lit(set_join.LAST)).alias("doc"), F.lit(0).alias("line_no"), "k1", "k2")
 
@@ -273,9 +273,6 @@ def later_texts(rows: DataFrame, wide: DataFrame, source: DataFrame, shingle: in
             discard(t)
         return found
 
-    parts = wide.select("id", F.coalesce("doc_id", F.lit(set_join.LAST)).alias("doc"), F.lit(0).alias("line_no"), F.explode("parts").alias("part"))
-    parts = stage(parts.select("id", "doc", "line_no", "part.*"), "dealt")
-    discard(wide)
     return set_join.later_matches(parts, verify)
 
 
@@ -307,7 +304,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = stage(wide.drop("parts"), "rows")
     order = F.struct(F.coalesce("doc_id", F.lit(set_join.LAST)), "id", "doc_id", "k1", "k2")
     firsts = stage(rows.groupBy("k1", "k2").agg(F.min(order).alias("first")).select("first.id"), "firsts")
-    later = later_texts(firsts.join(rows, "id"), wide.join(firsts, "id", "left_semi"), keyed, shingle)
+    parts = wide.join(firsts, "id", "left_semi").select("id", F.coalesce("doc_id", F.lit(set_join.LAST)).alias("doc"), F.lit(0).alias("line_no"), F.explode("parts").alias("part"))
+    parts = stage(parts.select("id", "doc", "line_no", "part.*"), "dealt")
+    discard(wide)
+    later = later_texts(rows.join(firsts, "id", "left_semi"), parts, keyed, shingle)
     grouped = rooted(rows.groupBy("fp").agg(F.min(order).alias("first")))
     first = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*").join(later, "id", "left_anti")
     place = ["_lodestone_doc", "_lodestone_none", "_lodestone_k1", "_lodestone_k2"]
