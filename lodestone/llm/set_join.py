@@ -172,10 +172,10 @@ def _entries(parts: DataFrame, index: bool = False) -> DataFrame:
 def _eras(parts: DataFrame) -> Column:
     """A number of 31 bits for each set, in the order of ``doc`` as far as that many bits can tell."""
     low, high = parts.agg(F.min("doc"), F.max(F.when(F.col("doc") < LAST, F.col("doc")))).first()
-    low, high = (low or 0) >> 1, (high if high is not None else low or 0) >> 1
+    low, high = (low or 0) >> 2, (high if high is not None else low or 0) >> 2  # so that differences fit 63 bits
     spare = max(0, (high - low + 1).bit_length() - 31)
-    half = F.least(F.call_function("shiftright", F.col("doc"), F.lit(1)), F.lit(high + 1)) - F.lit(low)
-    return F.call_function("shiftright", half, F.lit(spare))
+    place = F.least(F.call_function("shiftright", F.col("doc"), F.lit(2)), F.lit(high + 1)) - F.lit(low)
+    return F.call_function("shiftright", place, F.lit(spare))
 
 
 def _led(parts: DataFrame) -> DataFrame:
