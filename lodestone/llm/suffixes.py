@@ -20,7 +20,7 @@ ANCHOR = 48
 #: Symbols sorted together; a group of contexts with one anchor is not cut.
 BLOCK = 1 << 20
 #: An anchor with more open contexts than this is not one task's work: its strings are dealt singly.
-CROWD = 4096
+CROWD = 1 << 14
 POSITION_BITS = 24
 
 
