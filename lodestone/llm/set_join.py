@@ -32,8 +32,11 @@ KEY_BITS, CLASS_AT = 63, 56
 LAST = (1 << 63) - 1
 #: A set looks for a leader by pairs of so many of its keys, among sets that differ in size by less than this factor.
 LEADING, BAND = 3, 1.15
-#: The index is dealt and joined in so many turns, each with its share of the keys, so that no more of it is on disk at once.
-TURNS = 3
+#: The index is dealt and joined in turns, each with its tenths of the keys, so that no more of it is on disk at once. The first is
+#: small: it settles what is left of large groups, whose members share many keys.
+TENTHS, TURNS = 10, ((0, 1), (1, 4), (4, 7), (7, 10))
+#: The ids that a turn has settled are broadcast up to so many (some 30 MB); more are joined as adaptive execution decides.
+MOST_BROADCAST = 1 << 20
 
 SIMILAR_SIZES = f"{DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)"
 #: Keys in one set only show up in the parities' difference, each at most once.
@@ -200,12 +203,13 @@ def _led(parts: DataFrame) -> DataFrame:
     return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PARITY}").select("a.id", F.col("b.id").alias("other")).distinct()
 
 
-def _met(marked: DataFrame, turn: int) -> DataFrame:
+def _met(marked: DataFrame, turn: tuple[int, int]) -> DataFrame:
     """Pairs of different sets, one of them open, with a common prefix key whose turn it is, that pass the length, position and
     parity filters; smaller id first. A settled set is of use only to sets after it, so it meets none of earlier eras."""
     open_parts = marked.filter("NOT settled")
     a, b = _entries(open_parts), _entries(open_parts, index=True).unionAll(_entries(marked.filter("settled")))
-    mine = F.pmod("token", F.lit(TURNS)) == turn
+    tenth = F.pmod("token", F.lit(TENTHS))
+    mine = (tenth >= turn[0]) & (tenth < turn[1])
     met = a.filter(mine).alias("a").join(b.filter(mine).alias("b"), F.col("a.token") == F.col("b.token"))
     met = met.filter(f"a.id <> b.id AND {CANDIDATE}")
     return met.select(F.least("a.id", "b.id").alias("id"), F.greatest("a.id", "b.id").alias("other"))
@@ -225,8 +229,8 @@ def later_matches(parts: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     marked = stage(_marked(parts, settled), "parts")
     discard(parts)
     found = settled
-    for turn in range(TURNS):
-        if turn:
+    for turn in TURNS:
+        if turn != TURNS[0]:
             # What the last turn has settled is open no more.
             marked, before = stage(_marked(marked, settled), "parts"), marked
             discard(before)
@@ -240,7 +244,9 @@ def _marked(parts: DataFrame, settled: DataFrame) -> DataFrame:
     """The parts with an era, and whether their sets are settled, now or before."""
     era = F.col("era") if "era" in parts.columns else _eras(parts)
     known = F.col("_before") if "settled" in parts.columns else F.lit(False)
-    both = parts.withColumnsRenamed({"settled": "_before"}).withColumn("era", era).join(settled.select("id", F.lit(True).alias("settled")), "id", "left")
+    now = settled.select("id", F.lit(True).alias("settled"))
+    now = F.broadcast(now) if settled.count() <= MOST_BROADCAST else now
+    both = parts.withColumnsRenamed({"settled": "_before"}).withColumn("era", era).join(now, "id", "left")
     return both.select("id", "era", "classes", "n", "parity", "prefix", F.coalesce("settled", known).alias("settled"))
 
 
