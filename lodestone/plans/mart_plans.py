@@ -224,7 +224,7 @@ def _(spark, sf_dir):
     rows = countdown_label(causal_features(with_cycle(load(spark, sf_dir, "events"), "user_id", ["ts", "event_id"]), "user_id", "cycle", ["value"]), "user_id", "cycle")
     held = gates.group_split(F.col("user_id"))
     features = ["cycle", "value", "value_mean_10", "value_delta_5"]
-    assemble, model, _ = gates.grid_search(rows.filter(~held), rows.filter(held), features, "rul")
+    assemble, model, _ = gates.grid_search(rows.filter(~held), rows.filter(held), features, "rul", trees=10)
     scored = model.transform(assemble.transform(rows)).select("event_id", "user_id", "cycle", "rul", F.round("prediction", 6).alias("predicted"))
     return scored.filter(~F.isnan("predicted"))
 

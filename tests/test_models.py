@@ -28,7 +28,7 @@ def test_failing_calls_stay_in_their_rows(spark):
 
 def test_scoring_twice_appends_nothing(spark, tmp_path):
     df = spark.createDataFrame([(i, float(i), 2.0 * i) for i in range(60)], "id int, x double, y double")
-    assemble, model, errors = grid_search(df.filter("id % 3 > 0"), df.filter("id % 3 = 0"), ["x"], "y", depths=(1, 2))
+    assemble, model, errors = grid_search(df.filter("id % 3 > 0"), df.filter("id % 3 = 0"), ["x"], "y", depths=(1, 2), trees=10)
     assert errors[2] <= errors[1]
 
     class Pipeline:

@@ -55,7 +55,7 @@ def test_bootstrap_draws_all_resamples(spark, data):
 def test_boosted_trees_try_all_sizes(spark, data, monkeypatch):
     from lodestone.operators import gates
 
-    def grid(train, validation, features, label, depths=(2, 3, 4), seed=42):
+    def grid(train, validation, features, label, depths=(2, 3, 4), seed=42, trees=200):
         raise LookupError(str(tuple(depths)))
 
     monkeypatch.setattr(gates, "grid_search", grid)
