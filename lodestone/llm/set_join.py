@@ -135,8 +135,12 @@ def dealt(sets: DataFrame) -> DataFrame:
     """The parts of the sets (id, doc, line_no, keys, leads): for each the set's size ``total``, its own size, parity and prefix, and with
     a set's first part its ``leads``.
 
-    A part enters with the keys that a similar part needs to share one of. A set that is little smaller than the next class
-    count begins at enters by that count too, to meet larger sets: there the shorter prefix of a smaller part will do.
+    A set that is little smaller than the next class count begins at enters by that count too, to meet larger sets.
+
+    Every part enters with its ``n - ceil(NUM * n / DEN) + 1`` first keys, by either count. That is enough class by class: similar parts
+    of n and m keys have at least NUM * (n + m) / (NUM + DEN) in common; as that is at most m, m is NUM * n / DEN at least, and so is what
+    they have in common, while fewer keys than that stand behind the prefix. A smaller set's part may be larger than the other's in the
+    very class that is similar, so nothing shorter will do before the sizes of both parts are known.
     """
     n = F.size("keys")
     own, next_up = _class_bits(n), _class_bits(F.floor(n * DEN / NUM))
@@ -149,7 +153,7 @@ def dealt(sets: DataFrame) -> DataFrame:
     bit = lambda k: _shiftleft(F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
     leads = F.when(F.col("own") & (F.col("part") == 0), F.col("leads")).otherwise(F.array().cast("array<bigint>"))
-    length = F.when(F.col("own"), n - F.ceil(n * NUM / DEN).cast("int") + 1).otherwise(_index_length(n))
+    length = n - F.ceil(n * NUM / DEN).cast("int") + 1
     classes = _shiftleft(F.lit(1), F.col("bits")).alias("classes")
     return part.select("id", "doc", "line_no", "total", classes, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"), leads.alias("leads"))
 

@@ -80,8 +80,7 @@ def dealt(hashes: np.ndarray, classes: np.ndarray) -> Iterator[tuple]:
         parity = np.bitwise_xor.reduceat(np.int64(1) << (turned & 63), starts) if len(starts) else []
         for at, end, p in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], parity):
             n = end - at
-            least = -(-n * num // den) if count == own else -(-n * 2 * num // (num + den))
-            yield len(keys), count, n, int(p), turned[at : at + n - least + 1], leads if count == own and not at else []
+            yield len(keys), count, n, int(p), turned[at : at + n - -(-n * num // den) + 1], leads if count == own and not at else []
 
 
 def _mixed(hashes: np.ndarray) -> int:

@@ -79,3 +79,41 @@ def test_equals_brute_force_on_long_lines(spark):
     want = brute(docs)
     assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == want
     assert 0.1 < sum(len(t) for t in want.values()) / sum(len(t) for _, t in docs) < 0.9
+
+
+def border_pairs(pools, rng, shares):
+    """Two sets of keys for each of ``shares``, dealt to four classes: (in common, only in the first, only in the second) by class."""
+    for share in shares:
+        both, first, second = [], [], []
+        for pool, (o, a, b) in zip(pools, share):
+            words = rng.sample(pool, o + a + b)
+            both, first, second = both + words[:o], first + words[o : o + a], second + words[o + a :]
+        yield both + first, both + second
+
+
+#: 79 and 80 keys, 71 in common: the smaller set's part is the larger one in the only class that is similar, and its own keys are rare.
+ONE_CLASS = [(26, 4, 0), (15, 1, 3), (15, 1, 3), (15, 2, 3)]
+
+
+def test_parts_of_a_smaller_set_may_be_the_larger_ones(spark):
+    """Pairs on both sides of a class border, with the keys that aren't common in one class."""
+    rng = random.Random(5)
+    from pyspark.sql import functions as F
+
+    words = spark.range(60_000).select(F.concat(F.lit("w"), "id").alias("w")).select("w", F.xxhash64("w").bitwiseAND(F.lit(3)).alias("c")).collect()
+    pools = [[r.w for r in words if r.c == c] for c in range(4)]
+    shares = [ONE_CLASS] * 40
+    while len(shares) < 80:
+        o = [rng.randint(10, 30) for _ in range(4)]
+        k = rng.randrange(4)
+        share = [(o[j], rng.randint(1, 5) if j == k else rng.randint(0, 2), 0 if j == k else rng.randint(0, 4)) for j in range(4)]
+        n, m, common = sum(x + a for x, a, _ in share), sum(x + b for x, _, b in share), sum(o)
+        if n < 80 <= m and 9 * common >= 4 * (n + m):
+            shares.append(share)
+    lines = [" ".join(s) for pair in border_pairs(pools, rng, shares) for s in pair]
+    docs = list(enumerate(lines))
+    rng.shuffle(lines)
+    docs += [(1000 + i, x) for i, x in enumerate(lines[:20])]
+    want = brute(docs)
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want and sum(t == "" for t in want.values()) >= 100

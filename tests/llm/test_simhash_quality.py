@@ -82,6 +82,29 @@ def test_near_copies_beyond_four_bits_go(spark):
     assert sorted(r.doc_id for r in simhash.keep_first(df).collect()) == want
 
 
+def test_parts_of_sets_across_a_class_border_meet():
+    """The 79 and 80 keys of the lines' test, as parts of shingle sets: the smaller part's short prefix has a key of the other's prefix."""
+    import random
+
+    from lodestone.llm import set_join
+    from tests.llm.test_line_dedup import ONE_CLASS, border_pairs
+
+    rng = random.Random(6)
+    pools = [[(rng.getrandbits(62) << 2) | c for _ in range(400)] for c in range(4)]
+    short = lambda n: n - -(-n * 2 * set_join.NUM // (set_join.NUM + set_join.DEN)) + 1
+    for own, other in border_pairs(pools, rng, [ONE_CLASS] * 200):
+        common = {h >> 48 for h in set(own) & set(other)}
+        classes = np.array([9 if k in common else 1 for k in range(1 << 16)], np.uint8)
+        a, b = ([p for p in simhash.dealt(np.sort(np.array(s, np.uint64)), classes)] for s in (own, other))
+        met = False
+        for _, count, n, _, p, _ in a:
+            for _, count2, m, _, q, _ in b:
+                if count == count2:
+                    p2, q2 = (p[: short(n)], q) if n <= m else (p, q[: short(m)])
+                    met |= bool(set(p2.tolist()) & set(q2.tolist()))
+        assert met
+
+
 def test_links_of_dense_and_far_fingerprints(spark):
     rng = np.random.default_rng(0)
     made = set()
