@@ -97,9 +97,9 @@ def test_parts_of_sets_across_a_class_border_meet():
         classes = np.array([9 if k in common else 1 for k in range(1 << 16)], np.uint8)
         a, b = ([p for p in simhash.dealt(np.sort(np.array(s, np.uint64)), classes)] for s in (own, other))
         met = False
-        for _, count, n, _, p, _ in a:
-            for _, count2, m, _, q, _ in b:
-                if count == count2:
+        for _, count, n, odd, p, _ in a:
+            for _, count2, m, odd2, q, _ in b:
+                if count == count2 and 9 * (odd ^ odd2).bit_count() <= n + m:
                     p2, q2 = (p[: short(n)], q) if n <= m else (p, q[: short(m)])
                     met |= bool(set(p2.tolist()) & set(q2.tolist()))
         assert met
