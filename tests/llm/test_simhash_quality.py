@@ -99,7 +99,7 @@ def test_parts_of_sets_across_a_class_border_meet():
         met = False
         for _, count, n, odd, p, _ in a:
             for _, count2, m, odd2, q, _ in b:
-                if count == count2 and 9 * (odd ^ odd2).bit_count() <= n + m:
+                if count == count2 and 9 * ((odd ^ odd2) & (1 << 64) - 1).bit_count() <= n + m:
                     p2, q2 = (p[: short(n)], q) if n <= m else (p, q[: short(m)])
                     met |= bool(set(p2.tolist()) & set(q2.tolist()))
         assert met
