@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestone.catalog import load
-from lodestone.llm import bpe, chat, exact_dedup, html_text, line_dedup, media, mixing, quality, simhash, suffixes
+from lodestone.llm import bpe, chat, exact_dedup, html_text, line_dedup, media, mixing, pieces, quality, simhash, suffixes
 
 QUERIES = {}
 SQL = {}
@@ -43,6 +43,13 @@ def _op5(spark, sf_dir):
     return bpe.bpe_frame(load(spark, sf_dir, "documents"), vocabulary(), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query("op12_sentencepiece")
+def _op12(spark, sf_dir):
+    import public_tokenizers
+
+    return pieces.piece_frame(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 @query("op2_media")
 def _op2(spark, sf_dir):
     return media.media_columns(load(spark, sf_dir, "documents"))
