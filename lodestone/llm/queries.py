@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestone.catalog import load
-from lodestone.llm import bpe, chat, exact_dedup, html_text, line_dedup, media, mixing, pieces, quality, simhash, suffixes
+from lodestone.llm import bpe, chat, collocations, exact_dedup, html_text, line_dedup, media, mixing, pieces, quality, simhash, suffixes
 
 QUERIES = {}
 SQL = {}
@@ -50,6 +50,29 @@ def _op12(spark, sf_dir):
     return pieces.piece_frame(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+COLLOCATION_SQL = r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^ \t]+') AS w FROM pieces),
+grams AS (SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+f AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+cuts AS (SELECT lang, phrase, a, k, string_split(phrase, ' ') AS ws FROM f, (VALUES (1), (2)) v(k) WHERE size > k),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, 1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a) AS score FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[:k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner2 AS (SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[:2], ' '), array_to_string(string_split(phrase, ' ')[2:], ' ')]) AS phrase FROM f WHERE size = 3),
+kept AS (SELECT b.* FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner2 i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a >= 50 * b.a))
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+
+@query("op11_collocations", COLLOCATION_SQL)
+def _op11(spark, sf_dir):
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
 @query("op2_media")
 def _op2(spark, sf_dir):
     return media.media_columns(load(spark, sf_dir, "documents"))
