@@ -19,11 +19,16 @@ _POWERS: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
 class Words(NamedTuple):
-    """Words in lower case (A-Z only) with one space after each, where they start and end, the piece each is in, and how many were there before."""
+    """Words in lower case (A-Z only) with one space after each.
+
+    Where they start and end there and start in the text as it was, the piece each is in, the number of the last piece,
+    and how many of the words were there before.
+    """
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    first: np.ndarray
     piece: np.ndarray
     pieces: int
     old: int
@@ -48,7 +53,7 @@ class Splitter:
         size -= first
         ends = np.cumsum(size + 1) - 1
         breaks = np.flatnonzero(self.breaks[read])
-        return Words(self.shown[read[word | before]], ends - size, ends, np.searchsorted(breaks, first), len(breaks), old)
+        return Words(self.shown[read[word | before]], ends - size, ends, first, np.searchsorted(breaks, first), len(breaks), old)
 
     def blocks(self, raw: bytes, keep: int = 0) -> Iterator[Words]:
         """The words of a joined text in blocks; each begins with up to ``keep`` last words of the one before, if its piece goes on."""
