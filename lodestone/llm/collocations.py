@@ -16,8 +16,13 @@ from lodestone.llm.words import Splitter, Words, batches_of, counted, groups, ha
 #: Fixed values of the contract: what ends a piece, and what else stands between words.
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 SPLITTER = Splitter(BREAKS + BLANKS, BREAKS)
-#: Keys that are held until they are sorted and counted.
-HELD = 1 << 22
+#: Keys that are held until they are sorted and counted, and rows of an Arrow batch of them.
+HELD, SENT = 1 << 23, 1 << 17
+#: A key and a count in one number: the lower bits count.
+COUNT_BITS = 16
+MOST = (1 << COUNT_BITS) - 1
+#: A key's bits from here on are its second place in the filter, its lowest ones the first.
+SECOND = 21
 #: A decimal of all digits there are, for products beyond 64 bits.
 WIDE = "decimal(38,0)"
 
@@ -48,28 +53,61 @@ def _blocks(batches, most: int) -> Iterator[tuple[str, np.uint64, Words]]:
 
 
 def counted_keys(source: DataFrame, most: int) -> DataFrame:
-    """(key, count): a row for each n-gram of up to ``most`` words, summed over a few million n-grams of a task."""
+    """Rows ``packed`` of a key's upper 48 bits and a count: one for each n-gram of up to ``most`` words, summed over some millions of a task."""
 
     def run(batches):
-        held, size = [], 0
+        held, size = np.empty(HELD, np.int64), 0
 
         def settle():
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "count"])
+            keys = held[:size]
+            keys.sort()
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if size else np.zeros(0, np.int64)
+            for at in range(0, len(first), SENT):
+                some = first[at : at + SENT + 1]
+                counts = np.diff(some if len(some) > SENT else np.append(some, size))
+                some = keys[some[: len(counts)]] << COUNT_BITS
+                while len(counts):
+                    yield pa.RecordBatch.from_arrays([pa.array(some | np.minimum(counts, MOST))], names=["packed"])
+                    some, counts = some[counts > MOST], counts[counts > MOST] - MOST
 
         for _, lang, words in _blocks(batches, most):
             hashed = hashes(words)
             for n in range(1, most + 1):
-                held.append(_keys(hashed, _ngrams(words, n), n, lang))
-                size += len(held[-1])
-            if size >= HELD:
-                yield settle()
-                size = 0
-        if held:
-            yield settle()
+                keys = (_keys(hashed, _ngrams(words, n), n, lang) >> np.uint64(COUNT_BITS)).view(np.int64)
+                while len(keys):
+                    some, keys = keys[: HELD - size], keys[HELD - size :]
+                    held[size : size + len(some)] = some
+                    size += len(some)
+                    if size == HELD:
+                        yield from settle()
+                        size = 0
+        yield from settle()
 
-    return source.mapInArrow(run, "key long, count long")
+    return source.mapInArrow(run, "packed long")
+
+
+def frequent_keys(rows: DataFrame, least: int) -> DataFrame:
+    """The keys of :func:`counted_keys` whose counts sum up to ``least`` or more. Rows are dealt and sorted by Spark; a task holds one batch."""
+
+    def run(batches):
+        last, count = -1, 0
+        for batch in batches:
+            packed = batch.column(0).to_numpy()
+            keys = packed >> COUNT_BITS
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+            if not len(first):
+                continue
+            sums, keys = np.add.reduceat(packed & MOST, first), keys[first]
+            if keys[0] == last:
+                sums[0] += count
+            elif count >= least:
+                yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64())], names=["key"])
+            last, count = int(keys[-1]), int(sums[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:-1][sums[:-1] >= least])], names=["key"])
+        if count >= least:
+            yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64())], names=["key"])
+
+    return rows.repartition(F.shiftright("packed", COUNT_BITS)).sortWithinPartitions("packed").mapInArrow(run, "key long")
 
 
 def counted_phrases(source: DataFrame, most: int, filter_bits, bits: int) -> DataFrame:
@@ -79,7 +117,7 @@ def counted_phrases(source: DataFrame, most: int, filter_bits, bits: int) -> Dat
         table = np.frombuffer(filter_bits.value, np.uint8)
 
         def has(place):
-            place &= np.uint64(bits - 1)
+            place = place & np.uint64(bits - 1)
             return (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
         for lang, number, words in _blocks(batches, most):
@@ -87,8 +125,8 @@ def counted_phrases(source: DataFrame, most: int, filter_bits, bits: int) -> Dat
             made = [(0, pa.array([""], pa.large_string()), np.array([len(words.starts) - words.old]))]
             for n in range(1, most + 1):
                 at = _ngrams(words, n)
-                keys = _keys(hashed, at, n, number)
-                at = at[has(keys.copy()) & has(keys >> np.uint64(32))]
+                keys = _keys(hashed, at, n, number) >> np.uint64(COUNT_BITS)
+                at = at[has(keys) & has(keys >> np.uint64(SECOND))]
                 made.append((n, *counted(slices(words.data, words.starts[at], words.ends[at + n - 1]))))
             for n, phrases, counts in made:
                 if len(phrases):
@@ -101,16 +139,15 @@ def counted_phrases(source: DataFrame, most: int, filter_bits, bits: int) -> Dat
 def phrase_counts(docs: DataFrame, most: int = 3, least: int = 10, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, size, phrase, count) of all phrases of 1 to ``most`` words that occur ``least`` times or more, and each language's words as size 0.
 
-    All n-grams become rows twice. The first time they are 64-bit keys, so what is shuffled has a few bytes for each different
+    All n-grams become rows twice. The first time they are 48-bit keys with counts, so what is shuffled has eight bytes for each different
     n-gram of a task. Keys with enough occurrences, by far the fewest, make a Bloom filter of at most 16 MB; the second time only the
     n-grams that pass it are rows, with their words, and are counted by these. Keys that collide or pass by chance cost rows only.
     """
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    keys = counted_keys(source, most).groupBy("key").agg(F.sum("count").alias("count")).filter(F.col("count") >= least)
-    keys = stage(keys.select("key"), "frequent")
+    keys = stage(frequent_keys(counted_keys(source, most), least), "frequent")
     bits = bloom.bits_for(keys.count())
-    places = [F.shiftrightunsigned("key", 32 * k).bitwiseAND(F.lit(bits - 1)) for k in range(2)]
+    places = [F.shiftright("key", k).bitwiseAND(F.lit(bits - 1)) for k in (0, SECOND)]
     table = bytearray(bits // 8)
     for r in bloom.bitmaps(keys.select(F.explode(F.array(*places)).alias("bit"))).toLocalIterator():
         at = r.bucket * bloom.BUCKET_BITS // 8

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestone.catalog import load
-from lodestone.llm import bpe, chat, collocations, exact_dedup, html_text, line_dedup, media, mixing, pieces, quality, simhash, suffixes
+from lodestone.llm import bpe, chat, collocations, divergence, exact_dedup, html_text, line_dedup, media, mixing, pieces, quality, simhash, suffixes
 
 QUERIES = {}
 SQL = {}
@@ -73,6 +73,29 @@ def _op11(spark, sf_dir):
     return collocations.collocations(load(spark, sf_dir, "documents"))
 
 
+DIVERGENCE_SQL = r"""WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS whole FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT cells.lang, source, term, cells.n, 1 + (1000000000::HUGEINT * (cells.n + 5)) // (sum(cells.n) OVER (PARTITION BY cells.lang, source) + 5 * v.v) AS p,
+  1 + (1000000000::HUGEINT * (whole + 5)) // (v.n + 5 * v.v) AS q FROM cells JOIN v ON v.lang = cells.lang),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+allpairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM allpairs UNION ALL SELECT * FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def _op13(spark, sf_dir):
+    return divergence.audit_sources(load(spark, sf_dir, "documents"))
+
+
 @query("op2_media")
 def _op2(spark, sf_dir):
     return media.media_columns(load(spark, sf_dir, "documents"))

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are split at a time.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 #: Rows of an Arrow batch that are joined at a time.
 ROWS = 4096
 _ODD, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
