@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ BLOCK = 1 << 20
 #: Longer words are cut where no piece has the two characters side by side, and aren't kept for their next occurrence.
 LONGEST_KEPT = 64
 #: Words that are kept: two generations of so many.
-KEPT = 100_000
+KEPT = 200_000
 NEVER = np.int32(2**31 - 1)
+NEXT_WORD = re.compile(f"(?<=[^{SPACE}]){SPACE}")
+FIRST, SECOND, THIRD = (itemgetter(k) for k in range(3))
 
 
 class PieceBPE:
@@ -68,6 +71,11 @@ class PieceBPE:
         self.pair_ids = np.array([m[2] for m in merges] + [0], np.int32)
         self.side_by_side = {p[k : k + 2] for p in normal for k in range(len(p) - 1)}
         self.shown = [self.bytes.get(i, n.replace(SPACE, " ").encode("utf-8")) for i, n in enumerate(self.names)]
+        self.shown_size = np.array([len(x) for x in self.shown])
+        self.shown_at = np.cumsum(self.shown_size) - self.shown_size
+        self.shown_data = np.frombuffer(b"".join(self.shown), np.uint8)
+        self.id_of_byte = np.array([self.byte_ids[b] for b in range(256)], np.int32)
+        self.long: list[str] = []
         self.words: dict[str, tuple[int, bytes, bytes]] = {}
         self.old_words: dict[str, tuple[int, bytes, bytes]] = {}
 
@@ -138,19 +146,24 @@ class PieceBPE:
         keep[at + 1] = False
         return symbol[keep], word[keep], start[keep], rank[keep], piece[keep]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word."""
+    def encode_words(self, words: list[str]) -> list[tuple[int, bytes, bytes]]:
+        """(number of ids, ids as little-endian 32-bit integers, their text in UTF-8) of each word."""
         symbol, word, start, codes = self.merged(words)
-        bounds = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
-        ids, odd = symbol.tolist(), np.flatnonzero(symbol >= len(self.names)).tolist()
-        if not odd:
-            return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
-        for k in odd:
-            ids[k] = [self.byte_ids[b] for b in chr(codes[start[k]]).encode("utf-8", "surrogatepass")]
-        out = []
-        for a, b in zip(bounds, bounds[1:]):
-            out.append([i for x in ids[a:b] for i in (x if isinstance(x, list) else (x,))])
-        return out
+        odd = np.flatnonzero(symbol >= len(self.names))
+        if len(odd):
+            # Characters that no piece has become the ids of their bytes.
+            raws = [chr(c).encode("utf-8", "surrogatepass") for c in codes[start[odd]]]
+            many = np.ones(len(symbol), np.int64)
+            many[odd] = [len(r) for r in raws]
+            symbol, word, ends = np.repeat(symbol, many), np.repeat(word, many), np.cumsum(many)
+            symbol[np.concatenate([np.arange(ends[k] - len(r), ends[k]) for k, r in zip(odd, raws)])] = self.id_of_byte[list(b"".join(raws))]
+        size = self.shown_size[symbol]
+        places = np.arange(size.sum()) + np.repeat(self.shown_at[symbol] - np.cumsum(size) + size, size)
+        ids, text = symbol.astype("<u4").tobytes(), self.shown_data[places].tobytes()
+        bounds = np.searchsorted(word, np.arange(len(words) + 1))
+        text_bounds = np.concatenate(([0], np.cumsum(size)))[bounds].tolist()
+        bounds = bounds.tolist()
+        return [(b - a, ids[4 * a : 4 * b], text[c:d]) for a, b, c, d in zip(bounds, bounds[1:], text_bounds, text_bounds[1:])]
 
     def parts(self, word: str) -> list[str]:
         """The word, or if it is long its parts, between which no merge is possible."""
@@ -159,33 +172,39 @@ class PieceBPE:
         cuts = [0, *(k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.side_by_side), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def learn(self, words: Iterable[str]) -> dict[str, tuple[int, bytes, bytes]]:
-        """(number of ids, ids as little-endian 32-bit integers, their text in UTF-8) of each of the words."""
-        out, new = {}, []
-        for w in words:
-            known = self.words.get(w) or self.old_words.get(w)
-            if known is None:
-                new.append(w)
-            else:
-                out[w] = known
-        for w, ids in zip(new, self.encode_words(new) if new else ()):
-            out[w] = (len(ids), np.array(ids, "<u4").tobytes(), b"".join([self.shown[i] for i in ids]))
-        if len(self.words) + len(out) > KEPT:
-            self.words, self.old_words = {}, self.words if len(self.words) <= KEPT else {}
-        self.words.update((w, x) for w, x in out.items() if len(w) <= LONGEST_KEPT)
-        return out
-
-    def sections(self, text: str) -> Iterator[list[str]]:
-        """The words' parts of the text, in lists of about BLOCK characters."""
+    def learn(self, lists: Iterable[list[str]]) -> None:
+        """Put all words of the lists into ``words``."""
+        missing = set().union(*lists).difference(self.words)
+        if self.old_words:
+            known = {w: self.old_words[w] for w in missing.intersection(self.old_words)}
+            self.words.update(known)
+            missing.difference_update(known)
+        if missing:
+            new = list(missing)
+            self.words.update(zip(new, self.encode_words(new)))
+            self.long += [w for w in new if len(w) > LONGEST_KEPT]
+
+    def forget(self) -> None:
+        """Let go of long words, and start a new generation of words if there are many."""
+        for w in self.long:
+            self.words.pop(w, None)
+        self.long = []
+        if len(self.words) > KEPT:
+            self.words, self.old_words = {}, self.words if len(self.words) <= 2 * KEPT else {}
+
+    def sections(self, text: str) -> Iterator[tuple[int, list[str]]]:
+        """The words' parts of the text, in lists of about BLOCK characters, with their number of characters."""
         marked = SPACE + text.replace(" ", SPACE) if text else ""
         at = 0
         while at < len(marked):
             to = len(marked)
             if to - at > BLOCK:
-                cut = re.compile(f"(?<=[^{SPACE}]){SPACE}").search(marked, at + BLOCK)
+                cut = NEXT_WORD.search(marked, at + BLOCK)
                 to = cut.start() if cut else to
             words = WORDS.findall(marked, at, to)
-            yield [p for w in words for p in self.parts(w)] if any(len(w) > LONGEST_KEPT for w in words) else words
+            if max(map(len, words)) > LONGEST_KEPT:
+                words = [p for w in words for p in self.parts(w)]
+            yield to - at, words
             at = to
 
     def encode_batch(self, batch: Iterable[str]) -> Iterator[tuple[int, bytes, bytes]]:
@@ -195,16 +214,17 @@ class PieceBPE:
         chars = 0
 
         def settle():
-            known = self.learn({w for _, words in waiting for w in words})
+            self.learn([words for _, words in waiting])
             for k, words in waiting:
-                made[k] += [known[w] for w in words]
+                made[k] += map(self.words.__getitem__, words)
             waiting.clear()
+            self.forget()
 
         for text in batch:
             made.append([])
-            for words in self.sections(text):
+            for size, words in self.sections(text):
                 waiting.append((len(made) - 1, words))
-                chars += sum(map(len, words))
+                chars += size
                 if chars >= BLOCK:
                     settle()
                     chars = 0
@@ -212,7 +232,7 @@ class PieceBPE:
         edge = [np.array([i], "<u4").tobytes() for i in (self.begin, self.end)]
         for words in made:
             # The mark put before a text isn't shown.
-            yield sum([w[0] for w in words]) + 2, b"".join([edge[0], *[w[1] for w in words], edge[1]]), b"".join([w[2] for w in words])[1:]
+            yield sum(map(FIRST, words)) + 2, b"".join([edge[0], *map(SECOND, words), edge[1]]), b"".join(map(THIRD, words))[1:]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(next(self.encode_batch([text]))[1], "<u4").tolist()
