@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.operators.quantiles import exact_quantiles
+from lodestone.catalog import stage
+from lodestone.operators.quantiles import quantiles_of_counts
 
 #: Shares below this are raised to it; shares are not scaled again afterwards.
 SHARE_FLOOR = 1e-6
@@ -22,9 +23,18 @@ def unpivot(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.feature", "_p.value")
 
 
-def quantile_edges(values: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """(by, edges): the distinct inner quantiles of ``value`` in order, a row for each group."""
-    inner = exact_quantiles(values, "value", [i / bins for i in range(1, bins)], by, "edges")
+def value_counts(reference: DataFrame, current: DataFrame, features: Sequence[str], also: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """(feature, value, ``also``, r, c, w): how many rows of the reference and of the current side have a feature's value, and the
+    reference's sum of weights; a written table. Each side is read once and combined map-side; all else is worked out from this."""
+    own = lambda df, r, c, w: unpivot(df.withColumn("_w", w), features, [*also, "_w"]).select("feature", "value", *also, F.lit(r).alias("r"), F.lit(c).alias("c"), F.col("_w").alias("w"))
+    both = own(reference, 1, 0, F.col(weight).cast("double") if weight else F.lit(1.0)).unionByName(own(current, 0, 1, F.lit(0.0)))
+    return stage(both.groupBy("feature", "value", *also).agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.sum("w").alias("w")), "value-counts")
+
+
+def quantile_edges(counts: DataFrame, value: str, count: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
+    """(by, edges): the distinct inner quantiles of values with counts, in order, a row for each group."""
+    each = counts.groupBy(*by, value).agg(F.sum(count).alias(count))
+    inner = quantiles_of_counts(each, value, count, [i / bins for i in range(1, bins)], by, "edges")
     return inner.select(*by, F.array_sort(F.array_distinct("edges")).alias("edges"))
 
 
@@ -33,81 +43,74 @@ def bin_of(edges: Column, value: Column) -> Column:
     return F.size(F.filter(edges, lambda e: e <= value))
 
 
-def bin_shares(values: DataFrame, edges: DataFrame, weight: Column | None = None) -> DataFrame:
-    """(feature, bin, share): shares of weight in every bin, empty ones included, raised to the floor.
+def in_bins(counts: DataFrame, bins: int, also: Sequence[str] = ()) -> DataFrame:
+    """(feature, bin, ``also``, r, c, w and the sums rv, cv of both sides' values): the value counts by bins of the reference's quantiles,
+    all bins of a feature, empty ones included. The edges have a row for each feature, so they are broadcast."""
+    edges = F.broadcast(quantile_edges(counts, "value", "r", bins, ["feature"]))
+    sums = [F.sum(x).alias(x) for x in ("r", "c", "w")] + [F.sum(F.col("value") * F.col(x)).alias(f"{x}v") for x in ("r", "c")]
+    found = counts.join(edges, "feature").groupBy("feature", bin_of(F.col("edges"), F.col("value")).alias("bin"), *also).agg(*sums)
+    places = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bin"))
+    return places.join(found, ["feature", "bin"], "left").na.fill(0, ["r", "c", "w", "rv", "cv"])
+
 
-    ``values`` has feature and value, ``edges`` one row per feature with its array: that table is as small as the list
-    of features, so it is broadcast.
+def indices(binned: DataFrame, **expected: str) -> DataFrame:
+    """(feature, an index for each name): sum of (actual - expected) * ln(actual / expected) over the bins (feature, bin, c, ...).
+
+    Shares are each bin's part of the column's sum, raised to the floor; the expected ones are of the named columns.
     """
-    w = weight if weight is not None else F.lit(1.0)
-    joined = values.join(F.broadcast(edges), "feature")
-    counts = joined.groupBy("feature", bin_of(F.col("edges"), F.col("value")).alias("bin")).agg(F.sum(w).alias("w"))
-    totals = counts.groupBy("feature").agg(F.sum("w").alias("total"))
-    bins = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bin"))
-    share = F.coalesce(F.try_divide(F.col("w"), F.col("total")), F.lit(0.0))
-    return bins.join(counts, ["feature", "bin"], "left").join(totals, "feature", "left").select("feature", "bin", F.greatest(share, F.lit(SHARE_FLOOR)).alias("share"))
+    own = Window.partitionBy("feature")
+    share = lambda x: F.greatest(F.coalesce(F.try_divide(F.col(x), F.sum(x).over(own)), F.lit(0.0)), F.lit(SHARE_FLOOR))
+    shares = binned.select("feature", share("c").alias("_a"), *(share(x).alias(name) for name, x in expected.items()))
+    return shares.groupBy("feature").agg(*(F.sum((F.col("_a") - F.col(n)) * F.log(F.col("_a") / F.col(n))).alias(n) for n in expected))
 
 
 def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10, weight: str | None = None) -> DataFrame:
-    """(feature, psi): sum of (actual - expected) * ln(actual / expected) over bins whose edges come from the reference."""
-    keep = [weight] if weight else []
-    ref, cur = unpivot(reference, features, keep), unpivot(current, features)
-    edges = quantile_edges(ref, bins, ["feature"])
-    expected = bin_shares(ref, edges, F.col(weight) if weight else None).withColumnRenamed("share", "e")
-    actual = bin_shares(cur, edges).withColumnRenamed("share", "a")
-    term = (F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))
-    return expected.join(actual, ["feature", "bin"]).groupBy("feature").agg(F.sum(term).alias("psi"))
+    """(feature, psi): the stability index over bins whose edges come from the reference, whose rows may have weights."""
+    return indices(in_bins(value_counts(reference, current, features, weight=weight), bins), psi="w")
 
 
-def with_age_weights(reference: DataFrame, current: DataFrame, age: str, bins: int = 10, name: str = "age_weight") -> DataFrame:
-    """The reference with weights that give it the current ages' mix.
+def age_ratios(ages: DataFrame, age: str, bins: int) -> DataFrame:
+    """(age, ratio): the weight of reference rows of each age, from the ages' counts (age, r, c) of both sides.
 
-    Edges come from current ages; reference rows outside the range of current ages weigh 0; the others weigh their bin's
-    current share over its reference share among rows in range. A bin with current but no reference rows raises.
+    Edges come from current ages; ages outside the range of current ones have ratio 0; the others their bin's current share over
+    its reference share among rows in range. A bin with current but no reference rows raises.
     """
-    ages = current.select(F.col(age).cast("double").alias("value"))
-    ends = ages.agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    one = F.broadcast(ends.join(quantile_edges(ages, bins)))  # one row each
-    cur = ages.join(one).groupBy(bin_of(F.col("edges"), F.col("value")).alias("bin")).agg(F.count(F.lit(1)).alias("c"))
-    a = F.col(age).cast("double")
-    binned = reference.join(one).withColumn("_in", a.between(F.col("low"), F.col("high"))).withColumn("_bin", bin_of(F.col("edges"), a)).drop("edges", "low", "high")
-    ref = binned.filter("_in").groupBy(F.col("_bin").alias("bin")).agg(F.count(F.lit(1)).alias("r"))
-    shares = cur.join(ref, "bin", "full_outer").select(
-        F.col("bin").alias("_bin"), F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("r", F.lit(0)).alias("r")
-    )
-    sums = shares.agg(F.sum("c").alias("cs"), F.sum("r").alias("rs"))
-    ratio = F.when((F.col("c") > 0) & (F.col("r") == 0), F.raise_error(F.lit("some current ages have no reference rows to be weighed")).cast("double")).otherwise(
-        F.when(F.col("r") > 0, (F.col("c") / F.col("cs")) / (F.col("r") / F.col("rs"))).otherwise(0.0)
-    )
-    table = shares.join(F.broadcast(sums)).select("_bin", ratio.alias("_ratio"))
-    out = binned.join(F.broadcast(table), "_bin", "left")
-    return out.withColumn(name, F.when(F.col("_in"), F.coalesce("_ratio", F.lit(0.0))).otherwise(0.0)).drop("_in", "_bin", "_ratio")
+    known = ages.select(F.col(age).alias("_age"), F.col(age).cast("double").alias("_value"), "r", "c")
+    ends = known.agg(F.min(F.when(F.col("c") > 0, F.col("_value"))).alias("_low"), F.max(F.when(F.col("c") > 0, F.col("_value"))).alias("_high"))
+    one = F.broadcast(ends.join(quantile_edges(known, "_value", "c", bins)))  # one row each
+    inside = F.coalesce(F.col("_value").between(F.col("_low"), F.col("_high")), F.lit(False))
+    placed = known.join(one).withColumn("_bin", F.when(inside, bin_of(F.col("edges"), F.col("_value"))))
+    sums = placed.filter(F.col("_bin").isNotNull()).groupBy("_bin").agg(F.sum("r").alias("_r"), F.sum("c").alias("_c"))
+    totals = sums.agg(F.sum("_r").alias("_rs"), F.sum("_c").alias("_cs"))
+    missing = F.raise_error(F.lit("some current ages have no reference rows to be weighed")).cast("double")
+    ratio = F.when((F.col("_c") > 0) & (F.col("_r") == 0), missing).when(F.col("_r") > 0, (F.col("_c") / F.col("_cs")) / (F.col("_r") / F.col("_rs"))).otherwise(0.0)
+    table = sums.join(F.broadcast(totals)).select("_bin", ratio.alias("_ratio"))  # a row a bin
+    return placed.join(F.broadcast(table), "_bin", "left").select(F.col("_age").alias(age), F.coalesce("_ratio", F.lit(0.0)).alias("ratio"))
+
+
+def with_age_weights(reference: DataFrame, current: DataFrame, age: str, bins: int = 10, name: str = "age_weight") -> DataFrame:
+    """The reference with weights that give it the current ages' mix, as :func:`age_ratios` has them."""
+    sides = reference.select(age, F.lit(1).alias("r"), F.lit(0).alias("c")).unionByName(current.select(age, F.lit(0).alias("r"), F.lit(1).alias("c")))
+    ages = stage(sides.groupBy(age).agg(F.sum("r").alias("r"), F.sum("c").alias("c")), "ages")
+    ratios = age_ratios(ages, age, bins).select(F.col(age).alias("_age"), F.col("ratio").alias(name))
+    return reference.join(ratios, F.col(age).eqNullSafe(F.col("_age")), "left").drop("_age")
 
 
 def drift(reference: DataFrame, current: DataFrame, features: Sequence[str], age: str, bins: int = 10) -> DataFrame:
     """(feature, psi, psi_age_matched, means and rows of both sides).
 
-    Both indices have the same edges, so each side is binned once and summed with both weights; what is left after that
-    is one row per feature and bin.
+    Each side is read once, for a table of how often each value of a feature occurs with each age. From that come the ages' counts
+    and ratios, the bins' edges, and both indices: sums by bin and age first, whose ages then get their weights.
     """
-    ref = unpivot(with_age_weights(reference, current, age, bins), features, ["age_weight"])
-    cur = unpivot(current, features)
-    about = ref.groupBy("feature").agg(F.avg("value").alias("reference_mean"), F.count(F.lit(1)).alias("reference_rows"))
-    about = about.join(F.broadcast(quantile_edges(ref.select("feature", "value"), bins, ["feature"])), "feature")
-    edges = F.broadcast(about.select("feature", "edges"))
-    binned = lambda df: df.join(edges, "feature").groupBy("feature", bin_of(F.col("edges"), F.col("value")).alias("bin"))
-    r = binned(ref).agg(F.count(F.lit(1)).alias("r"), F.sum("age_weight").alias("w"))
-    c = binned(cur).agg(F.count(F.lit(1)).alias("c"), F.sum("value").alias("v"))
-    places = about.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bin"))
-    counts = places.join(r, ["feature", "bin"], "left").join(c, ["feature", "bin"], "left").na.fill(0, ["r", "w", "c", "v"])
-    own = Window.partitionBy("feature")
-    share = lambda x: F.greatest(F.coalesce(F.try_divide(F.col(x), F.sum(x).over(own)), F.lit(0.0)), F.lit(SHARE_FLOOR))
-    shares = counts.select("feature", "c", "v", share("r").alias("e"), share("w").alias("m"), share("c").alias("a"))
-    index = lambda e: F.sum((F.col("a") - F.col(e)) * F.log(F.col("a") / F.col(e)))
-    out = shares.groupBy("feature").agg(
-        index("e").alias("psi"), index("m").alias("psi_age_matched"), F.try_divide(F.sum("v"), F.sum("c")).alias("current_mean"), F.sum("c").alias("current_rows")
-    )
-    return out.join(about.drop("edges"), "feature")
+    counts = value_counts(reference, current, features, [age])
+    first = counts.filter(F.col("feature") == features[0]).groupBy(age).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    ratios = age_ratios(stage(first, "ages"), age, bins).select(F.col(age).alias("_age"), "ratio")
+    binned = in_bins(counts, bins, [age]).join(ratios, F.col(age).eqNullSafe(F.col("_age")), "left")
+    sums = [F.sum(x).alias(x) for x in ("r", "c", "rv", "cv")]
+    table = stage(binned.groupBy("feature", "bin").agg(*sums, F.sum(F.col("w") * F.coalesce("ratio", F.lit(0.0))).alias("m")), "bins")
+    mean = lambda side, x: [F.try_divide(F.sum(f"{x}v"), F.sum(x)).alias(f"{side}_mean"), F.sum(x).alias(f"{side}_rows")]
+    about = table.groupBy("feature").agg(*mean("reference", "r"), *mean("current", "c"))
+    return indices(table, psi="r", psi_age_matched="m").join(about, "feature")
 
 
 def alert_checks(performance: DataFrame, drift_snapshots: DataFrame, now: Column, segments: Sequence[str], max_rmse_increase: float, max_psi: float, max_age_hours: float) -> DataFrame:

@@ -13,13 +13,20 @@ from lodestone.catalog import stage
 def exact_quantiles(values: DataFrame, value: str, points: Sequence[float], by: Sequence[str] = (), name: str = "quantiles") -> DataFrame:
     """(by, ``name``): for each group the quantiles at ``points`` by linear interpolation, as an array in their order.
 
-    Values are counted, and the counts dealt into ranges by group and value. Sums of the ranges tell which of them have the
-    wanted ranks; only in those a running sum finds the values. What is broadcast has a row for each group and point, or for
-    each group and range. Null values don't count; groups without values are left out.
+    Null values don't count; groups without values are left out.
+    """
+    counts = values.groupBy(*by, F.col(value).cast("double").alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
+    return quantiles_of_counts(counts, "_value", "_count", points, by, name)
+
+
+def quantiles_of_counts(table: DataFrame, value: str, count: str, points: Sequence[float], by: Sequence[str] = (), name: str = "quantiles") -> DataFrame:
+    """As :func:`exact_quantiles` of values with their counts: one row for each group and value, in which the value occurs so often.
+
+    The counts are dealt into ranges by group and value. Sums of the ranges tell which of them have the wanted ranks; only in
+    those a running sum finds the values. What is broadcast has a row for each group and point, or for each group and range.
     """
     keys = list(by) or ["_all"]
-    source = values if by else values.withColumn("_all", F.lit(0))
-    counts = source.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
+    counts = table.filter(F.col(value).isNotNull() & (F.col(count) > 0)).select(*(by or [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_value"), F.col(count).alias("_count"))
     placed = stage(counts.repartitionByRange(*keys, "_value").withColumn("_range", F.spark_partition_id()), "value-counts")
     sums = placed.groupBy(*keys, "_range").agg(F.sum("_count").alias("_sum"))
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -418,4 +418,4 @@ def _(spark, sf_dir):
 @query("bootstrap_ci")
 def _(spark, sf_dir):
     j = judged(spark, sf_dir).select("doc_id", (F.col("truth") == F.col("predicted")).cast("double").alias("rule"), (F.col("truth") == "1").cast("double").alias("majority"))
-    return metrics.paired_bootstrap(j, "doc_id", "rule", "majority")
+    return metrics.paired_bootstrap(j, "rule", "majority")
