@@ -58,24 +58,6 @@ def constant_baseline(labels: DataFrame, validation: Column, label: str) -> Data
     return sums.select("mean", F.when(ok, error).otherwise(F.raise_error(F.lit("both sides need labels")).cast("double")).alias("rmse"))
 
 
-def grid_search(train: DataFrame, validation: DataFrame, features: Sequence[str], label: str, depths: Sequence[int] = (2, 3, 4), seed: int = 42, trees: int = 200):
-    """So many boosted trees of each depth; returns the model with the least validation RMSE (the smaller of equals), refitted on all rows."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    assemble = VectorAssembler(inputCols=list(features), outputCol="_x")
-    fit = lambda depth, df: GBTRegressor(featuresCol="_x", labelCol=label, maxDepth=depth, maxIter=trees, seed=seed).fit(df)
-    a, b = assemble.transform(train).cache(), assemble.transform(validation).cache()
-    judge = RegressionEvaluator(labelCol=label, metricName="rmse")
-    errors = [(judge.evaluate(fit(d, a).transform(b)), d) for d in depths]
-    best = min(errors)[1]
-    model = fit(best, a.unionByName(b))
-    a.unpersist()
-    b.unpersist()
-    return assemble, model, dict((d, e) for e, d in errors)
-
-
 class TextModel:
     """Terms counted by the first pipeline, counts damped, and the second pipeline's prediction in ``_p``."""
 

@@ -1,13 +1,12 @@
-"""Models in pipelines: calls with per-row errors, scoring into a log, run records."""
+"""Models in pipelines: calls with per-row errors, scoring into a log."""
 
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.operators.expect import Rules, finite
@@ -51,110 +50,7 @@ def score_new(model, features: DataFrame, log: DataFrame, keys: Sequence[str], v
     return checked.select(*keys, "model_version", "predicted", F.current_timestamp().alias("scored_at"), F.lit(None).cast("double").alias("actual"))
 
 
-def log_run(spark: SparkSession, path: str, run: str, params: dict, metrics: dict[str, float]) -> None:
-    """Append one record of a training run."""
-    row = [(run, json.dumps(params, sort_keys=True), {k: float(v) for k, v in metrics.items()})]
-    df = spark.createDataFrame(row, "run string, params string, metrics map<string,double>")
-    df.withColumn("logged_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
-
-
 def label_schema(fields: dict[str, Sequence[str]]) -> str:
     """The JSON schema of an object that has one of the allowed labels in each field and nothing else."""
     properties = {f: {"type": "string", "enum": list(v)} for f, v in fields.items()}
     return json.dumps({"type": "object", "properties": properties, "required": list(fields), "additionalProperties": False}, sort_keys=True)
-
-
-# ---- models behind an endpoint ----------------------------------------------------------------------------------
-
-#: Statuses after which an endpoint that wakes up or throttles is asked again.
-TRY_AGAIN = (429, 502, 503, 504)
-
-
-def split_body(columns: Sequence[str], rows: Sequence[Sequence], whole: Sequence[str] = ()) -> str:
-    """Rows as the JSON that scoring endpoints take; the columns in ``whole`` as integers. Nulls, and numbers that aren't finite, raise."""
-    if len(set(columns)) < len(columns):
-        raise ValueError(f"a column is named twice in {list(columns)}")
-    data = [[int(x) if c in whole else float(x) for c, x in zip(columns, row)] for row in rows]
-    if any(x - x != 0 for row in data for x in row):
-        raise ValueError("a number is not finite")
-    return json.dumps({"dataframe_split": {"columns": list(columns), "data": data}})
-
-
-def ask_endpoint(post: Callable[[str], tuple[int, str]], body: str, expected: int, attempts: int = 8, wait: float = 15.0, sleep: Callable[[float], None] = time.sleep) -> tuple[list[float], list[int]]:
-    """An endpoint's predictions for ``expected`` rows, and the statuses after which it was asked again, waiting longer each time."""
-    again: list[int] = []
-    while True:
-        status, text = post(body)
-        if status == 200:
-            found = [float(x) for x in json.loads(text)["predictions"]]
-            if len(found) != expected:
-                raise ValueError(f"{len(found)} predictions for {expected} rows")
-            return found, again
-        if status not in TRY_AGAIN or len(again) + 1 == attempts:
-            raise RuntimeError(f"status {status} after {len(again) + 1} attempts: {text}")
-        again.append(status)
-        sleep(wait * len(again))
-
-
-def score_by_endpoint(df: DataFrame, features: Sequence[str], post: Callable[[str], tuple[int, str]], whole: Sequence[str] = (), rows: int = 400, name: str = "predicted", **retry) -> DataFrame:
-    """Add an endpoint's prediction of each row, asked in batches of ``rows`` by the tasks."""
-
-    @F.pandas_udf("double")
-    def ask(*columns: pd.Series) -> pd.Series:
-        frame, found = list(zip(*columns)), []
-        for at in range(0, len(frame), rows):
-            part = frame[at : at + rows]
-            found += ask_endpoint(post, split_body(features, part, whole), len(part), **retry)[0]
-        return pd.Series(found, dtype="float64")
-
-    return df.withColumn(name, ask(*(F.col(c) for c in features)))
-
-
-# ---- registry -----------------------------------------------------------------------------------------------------
-
-#: Kinds of objects that a stored model may consist of: the classes that training here makes. Extended by hand only.
-TRUSTED = ("GBTRegressionModel", "LogisticRegressionModel", "PipelineModel", "VectorAssembler")
-
-
-def untrusted(kinds: Sequence[str], trusted: Sequence[str] = TRUSTED) -> list[str]:
-    """The kinds of objects in a model that loading must refuse."""
-    return sorted(set(kinds) - set(trusted))
-
-
-class Registry:
-    """Model versions with tags and aliases, as a table of events in a folder; the last event about a name holds."""
-
-    SCHEMA = "model string, version int, kind string, name string, value string"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def _record(self, model: str, version: int | None, kind: str, name: str, value: str | None) -> None:
-        row = self.spark.createDataFrame([(model, version, kind, name, value)], self.SCHEMA)
-        row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path)
-
-    def tag(self, model: str, version: int, name: str, value: str) -> None:
-        self._record(model, version, "tag", name, value)
-
-    def alias(self, model: str, name: str, version: int | None) -> None:
-        """Let ``name`` mean this version; None takes the alias away."""
-        self._record(model, version, "alias", name, None)
-
-    def state(self) -> DataFrame:
-        """(model, version, kind, name, value): the tags and aliases that hold. An alias holds once for a model, a tag for a version."""
-        of = F.when(F.col("kind") == "tag", F.col("version"))
-        last = self.spark.read.parquet(self.path).groupBy("model", "kind", "name", of.alias("_of")).agg(F.max_by(F.struct("version", "value"), "at").alias("l"))
-        return last.select("model", "l.version", "kind", "name", "l.value").filter("version IS NOT NULL")
-
-    def version(self, model: str, alias: str) -> int | None:
-        row = self.state().filter((F.col("model") == model) & (F.col("kind") == "alias") & (F.col("name") == alias)).first()
-        return row["version"] if row else None
-
-    def decide(self, model: str, challenger: int, reasons: Sequence[str]) -> bool:
-        """Record a promotion decision: without reasons against it the challenger becomes champion and is no challenger any more."""
-        self.tag(model, challenger, "promotion_decision", "rejected" if reasons else "promoted")
-        self.tag(model, challenger, "promotion_reasons", "; ".join(reasons) or "all gates passed")
-        if not reasons:
-            self.alias(model, "champion", challenger)
-            self.alias(model, "challenger", None)
-        return not reasons

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestone.catalog import load
-from lodestone.operators import bi, gates
+from lodestone.operators import bi, boosting, gates
 from lodestone.operators.features import with_cycle
 from lodestone.operators.metrics import asymmetric_penalty
 from lodestone.plans.registry import query
@@ -224,9 +224,8 @@ def _(spark, sf_dir):
     rows = countdown_label(causal_features(with_cycle(load(spark, sf_dir, "events"), "user_id", ["ts", "event_id"]), "user_id", "cycle", ["value"]), "user_id", "cycle")
     held = gates.group_split(F.col("user_id"))
     features = ["cycle", "value", "value_mean_10", "value_delta_5"]
-    assemble, model, _ = gates.grid_search(rows.filter(~held), rows.filter(held), features, "rul", trees=10)
-    scored = model.transform(assemble.transform(rows)).select("event_id", "user_id", "cycle", "rul", F.round("prediction", 6).alias("predicted"))
-    return scored.filter(~F.isnan("predicted"))
+    model, _ = boosting.grid_search(rows, held, features, "rul")
+    return model.transform(rows).select("event_id", "user_id", "cycle", "rul", F.round("prediction", 6).alias("predicted"))
 
 
 @query("segment_score", f"WITH {FLEET}, e AS (SELECT model_version, (predicted - 40) / 10 AS e FROM log) SELECT model_version, round(sum(CASE WHEN e < 0 THEN exp(-e / 13) - 1 ELSE exp(e / 10) - 1 END), 4) AS score FROM e GROUP BY model_version")

@@ -45,70 +45,12 @@ def replace(df: DataFrame, path: str, columns: list[str] | None = None) -> int:
     return version
 
 
-def refresh(df: DataFrame, path: str, inputs_digest: str) -> bool:
-    """:func:`replace` unless the newest version was made from inputs of the same digest; returns whether it was written."""
-    spark = df.sparkSession
-    known = versions(spark, path)
-    if known and spark.read.parquet(f"{path}/v{known[-1]}.digest").first()[0] == inputs_digest:
-        return False
-    version = (known[-1] if known else 0) + 1
-    spark.range(1).select(F.lit(inputs_digest).alias("digest")).write.mode("overwrite").parquet(f"{path}/v{version}.digest")
-    replace(df, path)
-    return True
-
-
 def append_snapshot(df: DataFrame, path: str, stamp: str = "computed_at", who: str | None = None) -> None:
     """Append the rows with the time of writing, and on demand its user in the column ``who``; readers choose the newest."""
     stamped = df.withColumn(stamp, F.current_timestamp())
     (stamped.withColumn(who, F.current_user()) if who else stamped).write.mode("append").parquet(path)
 
 
-class FolderStore:
-    """Files of a folder in any store that Hadoop reaches, written once and never replaced."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def names(self) -> set[str]:
-        fs, p = _fs(self.spark, self.folder)
-        return {s.getPath().getName() for s in fs.listStatus(p) if s.isFile()} if fs.exists(p) else set()
-
-    def read(self, name: str) -> bytes:
-        fs, p = _fs(self.spark, f"{self.folder}/{name}")
-        if not fs.exists(p):
-            raise FileNotFoundError(name)
-        source = fs.open(p)
-        try:
-            return bytes(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source))
-        finally:
-            source.close()
-
-    def write_new(self, name: str, content: bytes | str) -> None:
-        fs, p = _fs(self.spark, f"{self.folder}/{name}")
-        if fs.exists(p):
-            raise FileExistsError(name)
-        out = fs.create(p, False)  # which also fails if another writer was faster
-        try:
-            out.write(content.encode() if isinstance(content, str) else content)
-        finally:
-            out.close()
-
-
-def upload(files: dict[str, bytes], store) -> dict[str, list[str]]:
-    """Write the files that the store lacks; one that it has with other content raises. Returns the names uploaded and identical."""
-    done: dict[str, list[str]] = {"uploaded": [], "identical": []}
-    there = store.names()
-    for name in sorted(files):
-        if name not in there:
-            store.write_new(name, files[name])
-            done["uploaded"].append(name)
-        elif store.read(name) == files[name]:
-            done["identical"].append(name)
-        else:
-            raise ValueError(f"{name} is there with other content")
-    return done
-
-
 def land(df: DataFrame, path: str) -> None:
     """Write once; a second writer fails."""
     df.write.mode("errorifexists").parquet(path)

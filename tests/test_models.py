@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators import minimise, models
-from lodestone.operators.gates import grid_search
+from lodestone.operators.boosting import boost
 
 
 def test_counts_and_months(spark):
@@ -26,63 +26,6 @@ def test_failing_calls_stay_in_their_rows(spark):
     assert got == {"a": ("aa", None), "boom": (None, "RuntimeError: down"), None: (None, None)}
 
 
-def test_scoring_twice_appends_nothing(spark, tmp_path):
-    df = spark.createDataFrame([(i, float(i), 2.0 * i) for i in range(60)], "id int, x double, y double")
-    assemble, model, errors = grid_search(df.filter("id % 3 > 0"), df.filter("id % 3 = 0"), ["x"], "y", depths=(1, 2), trees=10)
-    assert errors[2] <= errors[1]
-
-    class Pipeline:
-        def transform(self, rows):
-            return model.transform(assemble.transform(rows))
-
-    log = spark.createDataFrame([], "id int, model_version string, predicted double, scored_at timestamp, actual double")
-    first = models.score_new(Pipeline(), df, log, ["id"], "7")
-    first.write.parquet(str(tmp_path / "log"))
-    log = spark.read.parquet(str(tmp_path / "log"))
-    assert log.count() == 60 and models.score_new(Pipeline(), df, log, ["id"], "7").count() == 0
-    assert models.score_new(Pipeline(), df, log, ["id"], "8").count() == 60
-    models.log_run(spark, str(tmp_path / "runs"), "r1", {"depth": 2}, errors and {"rmse": errors[2]})
-    assert spark.read.parquet(str(tmp_path / "runs")).first().params == '{"depth": 2}'
-    assert '"enum": ["a", "b"]' in models.label_schema({"k": ["a", "b"]})
-
-
-def test_an_endpoint_is_asked_again_while_it_wakes(spark):
-    waits = []
-    answers = iter([(503, ""), (429, ""), (200, '{"predictions": [1, 2.5]}')])
-    body = models.split_body(["cycle", "x"], [(3, 0.1), (4, 2)], whole=["cycle"])
-    assert body == '{"dataframe_split": {"columns": ["cycle", "x"], "data": [[3, 0.1], [4, 2.0]]}}'
-    assert models.ask_endpoint(lambda b: next(answers), body, 2, sleep=waits.append) == ([1.0, 2.5], [503, 429]) and waits == [15, 30]
-    with pytest.raises(RuntimeError, match="status 400 after 1 attempts"):
-        models.ask_endpoint(lambda b: (400, "bad"), body, 2)
-    with pytest.raises(RuntimeError, match="after 8 attempts"):
-        models.ask_endpoint(lambda b: (502, ""), body, 2, sleep=waits.append)
-    with pytest.raises(ValueError, match="1 predictions"):
-        models.ask_endpoint(lambda b: (200, '{"predictions": [1]}'), body, 2)
-    for bad in ([(float("nan"), 1.0)], [(1.0, float("inf"))]):
-        with pytest.raises(ValueError, match="not finite"):
-            models.split_body(["a", "b"], bad)
-
-    def post(body):
-        import json
-
-        return 200, json.dumps({"predictions": [sum(r) for r in json.loads(body)["dataframe_split"]["data"]]})
-
-    df = spark.range(25).select("id", (F.col("id") * 2.0).alias("x"))
-    got = models.score_by_endpoint(df, ["id", "x"], post, whole=["id"], rows=4).collect()
-    assert all(r.predicted == r.id * 3 for r in got)
-
-
-def test_registry_decides_and_refuses_foreign_objects(spark, tmp_path):
-    registry = models.Registry(spark, str(tmp_path / "registry"))
-    registry.alias("m", "champion", 1)
-    registry.alias("m", "challenger", 2)
-    assert not registry.decide("m", 2, ["baseline"]) and registry.version("m", "champion") == 1 and registry.version("m", "challenger") == 2
-    assert registry.decide("m", 2, []) and registry.version("m", "champion") == 2 and registry.version("m", "challenger") is None
-    tags = {r.name: r.value for r in registry.state().filter("kind = 'tag'").collect()}
-    assert tags == {"promotion_decision": "promoted", "promotion_reasons": "all gates passed"}
-    assert models.untrusted(["PipelineModel", "os.system"]) == ["os.system"]
-
-
 def test_damped_counts_weigh_their_logarithm(spark):
     from pyspark.ml.linalg import Vectors
 
@@ -98,14 +41,13 @@ def test_damped_counts_weigh_their_logarithm(spark):
     assert majority == "1" and all(r[0] == r[1] for r in out)
 
 
-def test_questions_read_listed_tables_only():
-    import json
-    import re
-
-    from lodestone.plans import questions
-
-    assert questions.problems() == []
-    made = json.loads(questions.space("gold."))
-    ids = [e["id"] for kind in ("sample_questions", "instructions", "examples") for e in made[kind]]
-    assert all(re.fullmatch("[0-9a-f]{32}", i) for i in ids) and len(set(ids)) == len(ids)
-    assert [t["identifier"] for t in made["tables"]] == sorted("gold." + t for t in questions.TABLES)
+def test_scoring_twice_appends_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(i, float(i), 2.0 * i) for i in range(60)], "id int, x double, y double")
+    model = boost(df, ["x"], "y", [3], trees=3, least=5)[0]
+    log = spark.createDataFrame([], "id int, model_version string, predicted double, scored_at timestamp, actual double")
+    first = models.score_new(model, df, log, ["id"], "7")
+    first.write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.count() == 60 and models.score_new(model, df, log, ["id"], "7").count() == 0
+    assert models.score_new(model, df, log, ["id"], "8").count() == 60
+    assert '"enum": ["a", "b"]' in models.label_schema({"k": ["a", "b"]})

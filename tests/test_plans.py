@@ -53,11 +53,11 @@ def test_bootstrap_draws_all_resamples(spark, data):
 
 
 def test_boosted_trees_try_all_sizes(spark, data, monkeypatch):
-    from lodestone.operators import gates
+    from lodestone.operators import boosting
 
-    def grid(train, validation, features, label, depths=(2, 3, 4), seed=42, trees=200):
-        raise LookupError(str(tuple(depths)))
+    def grow(df, features, label, held, models, trees, *rest):
+        raise LookupError(f"{models} {trees}")
 
-    monkeypatch.setattr(gates, "grid_search", grid)
-    with pytest.raises(LookupError, match="2, 3, 4"):
+    monkeypatch.setattr(boosting, "_grow", grow)
+    with pytest.raises(LookupError, match=r"\(7, False\), \(15, False\), \(31, False\), \(7, True\), \(15, True\), \(31, True\)\] 200"):
         registry.queries()["gbt_score"](spark, data)
