@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions import fahrenheit
 from lodestone.operators.checks import join_one_to_one
 
 
@@ -42,19 +43,45 @@ def label_delayed(log: DataFrame, endpoints: DataFrame, keys: Sequence[str], cyc
     return joined.filter(F.col(cycle) <= F.col(end_cycle)).withColumn(name, F.col(end_value) + F.col(end_cycle) - F.col(cycle))
 
 
-def cost_review(usage: DataFrame, prices: DataFrame, by: Sequence[str], today: Column, days: int = 7) -> DataFrame:
+def price_holds(usage: str = "u", price: str = "p", keys: Sequence[str] = ("sku",)) -> Column:
+    """Whether a price holds for the whole of a usage record: it starts no earlier than the price, and ends no later unless the price is open.
+
+    A record that goes on over a change of prices has none.
+    """
+    u, p = (lambda side: lambda c: F.col(f"{side}.{c}"))(usage), (lambda side: lambda c: F.col(f"{side}.{c}"))(price)
+    out = (u("started") >= p("valid_from")) & ((u("ended") <= p("valid_to")) | p("valid_to").isNull())
+    for k in keys:
+        out = (u(k) == p(k)) & out
+    return out
+
+
+def cost_review(usage: DataFrame, prices: DataFrame, by: Sequence[str], today: Column, days: int = 7, keys: Sequence[str] = ("sku",)) -> DataFrame:
     """Units and their cost at list prices, for each group of the last ``days`` days and today.
 
-    usage: sku, units, started and usage_date; prices: sku, price, valid_from and valid_to, which is null for the price that
+    usage: the keys, units, started, ended and usage_date; prices: the keys, price, valid_from and valid_to, which is null for the price that
     still holds. The window is asked before the join, so that old usage isn't read.
     """
     recent = usage.filter((F.col("usage_date") >= F.date_sub(today, days)) & (F.col("usage_date") <= today)).alias("u")
-    p = prices.alias("p")
-    holds = (F.col("u.sku") == F.col("p.sku")) & (F.col("u.started") >= F.col("p.valid_from")) & (F.col("p.valid_to").isNull() | (F.col("u.started") < F.col("p.valid_to")))
-    priced = recent.join(p, holds).select("u.*", "p.price")
+    priced = recent.join(prices.alias("p"), price_holds(keys=keys)).select("u.*", "p.price")
     return priced.groupBy(*by).agg(F.sum("units").alias("units"), F.sum(F.col("units") * F.col("price")).alias("cost"))
 
 
+def monthly_mart(days: DataFrame, by: Sequence[str], date: str, means: dict[str, str], maxima: dict[str, str], thresholds: dict[str, tuple[str, float]]) -> DataFrame:
+    """(by, month, days, complete, means, maxima, and for each threshold the days on which a series in °C reaches its °F).
+
+    One row a place and month from one row a place and day; a month is complete if each of its days is there.
+    """
+    reaches = {name: F.count_if(fahrenheit(F.col(series)) >= limit).cast("int").alias(name) for name, (series, limit) in thresholds.items()}
+    month = days.groupBy(*by, F.trunc(date, "MM").alias("month_start")).agg(
+        F.count(F.lit(1)).cast("int").alias("days"),
+        *(F.avg(series).alias(name) for name, series in means.items()),
+        *(F.max(series).alias(name) for name, series in maxima.items()),
+        *reaches.values(),
+    )
+    complete = (F.col("days") == F.dayofmonth(F.last_day("month_start"))).alias("complete")
+    return month.select(*by, F.date_format("month_start", "yyyy-MM").alias("month"), "days", complete, *means, *maxima, *thresholds)
+
+
 TABLE = re.compile(r"\b(?:from|join)\s+([A-Za-z_][\w.]*)", re.I)
 CTE = re.compile(r"(?:\bwith\s+|,\s*)([A-Za-z_]\w*)\s+as\s*\(", re.I)
 

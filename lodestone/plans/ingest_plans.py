@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestone import functions as fn
 from lodestone.catalog import load, shared_dir
-from lodestone.operators.expect import REPORT_RULES, event_rules, weather_rules
+from lodestone.operators.expect import REPORT_RULES, WEATHER_SERIES, event_rules, weather_rules
 from lodestone.plans.events_plans import produced
 from lodestone.plans.registry import query
 from lodestone.sources import files, pacing, sinks
@@ -49,7 +49,7 @@ def _(spark, sf_dir):
 
 
 # Nested daily responses: one per user with its events' values by day of the month, some of them damaged.
-SERIES = ["temperature_2m_max", "temperature_2m_mean", "apparent_temperature_max"]
+SERIES = list(WEATHER_SERIES)
 
 
 def responses(spark, sf_dir):
@@ -88,7 +88,7 @@ f AS (SELECT user_id, day, concat_ws(',', CASE WHEN user_id % 11 = 0 THEN 'schem
 
 @query("weather_days", f"WITH {DAYS_SQL} SELECT failed_rules, count(*) AS days, count(DISTINCT user_id) AS responses FROM f GROUP BY failed_rules")
 def _(spark, sf_dir):
-    checked = weather_rules(SERIES).check(response_days(spark, sf_dir))
+    checked = weather_rules().check(response_days(spark, sf_dir))
     return checked.groupBy(F.array_join("failed_rules", ",").alias("failed_rules")).agg(F.count(F.lit(1)).alias("days"), F.count_distinct("user_id").alias("responses"))
 
 

@@ -72,24 +72,25 @@ def _(spark, sf_dir):
     return numeric_parity(left, right, ["k"], "v")
 
 
+# Days of a nation: the highest order of a day gives the series, in degrees.
 @query(
     "monthly_mart",
-    """WITH d AS (SELECT n_name AS nation, date_trunc('month', o_orderdate)::DATE AS m, o_orderdate::DATE AS day, o_totalprice AS price, (o_totalprice / 5000.0) AS c FROM orders
-  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
-SELECT nation, strftime(m, '%Y-%m') AS month, count(*) AS orders, count(DISTINCT day) AS days, round(avg(price) / 7, 6) AS mean, max(c) AS highest,
-  count(*) FILTER (c * 9 / 5 + 32 >= 90) AS ge_90, count(*) FILTER (c * 9 / 5 + 32 >= 103) AS ge_103, count(DISTINCT day) = day(last_day(m)) AS complete FROM d GROUP BY nation, m""",
+    """WITH o AS (SELECT n_name AS nation, o_orderdate::DATE AS day, max(o_totalprice) AS top, avg(o_totalprice) AS typical FROM orders
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+d AS (SELECT nation, day, date_trunc('month', day)::DATE AS m, top / 7013.0 AS highest, typical / 7013.0 AS mean, top / 6007.0 AS felt FROM o)
+SELECT nation, strftime(m, '%Y-%m') AS month, CAST(count(*) AS INTEGER) AS days, count(*) = day(last_day(m)) AS complete, round(avg(highest), 6) AS mean_max_c, round(avg(mean), 6) AS mean_c, round(avg(felt), 6) AS mean_apparent_max_c,
+  max(highest) AS highest_max_c, max(felt) AS highest_apparent_max_c, CAST(count(*) FILTER (highest * 9 / 5 + 32 >= 90) AS INTEGER) AS days_max_ge_90f, CAST(count(*) FILTER (highest * 9 / 5 + 32 >= 95) AS INTEGER) AS days_max_ge_95f,
+  CAST(count(*) FILTER (felt * 9 / 5 + 32 >= 90) AS INTEGER) AS days_apparent_ge_90f, CAST(count(*) FILTER (felt * 9 / 5 + 32 >= 103) AS INTEGER) AS days_apparent_ge_103f FROM d GROUP BY nation, m""",
 )
 def _(spark, sf_dir):
-    from lodestone.functions import fahrenheit
-
     # Dimensions are joined as they are: adaptive execution broadcasts those below its size limit.
     orders = load(spark, sf_dir, "orders").join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(load(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    d = orders.select(F.col("n_name").alias("nation"), F.trunc("o_orderdate", "MM").alias("m"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("price"), (F.col("o_totalprice") / 5000.0).alias("c"))
-    hot = fahrenheit(F.col("c"))
-    out = d.groupBy("nation", "m").agg(
-        F.count(F.lit(1)).alias("orders"), F.count_distinct("day").alias("days"), F.round(F.avg("price") / 7, 6).alias("mean"), F.max("c").alias("highest"), F.count_if(hot >= 90).alias("ge_90"), F.count_if(hot >= 103).alias("ge_103")
-    )
-    return out.select("nation", F.date_format("m", "yyyy-MM").alias("month"), *out.columns[2:], (F.col("days") == F.dayofmonth(F.last_day("m"))).alias("complete"))
+    each = orders.groupBy(F.col("n_name").alias("nation"), F.to_date("o_orderdate").alias("day")).agg(F.max("o_totalprice").alias("top"), F.avg("o_totalprice").alias("typical"))
+    days = each.select("nation", "day", (F.col("top") / 7013.0).alias("highest"), (F.col("typical") / 7013.0).alias("mean"), (F.col("top") / 6007.0).alias("felt"))
+    means = {"mean_max_c": "highest", "mean_c": "mean", "mean_apparent_max_c": "felt"}
+    hot = {"days_max_ge_90f": ("highest", 90), "days_max_ge_95f": ("highest", 95), "days_apparent_ge_90f": ("felt", 90), "days_apparent_ge_103f": ("felt", 103)}
+    out = bi.monthly_mart(days, ["nation"], "day", means, {"highest_max_c": "highest", "highest_apparent_max_c": "felt"}, hot)
+    return out.withColumns({name: F.round(name, 6) for name in means})
 
 
 # A price model: predicted from quantity and list price; the "remaining life" is the price in thousands.
@@ -252,26 +253,25 @@ def prices(spark):
 @query(
     "price_validity_join",
     f"""WITH {PRICES} SELECT o_orderstatus AS sku, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders, round(sum(o_totalprice), 2) AS units, round(sum(o_totalprice * price), 3) AS cost
-FROM orders JOIN pr ON o_orderstatus = sku AND o_orderdate >= valid_from AND (o_orderdate < valid_to OR valid_to IS NULL) GROUP BY ALL""",
+FROM orders JOIN pr ON o_orderstatus = sku AND o_orderdate >= valid_from AND (o_orderdate + INTERVAL 36 HOURS <= valid_to OR valid_to IS NULL) GROUP BY ALL""",
 )
 def _(spark, sf_dir):
     # The price list has few rows and is below any broadcast limit; the planner decides by its size.
-    u, p = load(spark, sf_dir, "orders"), prices(spark)
-    valid = (F.col("o_orderstatus") == F.col("sku")) & (F.col("o_orderdate") >= F.col("valid_from")) & ((F.col("o_orderdate") < F.col("valid_to")) | F.col("valid_to").isNull())
-    joined = u.join(p, valid)
+    orders = load(spark, sf_dir, "orders").withColumns({"sku": F.col("o_orderstatus"), "started": F.col("o_orderdate"), "ended": F.expr("o_orderdate + INTERVAL 36 HOURS")})
+    joined = orders.alias("u").join(prices(spark).alias("p"), bi.price_holds()).select("u.*", "p.price")
     return joined.groupBy("sku", F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("units"), F.round(F.sum(F.col("o_totalprice") * F.col("price")), 3).alias("cost"))
 
 
 # Usage by line item: the day it ships, the supplier as the job, the status of its order as what is paid for.
 @query(
     "cost_review",
-    f"""WITH {PRICES}, u AS (SELECT l_shipdate::DATE AS usage_date, l_suppkey AS job_id, o_orderstatus AS sku, l_quantity AS units, l_shipdate AS started FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-SELECT CAST(usage_date AS VARCHAR) AS usage_date, job_id, u.sku, round(sum(units), 3) AS units, round(sum(units * price), 4) AS cost FROM u JOIN pr ON u.sku = pr.sku AND started >= valid_from AND (started < valid_to OR valid_to IS NULL)
+    f"""WITH {PRICES}, u AS (SELECT l_shipdate::DATE AS usage_date, l_suppkey AS job_id, o_orderstatus AS sku, l_quantity AS units, l_shipdate AS started, l_shipdate + INTERVAL 1 DAY AS ended FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT CAST(usage_date AS VARCHAR) AS usage_date, job_id, u.sku, round(sum(units), 3) AS units, round(sum(units * price), 4) AS cost FROM u JOIN pr ON u.sku = pr.sku AND started >= valid_from AND (ended <= valid_to OR valid_to IS NULL)
 WHERE usage_date >= DATE '2001-06-01' - INTERVAL 7 DAYS AND usage_date <= DATE '2001-06-01' GROUP BY ALL""",
 )
 def _(spark, sf_dir):
     lines = load(spark, sf_dir, "lineitem").join(load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("sku")), "l_orderkey")
-    usage = lines.select(F.to_date("l_shipdate").alias("usage_date"), F.col("l_suppkey").alias("job_id"), "sku", F.col("l_quantity").alias("units"), F.col("l_shipdate").alias("started"))
+    usage = lines.select(F.to_date("l_shipdate").alias("usage_date"), F.col("l_suppkey").alias("job_id"), "sku", F.col("l_quantity").alias("units"), F.col("l_shipdate").alias("started"), F.expr("l_shipdate + INTERVAL 1 DAY").alias("ended"))
     out = bi.cost_review(usage, prices(spark), ["usage_date", "job_id", "sku"], F.to_date(F.lit("2001-06-01")), days=7)
     return out.select(F.col("usage_date").cast("string").alias("usage_date"), "job_id", "sku", F.round("units", 3).alias("units"), F.round("cost", 4).alias("cost"))
 

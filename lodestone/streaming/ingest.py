@@ -54,6 +54,7 @@ def kafka_options(servers: str, topic: str, user: str | None = None, password: s
     if user is None:
         return options
     quoted = lambda x: '"' + (x or "").replace("\\", "\\\\").replace('"', '\\"') + '"'
+    # The login and both time-outs.
     return options | {
         "kafka.security.protocol": "SASL_SSL",
         "kafka.sasl.mechanism": "PLAIN",
