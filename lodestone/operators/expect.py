@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,56 @@ class Rules:
         pairs = F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("passed")) for n in self.rules))
         return counts.select("_rows", F.explode(pairs).alias("r")).select("r.rule", "r.passed", (F.col("_rows") - F.col("r.passed")).alias("failed"))
 
+    def observed(self, df: DataFrame, observation: Observation | str) -> DataFrame:
+        """The checked rows, whose rules are counted as they pass by; a stream takes the name under which its progress reports the counts."""
+        counts = [F.count_if(self.passes(n)).alias(n) for n in self.rules]
+        return self.check(df).observe(observation, *counts, F.count(F.lit(1)).alias("_rows"))
+
+    def write_split(self, df: DataFrame, path: str, mode: str = "errorifexists") -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(valid rows, quarantine with its failed rules, metrics as of :meth:`metrics`), from one write in one pass over the rows.
+
+        Both sides go to one table, partitioned by whether a row is valid. The counts are those of this very write: nothing is read
+        again for them, and they can't be of other rows than those written.
+        """
+        spark, seen = df.sparkSession, Observation()
+        valid = (F.size("failed_rules") == 0).alias("valid")
+        self.observed(df, seen).select("*", valid).write.partitionBy("valid").mode(mode).parquet(path)
+        written = spark.read.schema(self.check(df).select("*", valid).schema).parquet(path)
+        sides = [written.filter("valid").drop("valid", "failed_rules"), written.filter("NOT valid").drop("valid")]
+        return *sides, rule_counts(spark, [seen.get])
+
+
+class StreamCounts(StreamingQueryListener):
+    """Adds up what :meth:`Rules.observed` counts under a name, over all batches of a session's streams while it listens."""
+
+    def __init__(self, name: str):
+        self.name, self.batches, self.ended = name, {}, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is not None:
+            # A batch that is tried again counts once.
+            self.batches[str(event.progress.id), event.progress.batchId] = seen.asDict()
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """The counts as of :meth:`Rules.metrics`, once a query has ended: reports come after the rows."""
+        self.ended.wait(60)
+        return rule_counts(spark, list(self.batches.values()))
+
+
+def rule_counts(spark: SparkSession, seen: list[dict]) -> DataFrame:
+    """(rule, passed, failed), a row a rule, from observed counts."""
+    names = [n for n in (seen[0] if seen else {}) if n != "_rows"]
+    rows = sum(s["_rows"] for s in seen)
+    passed = {n: sum(s[n] for s in seen) for n in names}
+    return spark.createDataFrame([(n, p, rows - p) for n, p in passed.items()], "rule string, passed long, failed long")
+
 
 def finite(column: str) -> str:
     """A predicate that is true for numbers that are neither null, NaN nor infinite."""

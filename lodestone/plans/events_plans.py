@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from lodestone.catalog import load
+from lodestone.catalog import load, run_dir
 from lodestone.functions import unit_partition
+from lodestone.operators import refresh
 from lodestone.operators.checks import digest, ledger, offset_contiguity, one_to_one, sequence_check
 from lodestone.operators.dedupe import label_count
 from lodestone.operators.expect import Rules
@@ -121,6 +124,34 @@ def _(spark, sf_dir):
     return EVENT_RULES.metrics(parsed_events(spark, sf_dir))
 
 
+@query(
+    "observed_rules",
+    f"WITH {EVENTS_K} " + " UNION ALL ".join(f"SELECT '{n}' AS rule, count(*) FILTER (coalesce({r}, false)) AS passed, count(*) FILTER (NOT coalesce({r}, false)) AS failed FROM e" for n, r in EVENT_RULES_SQL.items()),
+)
+def _(spark, sf_dir):
+    """The counts of the write that parts valid rows from quarantine."""
+    return EVENT_RULES.write_split(parsed_events(spark, sf_dir), f"{run_dir(spark)}/observed-{uuid.uuid4().hex}")[2]
+
+
+@query(
+    "late_refresh",
+    f"""WITH {CYCLES} SELECT event_id, user_id, cycle, round(value, 6) AS value,
+  round(avg(value) OVER (PARTITION BY user_id ORDER BY cycle ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS value_mean_10,
+  round(coalesce(value - lag(value, 5) OVER (PARTITION BY user_id ORDER BY cycle), 0.0), 6) AS value_delta_5 FROM c""",
+)
+def _(spark, sf_dir):
+    """Features of a table that a seventh of a tenth of the users' events reaches late: only those users are worked out again."""
+    root = f"{run_dir(spark)}/late-{uuid.uuid4().hex}"
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    late = (F.col("user_id") % 10 == 3) & (F.col("event_id") % 7 == 2)
+    make = lambda rows: causal_features(with_cycle(rows, "user_id", ["ts", "event_id"]), "user_id", "cycle", ["value"])
+    refresh.append_rows(events.filter(~late), f"{root}/bronze", "user_id")
+    refresh.rebuild(spark, f"{root}/bronze", make, f"{root}/gold", "user_id")
+    refresh.append_rows(events.filter(late), f"{root}/bronze", "user_id")
+    refresh.refresh_units(events.filter(late), f"{root}/bronze", make, f"{root}/gold", "user_id")
+    return spark.read.parquet(f"{root}/gold").select("event_id", "user_id", "cycle", *rounded("value", "value_mean_10", "value_delta_5"))
+
+
 @query("enforced_events", "SELECT count(*) AS events, count(DISTINCT user_id) AS users FROM events WHERE value IS NOT NULL AND user_id >= 0")
 def _(spark, sf_dir):
     rules = Rules({"has_value": "value IS NOT NULL", "user": "user_id >= 0"})

@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodestone import functions as fn
-from lodestone.catalog import load, shared_dir
+from lodestone.catalog import load, run_dir, shared_dir
 from lodestone.operators.expect import REPORT_RULES, WEATHER_SERIES, event_rules, weather_rules
 from lodestone.plans.events_plans import produced
 from lodestone.plans.registry import query
 from lodestone.sources import files, pacing, sinks
-from lodestone.streaming import ingest
+from lodestone.streaming import ingest, replay
 
 
 @query(
@@ -191,6 +191,26 @@ def _(spark, sf_dir):
     return spark.read.parquet(f"{root}/bronze").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events")).withColumn("added_again", F.lit(added[1]))
 
 
+@query(
+    "replayed_log",
+    """SELECT event_id, p AS partition, row_number() OVER (PARTITION BY p ORDER BY late, ts, event_id) - 1 AS "offset", 0 AS added_again
+FROM (SELECT *, event_id % 5 = 0 AS late, CAST(((user_id - 1) % 4 + 4) % 4 AS INTEGER) AS p FROM events)""",
+)
+def _(spark, sf_dir):
+    """Events as a log with offsets: a stream from its beginning, then what was appended meanwhile, then nothing."""
+    root = f"{run_dir(spark)}/log-{uuid.uuid4().hex}"
+    events = load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late, place, added = F.col("event_id") % 5 == 0, fn.unit_partition(F.col("user_id"), 4), []
+    for part in (events.filter(~late), events.filter(late), None):
+        if part is not None:
+            first = replay.next_offsets(f"{root}/log") if added else None
+            key, body = F.col("user_id").cast("string"), F.to_json(F.struct("event_id", "user_id", "value"))
+            replay.append_to_log(part, f"{root}/log", place, ["ts", "event_id"], key, body, "events", F.col("ts"), first)
+        added.append(ingest.ingest(replay.log_stream(spark, f"{root}/log"), f"{root}/bronze", f"{root}/checkpoint"))
+    event = F.get_json_object("payload", "$.event_id").cast("long").alias("event_id")
+    return spark.read.parquet(f"{root}/bronze").select(event, "partition", "offset", F.lit(added[2]).alias("added_again"))
+
+
 @query("landed_lines", "SELECT l_orderkey % 50 AS first, count(*) AS lines, count(DISTINCT l_orderkey) AS orders, CAST(sum(l_linenumber) AS BIGINT) AS numbers FROM lineitem GROUP BY 1")
 def _(spark, sf_dir):
     root = f"{shared_dir(spark)}/lodestone/lines-{uuid.uuid4().hex}"
