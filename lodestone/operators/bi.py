@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import fahrenheit
@@ -82,21 +83,53 @@ def monthly_mart(days: DataFrame, by: Sequence[str], date: str, means: dict[str,
     return month.select(*by, F.date_format("month_start", "yyyy-MM").alias("month"), "days", complete, *means, *maxima, *thresholds)
 
 
-TABLE = re.compile(r"\b(?:from|join)\s+([A-Za-z_][\w.]*)", re.I)
-CTE = re.compile(r"(?:\bwith\s+|,\s*)([A-Za-z_]\w*)\s+as\s*\(", re.I)
+def ask(spark: SparkSession, sql: str, marts: dict[str, DataFrame], **values) -> DataFrame:
+    """The answer to a question in SQL: marts stand in it as ``{name}``, values as ``:name``. What a user types is a value, never SQL text.
+
+    A question that reads anything but the marts raises.
+    """
+    used = {name: df for name, df in marts.items() if f"{{{name}}}" in sql}
+    foreign = set(tables_read(spark, sql.format(**{name: name for name in used}))) - set(used)
+    if foreign:
+        raise ValueError(f"reads {', '.join(sorted(foreign))}")
+    return spark.sql(sql, args=values or None, **used)
+
+
+def _nodes(tree) -> Iterator[dict]:
+    """All nodes of a parsed plan, those of subqueries and of common table expressions included."""
+    for part in tree.values() if isinstance(tree, dict) else tree:
+        if isinstance(part, (dict, list)):
+            yield from _nodes(part)
+    if isinstance(tree, dict):
+        yield tree
+
+
+def _parsed(spark: SparkSession, sql: str) -> list[dict]:
+    """The nodes of what Spark's own parser makes of the SQL; text that isn't SQL raises."""
+    return list(_nodes(json.loads(spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toJSON())))
+
+
+def _names(node: dict, field: str) -> list[str]:
+    return node[field].strip("[]").split(", ") if node.get(field) else []
+
+
+def tables_read(spark: SparkSession, sql: str) -> set[str]:
+    """Tables that the SQL reads, without its own common table expressions."""
+    nodes = _parsed(spark, sql)
+    own = {n["_1"].lower() for n in nodes if n.get("product-class") == "scala.Tuple3" and isinstance(n.get("_1"), str)}
+    return {t for n in nodes if (t := ".".join(_names(n, "multipartIdentifier"))) and t.lower() not in own}
 
 
-def tables_read(sql: str) -> set[str]:
-    """Tables that a dashboard's SQL reads, without its own CTEs and string literals."""
-    plain = re.sub(r"'(?:[^']|'')*'", "''", sql)
-    own = {m.lower() for m in CTE.findall(plain)}
-    return {t for t in TABLE.findall(plain) if t.lower() not in own}
+def columns_named(spark: SparkSession, sql: str) -> set[str]:
+    """Columns that the SQL names, in lower case, without what qualifies them."""
+    return {_names(n, "nameParts")[-1].lower() for n in _parsed(spark, sql) if n.get("class", "").endswith("UnresolvedAttribute")}
 
 
-def lint(sql: str, allowed: set[str], forbidden_columns: Sequence[str], widget_columns: Sequence[str], result_columns: Sequence[str]) -> list[str]:
+def lint(spark: SparkSession, sql: str, allowed: set[str], forbidden_columns: Sequence[str], widget_columns: Sequence[str], result_columns: Sequence[str]) -> list[str]:
     """What is wrong with a dashboard dataset: tables outside the list, columns it must not name, widgets without a column."""
-    out = [f"reads {t}" for t in sorted(tables_read(sql) - allowed)]
-    out += [f"names {c}" for c in forbidden_columns if re.search(rf"\b{re.escape(c)}\b", sql, re.I)]
+    out = [f"reads {t}" for t in sorted(tables_read(spark, sql) - allowed)]
+    named = columns_named(spark, sql)
+    out += [f"names {c}" for c in forbidden_columns if c.lower() in named]
     return out + [f"lacks {c}" for c in sorted(set(widget_columns) - set(result_columns))]
 
 

@@ -164,9 +164,80 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     def problems(i):
         sql = f"WITH own{i} AS (SELECT * FROM orders WHERE note <> 'from hidden.table') SELECT {'SSN' if i % 3 == 1 else 'ssnx'}, count(*) AS n FROM own{i} JOIN {f'raw.table{i}' if i % 2 else 'customer'} c ON true"
-        return "; ".join(bi.lint(sql, {"orders", "customer"}, ["ssn"], ["total", "n"], ["n"] if i % 5 == 1 else ["n", "total"]))
-
-    return load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.udf(problems, "string")("n_nationkey").alias("problems"))
+        return "; ".join(bi.lint(spark, sql, {"orders", "customer"}, ["ssn"], ["total", "n"], ["n"] if i % 5 == 1 else ["n", "total"]))
+
+    # A definition for each nation, of which there are 25.
+    keys = [r[0] for r in load(spark, sf_dir, "nation").select("n_nationkey").collect()]
+    return spark.createDataFrame([(k, problems(k)) for k in keys], "id int, problems string")
+
+
+# ---- questions in SQL over the marts -----------------------------------------------------------------------------
+
+MARTS_SQL = f"""{FLEET}, perf AS (SELECT model_version, segment, snapshot, count(*) AS rows, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, avg(e) AS bias FROM (SELECT model_version, 'all' AS segment, cycle % 7 AS snapshot, predicted - 40 AS e FROM log
+  UNION ALL SELECT model_version, 'endpoint', cycle % 7, predicted - 40 FROM log JOIN ends ON ends.user_id = log.user_id AND last_cycle = cycle) GROUP BY ALL),
+drifts AS (SELECT event_type AS feature, dayofmonth(ts) AS snapshot, avg(value) / 100 AS psi, avg(value) / 100 - max(CASE WHEN event_type < 'p' THEN 0.2 ELSE 0.1 END) AS psi_age_matched FROM events GROUP BY ALL),
+reports AS (SELECT year(o_orderdate) AS event_year, o_orderpriority AS source_category, CAST(o_custkey AS VARCHAR) AS naics, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 3 END AS amputation FROM orders),
+alerts AS (SELECT dayofmonth(ts) AS run, event_type AS "check", ts AS checked_at, value > 60 AS breached, 60.0 AS threshold FROM events)"""
+
+
+def marts(spark, sf_dir):
+    """The marts that questions are about, each over a whole table."""
+    log, events, orders = predictions(spark, sf_dir), load(spark, sf_dir, "events"), load(spark, sf_dir, "orders")
+    ends = log.groupBy("user_id").agg(F.max("cycle").alias("cycle"))
+    e = log.select("user_id", "cycle", "model_version", (F.col("cycle") % 7).alias("snapshot"), (F.col("predicted") - 40).alias("e"))
+    e = e.withColumn("segment", F.lit("all")).unionByName(e.join(ends, ["user_id", "cycle"], "left_semi").withColumn("segment", F.lit("endpoint")))
+    o, value = F.col("o_orderkey"), F.avg("value") / 100
+    return {
+        "fleet_status": status(spark, sf_dir),
+        "performance": e.groupBy("model_version", "segment", "snapshot").agg(F.count(F.lit(1)).alias("rows"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"), F.avg(F.abs("e")).alias("mae"), F.avg("e").alias("bias")),
+        "feature_drift": events.groupBy(F.col("event_type").alias("feature"), F.dayofmonth("ts").alias("snapshot")).agg(value.alias("psi"), (value - F.when(F.col("event_type") < "p", 0.2).otherwise(0.1)).alias("psi_age_matched")),
+        "injury_facts": orders.select(F.year("o_orderdate").alias("event_year"), F.col("o_orderpriority").alias("source_category"), F.col("o_custkey").cast("string").alias("naics"), F.when(o % 7 != 0, o % 3).alias("amputation")),
+        "alerts": events.select(F.dayofmonth("ts").alias("run"), F.col("event_type").alias("check"), F.col("ts").alias("checked_at"), (F.col("value") > 60).alias("breached"), F.lit(60.0).alias("threshold")),
+    }
+
+
+#: Each question: its SQL over the marts, the values that it is asked with, and plain SQL for comparison.
+QUESTIONS = {
+    "ask_failing_units": (
+        "SELECT user_id, last_cycle, round(predicted, 1) AS predicted, risk_band FROM {fleet_status} WHERE predicted <= :cycles ORDER BY predicted, user_id",
+        {"cycles": 20},
+        "SELECT user_id, last_cycle, round(predicted, 1) AS predicted, risk_band FROM status WHERE predicted <= 20",
+    ),
+    "ask_latest_endpoint": (
+        "SELECT model_version, snapshot, rows, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(bias, 6) AS bias FROM {performance} WHERE segment = :segment AND model_version = (SELECT max(model_version) FROM {fleet_status}) ORDER BY snapshot DESC LIMIT 1",
+        {"segment": "endpoint"},
+        "SELECT model_version, snapshot, rows, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(bias, 6) AS bias FROM perf WHERE segment = 'endpoint' AND model_version = (SELECT max(model_version) FROM status) ORDER BY snapshot DESC LIMIT 1",
+    ),
+    "ask_drifting_features": (
+        "SELECT feature, round(psi_age_matched, 6) AS psi_age_matched, round(psi, 6) AS raw_psi FROM {feature_drift} WHERE snapshot = (SELECT max(snapshot) FROM {feature_drift}) ORDER BY psi_age_matched DESC, feature LIMIT 10",
+        {},
+        "SELECT feature, round(psi_age_matched, 6) AS psi_age_matched, round(psi, 6) AS raw_psi FROM drifts WHERE snapshot = (SELECT max(snapshot) FROM drifts)",
+    ),
+    "ask_yearly_amputations": (
+        "SELECT event_year, count(*) AS reports FROM {injury_facts} WHERE amputation > :least GROUP BY event_year ORDER BY event_year",
+        {"least": 0},
+        "SELECT event_year, count(*) AS reports FROM reports WHERE amputation > 0 GROUP BY event_year",
+    ),
+    "ask_common_sources": (
+        "SELECT source_category, count(*) AS reports FROM {injury_facts} WHERE startswith(naics, :industry) GROUP BY source_category ORDER BY reports DESC, source_category",
+        {"industry": "11"},
+        "SELECT source_category, count(*) AS reports FROM reports WHERE naics LIKE '11%' GROUP BY source_category",
+    ),
+    "ask_last_alerts": (
+        "SELECT run, `check`, count(*) AS checks, count_if(breached) AS breaches, max(threshold) AS threshold FROM {alerts} WHERE run = (SELECT max_by(run, checked_at) FROM {alerts}) GROUP BY run, `check` ORDER BY `check`",
+        {},
+        'SELECT run, "check", count(*) AS checks, count(*) FILTER (breached) AS breaches, max(threshold) AS threshold FROM alerts WHERE run = (SELECT max_by(run, checked_at) FROM alerts) GROUP BY ALL',
+    ),
+}
+
+
+def _question(name):
+    text, values, _ = QUESTIONS[name]
+    return lambda spark, sf_dir: bi.ask(spark, text, marts(spark, sf_dir), **values)
+
+
+for _name, (_, _, _sql) in QUESTIONS.items():
+    query(_name, f"WITH {MARTS_SQL} {_sql}")(_question(_name))
 
 
 # ---- gates -----------------------------------------------------------------------------------------------------
