@@ -57,8 +57,19 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 BLANKS = re.compile(r"[ \t\n\f\r]+")
-HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-SHOWS = re.compile(r"(?:^|;)\s*visibility\s*:\s*visible", re.I)
+#: Declarations that decide what is seen, and the values that they take; others don't count.
+DECLARATION = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+(?:\s+[\w-]+)*)\s*(!\s*important\s*)?(?=;|\Z)", re.I)
+VALUES = {
+    "visibility": frozenset("visible hidden collapse inherit initial unset revert".split()),
+    "display": frozenset(
+        "none block inline inline-block flex inline-flex grid inline-grid flow-root contents list-item run-in table inline-table table-row table-cell table-row-group"
+        " table-header-group table-footer-group table-column table-column-group table-caption ruby ruby-text inherit initial unset revert".split()
+    ),
+}
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+#: A part of a selector: a tag, and ids, classes and attributes.
+COMPOUND = re.compile(r"(\*|[\w-]+)?((?:[#.][\w-]+|\[\s*[\w-]+\s*(?:=\s*(?:\"[^\"]*\"|'[^']*'|[\w-]+)\s*)?\])*)")
+CONDITION = re.compile(r"([#.])([\w-]+)|\[\s*([\w-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([\w-]+))\s*)?\]")
 #: Comments, strings, the signs that structure a style sheet, and what lies between.
 CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|[{};]|[^{};\"'/]+|.", re.S)
 #: A media query that holds on every screen.
@@ -280,8 +291,85 @@ class Table:
         return out
 
 
+def declarations(body: str) -> list[tuple[str, str, bool]]:
+    """(property, value, important) of what a rule or a style attribute says about display and visibility, in order."""
+    low = body.lower()
+    if "display" not in low and "visibility" not in low:
+        return []
+    return [(p, v, bool(i)) for p, v, i in DECLARATION.findall(COMMENT.sub("", low)) if v in VALUES[p] or p == "display" and set(v.split()) <= VALUES[p]]
+
+
+class Compound:
+    """One part of a selector, with the part before it; the last part has the rule's declarations."""
+
+    __slots__ = ("tag", "ids", "classes", "attributes", "before", "child", "declared")
+
+    def __init__(self, tag: str, conditions: str):
+        found = CONDITION.findall(conditions)
+        self.tag = "" if tag == "*" else tag.lower()
+        self.ids, self.classes = ({n for kind, n, *_ in found if kind == sign} for sign in "#.")
+        self.attributes = [(name.lower(), None if not re.search("=", c) else a or b or d) for c, (kind, _, name, a, b, d) in zip(re.findall(r"[#.][\w-]+|\[[^\]]*\]", conditions), found) if name]
+        self.before: Compound | None = None
+        self.child = False
+        self.declared: list[tuple] = []
+
+    def key(self) -> str:
+        return "#" + min(self.ids) if self.ids else "." + min(self.classes) if self.classes else self.tag or "*"
+
+    def weight(self) -> tuple[int, int, int]:
+        before = self.before.weight() if self.before else (0, 0, 0)
+        return before[0] + len(self.ids), before[1] + len(self.classes) + len(self.attributes), before[2] + bool(self.tag)
+
+    def fits(self, tag: str, attrs: dict[str, str], classes: set[str]) -> bool:
+        return (not self.tag or self.tag == tag) and self.ids <= {attrs.get("id")} and self.classes <= classes and all(n in attrs and v in (None, attrs[n]) for n, v in self.attributes)
+
+
+class Sheet:
+    """The rules of a page's style sheets about display and visibility.
+
+    Selectors are compounds of tags, ids, classes and attributes, with blanks or ``>`` between them; others hide nothing. Parts of a
+    selector that ancestors fit go down with the elements, so an element asks for each part once, however deep it stands.
+    """
+
+    def __init__(self):
+        self.parts: dict[str, list[Compound]] = {}
+        self.rules = 0
+
+    def add(self, css: str) -> None:
+        for selectors, body in style_rules(css):
+            if said := declarations(body):
+                for selector in selectors.split(","):
+                    self.rule(selector.strip(), said)
+
+    def rule(self, selector: str, said: list[tuple[str, str, bool]]) -> None:
+        parts, child = [], False
+        for word in re.sub(r"\s*>\s*", " > ", selector).split():
+            m = COMPOUND.fullmatch(word)
+            if word == ">" and parts and not child:
+                child = True
+            elif m and word:
+                part = Compound(m[1] or "", m[2])
+                part.before, part.child, child = parts[-1] if parts else None, child, False
+                parts.append(part)
+            else:
+                return
+        if parts and not child:
+            self.rules += 1
+            weight = parts[-1].weight()
+            parts[-1].declared = [(p, ((important, False, weight, self.rules, k), v)) for k, (p, v, important) in enumerate(said)]
+            for part in parts:
+                self.parts.setdefault(part.key(), []).append(part)
+
+    def fitting(self, tag: str, attrs: dict[str, str], up: Element | None) -> list[Compound]:
+        """The parts of selectors, with all that stands before them, that an element below ``up`` fits."""
+        classes = set(attrs.get("class", "").split())
+        own, above = (up.fits, up.above) if up else (frozenset(), frozenset())
+        keys = [tag, "*", *("." + c for c in classes), *(["#" + attrs["id"]] if "id" in attrs else [])]
+        return [p for k in keys for p in self.parts.get(k, ()) if (not p.before or p.before in (own if p.child else above)) and p.fits(tag, attrs, classes)]
+
+
 class Element:
-    __slots__ = ("tag", "shown", "gone", "pre", "flow", "table", "count", "indented")
+    __slots__ = ("tag", "shown", "gone", "pre", "flow", "table", "count", "indented", "fits", "above")
 
     def __init__(self, tag: str, shown: bool, gone: bool, pre: bool):
         self.tag, self.shown, self.gone, self.pre = tag, shown, gone, pre
@@ -289,6 +377,9 @@ class Element:
         self.table: Table | None = None
         self.count = 1
         self.indented = False
+        #: Parts of selectors that the element fits, and that it or an element around it fits.
+        self.fits: frozenset = frozenset()
+        self.above: frozenset = frozenset()
 
 
 def _number(value: str | None, default: int, most: int) -> int:
@@ -304,9 +395,11 @@ class Renderer:
         self.open: list[Element] = []
         #: Of each tag, where in ``open`` its elements stand.
         self.places: dict[str, list[int]] = {}
-        self.hidden: set[str] = set()
+        self.sheet = Sheet()
 
     def feed(self, html: str) -> str:
+        if re.search("<style", html, re.I):
+            self.stylesheets(html)
         for kind, value, attrs in tokens(html):
             if kind == "text":
                 self.on_text(value)
@@ -320,8 +413,6 @@ class Renderer:
 
     def on_text(self, text: str) -> None:
         top = self.open[-1] if self.open else None
-        if top is not None and top.tag == "style" and top.count:
-            self.stylesheet(text)
         if top is None or top.shown and not top.gone and not (top.tag == "details" and top.count == 0):
             if top is not None and top.pre:
                 lines = text.replace("\r\n", "\n").split("\n")
@@ -334,20 +425,32 @@ class Renderer:
             elif text:
                 self.flow.write(text)
 
-    def stylesheet(self, css: str) -> None:
-        """Rules of single tags, classes and ids that hide on every screen."""
-        if "display" in css or "visibility" in css:
-            for selectors, body in style_rules(css):
-                if HIDES.search(body):
-                    self.hidden.update(s for x in selectors.split(",") if re.fullmatch(r"[.#]?[\w-]+", s := x.strip()))
-
-    def is_hidden(self, tag: str, attrs: dict[str, str]) -> bool:
-        style = attrs.get("style", "")
-        if tag in NEVER_SHOWN or "hidden" in attrs or style and HIDES.search(style) or tag == "dialog" and "open" not in attrs:
-            return True
-        return bool(self.hidden) and (
-            tag in self.hidden or "#" + attrs.get("id", "") in self.hidden or any("." + c in self.hidden for c in attrs.get("class", "").split())
-        )
+    def stylesheets(self, html: str) -> None:
+        """Read the rules of all style sheets for a screen first, as they hold for the whole page."""
+        inert = {"noscript": 0, "template": 0}
+        css = False
+        for kind, value, attrs in tokens(html):
+            if kind == "text":
+                if css:
+                    self.sheet.add(value)
+            elif value in inert:
+                inert[value] = max(0, inert[value] + (1 if kind == "start" else -1))
+            else:
+                css = kind == "start" and value == "style" and on_screen(attrs.get("media", "")) and not any(inert.values())
+
+    def styled(self, tag: str, attrs: dict[str, str], up: Element | None) -> tuple[str | None, str | None, list[Compound]]:
+        """(display, visibility, parts of selectors that the element fits); None where nothing is said.
+
+        Of all declarations the important ones come first, then those of the style attribute, then those of the more specific
+        selector, then the later ones.
+        """
+        parts = self.sheet.fitting(tag, attrs, up) if self.sheet.rules else []
+        best: dict[str, tuple] = {}
+        own = [(p, ((important, True, (0, 0, 0), 0, k), v)) for k, (p, v, important) in enumerate(declarations(attrs["style"]))] if "style" in attrs else []
+        for p, said in own + [d for part in parts for d in part.declared]:
+            if p not in best or said[0] > best[p][0]:
+                best[p] = said
+        return *(best[p][1] if p in best else None for p in ("display", "visibility")), parts
 
     def nearest(self, tags) -> int:
         """Where the innermost open element with one of the tags stands; -1 without one."""
@@ -371,12 +474,13 @@ class Renderer:
                 return
             self.start("tr", {})
             up = self.open[-1]
-        gone = (up.gone if up else False) or tag in NEVER_SHOWN or "display" in attrs.get("style", "") and bool(HIDES.search(attrs["style"])) or "hidden" in attrs
+        display, visibility, fits = self.styled(tag, attrs, up)
+        # What is hidden by itself, unless the page says how it is to be displayed.
+        closed = "hidden" in attrs or tag == "dialog" and "open" not in attrs
+        gone = (up.gone if up else False) or tag in NEVER_SHOWN or display == "none" or closed and display in (None, "revert")
         shown = up.shown if up else True
-        if self.is_hidden(tag, attrs):
-            shown = False
-        elif not shown and SHOWS.search(attrs.get("style", "")):
-            shown = True
+        if visibility is not None and visibility not in ("inherit", "unset", "revert"):
+            shown = visibility in ("visible", "initial")
         if up and up.tag == "details" and up.count == 0 and tag != "summary":
             gone = True
         if tag == "br":
@@ -388,7 +492,10 @@ class Renderer:
                 self.flow.block(2)
             return
         e = Element(tag, shown, gone, (up.pre if up else False) or tag in PREFORMATTED)
-        if tag == "details" and "open" not in attrs or tag == "style" and not on_screen(attrs.get("media", "")):
+        if fits or up:
+            e.fits = frozenset(fits)
+            e.above = (up.above if up else frozenset()).union(e.fits) if fits else up.above
+        if tag == "details" and "open" not in attrs:
             e.count = 0
         visible = shown and not gone
         if visible:

@@ -318,3 +318,54 @@ def test_html_cases(spark):
     df = spark.createDataFrame([(1, None, "q"), (2, "", "q"), (None, "<p>x", "q"), (None, "<p>x", "q")], "page_id long, html string, text string")
     assert sorted((r.page_id or 0, r.text) for r in html_text.extract_text(df).collect()) == [(0, "x"), (0, "x"), (1, ""), (2, "")]
     assert html_text.extract_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        # What is out of the layout stays so, whatever its children say.
+        ("<style>.x{display:none}</style><div class=x><span style='visibility:visible'>no</span></div>yes", "yes"),
+        ("<dialog>a<span style='visibility:visible'>no</span></dialog>yes", "yes"),
+        ("<dialog open>yes</dialog>", "yes"),
+        # What is only invisible may have visible children.
+        ("<div style='display:block;visibility:hidden'>no<span style='visibility:visible'>yes</span></div>", "yes"),
+        ("<style>.x{visibility:hidden} .y{visibility:visible}</style><p class=x>no<b class=y>yes<i>too</i></b></p>", "yestoo"),
+        ("<p style='visibility:hidden'><b style='visibility:inherit'>no</b><b style='visibility:initial'>yes</b></p>", "yes"),
+        # The last of equals wins, the more specific before the later, the attribute before both, the important before all.
+        ("<p style='display:none;display:inline'>yes</p>", "yes"),
+        ("<p style='display:inline;DISPLAY : NONE'>no</p>", ""),
+        ("<style>.x{display:none}.y{display:block}</style><p class='x y'>yes</p><p class=x>no</p>", "yes"),
+        ("<style>p.x{display:none}.y{display:block}</style><p class='x y'>no</p>", ""),
+        ("<style>#i{display:none}</style><p id=i style='display:block'>yes</p>", "yes"),
+        ("<style>p{display:none!important}</style><p style='display:block'>no</p>", ""),
+        ("<style>p{display:none!important} .y{display:block !important}</style><p class=y>yes</p>", "yes"),
+        ("<p style='display:nonsense'>yes</p><p style='display:none;display:nonsense'>no</p>", "yes"),
+        # Descendants, children, compounds, attributes.
+        ("<style>div .y{display:none}</style><div><p><b class=y>no</b></p></div><b class=y>yes</b>", "yes"),
+        ("<style>div > .y{display:none}</style><div><b class=y>no</b><i><b class=y>yes</b></i></div>", "yes"),
+        ("<style>nav a.x[href=up] b{display:none}</style><nav><a class=x href=up><b>no</b></a><a class=x href=on><b>yes</b></a></nav><a class=x href=up><b>too</b></a>", "yestoo"),
+        ("<style>.a .a .a{display:none}</style><i class=a>1<i class=a>2<i class=a>3<i class=a>4</i></i></i></i>", "12"),
+        ("<style>* i{display:none}</style><b>yes<i>no</i></b>", "yes"),
+        ("<style>a:hover, b ~ i, :not(p){display:none}</style><a>yes</a>", "yes"),
+        # A sheet holds for the whole page, an attribute of the page's language gives way to it.
+        ("<p class=x>no</p>yes<style>.x{display:none}</style>", "yes"),
+        ("<noscript><style>p{display:none}</style></noscript><p>yes</p>", "yes"),
+        ("<p hidden>no</p><p hidden style='display:block'>yes</p>", "yes"),
+        ("<style>/* p{display:none} */ p{ /* display:none */ color:red }</style><p>yes</p>", "yes"),
+    ],
+)
+def test_what_a_cascade_shows(html, text):
+    assert html_text.visible_text(html).replace("\n", "") == text
+
+
+def test_rules_of_deep_pages_are_asked_once_an_element():
+    import time
+
+    sheet = "<style>" + "".join(f".a{k} .b .c{k} i{{display:none}}" for k in range(200)) + "</style>"
+    took = []
+    for depth in (2_000, 8_000):
+        page = sheet + "".join(f"<div class='a{k % 200} b c{(k + 1) % 200}'>" for k in range(depth)) + "<i>no</i>yes"
+        began = time.process_time()
+        assert html_text.visible_text(page).strip() == "yes"
+        took.append(time.process_time() - began)
+    assert took[1] < 12 * took[0] + 0.5
