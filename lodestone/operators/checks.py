@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def recomputed(raw: DataFrame, refine: Callable[[DataFrame], DataFrame], silver: DataFrame, keys: Sequence[str], values: Sequence[str], summarise: Callable[[DataFrame], DataFrame], gold: DataFrame, by: Sequence[str], numbers: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
+    """(layer, compared, mismatches): both stored layers against what the raw rows give when all is worked out again from them.
+
+    The refined rows are compared bit by bit, with rows that only one side has; the summary's numbers, each a comparison, within the tolerance, and a
+    summary row that one side lacks or a number that is null on one side counts as a mismatch for each number.
+    """
+    again = refine(raw)
+    rows = parity(silver, again, keys, values).select(F.lit("silver").alias("layer"), F.col("keys").alias("compared"), (F.col("missing") + F.col("extra") + F.col("different")).alias("mismatches"))
+    tall = lambda df, name: df.select(*by, F.explode(F.array(*(F.struct(F.lit(n).alias("number"), F.col(n).cast("double").alias(name)) for n in numbers))).alias("_n")).select(*by, "_n.*")
+    both = tall(gold, "stored").withColumn("_here", F.lit(True)).join(tall(summarise(again), "made").withColumn("_there", F.lit(True)), [*by, "number"], "full_outer")
+    near = F.col("_here") & F.col("_there") & (F.col("stored").eqNullSafe(F.col("made")) | (F.abs(F.col("stored") - F.col("made")) <= tolerance))
+    return rows.unionAll(both.agg(F.lit("gold").alias("layer"), F.count(F.lit(1)).alias("compared"), F.count_if(~F.coalesce(near, F.lit(False))).alias("mismatches")))
+
+
 def offset_contiguity(df: DataFrame, partition: str, offset: str) -> DataFrame:
     """Per partition: rows, first and last offset, and whether no offset is missing or double."""
     out = df.groupBy(partition).agg(F.count(F.lit(1)).alias("rows"), F.min(offset).alias("first_offset"), F.max(offset).alias("last_offset"))

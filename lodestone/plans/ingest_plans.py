@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodestone import functions as fn
-from lodestone.catalog import load, run_dir, shared_dir
+from lodestone.catalog import load, run_dir, shared_dir, stage
 from lodestone.operators.expect import REPORT_RULES, WEATHER_SERIES, event_rules, weather_rules
 from lodestone.plans.events_plans import produced
 from lodestone.plans.registry import query
@@ -221,6 +221,65 @@ def _(spark, sf_dir):
     return lines.groupBy((key % 50).alias("first")).agg(F.count(F.lit(1)).alias("lines"), F.count_distinct(key).alias("orders"), F.sum(number).alias("numbers"))
 
 
+@query(
+    "ledger_run",
+    "SELECT CAST(l_linenumber % 2 AS INTEGER) AS run, count(*) AS lines, CAST(sum(l_linenumber) AS BIGINT) AS numbers, 0 AS added_again FROM lineitem GROUP BY 1",
+)
+def _(spark, sf_dir):
+    """Lines that land in two runs, as a stream behind a ledger of files; a third run finds nothing new."""
+    root, added = f"{run_dir(spark)}/ledger-{uuid.uuid4().hex}", []
+    l = load(spark, sf_dir, "lineitem")
+    for part in (l.filter("l_linenumber % 2 = 0"), l.filter("l_linenumber % 2 = 1"), None):
+        if part is not None:
+            part.select(F.concat_ws(" ", "l_orderkey", "l_linenumber")).write.mode("append").text(f"{root}/in")
+        files.landed(spark, f"{root}/in", f"{root}/ledger")
+        added.append(ingest.ingest(files.text_lines(spark, f"{root}/in", stream=True).select("raw_line"), f"{root}/bronze", f"{root}/checkpoint"))
+    number = fn.token_double(fn.tokens(F.col("raw_line")), 2).cast("int")
+    out = spark.read.parquet(f"{root}/bronze").groupBy((number % 2).alias("run"))
+    return out.agg(F.count(F.lit(1)).alias("lines"), F.sum(number).alias("numbers")).withColumn("added_again", F.lit(added[2]))
+
+
+# Lines of 26 tokens, some of them short, with words or numbers that aren't finite, or with keys that are no positive whole numbers.
+@query(
+    "trajectory_quality",
+    """WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cycle FROM events),
+f AS (SELECT concat_ws(',', CASE WHEN event_id % 7 = 1 THEN 'width' END, CASE WHEN event_id % 11 = 1 THEN 'subset' END, CASE WHEN event_id % 13 = 1 THEN 'split' END,
+  CASE WHEN event_id % 17 = 1 OR cycle % 19 = 1 OR user_id < 1 THEN 'keys' END, CASE WHEN event_id % 7 = 1 OR event_id % 23 = 1 THEN 'finite' END) AS failed_rules FROM e)
+SELECT failed_rules, count(*) AS lines FROM f GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    from lodestone.operators.expect import trajectory_rules
+    from lodestone.operators.features import with_cycle
+
+    i = F.col("event_id")
+    unit = F.when(i % 17 == 1, F.lit("0")).otherwise(F.col("user_id").cast("string"))
+    cycle = F.when(F.col("cycle") % 19 == 1, F.concat("cycle", F.lit(".5"))).otherwise(F.col("cycle").cast("string"))
+    last = F.when(i % 23 == 1, F.element_at(F.array(F.lit("NaN"), F.lit("Infinity"), F.lit("x")), (i % 3 + 1).cast("int"))).otherwise(F.col("value").cast("string"))
+    values = F.when(i % 7 == 1, F.array(last)).otherwise(F.concat(F.array_repeat(F.col("value").cast("string"), 23), F.array(last)))
+    rows = with_cycle(load(spark, sf_dir, "events"), "user_id", ["ts", "event_id"])
+    lines = rows.select(F.array_join(F.concat(F.array(unit, cycle), values), "  ").alias("raw_line"), F.when(i % 11 == 1, "").otherwise("FD001").alias("subset"), F.when(i % 13 == 1, "held").otherwise("train").alias("split"))
+    checked = trajectory_rules().check(files.parse_trajectory(lines))
+    return checked.groupBy(F.array_join("failed_rules", ",").alias("failed_rules")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    "recomputed_layers",
+    "SELECT 'silver' AS layer, count(*) AS compared, 0 AS mismatches FROM orders UNION ALL SELECT 'gold', 3 * count(DISTINCT strftime(o_orderdate, '%Y-%m')), 0 FROM orders",
+)
+def _(spark, sf_dir):
+    """Orders as raw JSON lines, refined and summed up again, against the stored table and its months."""
+    from lodestone.operators import checks
+
+    path = f"{run_dir(spark)}/raw-{uuid.uuid4().hex}"
+    silver = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    silver.select(F.to_json(F.struct("*"))).write.text(path)
+    refine = lambda raw: raw.select(F.from_json("raw_line", silver.schema).alias("r")).select("r.*")
+    months = lambda rows: rows.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.avg("o_totalprice").alias("mean"), F.max("o_totalprice").alias("highest"), F.count(F.lit(1)).alias("orders"))
+    numbers = ["mean", "highest", "orders"]
+    gold = stage(months(silver), "months")
+    return checks.recomputed(files.text_lines(spark, path), refine, silver, ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderdate"], months, gold, ["month"], numbers)
+
+
 @query("rescued_json", """SELECT n_nationkey AS id, n_name AS name, CASE WHEN n_nationkey % 3 = 0 THEN '{"extra":"1"}' END AS rescued FROM nation""")
 def _(spark, sf_dir):
     root = f"{shared_dir(spark)}/lodestone/json-{uuid.uuid4().hex}"

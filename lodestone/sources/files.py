@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestone.catalog import stage
 from lodestone.functions import token_double, tokens
 
 
@@ -25,6 +26,41 @@ def text_lines(spark: SparkSession, path: str, pattern: str = "*.txt", stream: b
     return reader.format("text").option("pathGlobFilter", pattern).load(path).select(F.col("value").alias("raw_line"), *provenance())
 
 
+LEDGER = "path string, length long, modified timestamp, digest string"
+
+
+def landed(spark: SparkSession, folder: str, ledger: str, pattern: str = "*.txt") -> int:
+    """Enter the folder's new files into the ledger, a table of path, length, time and SHA-256; returns how many there are. To be called before a run.
+
+    A file that is known with another length or time is read again, and if its content differs all raises, with nothing entered: a
+    stream would read it twice or not at all. Only new and such files are read; the listing alone tells the others. A file that is gone is no error.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    seen = files.select("path", "length", F.col("modificationTime").alias("modified"))
+    has = _there(spark, ledger)
+    entries = spark.read.schema(LEDGER).parquet(ledger) if has else spark.createDataFrame([], LEDGER)
+    known = entries.groupBy("path").agg(F.max_by(F.struct("length", "modified", "digest"), "modified").alias("known"))
+    both = seen.join(known, "path", "left")
+    same = (F.col("length") == F.col("known.length")) & (F.col("modified") == F.col("known.modified"))
+    odd = stage(both.filter(~F.coalesce(same, F.lit(False))), "odd-files")
+    since = odd.agg(F.min("modified")).first()[0]
+    if since is None:
+        return 0
+    # The reader's own filter on times leaves files unread that are older than all that is looked for.
+    read = files.filter(F.col("modificationTime") >= F.lit(since)).select("path", F.sha2("content", 256).alias("digest"))
+    digests = stage(odd.join(read, "path"), "digests")
+    changed = digests.filter(F.col("known").isNotNull() & (F.col("known.digest") != F.col("digest"))).select("path").orderBy("path").limit(5).collect()
+    if changed:
+        raise ValueError(f"overwritten after they had landed: {', '.join(r.path for r in changed)}")
+    digests.select("path", "length", "modified", "digest").write.mode("append").parquet(ledger)
+    return digests.filter(F.col("known").isNull()).count()
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def rescued(raw: Column, schema: T.StructType) -> Column:
     """JSON of what the schema can't hold of an object: unknown fields, and fields whose value has another type; else null.
 

@@ -7,9 +7,10 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import refresh
+from lodestone.operators import checks, refresh
 from lodestone.operators.expect import Rules, StreamCounts
 from lodestone.operators.features import causal_features, with_cycle
+from lodestone.sources import files as files_of
 from lodestone.streaming import ingest, replay
 
 
@@ -132,3 +133,39 @@ def test_rules_are_counted_in_streams(spark, tmp_path):
     finally:
         spark.streams.removeListener(counts)
     assert got == {"positive": (6, 2), "small": (5, 3), "known": (6, 2)}
+
+
+def test_overwritten_files_are_refused(spark, tmp_path):
+    folder, ledger = tmp_path / "in", str(tmp_path / "ledger")
+    folder.mkdir()
+    put = lambda name, text, at: ((folder / name).write_text(text), os.utime(folder / name, (at, at)))
+    run = lambda: (files_of.landed(spark, str(folder), ledger), ingest.ingest(files_of.text_lines(spark, str(folder), stream=True).select("raw_line"), str(tmp_path / "out"), str(tmp_path / "cp")))
+    put("a.txt", "1\n2\n", 1_700_000_000)
+    put("b.txt", "3\n", 1_700_000_100)
+    put("c.csv", "4\n", 1_700_000_100)
+    assert run() == (2, 3) and run() == (0, 0)
+    put("d.txt", "5\n6\n", 1_700_000_050)
+    assert run() == (1, 2)
+    # Written again with the same content: nothing new.
+    put("a.txt", "1\n2\n", 1_700_000_500)
+    assert files_of.landed(spark, str(folder), ledger) == 0
+    put("b.txt", "9\n", 1_700_000_900)
+    put("e.txt", "7\n", 1_700_000_900)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="overwritten after they had landed: .*b.txt"):
+            files_of.landed(spark, str(folder), ledger)
+    put("b.txt", "3\n", 1_700_000_950)
+    (folder / "d.txt").unlink()
+    assert files_of.landed(spark, str(folder), ledger) == 1 and files_of.landed(spark, str(folder), ledger) == 0
+
+
+def test_recomputed_layers_find_what_differs(spark):
+    silver = spark.createDataFrame([(i, i % 3, i / 7) for i in range(60)], "id int, g int, v double")
+    raw = silver.select(F.to_json(F.struct("*")).alias("raw"))
+    refine = lambda r: r.select(F.from_json("raw", silver.schema).alias("r")).select("r.*")
+    total = lambda d: d.groupBy("g").agg(F.sum("v").alias("s"), F.max("v").alias("m"))
+    run = lambda s, g: {r.layer: (r.compared, r.mismatches) for r in checks.recomputed(raw, refine, s, ["id"], ["g", "v"], total, g, ["g"], ["s", "m"]).collect()}
+    assert run(silver, total(silver)) == {"silver": (60, 0), "gold": (6, 0)}
+    off = silver.withColumn("v", F.when(F.col("id") == 5, F.col("v") + 1e-12).otherwise(F.col("v"))).filter("id <> 9")
+    assert run(off, total(silver).withColumn("s", F.col("s") + 1e-10)) == {"silver": (60, 2), "gold": (6, 0)}
+    assert run(silver, total(silver).withColumn("m", F.col("m") + 1e-6).filter("g > 0")) == {"silver": (60, 0), "gold": (6, 4)}
