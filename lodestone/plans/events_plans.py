@@ -224,7 +224,16 @@ def produced(spark, sf_dir):
     return produce(rows, "unit", "cycle", [("EV-%03d", F.col("unit")), ("-%03d", F.col("cycle"))], ["value"], 4)
 
 
-@query("produced_batches")
+@query(
+    "produced_batches",
+    f"""WITH RECURSIVE {CYCLES}, p AS (SELECT user_id + 1 AS unit, cycle, value FROM c),
+e AS (SELECT CAST((unit - 1) % 4 AS INTEGER) AS part, row_number() OVER (PARTITION BY (unit - 1) % 4 ORDER BY unit, cycle) - 1 AS off,
+  strlen(printf('{{"event_id":"EV-%03d-%03d","unit":%d,"cycle":%d,"value":', unit, cycle, unit, cycle) || CAST(value AS VARCHAR) || '}}') + 1 AS len FROM p),
+b AS (SELECT part, off, len, 0 AS batch, 1 AS n, 2 + len AS size FROM e WHERE off = 0
+  UNION ALL SELECT e.part, e.off, e.len, CASE WHEN b.n = 100 OR b.size + e.len > 16384 THEN b.batch + 1 ELSE b.batch END, CASE WHEN b.n = 100 OR b.size + e.len > 16384 THEN 1 ELSE b.n + 1 END,
+  CASE WHEN b.n = 100 OR b.size + e.len > 16384 THEN 2 + e.len ELSE b.size + e.len END FROM b JOIN e ON e.part = b.part AND e.off = b.off + 1)
+SELECT part AS partition, batch, count(*) AS events, CAST(sum(len) AS BIGINT) AS bytes, min(off) AS first FROM b GROUP BY part, batch""",
+)
 def _(spark, sf_dir):
     placed = event_batches(produced(spark, sf_dir), 16_384, 100)
     return placed.groupBy("partition", "batch").agg(F.count(F.lit(1)).alias("events"), F.sum(F.octet_length("payload") + 1).alias("bytes"), F.min("offset").alias("first"))

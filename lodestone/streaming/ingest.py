@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestone.catalog import stage
 from lodestone.functions import event_key, unit_partition
+from lodestone.operators.quantiles import row_numbers
 
 
 def ingest(stream: DataFrame, path: str, checkpoint: str) -> int:
@@ -88,29 +91,76 @@ def produce(rows: DataFrame, unit: str, cycle: str, id_parts: Sequence[tuple[str
     return events.withColumn("_place", place).join(starts, ["partition", unit]).withColumn("offset", (F.col("_start") + F.col("_place")).cast("long")).select(*events.columns, "offset")
 
 
+#: Events of a chunk, the piece of a partition that a task works on.
+CHUNK = 1 << 16
+
+
+def _next_starts(size: np.ndarray, own: int, max_bytes: int, max_events: int) -> np.ndarray:
+    """Where the next batch starts if one starts at each of the first ``own`` places; ``size`` goes on beyond those."""
+    total = np.concatenate(([0], np.cumsum(size + 1)))
+    place = np.arange(own)
+    full = np.searchsorted(total, total[:own] + (max_bytes - 2), side="right") - 1
+    return np.maximum(place + 1, np.minimum(place + max_events, full))
+
+
 def event_batches(events: DataFrame, max_bytes: int, max_events: int) -> DataFrame:
     """Add ``batch``: events of a partition in order, a new batch where the count or the bytes would be exceeded.
 
-    Whether an event starts a batch depends on all before it in its partition. Events are dealt by partition, sorted and
-    streamed; a task keeps three numbers.
+    Where a batch starts depends on all before it in its partition, but where the next one starts only on what follows. So
+    partitions are numbered by ranges and cut into chunks; each chunk tells for every place at which a batch may first start in
+    it, of which there are ``max_events``, at which place of the next chunk that leads to. These short tables are put together by doubling (two chunks,
+    four, ...), which gives each chunk the place it really starts at, and the number of batches before. Then each chunk marks its own. A
+    partition of any size keeps all tasks busy; a task holds a chunk and ``max_events`` events more.
     """
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, batch, count, size = None, 0, 0, 2
-        for rows in batches:
-            out = []
-            for partition, length in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist()):
-                if partition != last:
-                    last, batch, count, size = partition, 0, 0, 2
-                if count and (count == max_events or size + length + 1 > max_bytes):
-                    batch, count, size = batch + 1, 0, 2
-                count, size = count + 1, size + length + 1
-                out.append(batch)
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(out, pa.int32())], names=["partition", "offset", "batch"])
-
+    chunk = max(CHUNK, max_events)
     sized = events.select("partition", "offset", F.octet_length("payload").alias("bytes"))
-    placed = sized.repartition("partition").sortWithinPartitions("partition", "offset").mapInArrow(fold, "partition int, offset long, batch int")
-    return events.join(placed, ["partition", "offset"])
+    numbered = row_numbers(sized, ["partition"], ["offset"], "_at", start=0).withColumn("_chunk", F.floor(F.col("_at") / chunk))
+    # The first events of a chunk also end the last batch of the one before.
+    behind = F.when((F.col("_at") % chunk < max_events) & (F.col("_chunk") > 0), F.col("_chunk") - 1)
+    seen = stage(numbered.withColumn("_of", F.explode(F.array_compact(F.array("_chunk", behind)))), "chunks")
+
+    def ordered(table: pa.Table) -> tuple[pa.Table, int]:
+        table = table.sort_by("_at")
+        return table, int((table["_chunk"].to_numpy() == table["_of"][0].as_py()).sum())
+
+    def leads(table: pa.Table) -> pa.Table:
+        table, own = ordered(table)
+        after = _next_starts(table["bytes"].to_numpy(), own, max_bytes, max_events)
+        leave, starts = after.copy(), np.ones(own, np.int64)
+        for i in range(own - 1, -1, -1):
+            if after[i] < own:
+                leave[i], starts[i] = leave[after[i]], starts[after[i]] + 1
+        n, first = min(own, max_events), table["_of"][0].as_py()
+        same = [pa.array(np.full(n, x)) for x in (table["partition"][0].as_py(), first)]
+        return pa.table([same[0].cast(pa.int32()), same[1], pa.array(np.arange(n)), pa.array(leave[:n] - own), pa.array(starts[:n])], names=["partition", "chunk", "place", "to", "starts"])
+
+    step = stage(seen.groupBy("partition", "_of").applyInArrow(leads, "partition int, chunk long, place long, to long, starts long"), "steps")
+    last = step.agg(F.max("chunk")).first()[0] or 0
+    steps, wide = [], 1
+    while wide <= last:
+        steps.append((wide, step))
+        then = step.select("partition", (F.col("chunk") - wide).alias("chunk"), F.col("place").alias("to"), F.col("to").alias("_to"), F.col("starts").alias("_starts"))
+        two = step.filter(F.col("chunk") % (2 * wide) == 0).join(then, ["partition", "chunk", "to"])
+        wide *= 2
+        if wide <= last:
+            step = stage(two.select("partition", "chunk", "place", F.col("_to").alias("to"), (F.col("starts") + F.col("_starts")).alias("starts")), "steps")
+    entered = seen.select("partition").distinct().select("partition", F.lit(0).cast("long").alias("chunk"), F.lit(0).cast("long").alias("place"), F.lit(0).cast("long").alias("before"))
+    for wide, step in reversed(steps):
+        on = entered.join(step, ["partition", "chunk", "place"])
+        entered = stage(entered.unionAll(on.select("partition", F.col("chunk") + wide, "to", F.col("before") + F.col("starts"))), "entered")
+
+    def mark(table: pa.Table) -> pa.Table:
+        table, own = ordered(table)
+        after = _next_starts(table["bytes"].to_numpy(), own, max_bytes, max_events)
+        at, starts = table["place"][0].as_py(), np.zeros(own, np.int64)
+        while at < own:
+            starts[at], at = 1, int(after[at])
+        batch = np.cumsum(starts) + (table["before"][0].as_py() - 1)
+        return pa.table([table["partition"].slice(0, own), table["offset"].slice(0, own), pa.array(batch.astype(np.int32))], names=["partition", "offset", "batch"])
+
+    placed = seen.join(entered.select("partition", F.col("chunk").alias("_of"), "place", "before"), ["partition", "_of"])
+    batches = placed.groupBy("partition", "_of").applyInArrow(mark, "partition int, offset long, batch int")
+    return events.join(batches, ["partition", "offset"])
 
 
 def windowed_counts(stream: DataFrame, time: str, key: str, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
