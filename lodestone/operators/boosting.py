@@ -22,8 +22,8 @@ BINS = 255
 FEW_PARTS = 64
 #: Tables of at most so many rows are one block to a task, and each forest is a task: there is nothing to sum up between tasks.
 ONE_TASK = 1 << 16
-#: Rows of a block, and rounds after which the chain of residuals is cut by a checkpoint.
-ROWS, CUT_AFTER = 1 << 18, 25
+#: Rows of a block, rows that are worked on at a time, and rounds after which the chain of residuals is cut by a checkpoint.
+ROWS, CHUNK, CUT_AFTER = 1 << 16, 1 << 15, 25
 
 
 @dataclass
@@ -89,8 +89,59 @@ class Tree:
         return out
 
 
+def leaves_of(tree: np.ndarray) -> list[int]:
+    """The leaves of a tree (see :meth:`Tree.arrays`), from left to right."""
+    out, stack = [], [0]
+    while stack:
+        k = stack.pop()
+        if tree[k, 0] < 0:
+            out.append(k)
+        else:
+            stack += [int(tree[k, 4]), int(tree[k, 3])]
+    return out
+
+
+def masks(tree: np.ndarray, leaves: Sequence[int]) -> dict[int, np.ndarray]:
+    """For each feature that the tree asks, and each bin, a bit for each leaf: whether that feature's nodes leave it within reach."""
+    kind = np.uint32 if len(leaves) <= 32 else np.uint64
+    place, out, all_ = {k: i for i, k in enumerate(leaves)}, {}, np.iinfo(kind).max
+
+    def under(k: int) -> int:
+        if tree[k, 0] < 0:
+            return 1 << place[k]
+        feature, at, missing, left, right = (int(x) for x in tree[k, :5])
+        on_left = under(left)
+        bins = out.setdefault(feature, np.full(BINS + 1, all_, kind))
+        bins[at + 1 : BINS if missing else BINS + 1] &= kind(all_ ^ on_left)
+        return on_left | under(right)
+
+    under(0)
+    return out
+
+
 def walked(tree: np.ndarray, binned: np.ndarray) -> np.ndarray:
-    """The node of the tree (see :meth:`Tree.arrays`) at which each row ends."""
+    """The node of the tree (see :meth:`Tree.arrays`) at which each row ends.
+
+    A row that goes right at a node loses the leaves on its left, whether it gets there or not, and ends at the first leaf that all of its features
+    leave: a look at a table for each feature, whatever the depth. Trees of more than 64 leaves are walked node by node.
+    """
+    ends = leaves_of(tree)
+    if len(ends) > 64:
+        return _by_steps(tree, binned)
+    nodes, tables, out = np.array(ends), masks(tree, ends), np.zeros(len(binned), np.int64)
+    for at in range(0, len(binned) if tables else 0, CHUNK):
+        part = binned[at : at + CHUNK]
+        reach = None
+        for feature, table in tables.items():
+            left = table[part[:, feature]]
+            reach = left if reach is None else np.bitwise_and(reach, left, out=reach)
+        reach &= ~reach + reach.dtype.type(1)  # a power of two, whose exponent as a float is the leaf's place
+        bits = reach.astype(np.float32).view(np.int32) >> 23
+        out[at : at + CHUNK] = nodes[bits - 127]
+    return out
+
+
+def _by_steps(tree: np.ndarray, binned: np.ndarray) -> np.ndarray:
     feature, at, missing, left, right = (tree[:, k].astype(np.int64) for k in range(5))
     node, rows = np.zeros(len(binned), np.int64), np.arange(len(binned))
     open_ = rows if feature[0] >= 0 else rows[:0]
@@ -130,15 +181,18 @@ def best_split(node: Node, ridge: float, least: int) -> tuple | None:
 def histograms(binned: np.ndarray, residual: np.ndarray, node: np.ndarray, wanted: Sequence[int]) -> np.ndarray:
     """For each wanted node and feature the (sum of residuals, rows) in each bin."""
     place = np.full(max(node.max(initial=0), max(wanted)) + 1, -1)
-    place[list(wanted)] = range(len(wanted))
-    rows = np.flatnonzero(place[node] >= 0)
-    base, residual = place[node[rows]] * (BINS + 1), residual[rows]
-    out = np.zeros((len(wanted), binned.shape[1], BINS + 1, 2))
-    for f in range(binned.shape[1]):
-        key, size = base + binned[rows, f], len(wanted) * (BINS + 1)
-        out[:, f, :, 0] = np.bincount(key, residual, size).reshape(len(wanted), -1)
-        out[:, f, :, 1] = np.bincount(key, minlength=size).reshape(len(wanted), -1)
-    return out
+    place[list(wanted)] = np.arange(len(wanted)) * (BINS + 1)
+    size, out = len(wanted) * (BINS + 1), np.zeros((binned.shape[1], 2, len(wanted) * (BINS + 1)))
+    for at in range(0, len(node), CHUNK):
+        base, part, r = place[node[at : at + CHUNK]], binned[at : at + CHUNK], residual[at : at + CHUNK]
+        rows = np.flatnonzero(base >= 0)
+        some = len(rows) < len(base)
+        base, r = (base[rows], r[rows]) if some else (base, r)
+        for f in range(binned.shape[1]):
+            key = base + (part[:, f][rows] if some else part[:, f])
+            out[f, 0] += np.bincount(key, r, size)
+            out[f, 1] += np.bincount(key, minlength=size)
+    return np.ascontiguousarray(out.reshape(binned.shape[1], 2, len(wanted), BINS + 1).transpose(2, 0, 3, 1))
 
 
 class Forest:
@@ -184,7 +238,7 @@ def bin_edges(df: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
 
 
 def _blocks(df: DataFrame, features: Sequence[str], edges: list[np.ndarray], label: str, held: Column):
-    """An RDD of (bins, labels, rows that aren't held out, which come first), some 2^18 rows each."""
+    """An RDD of (bins, labels, rows that aren't held out, which come first), some 2^16 rows each, dealt evenly to all cores. A column's bins are together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, rows = [], 0
@@ -192,7 +246,7 @@ def _blocks(df: DataFrame, features: Sequence[str], edges: list[np.ndarray], lab
         def settle():
             bins, labels, out = (np.concatenate([g[k] for g in got]) for k in range(3))
             order = np.argsort(out, kind="stable")
-            columns = [pa.array([bins[order].tobytes()]), pa.array([labels[order].tobytes()]), pa.array([int((~out).sum())])]
+            columns = [pa.array([bins[order].tobytes("F")]), pa.array([labels[order].tobytes()]), pa.array([int((~out).sum())])]
             return pa.RecordBatch.from_arrays(columns, names=["x", "y", "fit"])
 
         for batch in batches:
@@ -208,7 +262,8 @@ def _blocks(df: DataFrame, features: Sequence[str], edges: list[np.ndarray], lab
     inputs = [F.col(f).cast("double").alias(f"_lodestone_{k}") for k, f in enumerate(features)]
     made = df.select(*inputs, F.col(label).cast("double").alias("_lodestone_y"), held.alias("_lodestone_held"))
     rows = stage(made.mapInArrow(run, "x binary, y binary, fit long"), "blocks")
-    return rows.rdd.map(lambda r: (np.frombuffer(r.x, np.uint8).reshape(-1, len(edges)), np.frombuffer(r.y), r.fit))
+    parts = max(1, min(rows.count(), df.sparkSession.sparkContext.defaultParallelism))
+    return rows.repartition(parts).rdd.map(lambda r: (np.frombuffer(r.x, np.uint8).reshape(len(edges), -1).T, np.frombuffer(r.y), r.fit))
 
 
 def _grow(df: DataFrame, features: Sequence[str], label: str, held: Column, models: list[tuple[int, bool]], trees: int, rate: float, ridge: float, least: int) -> tuple[list[Forest], list[float]]:
@@ -268,7 +323,7 @@ def _trees(leaves: Sequence[int], summed, value, ridge: float, least: int) -> li
         plans = []
         for tree in grown:
             order, unknown = tree.expand()
-            plans.append((tree.arrays(order), [tree.nodes[k].children[0] for k in unknown]))
+            plans.append((tree.arrays(order), [min(tree.nodes[k].children, key=lambda c: tree.nodes[c].rows) for k in unknown]))
     return [tree.finished(value) for tree in grown]
 
 
@@ -302,7 +357,7 @@ def boost(
 
     The features are cut into bins once, and blocks of bins and residuals stay with the executors. A pass sums, for all forests at
     once, the histograms of the nodes that are to be split next, map-side and then in a tree of tasks: what the driver gets has a number for each
-    node, feature and bin. The best gain is split first; of each two children one is summed up and the other is what is left of the
+    node, feature and bin. The best gain is split first; of each two children the one of fewer rows is summed up and the other is what is left of the
     parent. A tree takes as many passes as it is deep. Each tree's residuals are a new set of blocks, whose chain is cut by checkpoints.
 
     Residuals are rounded to multiples of a power of two such that sums are exact: the trees don't depend on how rows are dealt. A
@@ -352,11 +407,12 @@ def _learn(tree: Tree, wanted: list[int], sums, ridge: float, least: int) -> Non
     """Give the wanted nodes and their siblings their histograms and best splits."""
     if not tree.nodes:
         tree.nodes.append(Node(float(sums[0][0, :, 0].sum()), int(sums[0][0, :, 1].sum())))
-    parents = {n.children[0]: n for n in tree.nodes if n.children}
+    parents = {c: (n, sum(n.children) - c) for n in tree.nodes if n.children for c in n.children}
     for k, own in zip(wanted, sums if sums is not None else ()):
         made = [(tree.nodes[k], own)]
         if k in parents:
-            made.append((tree.nodes[k + 1], parents[k].histogram - own))
+            parent, other = parents[k]
+            made.append((tree.nodes[other], parent.histogram - own))
         for node, histogram in made:
             node.histogram = histogram
             node.split = best_split(node, ridge, least)

@@ -148,3 +148,43 @@ def test_the_fewest_leaves_win_ties_and_cases(spark):
         boosting.boost(df.limit(0), ["x"], "y")
     with pytest.raises(ValueError, match="no rows to validate"):
         boosting.grid_search(df, F.lit(False), ["x"], "y", [2], trees=1)
+
+
+def grown(rng, leaves, features=3):
+    tree = boosting.Tree(leaves, [boosting.Node(0.0, 10)])
+    for _ in range(leaves - 1):
+        k = int(rng.choice([i for i, n in enumerate(tree.nodes) if n.children is None]))
+        tree.nodes[k].split = (1.0, int(rng.integers(features)), int(rng.integers(boosting.BINS)), int(rng.integers(2)), 0.0, 5)
+        tree.nodes[k].children = (len(tree.nodes), len(tree.nodes) + 1)
+        tree.nodes += [boosting.Node(0.0, 5), boosting.Node(0.0, 5)]
+    return tree.arrays([k for k, n in enumerate(tree.nodes) if n.children])
+
+
+def test_rows_find_their_leaf_by_a_look_for_each_feature(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(boosting, "CHUNK", 100)
+    x = rng.integers(0, boosting.BINS + 1, (350, 3)).astype(np.uint8)
+    x[::9] = boosting.BINS
+    for leaves in (1, 2, 7, 31, 64, 65, 90):
+        tree = grown(rng, leaves)
+        assert (boosting.walked(tree, x) == boosting._by_steps(tree, x)).all(), leaves
+    node, r = rng.integers(0, 5, 350), rng.integers(-9, 9, 350).astype(float)
+    got = boosting.histograms(x, r, node, [4, 1])
+    for k, w in enumerate([4, 1]):
+        for f in range(3):
+            here = node == w
+            assert (got[k, f, :, 0] == np.bincount(x[here, f], r[here], 256)).all() and (got[k, f, :, 1] == np.bincount(x[here, f], minlength=256)).all()
+
+
+def test_the_child_of_fewer_rows_is_summed():
+    plans, rng = [], np.random.default_rng(9)
+    x = np.where(rng.random((3000, 1)) < 0.9, 3, rng.integers(0, 200, (3000, 1))).astype(np.uint8)
+    block = (x, 3000, (x[:, 0] * 1.0 + (x[:, 0] > 90) * 500)[None])
+
+    def summed(wanted):
+        plans.append(wanted)
+        return boosting._sums(block, wanted, [True], 1.0)
+
+    boosting._trees([8], summed, lambda total, rows: total / rows, 1.0, 20)
+    rows = [np.isin(boosting.walked(tree, x), wanted).sum() for ((tree, wanted),) in plans[1:] if wanted]
+    assert rows and max(rows) <= 1500
