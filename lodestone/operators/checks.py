@@ -4,15 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def exact_mean(value: str) -> Column:
+    """The mean of values to nine decimals, summed as such: the same bits in whatever order rows come, which a sum of doubles isn't.
+
+    Groups with values that are not finite, or of 10^20 and more, have the mean of doubles.
+    """
+    v = F.col(value).cast("double")
+    small = F.abs(v) < 1e20
+    total = F.sum(F.when(small, v.cast("decimal(38,9)"))).cast("double")
+    return F.when(F.count_if(~small) == 0, total / F.count(v)).otherwise(F.avg(v))
+
+
 def recomputed(raw: DataFrame, refine: Callable[[DataFrame], DataFrame], silver: DataFrame, keys: Sequence[str], values: Sequence[str], summarise: Callable[[DataFrame], DataFrame], gold: DataFrame, by: Sequence[str], numbers: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
     """(layer, compared, mismatches): both stored layers against what the raw rows give when all is worked out again from them.
 
-    The refined rows are compared bit by bit, with rows that only one side has; the summary's numbers, each a comparison, within the tolerance, and a
-    summary row that one side lacks or a number that is null on one side counts as a mismatch for each number.
+    The refined rows are compared bit by bit, with rows that only one side has; the summary's numbers, each a comparison, within the tolerance, which is for what
+    rounding does and not for sums of doubles in another order (:func:`exact_mean`), and a summary row that one side lacks or a number that is null on one side counts as a mismatch for each number.
     """
     again = refine(raw)
     rows = parity(silver, again, keys, values).select(F.lit("silver").alias("layer"), F.col("keys").alias("compared"), (F.col("missing") + F.col("extra") + F.col("different")).alias("mismatches"))

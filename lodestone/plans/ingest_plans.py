@@ -274,7 +274,7 @@ def _(spark, sf_dir):
     silver = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     silver.select(F.to_json(F.struct("*"))).write.text(path)
     refine = lambda raw: raw.select(F.from_json("raw_line", silver.schema).alias("r")).select("r.*")
-    months = lambda rows: rows.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.avg("o_totalprice").alias("mean"), F.max("o_totalprice").alias("highest"), F.count(F.lit(1)).alias("orders"))
+    months = lambda rows: rows.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(checks.exact_mean("o_totalprice").alias("mean"), F.max("o_totalprice").alias("highest"), F.count(F.lit(1)).alias("orders"))
     numbers = ["mean", "highest", "orders"]
     gold = stage(months(silver), "months")
     return checks.recomputed(files.text_lines(spark, path), refine, silver, ["o_orderkey"], ["o_custkey", "o_totalprice", "o_orderdate"], months, gold, ["month"], numbers)

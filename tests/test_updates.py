@@ -169,3 +169,13 @@ def test_recomputed_layers_find_what_differs(spark):
     off = silver.withColumn("v", F.when(F.col("id") == 5, F.col("v") + 1e-12).otherwise(F.col("v"))).filter("id <> 9")
     assert run(off, total(silver).withColumn("s", F.col("s") + 1e-10)) == {"silver": (60, 2), "gold": (6, 0)}
     assert run(silver, total(silver).withColumn("m", F.col("m") + 1e-6).filter("g > 0")) == {"silver": (60, 0), "gold": (6, 4)}
+
+
+def test_exact_means_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(i, (i * 7919 % 100003) * 123.37 + 1e10 / (i % 97 + 1)) for i in range(4000)]
+    made = lambda by: spark.createDataFrame(rows, "i int, v double").coalesce(1).sortWithinPartitions(by).agg(checks.exact_mean("v"), F.avg("v")).first()
+    up, down = made("v"), made(F.desc("v"))
+    assert up[0] == down[0] and up[1] != down[1] and up[0] == pytest.approx(up[1])
+    odd = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    assert odd.agg(checks.exact_mean("v")).first()[0] != odd.filter("v = 1").agg(checks.exact_mean("v")).first()[0] == 1.0
+    assert odd.limit(0).agg(checks.exact_mean("v")).first()[0] is None
