@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.catalog import run_dir, stage
+
 
 def promotion_reasons(challenger: str, champion: str, baseline: str, source: str, columns: Sequence[str], ratio: float = 0.5, tolerance: float = 0.0) -> Column:
     """Array of reasons against promotion; empty means promote.
@@ -59,21 +62,34 @@ def constant_baseline(labels: DataFrame, validation: Column, label: str) -> Data
 
 
 class TextModel:
-    """Terms counted by the first pipeline, counts damped, and the second pipeline's prediction in ``_p``."""
+    """Terms counted by the first pipeline, counts damped, and the second pipeline's prediction in ``_p``. Rows with their counts are written once."""
 
     def __init__(self, terms, rest):
         self.terms, self.rest = terms, rest
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.rest.transform(damped(self.terms.transform(df)))
+        return self.rest.transform(damped(self.terms.transform(df).drop(*_WORDS)))
+
+
+#: Columns of words on the way to counts.
+_WORDS = ("_w", "_b", "_t")
 
 
 def damped(df: DataFrame) -> DataFrame:
-    """``_c`` with 1 + ln(count) in place of each count; one call a text, on its whole vector."""
-    import numpy as np
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    """``df``, written, with 1 + ln(count) in place of each count in the sparse vectors ``_c``; read back, so that texts are split once."""
+    own = df.withColumn("_c", F.unwrap_udt("_c"))
+    logs = F.transform(F.col("_c.values"), lambda n: 1 + F.log(n))
+    made = own.withColumn("_c", F.struct(F.col("_c.type").alias("type"), F.col("_c.size").alias("size"), F.col("_c.indices").alias("indices"), logs.alias("values")))
+    return stage(made, "damped", schema=df.schema)
+
+
+def _fitted(pipeline, df: DataFrame):
+    """The fitted stages as they are read back from the shared folder: numbers, without summaries and tables of the training."""
+    from pyspark.ml import PipelineModel
 
-    return df.withColumn("_c", F.udf(lambda v: SparseVector(v.size, v.indices, 1 + np.log(v.values)), VectorUDT())("_c"))
+    path = f"{run_dir(df.sparkSession)}/model-{uuid.uuid4().hex}"
+    pipeline.fit(df).save(path)
+    return PipelineModel.load(path)
 
 
 def text_baseline(train: DataFrame, text: str, label: str) -> tuple[TextModel, str | None]:
@@ -101,4 +117,5 @@ def text_baseline(train: DataFrame, text: str, label: str) -> tuple[TextModel, s
     ]
     terms = Pipeline(stages=counted).fit(known)
     majority = known.groupBy(label).count().orderBy(F.desc("count"), label).first()
-    return TextModel(terms, Pipeline(stages=rest).fit(damped(terms.transform(known)))), majority[0] if majority else None
+    counts = damped(terms.transform(known).select(label, "_c"))
+    return TextModel(terms, _fitted(Pipeline(stages=rest), counts)), majority[0] if majority else None

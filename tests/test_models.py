@@ -41,6 +41,19 @@ def test_damped_counts_weigh_their_logarithm(spark):
     assert majority == "1" and all(r[0] == r[1] for r in out)
 
 
+def test_texts_are_split_once_and_models_keep_no_training_state(spark, monkeypatch):
+    from lodestone.operators import gates
+
+    rows = [(i, f"good fine words number {i % 7}" if i % 2 else f"bad poor terms number {i % 5}", str(i % 2)) for i in range(60)]
+    train = spark.createDataFrame(rows, "i int, t string, y string")
+    model, _ = gates.text_baseline(train, "t", "y")
+    assert not model.rest.stages[-1].hasSummary
+    monkeypatch.setattr(F, "udf", None)
+    out = model.transform(train)
+    assert "PythonUDF" not in out._jdf.queryExecution().toString() and "_t" not in out.columns
+    assert {r.i for r in out.filter("_p = _y").collect()} == set(range(60))
+
+
 def test_scoring_twice_appends_nothing(spark, tmp_path):
     df = spark.createDataFrame([(i, float(i), 2.0 * i) for i in range(60)], "id int, x double, y double")
     model = boost(df, ["x"], "y", [3], trees=3, least=5)[0]
