@@ -1,23 +1,29 @@
-"""Exact byte-pair encoding by dynamic programming over prefixes, and decoding."""
+"""Exact byte-pair encoding, by merge rounds over all new words of a batch and by prefixes in long ones, and decoding."""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.arrow import map_batches, texts
+from lodestone.llm.merges import Merges
 
 #: Fixed values of the vocabulary's file format: the word pattern's classes and Unicode's white space.
 SPACES = "\t-\r \x85\xa0  -     　"
 WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
+#: Most stretches: one word of plain letters, perhaps with marks behind it, as the pattern would cut it.
+PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([,.:;!?]*)")
 SPLIT = regex.compile(f"[{SPACES}]+")
 #: White space for Python's split() but not for the pattern.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -32,12 +38,18 @@ def byte_chars() -> list[str]:
 
 #: Characters of the longest word or stretch that is kept for its next occurrence.
 LONGEST_KEPT = 120
+#: Stretches that wait to be encoded together.
+WAITING = 1 << 18
+COUNT, IDS, SHOWN = (itemgetter(k) for k in range(3))
 
 
 class WordBPE:
     """A vocabulary of words with an end mark.
 
-    A word is a string of symbols, one for each byte, of which the last is marked as the word's end.
+    A word is a string of symbols, one for each byte, of which the last is marked as the word's end. The words of
+    all stretches of a batch that aren't known yet are merged together (:class:`Merges`).
+
+    In a long stretch, where rounds could be many, a word is encoded by its prefixes.
     For every prefix of it exactly one token can come last in the prefix's encoding: a token that ends
     there, that merging really forms, and that is compatible with the last token of the prefix before
     it. An automaton gives all tokens ending at each place, and back-pointers give the ids.
@@ -76,6 +88,13 @@ class WordBPE:
         self.automaton.make_automaton()
         self.symbols = {i: s for s, (i, _) in self.automaton.items()}
         self.single = {s: i for i, s in self.symbols.items() if len(s) == 1}
+        self.merges = Merges((left << 32 | right, r, self.formed[left, right]) for (left, right), r in self.rank.items())
+        self.plain_ids, self.final_ids = (np.array([self.single[c] for c in x], np.int32) for x in (self.plain, self.final))
+        # What ids are shown as, each with a space behind it.
+        shown = [f"{self.names.get(i, '')} ".encode() for i in range(max(self.names) + 1)]
+        self.shown_size = np.array([len(x) for x in shown])
+        self.shown_at = np.cumsum(self.shown_size) - self.shown_size
+        self.shown_data = np.frombuffer(b"".join(shown), np.uint8)
         self.limit = cache
         self.sound: dict[int, bool] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -84,6 +103,7 @@ class WordBPE:
         self.old_words: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple[int, bytes, bytes]] = {}
         self.old_chunks: dict[str, tuple[int, bytes, bytes]] = {}
+        self.long: Iterable[str] = ()
 
     def merged(self, ids: list[int]) -> list[int]:
         """Plain merging, lowest rank first and leftmost among equals; for single tokens and tests."""
@@ -158,31 +178,64 @@ class WordBPE:
         ids.reverse()
         return ids
 
-    def _chunk(self, chunk: str) -> tuple[int, bytes, bytes]:
-        if len(chunk) > LONGEST_KEPT:
-            return self._encode_chunk(chunk)
-        if len(self.chunks) >= self.limit * 8 // 5:
-            self.chunks, self.old_chunks = {}, self.chunks
-        out = self.old_chunks.get(chunk)
-        if out is None:
-            out = self._encode_chunk(chunk)
-        self.chunks[chunk] = out
-        return out
-
     def _encode_chunk(self, chunk: str) -> tuple[int, bytes, bytes]:
         ids = [i for word in WORDS.findall(chunk) for i in self.encode_word(word)]
         return len(ids), _little_endian(ids), self.decode(ids).encode("utf-8")
 
-    def _pieces(self, text: str) -> Iterable[tuple[int, bytes, bytes]]:
-        """For each stretch without white space: number of ids, ids as bytes, their text."""
+    def encode_chunks(self, chunks: list[str]) -> list[tuple[int, bytes, bytes]]:
+        """(number of ids, ids as little-endian 32-bit integers, their text in UTF-8) of each stretch."""
+        words, many = [], []
+        for chunk in chunks:
+            m = PLAIN.fullmatch(chunk)
+            found = WORDS.findall(chunk) if m is None else m.groups() if m[2] else (chunk,)
+            words += found
+            many.append(len(found))
+        raws = [w.encode("utf-8", "surrogatepass") for w in words]
+        size = np.array([len(r) for r in raws])
+        data, ends = np.frombuffer(b"".join(raws), np.uint8), np.cumsum(size) - 1
+        symbol = self.plain_ids[data]
+        symbol[ends] = self.final_ids[data[ends]]
+        symbol, word, _ = self.merges.merged(symbol, np.repeat(np.arange(len(words), dtype=np.int32), size))
+        shown = self.shown_size[symbol]
+        places = np.arange(shown.sum()) + np.repeat(self.shown_at[symbol] - np.cumsum(shown) + shown, shown)
+        ids, text = symbol.astype("<u4").tobytes(), self.shown_data[places].tobytes()
+        bounds = np.searchsorted(word, np.concatenate(([0], np.cumsum(many))))
+        text_bounds = np.concatenate(([0], np.cumsum(shown)))[bounds].tolist()
+        bounds = bounds.tolist()
+        return [(b - a, ids[4 * a : 4 * b], text[c : d - 1]) for a, b, c, d in zip(bounds, bounds[1:], text_bounds, text_bounds[1:])]
+
+    def learn(self, lists: Iterable[list[str]]) -> None:
+        """Put all stretches of the lists into ``chunks``."""
+        missing = set().union(*lists).difference(self.chunks)
+        if self.old_chunks:
+            known = {c: self.old_chunks[c] for c in missing.intersection(self.old_chunks)}
+            self.chunks.update(known)
+            missing.difference_update(known)
+        new = [c for c in missing if len(c) <= LONGEST_KEPT]
+        if new:
+            self.chunks.update(zip(new, self.encode_chunks(new)))
+        self.long = missing.difference(new) if len(new) < len(missing) else ()
+        for c in self.long:
+            self.chunks[c] = self._encode_chunk(c)
+
+    def forget(self) -> None:
+        """Let go of long stretches, and start a new generation if there are many."""
+        for c in self.long:
+            self.chunks.pop(c, None)
+        if len(self.chunks) > self.limit * 2:
+            self.chunks, self.old_chunks = {}, self.chunks if len(self.chunks) <= self.limit * 4 else {}
+
+    def _stretches(self, text: str) -> Iterator[list[str] | int]:
+        """The text's stretches without white space, in lists of at most WAITING, and the ids of its special tokens."""
         for raw, special in self._sections(text):
             if special is not None:
-                yield 1, _little_endian([special]), self.names[special].encode("utf-8")
+                yield special
                 continue
             clean = unicodedata.normalize("NFC", raw).replace("Σ", "σ").lower()
             odd = any(c in clean for c in SEPARATORS)
-            for chunk in SPLIT.split(clean) if odd else clean.split():
-                yield self.chunks.get(chunk) or self._chunk(chunk)
+            chunks = [c for c in SPLIT.split(clean) if c] if odd else clean.split()
+            for at in range(0, len(chunks), WAITING):
+                yield chunks[at : at + WAITING]
 
     def _sections(self, text: str) -> Iterable[tuple[str, int | None]]:
         at = 0
@@ -192,10 +245,38 @@ class WordBPE:
             at = m.end()
         yield text[at:], None
 
+    def encode_batch(self, batch: Iterable[str]) -> Iterator[tuple[int, bytes, bytes]]:
+        """For each text: number of ids, the ids as little-endian unsigned 32-bit integers, the decoded text in UTF-8."""
+        made: list[list[tuple[int, bytes, bytes]]] = []
+        waiting: list[tuple[int, list[str]]] = []
+        chunks = 0
+
+        def settle():
+            self.learn([x for _, x in waiting])
+            for k, x in waiting:
+                made[k] += map(self.chunks.__getitem__, x)
+            waiting.clear()
+            self.forget()
+
+        for text in batch:
+            made.append([])
+            for x in self._stretches(text):
+                if isinstance(x, int):
+                    settle()
+                    chunks = 0
+                    made[-1].append((1, _little_endian([x]), self.names[x].encode("utf-8")))
+                    continue
+                waiting.append((len(made) - 1, x))
+                chunks += len(x)
+                if chunks >= WAITING:
+                    settle()
+                    chunks = 0
+        settle()
+        for pieces in made:
+            yield sum(map(COUNT, pieces)), b"".join(map(IDS, pieces)), b" ".join(map(SHOWN, pieces))
+
     def encode_bytes(self, text: str) -> tuple[int, bytes, bytes]:
-        """Number of ids, the ids as little-endian unsigned 32-bit integers, the decoded text in UTF-8."""
-        pieces = [p for p in self._pieces(text) if p[0]]
-        return sum([p[0] for p in pieces]), b"".join([p[1] for p in pieces]), b" ".join([p[2] for p in pieces])
+        return next(self.encode_batch([text]))
 
     def encode(self, text: str) -> list[int]:
         return array("I", self.encode_bytes(text)[1]).tolist()
@@ -235,8 +316,8 @@ def bpe_frame(
 ) -> DataFrame:
     """Encode every whole text and decode the ids: the id column and the chosen ``outputs``.
 
-    No shuffle: each Arrow batch is encoded where it lies. ``path`` is the vocabulary's file, which each
-    worker reads by itself. Caches of words and pairs are bounded, as long stretches aren't kept, and only save time.
+    No shuffle: each Arrow batch is encoded where it lies, all its new stretches together. ``path`` is the vocabulary's file, which
+    each worker reads by itself. Caches of stretches, words and pairs are bounded, as long ones aren't kept, and only save time.
 
     Defined cases: a null text is the empty text, which has no ids and decodes to the empty text; ids may
     be null and rows may repeat; an empty table gives no rows; further columns are dropped.
@@ -246,8 +327,7 @@ def bpe_frame(
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = tokenizer(path)
         columns: list[list] = [[] for _ in kinds]
-        for text in texts(batch.column(1)):
-            made = bpe.encode_bytes(text)
+        for made in bpe.encode_batch(texts(batch.column(1))):
             for column, (_, value) in zip(columns, kinds):
                 column.append(value(*made))
         arrays = [pa.array(c, ARROW_TYPES[t]) for c, (t, _) in zip(columns, kinds)]

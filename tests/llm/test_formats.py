@@ -69,6 +69,19 @@ def test_bpe_merging_agrees_with_prefix_programming():
         assert own.encode_word(word) == own.merged(symbols)
 
 
+def test_bpe_encodes_the_new_stretches_of_a_batch_together(library, monkeypatch):
+    rng = random.Random(6)
+    made = [" ".join("".join(rng.choice("aeiourstlnß',.é1") for _ in range(rng.randint(1, 12))) for _ in range(30)) for _ in range(200)]
+    made += ["<|endoftext|>a b<|endoftext|>", "", "long" * 400 + " it's", "a " * 9, *made[:20]]
+    own, calls = bpe.WordBPE(queries.vocabulary(), cache=100), []
+    together = own.encode_chunks
+    monkeypatch.setattr(own, "encode_chunks", lambda chunks: calls.append(len(chunks)) or together(chunks))
+    monkeypatch.setattr(bpe, "WAITING", 2000)
+    got = [np.frombuffer(ids, "<u4").tolist() for _, ids, _ in own.encode_batch(made)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in made]
+    assert len(calls) < 8 and sum(calls) > 4000
+
+
 def test_bpe_frame_cases(spark):
     out = {r.doc_id: (r.n_tokens, r.decoded) for r in bpe.bpe_frame(frame(spark, ODD), queries.vocabulary()).collect()}
     assert out[3] == out[4] == (0, "") and out[5] == (1, "c</w>") and out[None] == out[1] == (2, "a</w> b</w>")
