@@ -5,8 +5,9 @@ of NUM/DEN or more if o >= NUM*(n+m)/(NUM+DEN).
 
 A large set is joined in parts: its keys are dealt by hash into so many classes that a class has less than PART keys on
 average. If the whole sets are similar, so are the parts of at least one class, for otherwise all common keys would be too
-few for all keys. So each filter works on small sets, where it tells strangers from near copies: a word of 64 parities
-says nothing about sets of hundreds of keys, which differ in half of the parities by chance alone.
+few for all keys. So each filter works on small sets, where it tells strangers from near copies: 128 parities
+say nothing about sets of many hundreds of keys, which differ in half of the parities by chance alone. Sets are cut no sooner than
+that: one of four small parts is often similar where the whole sets aren't, so that most pairs of a large group of near copies would pass.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from lodestone.llm import bloom
 #: Similarity as a fraction: Jaccard of at least 4/5.
 NUM, DEN = 4, 5
 #: Sets of at least this many keys are dealt into 4, 16, 64, ... classes, so that parts have fewer keys on average.
-PART, FAN_BITS, MOST_LEVELS = 80, 2, 12
+PART, FAN_BITS, MOST_LEVELS = 160, 2, 12
 #: Counters of the key-frequency sketch.
 COUNTERS = 1 << 16
 #: A key, of 63 bits: frequency class above, hash below. The hash's lowest bits choose the part, or else the parity.
@@ -40,15 +41,18 @@ MOST_BROADCAST = 1 << 20
 
 SIMILAR_SIZES = f"{DEN} * least(a.n, b.n) >= {NUM} * greatest(a.n, b.n)"
 #: Keys in one set only show up in the parities' difference, each at most once.
-SIMILAR_PARITY = f"{NUM + DEN} * bit_count(a.parity ^ b.parity) <= {DEN - NUM} * (a.n + b.n)"
+#: ``odd`` has those of the keys whose hash has the next bit, ``parity`` those of all.
+PARITIES = "(bit_count(a.odd ^ b.odd) + bit_count(a.parity ^ a.odd ^ b.parity ^ b.odd))"
+SIMILAR_PARITY = f"{NUM + DEN} * {PARITIES} <= {DEN - NUM} * (a.n + b.n)"
 
-_N, _AT, _ERA = "({0}.info & 65535)", "(shiftright({0}.info, 16) & 65535)", "shiftright({0}.info, 32)"
+_N, _AT, _ERA = "({0}.info & 65535)", "(shiftright({0}.info, 16) & 32767)", "shiftright({0}.info, 32)"
 _SIDES = [(x.format("a"), x.format("b")) for x in (_N, _AT, _ERA)]
-#: The filters on two entries of one key. What the key's places leave possible if it is the first common one comes after the sizes.
+#: The filters on two entries of one key. What the key's places leave possible if it is the first common one comes after the sizes. Sets that
+#: both enter by the next class count meet by their own.
 CANDIDATE = (
     "{DEN} * least({0}, {1}) >= {NUM} * greatest({0}, {1}) AND {5} <= {4} AND {BOTH} * least({0} - {2}, {1} - {3}) >= {NUM} * ({0} + {1})"
-    " AND {BOTH} * bit_count(a.parity ^ b.parity) <= {LOST} * ({0} + {1})"
-).format(*_SIDES[0], *_SIDES[1], *_SIDES[2], NUM=NUM, DEN=DEN, BOTH=NUM + DEN, LOST=DEN - NUM)
+    " AND {BOTH} * {PARITIES} <= {LOST} * ({0} + {1}) AND (a.info & b.info & 2147483648) = 0"
+).format(*_SIDES[0], *_SIDES[1], *_SIDES[2], NUM=NUM, DEN=DEN, BOTH=NUM + DEN, LOST=DEN - NUM, PARITIES=PARITIES)
 
 
 def counter(h: Column) -> Column:
@@ -132,7 +136,7 @@ def _cut(marked: Column, bits: Column) -> Column:
 
 
 def dealt(sets: DataFrame) -> DataFrame:
-    """The parts of the sets (id, doc, line_no, keys, leads): for each the set's size ``total``, its own size, parity and prefix, and with
+    """The parts of the sets (id, doc, line_no, keys, leads): for each the set's size ``total``, its own size, parities and prefix, and with
     a set's first part its ``leads``.
 
     A set that is little smaller than the next class count begins at enters by that count too, to meet larger sets.
@@ -152,10 +156,13 @@ def dealt(sets: DataFrame) -> DataFrame:
     part = marked.select("id", "doc", "line_no", "leads", "total", "bits", "own", F.posexplode(cut).alias("part", "keys")).filter("size(keys) > 0")
     bit = lambda k: _shiftleft(F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
+    next_bit = lambda k: F.call_function("shiftright", k, F.lit(6)).bitwiseAND(F.lit(1))
+    odd = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_shiftleft(next_bit(k), k.bitwiseAND(F.lit(63)).cast("int"))))
     leads = F.when(F.col("own") & (F.col("part") == 0), F.col("leads")).otherwise(F.array().cast("array<bigint>"))
     length = n - F.ceil(n * NUM / DEN).cast("int") + 1
     classes = _shiftleft(F.lit(1), F.col("bits")).alias("classes")
-    return part.select("id", "doc", "line_no", "total", classes, n.alias("n"), parity.alias("parity"), F.slice("keys", F.lit(1), length).alias("prefix"), leads.alias("leads"))
+    words = parity.alias("parity"), odd.alias("odd")
+    return part.select("id", "doc", "line_no", "total", classes, n.alias("n"), *words, F.slice("keys", F.lit(1), length).alias("prefix"), leads.alias("leads"))
 
 
 def _index_length(n: Column) -> Column:
@@ -164,16 +171,18 @@ def _index_length(n: Column) -> Column:
 
 
 def _entries(parts: DataFrame, index: bool = False) -> DataFrame:
-    """The prefix entries (token, id, info, parity); tokens are cut to 32 bits, which can only add candidates.
+    """The prefix entries (token, id, info, parity, odd); tokens are cut to 32 bits, which can only add candidates.
 
-    ``info`` is the part's size, the key's place from 0 and the set's era in 16, 16 and 31 bits. With ``index``, only entries that
-    meet sets which aren't smaller, in era 0.
+    ``info`` is the part's size, the key's place from 0, whether the set enters by the next class count, and its era in 16, 15, 1 and
+    31 bits. With ``index``, only entries that meet sets which aren't smaller, in era 0.
     """
     short = F.slice("prefix", F.lit(1), _index_length(F.col("n")))
-    each = parts.select("id", "n", "classes", "era", "parity", F.posexplode(short if index else F.col("prefix")).alias("at", "key"))
-    sizes = _shiftleft(F.col("at").cast("long"), F.lit(16)).bitwiseOR(F.col("n").cast("long"))
+    own = (F.col("classes") == 1) | (F.col("total") >= PART * F.shiftright("classes", FAN_BITS))
+    sizes = F.col("n").cast("long").bitwiseOR(F.when(own, F.lit(0)).otherwise(F.lit(1 << 31)).cast("long")).alias("sizes")
+    each = parts.select("id", sizes, "classes", "era", "parity", "odd", F.posexplode(short if index else F.col("prefix")).alias("at", "key"))
+    sizes = _shiftleft(F.col("at").cast("long"), F.lit(16)).bitwiseOR(F.col("sizes"))
     info = sizes if index else _shiftleft(F.col("era"), F.lit(32)).bitwiseOR(sizes)
-    return each.select(F.hash("key", "classes").alias("token"), "id", info.alias("info"), "parity")
+    return each.select(F.hash("key", "classes").alias("token"), "id", info.alias("info"), "parity", "odd")
 
 
 def _eras(parts: DataFrame) -> Column:
@@ -198,11 +207,12 @@ def _led(parts: DataFrame) -> DataFrame:
     order = _shiftleft(_eras(parts), F.lit(32)).bitwiseOR(F.xxhash64("id").bitwiseAND(F.lit((1 << 32) - 1)))
     heads = parts.filter(F.size("leads") > 0).withColumn("ord", order)
     # A set's first part stands for it here: near copies are mostly near in each part.
-    banded = heads.select("leads", bands, "classes", "id", "ord", "n", "parity")
-    each = banded.select(F.explode("leads").alias("key"), "band", "classes", "id", "ord", "n", "parity").select(F.xxhash64("key", "band", "classes").alias("lead"), "id", "ord", "n", "parity")
+    banded = heads.select("leads", bands, "classes", "id", "ord", "n", "parity", "odd")
+    each = banded.select(F.explode("leads").alias("key"), "band", "classes", "id", "ord", "n", "parity", "odd")
+    each = each.select(F.xxhash64("key", "band", "classes").alias("lead"), "id", "ord", "n", "parity", "odd")
     bits = bloom.bits_for(2 * LEADING * parts.count())
     again = bloom.test(each, "lead", bloom.repeated(each, "lead", bits), bits, places=1).filter("maybe").drop("maybe")
-    first = again.groupBy("lead").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity")), F.count(F.lit(1)).alias("members"))
+    first = again.groupBy("lead").agg(*(F.min_by(c, "ord").alias(c) for c in ("id", "n", "parity", "odd")), F.count(F.lit(1)).alias("members"))
     met = again.alias("a").join(first.filter("members > 1").alias("b"), "lead")
     return met.filter(f"a.id <> b.id AND {SIMILAR_SIZES} AND {SIMILAR_PARITY}").select("a.id", F.col("b.id").alias("other")).distinct()
 
@@ -251,7 +261,7 @@ def _marked(parts: DataFrame, settled: DataFrame) -> DataFrame:
     now = settled.select("id", F.lit(True).alias("settled"))
     now = F.broadcast(now) if settled.count() <= MOST_BROADCAST else now
     both = parts.withColumnsRenamed({"settled": "_before"}).withColumn("era", era).join(now, "id", "left")
-    return both.select("id", "era", "classes", "n", "parity", "prefix", F.coalesce("settled", known).alias("settled"))
+    return both.select("id", "era", "total", "classes", "n", "parity", "odd", "prefix", F.coalesce("settled", known).alias("settled"))
 
 
 def named_filter(pairs: DataFrame) -> tuple[DataFrame, int]:

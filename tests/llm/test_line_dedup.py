@@ -117,3 +117,20 @@ def test_parts_of_a_smaller_set_may_be_the_larger_ones(spark):
     want = brute(docs)
     got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == want and sum(t == "" for t in want.values()) >= 100
+
+
+def test_parts_meet_where_sets_are_dealt_into_classes(spark):
+    """159 and 160 keys, 142 in common, similar in one class only: the smaller set enters by both class counts, the larger one in parts."""
+    rng = random.Random(8)
+    from pyspark.sql import functions as F
+
+    from lodestone.llm import set_join
+
+    assert set_join.class_count(159) == 1 < set_join.class_count(160) == 4
+    words = spark.range(60_000).select(F.concat(F.lit("w"), "id").alias("w")).select("w", F.xxhash64("w").bitwiseAND(F.lit(3)).alias("c")).collect()
+    pools = [[r.w for r in words if r.c == c] for c in range(4)]
+    lines = [" ".join(s) for pair in border_pairs(pools, rng, [[(52, 8, 0), (30, 3, 6), (30, 3, 6), (30, 3, 6)]] * 40) for s in pair]
+    docs = list(enumerate(lines))
+    want = brute(docs)
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == want and sum(t == "" for t in want.values()) == 40

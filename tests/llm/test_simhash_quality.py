@@ -105,6 +105,28 @@ def test_parts_of_sets_across_a_class_border_meet():
         assert met
 
 
+def test_parities_tell_far_copies_of_a_large_group():
+    """Sets around one text, most at a Jaccard of about 0.7 of each other: few of those pairs pass, and similar ones all do."""
+    rng, classes = np.random.default_rng(3), np.ones(1 << 16, np.uint8)
+    wide = lambda x: (x >> 64).bit_count() + ((x >> 64) ^ (x & (1 << 64) - 1)).bit_count()
+    for size, changed in ((70, 12), (100, 17)):
+        base = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        made = []
+        for k in [changed] * 80 + [changed // 5] * 30:
+            keys = base.copy()
+            keys[rng.permutation(size)[:k]] = rng.integers(0, 1 << 63, k).astype(np.uint64)
+            made.append((set(keys.tolist()), list(simhash.dealt(np.sort(keys), classes))))
+        passed = {True: [], False: []}
+        for i, (a, parts) in enumerate(made):
+            for b, others in made[:i]:
+                similar = 9 * len(a & b) >= 4 * (len(a) + len(b))
+                # Parts come in order of class, and none is empty here.
+                by_class = [(p, q) for p, q in zip(parts, others) if p[1] == q[1]]
+                passed[similar].append(any(9 * wide(p[3] ^ q[3]) <= p[2] + q[2] for p, q in by_class))
+        assert all(passed[True]) and len(passed[True]) > 400
+        assert np.mean(passed[False]) < 0.15, (size, np.mean(passed[False]))
+
+
 def test_links_of_dense_and_far_fingerprints(spark):
     rng = np.random.default_rng(0)
     made = set()
