@@ -11,18 +11,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from lodestone.catalog import shared_dir, stage
-from lodestone.operators.drift import unpivot
-from lodestone.operators.quantiles import exact_quantiles
+from lodestone.catalog import discard, shared_dir, stage
 
+#: Blocks of cells: bins, numbers of rows and sums of labels as arrays, and sums over the block.
+BLOCK = ["x binary", "n binary", "y binary", "cells long", "fit long", "fit_n long", "all_n long", "fit_y long", "all_y long", "spread double"]
 #: Bins of a feature's values; one more is for missing ones.
 BINS = 255
 #: Partitions whose sums the driver adds up itself; sums of more are added up by tasks first.
 FEW_PARTS = 64
-#: Tables of at most so many rows are one block to a task, and each forest is a task: there is nothing to sum up between tasks.
-ONE_TASK = 1 << 16
-#: Rows of a block, rows that are worked on at a time, and rounds after which the chain of residuals is cut by a checkpoint.
+#: Tables of at most so many cells (see :func:`_cells`) are grown by one task a forest: there is nothing to sum up between tasks.
+ONE_TASK = 1 << 20
+#: Cells of a block, rows that are worked on at a time, and rounds after which the chain of residuals is cut by a checkpoint.
 ROWS, CHUNK, CUT_AFTER = 1 << 16, 1 << 15, 25
 
 
@@ -178,8 +179,8 @@ def best_split(node: Node, ridge: float, least: int) -> tuple | None:
     return best
 
 
-def histograms(binned: np.ndarray, residual: np.ndarray, node: np.ndarray, wanted: Sequence[int]) -> np.ndarray:
-    """For each wanted node and feature the (sum of residuals, rows) in each bin."""
+def histograms(binned: np.ndarray, residual: np.ndarray, node: np.ndarray, wanted: Sequence[int], times: np.ndarray | None = None) -> np.ndarray:
+    """For each wanted node and feature the (sum of residuals, rows) in each bin. ``times``: the rows that each one stands for, if not one."""
     place = np.full(max(node.max(initial=0), max(wanted)) + 1, -1)
     place[list(wanted)] = np.arange(len(wanted)) * (BINS + 1)
     size, out = len(wanted) * (BINS + 1), np.zeros((binned.shape[1], 2, len(wanted) * (BINS + 1)))
@@ -188,10 +189,12 @@ def histograms(binned: np.ndarray, residual: np.ndarray, node: np.ndarray, wante
         rows = np.flatnonzero(base >= 0)
         some = len(rows) < len(base)
         base, r = (base[rows], r[rows]) if some else (base, r)
+        n = None if times is None else times[at : at + CHUNK].astype(float)
+        n = n[rows] if some and n is not None else n
         for f in range(binned.shape[1]):
             key = base + (part[:, f][rows] if some else part[:, f])
             out[f, 0] += np.bincount(key, r, size)
-            out[f, 1] += np.bincount(key, minlength=size)
+            out[f, 1] += np.bincount(key, n, size)
     return np.ascontiguousarray(out.reshape(binned.shape[1], 2, len(wanted), BINS + 1).transpose(2, 0, 3, 1))
 
 
@@ -230,65 +233,157 @@ def cut(columns: Sequence[pa.Array], edges: Sequence[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _in_order(values: np.ndarray) -> np.ndarray:
+    """Doubles as integers of the same order, and such integers' bits as those of the doubles."""
+    bits = values.view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(2**63 - 1))
+
+
+def _counted(df: DataFrame, columns: Sequence[str], shift: int, within: list[np.ndarray] | None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each column its finite values' leading bits, all but ``shift`` of 64, and how often each occurs; only ``within`` leading bits of 8 fewer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [[] for _ in columns]
+
+        def summed(k: int) -> tuple[np.ndarray, np.ndarray]:
+            parts, place = np.unique(np.concatenate([p for p, _ in got[k]]), return_inverse=True)
+            return parts, np.bincount(place, np.concatenate([n for _, n in got[k]]), len(parts)).astype(np.int64)
+
+        for batch in batches:
+            for k in range(len(columns)):
+                values = batch.column(k).to_numpy(zero_copy_only=False).astype(float)
+                parts = _in_order(values[np.isfinite(values)] + 0.0) >> shift
+                if within is not None:
+                    at = np.searchsorted(within[k][1:], parts >> 8, side="right")
+                    parts = parts[within[k][at] == parts >> 8] if len(within[k]) else parts[:0]
+                got[k].append(np.unique(parts, return_counts=True))
+                if sum(len(p) for p, _ in got[k]) > 1 << 18:
+                    got[k] = [summed(k)]
+        for k in range(len(columns)):
+            if got[k]:
+                parts, n = summed(k)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), k, np.int32)), pa.array(parts), pa.array(n)], names=["feature", "part", "n"])
+
+    found = df.select(*columns).mapInArrow(run, "feature int, part long, n long").groupBy("feature", "part").agg(F.sum("n").alias("n")).toArrow()
+    feature, part, n = (found.column(k).to_numpy() for k in range(3))
+    order = np.lexsort((part, feature))
+    feature, part, n = feature[order], part[order], n[order]
+    return [(part[feature == k], n[feature == k]) for k in range(len(columns))]
+
+
 def bin_edges(df: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
-    """The inner borders of up to 255 bins of each feature, at its exact quantiles."""
-    tall = unpivot(df, features).filter("value = value AND abs(value) < double('Infinity')")
-    found = {r.feature: r.edges for r in exact_quantiles(tall, "value", [i / BINS for i in range(1, BINS)], ["feature"], "edges").collect()}
-    return [np.unique(np.array(found.get(f, []), float)) for f in features]
+    """The inner borders of up to 255 bins of each feature, at its exact quantiles by linear interpolation.
+
+    Values aren't moved: passes count them by their leading 16, 24, ... 64 bits, from the second pass on only where a wanted rank lies. The
+    driver gets at most 256 counts for each of a feature's 508 ranks at a time.
+    """
+    points = np.array([i / BINS for i in range(1, BINS)])
+    columns = [F.col(f).cast("double").alias(f"_lodestone_{k}") for k, f in enumerate(features)]
+    df, names = df.select(*columns), [f"_lodestone_{k}" for k in range(len(features))]
+    found, ranks, left, within = [], [], [], None
+    for shift in range(48, -1, -8):
+        counts = _counted(df, names, shift, within)
+        if within is None:
+            ranks = [(n.sum() - 1) * points if len(n) else points[:0] for _, n in counts]
+            left = [np.concatenate([np.floor(r), np.ceil(r)]).astype(np.int64) for r in ranks]
+            found = [np.zeros(len(x), np.int64) for x in left]
+        for k, (parts, n) in enumerate(counts):
+            if len(parts):
+                upto = np.cumsum(n)
+                if within is not None:
+                    left[k] = left[k] + (upto - n)[np.searchsorted(parts >> 8, found[k])]
+                at = np.searchsorted(upto, left[k], side="right")
+                found[k], left[k] = parts[at], left[k] - (upto - n)[at]
+        within = [np.unique(f) for f in found]
+    out = []
+    for rank, bits in zip(ranks, found):
+        low, high = np.split(_in_order(bits).view(float), 2)
+        out.append(np.unique(np.where(np.floor(rank) == np.ceil(rank), low, (np.ceil(rank) - rank) * low + (rank - np.floor(rank)) * high)))
+    return out
 
 
-def _blocks(df: DataFrame, features: Sequence[str], edges: list[np.ndarray], label: str, held: Column):
-    """An RDD of (bins, labels, rows that aren't held out, which come first), some 2^16 rows each, dealt evenly to all cores. A column's bins are together."""
+def _cells(rows: DataFrame, edges: list[np.ndarray], low: float, scale: float) -> DataFrame:
+    """(x, held, n, y, spread): rows of equal bins that are all held out or all not, as one cell with their number and the sum of their labels.
+
+    Trees can't tell such rows apart, and their residuals' sum is the labels' sum less n predictions. y is in steps of 1/scale above ``low``, so that
+    sums are exact; spread is the sum of squares around the cell's mean, which no tree changes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = cut(batch.columns[: len(edges)], edges)
+            labels = batch.column(len(edges)).to_numpy(zero_copy_only=False).astype(float) - low
+            starts = np.arange(len(bins) + 1, dtype=np.int32) * len(edges)
+            x = pa.Array.from_buffers(pa.binary(), len(bins), [None, pa.py_buffer(starts), pa.py_buffer(bins.tobytes())])
+            columns = [x, batch.column(len(edges) + 1), pa.array(np.rint(labels * scale).astype(np.int64)), pa.array(labels)]
+            yield pa.RecordBatch.from_arrays(columns, names=["x", "held", "y", "label"])
+
+    made = rows.mapInArrow(run, "x binary, held boolean, y long, label double")
+    n = F.count(F.lit(1))
+    return made.groupBy("x", "held").agg(n.alias("n"), F.sum("y").alias("y"), (n * F.var_pop("label")).alias("spread"))
+
+
+def _blocks(cells: DataFrame, width: int) -> DataFrame:
+    """Blocks of some 2^16 cells, those that aren't held out first, a column's bins together; and what their cells sum up to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, rows = [], 0
+        got, size = [], 0
 
         def settle():
-            bins, labels, out = (np.concatenate([g[k] for g in got]) for k in range(3))
-            order = np.argsort(out, kind="stable")
-            columns = [pa.array([bins[order].tobytes("F")]), pa.array([labels[order].tobytes()]), pa.array([int((~out).sum())])]
-            return pa.RecordBatch.from_arrays(columns, names=["x", "y", "fit"])
+            bins, held, n, y, spread = (np.concatenate([g[k] for g in got]) for k in range(5))
+            order = np.argsort(held, kind="stable")
+            sums = [len(held), int((~held).sum()), int(n[~held].sum()), int(n.sum()), int(y[~held].sum()), int(y.sum()), float(spread[held].sum())]
+            packed = [bins[order].tobytes("F"), n[order].tobytes(), y[order].astype(float).tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([v]) for v in packed + sums], names=[c.split()[0] for c in BLOCK])
 
         for batch in batches:
-            labels, out = (batch.column(len(edges) + k).to_numpy(zero_copy_only=False) for k in range(2))
-            got.append((cut(batch.columns[: len(edges)], edges), labels.astype(float), out.astype(bool)))
-            rows += batch.num_rows
-            if rows >= ROWS:
+            x = batch.column(0)
+            starts = np.frombuffer(x.buffers()[1], np.int32)[x.offset :]
+            bins = np.frombuffer(x.buffers()[2], np.uint8)[starts[0] : starts[0] + len(x) * width].reshape(-1, width)
+            got.append((bins.copy(), *(batch.column(k).to_numpy(zero_copy_only=False) for k in range(1, 5))))
+            size += len(x)
+            if size >= ROWS:
                 yield settle()
-                got, rows = [], 0
-        if rows:
+                got, size = [], 0
+        if size:
             yield settle()
 
-    inputs = [F.col(f).cast("double").alias(f"_lodestone_{k}") for k, f in enumerate(features)]
-    made = df.select(*inputs, F.col(label).cast("double").alias("_lodestone_y"), held.alias("_lodestone_held"))
-    rows = stage(made.mapInArrow(run, "x binary, y binary, fit long"), "blocks")
-    parts = max(1, min(rows.count(), df.sparkSession.sparkContext.defaultParallelism))
-    return rows.repartition(parts).rdd.map(lambda r: (np.frombuffer(r.x, np.uint8).reshape(len(edges), -1).T, np.frombuffer(r.y), r.fit))
+    return cells.mapInArrow(run, ", ".join(BLOCK))
 
 
 def _grow(df: DataFrame, features: Sequence[str], label: str, held: Column, models: list[tuple[int, bool]], trees: int, rate: float, ridge: float, least: int) -> tuple[list[Forest], list[float]]:
     """A forest for each (leaves, whether it learns from held-out rows too), and each one's RMSE on the held-out rows."""
     spark = df.sparkSession
-    y, out = F.col(label).cast("double"), F.coalesce(held, F.lit(False))
-    when = lambda keep: [F.count(F.when(keep, y)).alias("n"), F.sum(F.when(keep, y)).alias("s")]
-    about = df.agg(F.struct(*when(~out)).alias("fit"), F.struct(*when(F.lit(True))).alias("all"), F.min(y).alias("low"), F.max(y).alias("high"), F.count_if(y.isNull() | F.isnan(y)).alias("bad")).first()
-    if about.bad or any(not about["all" if whole else "fit"].n for _, whole in models):
-        raise ValueError(f"{about.bad} of {about['all'].n + about.bad} rows have no label, {about.fit.n} may be learned from")
-    bases = [about["all" if whole else "fit"] for _, whole in models]
-    bases = [b.s / b.n for b in bases]
-    edges = bin_edges(df, features)
-    scale = 2.0 ** np.floor(51 - np.log2(about["all"].n * ((about.high - about.low) or 1.0)))
+    inputs = [F.col(f).cast("double").alias(f"_lodestone_{k}") for k, f in enumerate(features)]
+    rows = stage(df.select(*inputs, F.col(label).cast("double").alias("_lodestone_y"), F.coalesce(held, F.lit(False)).alias("_lodestone_held")), "boosted")
+    y, out = F.col("_lodestone_y"), F.col("_lodestone_held")
+    about = rows.agg(F.count(F.when(~out, y)).alias("fit"), F.count(y).alias("all"), F.min(y).alias("low"), F.max(y).alias("high"), F.count_if(y.isNull() | F.isnan(y)).alias("bad")).first()
+    if about.bad or any(not about["all" if whole else "fit"] for _, whole in models):
+        raise ValueError(f"{about.bad} of {about['all'] + about.bad} rows have no label, {about.fit} may be learned from")
+    edges = bin_edges(rows, rows.columns[: len(features)])
+    scale = 2.0 ** np.floor(51 - np.log2(about["all"] * ((about.high - about.low) or 1.0)))
     value = lambda total, rows: rate * total / scale / (rows + ridge)
+    blocks = stage(_blocks(_cells(rows, edges, about.low, scale), len(features)), "blocks")
+    discard(rows)
+    sums = blocks.agg(F.count(F.lit(1)).alias("blocks"), *(F.sum(c).alias(c) for c in blocks.columns[3:])).first()
+    means = [sums["all_y" if whole else "fit_y"] / (scale * sums["all_n" if whole else "fit_n"]) for _, whole in models]
+    bases = [about.low + m for m in means]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
-    # Blocks: bins, how many rows to learn from, and each forest's residuals.
-    state = _blocks(df, features, edges, label, out).map(lambda b: (b[0], b[2], np.stack([b[1] - base for base in bases]))).persist()
+    parts = max(1, min(sums.blocks, spark.sparkContext.defaultParallelism))
+
+    def opened(r) -> tuple:
+        n, y = np.frombuffer(r.n, np.int64), np.frombuffer(r.y) / scale
+        residuals = np.stack([y - n * m for m in means])
+        return (np.frombuffer(r.x, np.uint8).reshape(len(edges), -1).T, r.fit, residuals, *([n] if (n > 1).any() else []))
+
+    # Blocks: bins, how many cells to learn from, each forest's residuals, and the cells' numbers of rows unless all are one.
+    state = blocks.select("x", "n", "y", "fit").repartition(parts).rdd.map(opened).persist(StorageLevel.MEMORY_AND_DISK)
     wholes, before, forests = [whole for _, whole in models], None, [[] for _ in models]
-    if about["all"].n <= ONE_TASK:
-        own = state.flatMap(lambda b: [(m, (b[0], b[1], r[None])) for m, r in enumerate(b[2])]).groupByKey(len(models))
+    if sums.cells <= ONE_TASK:
+        own = state.flatMap(lambda b: [(m, (b[0], b[1], r[None], *b[3:])) for m, r in enumerate(b[2])]).groupByKey(len(models))
         grown = dict(own.map(lambda x: (x[0], _alone(list(x[1]), models[x[0]], trees, scale, value, ridge, least))).collect())
         forests, squares = [grown[m][0] for m in range(len(models))], [grown[m][1] for m in range(len(models))]
-        rows = about["all"].n - about.fit.n
     else:
         for turn in range(trees):
 
@@ -304,12 +399,13 @@ def _grow(df: DataFrame, features: Sequence[str], label: str, held: Column, mode
             made = _trees([k for k, _ in models], summed, value, ridge, least)
             for forest, tree in zip(forests, made):
                 forest.append(tree)
-            before, state = state, state.map(lambda b, made=made: _left(b, made)).persist()
+            before, state = state, state.map(lambda b, made=made: _left(b, made)).persist(StorageLevel.MEMORY_AND_DISK)
             if turn % CUT_AFTER == CUT_AFTER - 1:
                 state.checkpoint()
-        rows, squares = state.map(_held_out).reduce(lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        squares = state.map(_held_out).reduce(lambda a, b: a + b)
     state.unpersist()
-    errors = [float(np.sqrt(x / rows)) if rows else float("nan") for x in squares]
+    judged = about["all"] - about.fit
+    errors = [float(np.sqrt((x + sums.spread) / judged)) if judged else float("nan") for x in squares]
     return [Forest(features, edges, base, f, k) for base, f, (k, _) in zip(bases, forests, models)], errors
 
 
@@ -329,11 +425,14 @@ def _trees(leaves: Sequence[int], summed, value, ridge: float, least: int) -> li
 
 def _left(block: tuple, trees: list[np.ndarray]) -> tuple:
     """The block with what the trees leave of its residuals."""
-    return block[0], block[1], np.stack([r - t[walked(t, block[0]), 5] for r, t in zip(block[2], trees)])
+    values = [t[walked(t, block[0]), 5] for t in trees]
+    return block[0], block[1], np.stack([r - v * block[3] if len(block) > 3 else r - v for r, v in zip(block[2], values)]), *block[3:]
 
 
-def _held_out(block: tuple) -> tuple:
-    return len(block[0]) - block[1], (block[2][:, block[1] :] ** 2).sum(axis=1)
+def _held_out(block: tuple) -> np.ndarray:
+    """Each forest's sum of squares of the held-out cells' mean residuals, times their rows."""
+    squares = block[2][:, block[1] :] ** 2
+    return (squares / block[3][block[1] :] if len(block) > 3 else squares).sum(axis=1)
 
 
 def _alone(blocks: list[tuple], model: tuple[int, bool], trees: int, scale: float, value, ridge: float, least: int) -> tuple[list[np.ndarray], float]:
@@ -347,7 +446,7 @@ def _alone(blocks: list[tuple], model: tuple[int, bool], trees: int, scale: floa
 
         forest += _trees([model[0]], summed, value, ridge, least)
         blocks = [_left(b, forest[-1:]) for b in blocks]
-    return forest, float(sum(_held_out(b)[1][0] for b in blocks))
+    return forest, float(sum(_held_out(b)[0] for b in blocks))
 
 
 def boost(
@@ -355,13 +454,14 @@ def boost(
 ) -> list[Forest]:
     """A forest for each number of leaves, of so many trees each, fitted to all rows by least squares.
 
-    The features are cut into bins once, and blocks of bins and residuals stay with the executors. A pass sums, for all forests at
+    The features are cut into bins once, rows of equal bins become one cell (see :func:`_cells`), and blocks of bins and residuals stay with the
+    executors. A pass sums, for all forests at
     once, the histograms of the nodes that are to be split next, map-side and then in a tree of tasks: what the driver gets has a number for each
     node, feature and bin. The best gain is split first; of each two children the one of fewer rows is summed up and the other is what is left of the
     parent. A tree takes as many passes as it is deep. Each tree's residuals are a new set of blocks, whose chain is cut by checkpoints.
 
     Residuals are rounded to multiples of a power of two such that sums are exact: the trees don't depend on how rows are dealt. A
-    table of at most ONE_TASK rows has the same trees from one task for each forest, which saves a job for each pass.
+    table of at most ONE_TASK cells has the same trees from one task for each forest, which saves a job for each pass.
 
     Defined cases: null and NaN features have a bin of their own; null and NaN labels raise, and so does a table without rows.
     """
@@ -395,7 +495,8 @@ def _sums(block: tuple, plans: list, wholes: list[bool], scale: float) -> list:
         rows = slice(None if whole else block[1])
         binned = block[0][rows]
         node = walked(tree, binned) if tree is not None else np.zeros(len(binned), np.int64)
-        out.append(histograms(binned, np.rint(residual[rows] * scale), node, wanted))
+        times = block[3][rows] if len(block) > 3 else None
+        out.append(histograms(binned, np.rint(residual[rows] * scale), node, wanted, times))
     return out
 
 

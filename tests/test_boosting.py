@@ -188,3 +188,42 @@ def test_the_child_of_fewer_rows_is_summed():
     boosting._trees([8], summed, lambda total, rows: total / rows, 1.0, 20)
     rows = [np.isin(boosting.walked(tree, x), wanted).sum() for ((tree, wanted),) in plans[1:] if wanted]
     assert rows and max(rows) <= 1500
+
+
+def test_rows_of_equal_bins_are_one_cell(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x, _ = made(rng, 150)
+    x, part = np.repeat(x, 8, axis=0), np.arange(1200) % 4
+    y = x[:, 0] * 0.3 + np.nan_to_num(x[:, 1]) * 0.2 + rng.normal(0, 0.7, 1200)
+    rows = [(int(p), *(None if v != v else float(v) for v in r), float(t)) for p, r, t in zip(part, x, y)]
+    df = spark.createDataFrame(rows, "part int, a double, b double, c double, y double").repartition(3)
+    bins = np.where(np.isnan(x), -1, x).astype(int)
+    found = []
+    for one_task in (0, 300):  # there are at most 300 cells: those of the rows that are held out, and of the others
+        monkeypatch.setattr(boosting, "ONE_TASK", one_task)
+        if one_task:
+            monkeypatch.setattr(boosting, "_trees", lambda *a: pytest.fail("a pass over all tasks for each step, for 1,200 rows of 300 cells"))
+        found.append(boosting.grid_search(df, F.col("part") == 1, ["a", "b", "c"], "y", (3, 9), trees=5))
+    (passes, errors), (alone, again) = found
+    assert again == pytest.approx(errors) and all((s == t).all() for s, t in zip(alone.trees, passes.trees))
+    got = [r.prediction for r in alone.transform(spark.createDataFrame(rows, df.schema).coalesce(1)).collect()]
+    assert got == pytest.approx(plain(bins, y, alone.leaves, 5).tolist(), abs=1e-6)
+    monkeypatch.undo()
+    for k in (3, 9):
+        p = boosting.boost(df.filter("part <> 1"), ["a", "b", "c"], "y", [k], trees=5)[0].transform(df.filter("part = 1"))
+        assert errors[k] == pytest.approx(p.selectExpr("sqrt(avg(pow(y - prediction, 2)))").first()[0], abs=1e-9)
+
+
+def test_edges_are_exact_quantiles(spark):
+    rng, n = np.random.default_rng(13), 3000
+    columns = [rng.normal(0, 1, n) ** 7, rng.integers(-3, 4, n) * 1.0, 10.0 ** rng.uniform(-300, 300, n), np.where(rng.random(n) < 0.5, -0.0, 1e-310), np.full(n, np.nan), np.arange(n) * 1.0]
+    columns[0][::7], columns[2][::5], columns[5][1:] = np.nan, -np.inf, np.inf
+    rows = [tuple(None if v != v and i % 2 else float(v) for v in r) for i, r in enumerate(zip(*columns))]
+    names = list("abcdef")
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(5)
+    for column, got in zip(columns, boosting.bin_edges(df, names)):
+        v = np.sort(column[np.isfinite(column)])
+        at = (len(v) - 1) * np.array([i / 255 for i in range(1, 255)])
+        low, high = np.floor(at), np.ceil(at)
+        want = np.where(low == high, v[low.astype(int)], (high - at) * v[low.astype(int)] + (at - low) * v[high.astype(int)]) if len(v) else v
+        assert got.tolist() == np.unique(want).tolist()
