@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,7 +22,7 @@ BINS = 255
 #: Partitions whose sums the driver adds up itself; sums of more are added up by tasks first.
 FEW_PARTS = 64
 #: Tables of at most so many cells (see :func:`_cells`) are grown by one task a forest: there is nothing to sum up between tasks.
-ONE_TASK = 1 << 20
+ONE_TASK = 1 << 21
 #: Cells of a block, rows that are worked on at a time, and rounds after which the chain of residuals is cut by a checkpoint.
 ROWS, CHUNK, CUT_AFTER = 1 << 16, 1 << 15, 25
 
@@ -120,16 +120,23 @@ def masks(tree: np.ndarray, leaves: Sequence[int]) -> dict[int, np.ndarray]:
     return out
 
 
-def walked(tree: np.ndarray, binned: np.ndarray) -> np.ndarray:
+def ready(tree: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]] | None:
+    """The leaves and :func:`masks` of a tree, to be used for many blocks; None for trees of more than 64 leaves."""
+    ends = leaves_of(tree)
+    return (np.array(ends), masks(tree, ends)) if len(ends) <= 64 else None
+
+
+def walked(tree: np.ndarray, binned: np.ndarray, made: tuple | None = None) -> np.ndarray:
     """The node of the tree (see :meth:`Tree.arrays`) at which each row ends.
 
     A row that goes right at a node loses the leaves on its left, whether it gets there or not, and ends at the first leaf that all of its features
     leave: a look at a table for each feature, whatever the depth. Trees of more than 64 leaves are walked node by node.
+    ``made`` is what :func:`ready` gives, if it is known.
     """
-    ends = leaves_of(tree)
-    if len(ends) > 64:
+    made = made or ready(tree)
+    if made is None:
         return _by_steps(tree, binned)
-    nodes, tables, out = np.array(ends), masks(tree, ends), np.zeros(len(binned), np.int64)
+    (nodes, tables), out = made, np.zeros(len(binned), np.int64)
     for at in range(0, len(binned) if tables else 0, CHUNK):
         part = binned[at : at + CHUNK]
         reach = None
@@ -204,10 +211,10 @@ class Forest:
     def __init__(self, features: Sequence[str], edges: list[np.ndarray], base: float, trees: list[np.ndarray], leaves: int):
         self.features, self.edges, self.base, self.trees, self.leaves = list(features), edges, base, trees, leaves
 
-    def predict(self, binned: np.ndarray) -> np.ndarray:
+    def predict(self, binned: np.ndarray, made: Sequence[tuple | None] | None = None) -> np.ndarray:
         out = np.full(len(binned), self.base)
-        for tree in self.trees:
-            out += tree[walked(tree, binned), 5]
+        for tree, known in zip(self.trees, made or [None] * len(self.trees)):
+            out += tree[walked(tree, binned, known), 5]
         return out
 
     def transform(self, df: DataFrame, name: str = "prediction") -> DataFrame:
@@ -215,8 +222,9 @@ class Forest:
         own, inputs = self, [F.col(f).cast("double").alias(f"_lodestone_{k}") for k, f in enumerate(self.features)]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = [ready(tree) for tree in own.trees]
             for batch in batches:
-                made = own.predict(cut([batch.column(k) for k in range(len(own.features))], own.edges))
+                made = own.predict(cut([batch.column(k) for k in range(len(own.features))], own.edges), known)
                 yield pa.RecordBatch.from_arrays([*batch.columns[len(own.features) :], pa.array(made)], names=[*batch.schema.names[len(own.features) :], name])
 
         kept = [c for c in df.columns if c != name]
@@ -327,9 +335,10 @@ def _blocks(cells: DataFrame, width: int) -> DataFrame:
     """Blocks of some 2^16 cells, those that aren't held out first, a column's bins together; and what their cells sum up to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, size = [], 0
+        # Cells of one row and of more are in blocks of their own: those of one row need no numbers of rows.
+        pending, sizes = ([], []), [0, 0]
 
-        def settle():
+        def settle(got):
             bins, held, n, y, spread = (np.concatenate([g[k] for g in got]) for k in range(5))
             order = np.argsort(held, kind="stable")
             sums = [len(held), int((~held).sum()), int(n[~held].sum()), int(n.sum()), int(y[~held].sum()), int(y.sum()), float(spread[held].sum())]
@@ -340,17 +349,42 @@ def _blocks(cells: DataFrame, width: int) -> DataFrame:
             x = batch.column(0)
             starts = np.frombuffer(x.buffers()[1], np.int32)[x.offset :]
             bins = np.frombuffer(x.buffers()[2], np.uint8)[starts[0] : starts[0] + len(x) * width].reshape(-1, width)
-            got.append((bins.copy(), *(batch.column(k).to_numpy(zero_copy_only=False) for k in range(1, 5))))
-            size += len(x)
-            if size >= ROWS:
-                yield settle()
-                got, size = [], 0
-        if size:
-            yield settle()
+            columns = [bins, *(batch.column(k).to_numpy(zero_copy_only=False) for k in range(1, 5))]
+            for kind, here in enumerate((columns[2] == 1, columns[2] > 1)):
+                pending[kind].append([c[here] for c in columns])
+                sizes[kind] += int(here.sum())
+                if sizes[kind] >= ROWS:
+                    yield settle(pending[kind])
+                    pending[kind].clear()
+                    sizes[kind] = 0
+        for kind in range(2):
+            if sizes[kind]:
+                yield settle(pending[kind])
 
     return cells.mapInArrow(run, ", ".join(BLOCK))
 
 
+def _merged(blocks: Iterable[tuple]) -> Iterator[tuple]:
+    """The cells of small blocks in blocks of some 2^16; those with numbers of rows stay by themselves. Many small tasks leave many small blocks."""
+    pending, sizes = {3: [], 4: []}, {3: 0, 4: 0}
+
+    def settle(got: list[tuple]) -> tuple:
+        if len(got) == 1:
+            return got[0]
+        bins, residuals, *n = ([(b[k], b[1]) for b in got] for k in range(len(got[0])) if k != 1)
+        halves = lambda arrays: [a[..., :fit] for a, fit in arrays] + [a[..., fit:] for a, fit in arrays]
+        bins = np.concatenate(halves([(x.T, fit) for x, fit in bins]), axis=1).T
+        return bins, sum(b[1] for b in got), np.concatenate(halves(residuals), axis=1), *(np.concatenate(halves(a)) for a in n)
+
+    for b in blocks:
+        pending[len(b)].append(b)
+        sizes[len(b)] += len(b[0])
+        if sizes[len(b)] >= ROWS:
+            yield settle(pending[len(b)])
+            pending[len(b)], sizes[len(b)] = [], 0
+    yield from (settle(got) for got in pending.values() if got)
+
+
 def _grow(df: DataFrame, features: Sequence[str], label: str, held: Column, models: list[tuple[int, bool]], trees: int, rate: float, ridge: float, least: int) -> tuple[list[Forest], list[float]]:
     """A forest for each (leaves, whether it learns from held-out rows too), and each one's RMSE on the held-out rows."""
     spark = df.sparkSession
@@ -375,10 +409,10 @@ def _grow(df: DataFrame, features: Sequence[str], label: str, held: Column, mode
     def opened(r) -> tuple:
         n, y = np.frombuffer(r.n, np.int64), np.frombuffer(r.y) / scale
         residuals = np.stack([y - n * m for m in means])
-        return (np.frombuffer(r.x, np.uint8).reshape(len(edges), -1).T, r.fit, residuals, *([n] if (n > 1).any() else []))
+        return (np.frombuffer(r.x, np.uint8).reshape(len(edges), -1).T, r.fit, residuals, *([n.astype(np.min_scalar_type(n.max()))] if n.max() > 1 else []))
 
     # Blocks: bins, how many cells to learn from, each forest's residuals, and the cells' numbers of rows unless all are one.
-    state = blocks.select("x", "n", "y", "fit").repartition(parts).rdd.map(opened).persist(StorageLevel.MEMORY_AND_DISK)
+    state = blocks.select("x", "n", "y", "fit").repartition(parts).rdd.map(opened).mapPartitions(_merged).persist(StorageLevel.MEMORY_AND_DISK)
     wholes, before, forests = [whole for _, whole in models], None, [[] for _ in models]
     if sums.cells <= ONE_TASK:
         own = state.flatMap(lambda b: [(m, (b[0], b[1], r[None], *b[3:])) for m, r in enumerate(b[2])]).groupByKey(len(models))
@@ -404,6 +438,7 @@ def _grow(df: DataFrame, features: Sequence[str], label: str, held: Column, mode
                 state.checkpoint()
         squares = state.map(_held_out).reduce(lambda a, b: a + b)
     state.unpersist()
+    discard(blocks)
     judged = about["all"] - about.fit
     errors = [float(np.sqrt((x + sums.spread) / judged)) if judged else float("nan") for x in squares]
     return [Forest(features, edges, base, f, k) for base, f, (k, _) in zip(bases, forests, models)], errors
@@ -437,7 +472,7 @@ def _held_out(block: tuple) -> np.ndarray:
 
 def _alone(blocks: list[tuple], model: tuple[int, bool], trees: int, scale: float, value, ridge: float, least: int) -> tuple[list[np.ndarray], float]:
     """A forest, and its sum of squares on held-out rows, grown by one task from the few blocks that there are: the same trees without the waits."""
-    forest, whole = [], [model[1]]
+    forest, whole, blocks = [], [model[1]], list(_merged(blocks))
     for _ in range(trees):
 
         def summed(plans, blocks=blocks):

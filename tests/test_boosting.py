@@ -227,3 +227,19 @@ def test_edges_are_exact_quantiles(spark):
         low, high = np.floor(at), np.ceil(at)
         want = np.where(low == high, v[low.astype(int)], (high - at) * v[low.astype(int)] + (at - low) * v[high.astype(int)]) if len(v) else v
         assert got.tolist() == np.unique(want).tolist()
+
+
+def test_small_blocks_are_merged(monkeypatch):
+    rng = np.random.default_rng(14)
+    monkeypatch.setattr(boosting, "ROWS", 50)
+    blocks = []
+    for size in (7, 1, 30, 2, 25, 60, 4):
+        n = [rng.integers(1, 9, size)] if size % 2 == 0 else []
+        blocks.append((rng.integers(0, 256, (size, 2)).astype(np.uint8), int(rng.integers(0, size + 1)), rng.normal(0, 9, (3, size)).round(), *n))
+    made = list(boosting._merged(blocks))
+    assert len(made) < len(blocks) and sorted({len(b) for b in made}) == [3, 4]
+    wholes = [False, True, True]
+    sums = lambda some: [sum(x) for x in zip(*(boosting._sums(b, [(None, [0])] * 3, wholes, 1.0) for b in some))]
+    for got, want in zip(sums(made), sums(blocks)):
+        assert (got == want).all()
+    assert sum(boosting._held_out(b) for b in made) == pytest.approx(sum(boosting._held_out(b) for b in blocks))
